@@ -50,3 +50,146 @@ SELECT l.provider_hk AS provider, CAST(CAST(date_trunc('year', p.payment_date) A
          AS payment_leakage_rate
 FROM pay p LEFT JOIN lnk l ON p.claim_line_hk = l.claim_line_hk
 GROUP BY 1, 2""")
+
+
+def hd(cols: list[str], dates: tuple = ()) -> str:
+    parts = [f"COALESCE({nd(c) if c in dates else n(c)}, '^^')" for c in sorted(cols)]
+    return "md5(concat_ws('||', " + ", ".join(parts) + "))"
+
+
+def ts(x: str) -> str:
+    return f"strftime({x}, '%Y-%m-%d %H:%M:%S')"
+
+
+def dt(x: str) -> str:
+    return f"CAST({x} AS VARCHAR)"
+
+
+CLAIM_SAT_COLS = ["service_from_date", "service_thru_date", "admission_date", "discharge_date", "drg_bk",
+                  "paid_amount", "primary_payer_paid_amount", "utilization_day_count", "claim_type"]
+CLAIM_DATES = ("service_from_date", "service_thru_date", "admission_date", "discharge_date")
+
+STG_CLAIMS = "stg_claims AS (SELECT *, 'inpatient' AS claim_type FROM synpuf_inpatient_claim_header)"
+
+oracle("c03_stage_claim_lines_keys", with_bronze("synpuf_inpatient_claim_header", extra=STG_CLAIMS) + f"""
+SELECT claim_line_bk, {hk('claim_line_bk')} AS claim_line_hk, {hk('provider_bk')} AS provider_hk,
+       {hk('member_bk')} AS member_hk, {hk('claim_line_bk', 'provider_bk', 'member_bk')} AS claim_provider_member_hk,
+       {hd(CLAIM_SAT_COLS, CLAIM_DATES)} AS claim_hashdiff
+FROM stg_claims""")
+
+
+def earliest(src: str, pk: str, order: list[str], cols: list[str]) -> str:
+    o = ", ".join(f"{c} ASC NULLS FIRST" for c in order)
+    return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {pk} ORDER BY {o}) AS _rn "
+            f"FROM {src} WHERE {pk} IS NOT NULL) WHERE _rn = 1")
+
+
+oracle("c04_hub_claim_line_two_batches", with_bronze(
+    "synpuf_inpatient_claim_header",
+    extra=f"s AS (SELECT {hk('claim_line_bk')} AS claim_line_hk, claim_line_bk, load_dts, record_source "
+          f"FROM synpuf_inpatient_claim_header)") + f"""
+SELECT claim_line_hk, claim_line_bk, {ts('load_dts')} AS load_dts, record_source FROM (
+{earliest('s', 'claim_line_hk', ['load_dts', 'record_source', 'claim_line_bk'],
+          ['claim_line_hk', 'claim_line_bk', 'load_dts', 'record_source'])})""")
+
+STG_MEMBERS = """stg_members AS (
+  SELECT member_bk, birth_date, sex_code AS sex, race_code, state_code, 'cms_de_synpuf' AS source_system,
+         record_source, load_dts FROM synpuf_beneficiary_summary
+  UNION ALL
+  SELECT member_bk, birth_date, sex, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'synthea', record_source, load_dts
+  FROM synthea_patients)"""
+
+oracle("c04_hub_member_two_sources", with_bronze(
+    "synpuf_beneficiary_summary", "synthea_patients",
+    extra=STG_MEMBERS + f", s AS (SELECT {hk('member_bk')} AS member_hk, member_bk, load_dts, record_source "
+                        f"FROM stg_members)") + f"""
+SELECT member_hk, member_bk, {ts('load_dts')} AS load_dts, record_source FROM (
+{earliest('s', 'member_hk', ['load_dts', 'record_source', 'member_bk'],
+          ['member_hk', 'member_bk', 'load_dts', 'record_source'])})""")
+
+oracle("c05_link_encounter_provider", with_bronze(
+    "synthea_encounters",
+    extra=f"""s AS (SELECT {hk('encounter_bk', 'provider_reference')} AS encounter_provider_hk,
+                      {hk('encounter_bk')} AS encounter_hk, {hk('provider_reference')} AS provider_hk,
+                      load_dts, record_source FROM synthea_encounters),
+              f AS (SELECT * FROM s WHERE encounter_hk IS NOT NULL AND provider_hk IS NOT NULL)""") + f"""
+SELECT encounter_provider_hk, encounter_hk, provider_hk, {ts('load_dts')} AS load_dts, record_source FROM (
+{earliest('f', 'encounter_provider_hk', ['load_dts', 'record_source', 'encounter_hk', 'provider_hk'],
+          ['encounter_provider_hk', 'encounter_hk', 'provider_hk', 'load_dts', 'record_source'])})""")
+
+SAT_HISTORY = f"""WITH s AS (
+  SELECT {hk('o_custkey')} AS member_hk, o_orderpriority, o_orderstatus, CAST(o_orderdate AS TIMESTAMP) AS load_dts,
+         'proxy.orders' AS record_source, {hd(['o_orderpriority', 'o_orderstatus'])} AS status_hashdiff FROM orders),
+one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY member_hk, load_dts
+          ORDER BY status_hashdiff, record_source, o_orderpriority, o_orderstatus) AS rn FROM s) WHERE rn = 1),
+lagged AS (SELECT *, lag(status_hashdiff) OVER (PARTITION BY member_hk ORDER BY load_dts) AS prev FROM one),
+hist AS (SELECT member_hk, status_hashdiff, o_orderpriority, o_orderstatus, load_dts, record_source FROM lagged
+         WHERE prev IS NULL OR prev <> status_hashdiff)
+"""
+
+oracle("c06_satellite_history_two_batches", SAT_HISTORY + f"""
+SELECT member_hk, status_hashdiff, o_orderpriority, o_orderstatus, {ts('load_dts')} AS load_dts, record_source
+FROM hist""")
+
+oracle("c08_current_satellite", SAT_HISTORY + f"""
+SELECT member_hk, status_hashdiff, o_orderpriority, o_orderstatus, {ts('load_dts')} AS load_dts, record_source
+FROM (SELECT *, row_number() OVER (PARTITION BY member_hk ORDER BY load_dts DESC) AS r FROM hist) WHERE r = 1""")
+
+oracle("c07_tlink_measure_eval", with_bronze(
+    "cq_member_measure_evals",
+    extra=f"""s AS (SELECT {hk('member_bk')} AS member_hk, {hk('measure_bk')} AS measure_hk,
+        md5({n('member_bk')} || '||' || {n('measure_bk')} || '||' || {nd('eval_date')}) AS member_measure_eval_txn_hk,
+        eval_result, eval_date, eval_date AS effective_from, load_dts, record_source FROM cq_member_measure_evals),
+      f AS (SELECT * FROM s WHERE member_hk IS NOT NULL AND measure_hk IS NOT NULL)""") + f"""
+SELECT member_measure_eval_txn_hk, member_hk, measure_hk, eval_result, {dt('eval_date')} AS eval_date,
+       {dt('effective_from')} AS effective_from, {ts('load_dts')} AS load_dts, record_source FROM (
+{earliest('f', 'member_measure_eval_txn_hk',
+          ['load_dts', 'record_source', 'member_hk', 'measure_hk', 'eval_result', 'eval_date', 'effective_from'],
+          ['member_measure_eval_txn_hk', 'member_hk', 'measure_hk', 'eval_result', 'eval_date', 'effective_from',
+           'load_dts', 'record_source'])})""")
+
+oracle("a02_dedupe_latest_order_per_customer", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {ts('o_orderdate')} AS o_orderdate, o_orderpriority
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r
+      FROM orders) WHERE r = 1""")
+
+CLAIM_DX = """dx AS (SELECT DISTINCT claim_line_bk, record_source, load_dts, code AS diagnosis_bk FROM (
+    SELECT claim_line_bk, record_source, load_dts, dx_1 AS code FROM claims_wide
+    UNION ALL SELECT claim_line_bk, record_source, load_dts, dx_2 FROM claims_wide
+    UNION ALL SELECT claim_line_bk, record_source, load_dts, dx_3 FROM claims_wide)
+  WHERE code IS NOT NULL AND trim(code) <> '')"""
+
+oracle("a05_unpivot_claim_diagnoses", with_bronze("claims_wide", extra=CLAIM_DX) + f"""
+SELECT claim_line_bk, record_source, {ts('load_dts')} AS load_dts, diagnosis_bk FROM dx""")
+
+oracle("a09_orphan_claim_drgs", with_bronze("synpuf_inpatient_claim_header", "drg_weights") + """
+SELECT drg_bk, count(*) AS orphan_claims FROM synpuf_inpatient_claim_header c
+WHERE trim(drg_bk) <> '' AND NOT EXISTS (SELECT 1 FROM drg_weights w WHERE w.drg_bk = c.drg_bk)
+GROUP BY drg_bk""")
+
+oracle("b01_stg_members", with_bronze("synpuf_beneficiary_summary", "synthea_patients", extra=STG_MEMBERS) + f"""
+SELECT member_bk, {dt('birth_date')} AS birth_date, sex, race_code, state_code, source_system, record_source,
+       {ts('load_dts')} AS load_dts FROM stg_members""")
+
+oracle("b02_stg_diagnoses", with_bronze("claims_wide", "synthea_conditions", extra=CLAIM_DX) + f"""
+SELECT diagnosis_bk, coding_system, record_source, {ts('load_dts')} AS load_dts FROM (
+  SELECT DISTINCT diagnosis_bk, 'icd9' AS coding_system, record_source, load_dts FROM dx
+  UNION ALL
+  SELECT DISTINCT diagnosis_bk, 'snomed', record_source, load_dts FROM synthea_conditions
+  WHERE diagnosis_bk IS NOT NULL)""")
+
+oracle("b03_stg_drgs", with_bronze("synpuf_inpatient_claim_header", "drg_weights") + f"""
+SELECT d.drg_bk, w.drg_description, CAST(w.drg_relative_weight AS DOUBLE) AS drg_relative_weight, d.record_source,
+       {ts('d.load_dts')} AS load_dts
+FROM (SELECT DISTINCT drg_bk, record_source, load_dts FROM synpuf_inpatient_claim_header
+      WHERE drg_bk IS NOT NULL AND trim(drg_bk) <> '') d
+LEFT JOIN drg_weights w ON d.drg_bk = w.drg_bk""")
+
+oracle("b11_stg_pharmacies", with_bronze("nppes_facilities") + f"""
+SELECT npi AS pharmacy_bk, organization_name AS pharmacy_name, primary_taxonomy_code AS pharmacy_type,
+       record_source, {ts('load_dts')} AS load_dts
+FROM nppes_facilities WHERE primary_taxonomy_code = '3336C0003X'""")
+
+oracle("b12_stg_drugs", with_bronze("ndc_products") + f"""
+SELECT productndc AS drug_bk, coalesce(nullif(proprietaryname, ''), nonproprietaryname) AS drug_name,
+       pharm_classes AS drug_class, record_source, {ts('load_dts')} AS load_dts FROM ndc_products""")

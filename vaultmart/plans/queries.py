@@ -60,3 +60,145 @@ def metric_store(spark: SparkSession, sf_dir: str, names=None, bronze_names=None
 def q_leakage_rate(spark, sf_dir):
     ms = metric_store(spark, sf_dir, PAYMENT_VAULT, PAYMENT_BRONZE)
     return present(ms.query(["payment_leakage_rate"], group_by=["provider", "metric_time"], grain="year"))
+
+
+# ---------------------------------------------------------------------------
+# hashing and hashed staging
+# ---------------------------------------------------------------------------
+from vaultmart.functions.hashing import hashdiff, hash_key  # noqa: E402
+from vaultmart.operators import vault as V  # noqa: E402
+from vaultmart.plans import staging as S  # noqa: E402
+from vaultmart.plans.build import hashed_staging  # noqa: E402
+
+
+def bronze(spark, sf_dir, names=None):
+    return proxy.bronze(spark, sf_dir, names)
+
+
+@query("c03_stage_claim_lines_keys")
+def q_stage_claims(spark, sf_dir):
+    st = S.stg_claim_lines(bronze(spark, sf_dir, ["synpuf_inpatient_claim_header"]))
+    hs = hashed_staging({"stg_claim_lines": st}, ["stg_claim_lines_hk", "stg_claim_lines_sat_hk"])
+    a = hs["stg_claim_lines_hk"].select("claim_line_bk", "claim_line_hk", "provider_hk", "member_hk",
+                                        "claim_provider_member_hk")
+    b = hs["stg_claim_lines_sat_hk"].select("claim_line_bk", "claim_hashdiff")
+    return a.join(b, "claim_line_bk")
+
+
+def _two_batches(staged: DataFrame, cutoff: str = "1998-01-01"):
+    first = staged.where(F.col("load_dts") < F.lit(cutoff).cast("timestamp"))
+    return first, staged
+
+
+@query("c04_hub_claim_line_two_batches")
+def q_hub_two_batches(spark, sf_dir):
+    st = S.stg_claim_lines(bronze(spark, sf_dir, ["synpuf_inpatient_claim_header"]))
+    hs = hashed_staging({"stg_claim_lines": st}, ["stg_claim_lines_hk"])["stg_claim_lines_hk"]
+    b1, b2 = _two_batches(hs)
+    target = V.new_hub_rows(b1, "claim_line_hk", "claim_line_bk")
+    new = V.new_hub_rows(b2, "claim_line_hk", "claim_line_bk", target)
+    return present(target.unionByName(new))
+
+
+@query("c04_hub_member_two_sources")
+def q_hub_member(spark, sf_dir):
+    st = S.stg_members(bronze(spark, sf_dir, ["synpuf_beneficiary_summary", "synthea_patients"]))
+    hs = hashed_staging({"stg_members": st}, ["stg_members_hk"])["stg_members_hk"]
+    return present(V.new_hub_rows(hs, "member_hk", "member_bk"))
+
+
+@query("c05_link_encounter_provider")
+def q_link_enc_provider(spark, sf_dir):
+    st = S.stg_encounters(bronze(spark, sf_dir, ["synthea_encounters"]))
+    hs = hashed_staging({"stg_encounters": st}, ["stg_encounters_hk"])["stg_encounters_hk"]
+    b1, b2 = _two_batches(hs)
+    target = V.new_link_rows(b1, "encounter_provider_hk", ["encounter_hk", "provider_hk"])
+    new = V.new_link_rows(b2, "encounter_provider_hk", ["encounter_hk", "provider_hk"], target)
+    return present(target.unionByName(new))
+
+
+def _priority_staged(spark, sf_dir):
+    """Orders as attribute versions of a member: priority and status per order date."""
+    proxy.register_driver_tables(spark, sf_dir, ["orders"])
+    o = spark.table("orders")
+    df = o.select(F.col("o_custkey").cast("string").alias("member_bk"), "o_orderpriority", "o_orderstatus",
+                  F.col("o_orderdate").cast("timestamp").alias("load_dts"), F.lit("proxy.orders").alias("record_source"))
+    return df.select("*", hash_key("member_bk").alias("member_hk"),
+                     hashdiff(["o_orderpriority", "o_orderstatus"], df).alias("status_hashdiff"))
+
+
+@query("c06_satellite_history_two_batches")
+def q_sat_history(spark, sf_dir):
+    st = _priority_staged(spark, sf_dir)
+    b1, b2 = _two_batches(st)
+    payload = ["o_orderpriority", "o_orderstatus"]
+    target = V.new_satellite_rows(b1, "member_hk", "status_hashdiff", payload)
+    new = V.new_satellite_rows(b2, "member_hk", "status_hashdiff", payload, target)
+    return present(target.unionByName(new))
+
+
+@query("c08_current_satellite")
+def q_current_sat(spark, sf_dir):
+    st = _priority_staged(spark, sf_dir)
+    sat = V.new_satellite_rows(st, "member_hk", "status_hashdiff", ["o_orderpriority", "o_orderstatus"])
+    return present(V.current_satellite(sat, "member_hk", "status_hashdiff"))
+
+
+@query("c07_tlink_measure_eval")
+def q_tlink_eval(spark, sf_dir):
+    st = S.stg_member_measure_evals(bronze(spark, sf_dir, ["cq_member_measure_evals"]))
+    hs = hashed_staging({"stg_member_measure_evals": st}, ["stg_member_measure_evals_hk"])
+    return present(V.new_tlink_rows(hs["stg_member_measure_evals_hk"], "member_measure_eval_txn_hk",
+                                    ["member_hk", "measure_hk"], ["eval_result", "eval_date"]))
+
+
+# ---------------------------------------------------------------------------
+# landing and staging (A, B)
+# ---------------------------------------------------------------------------
+from vaultmart.operators.dedupe import dedupe_latest  # noqa: E402
+from vaultmart.sources.ingest import orphan_rows  # noqa: E402
+
+
+@query("a02_dedupe_latest_order_per_customer")
+def q_dedupe(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["orders"])
+    return present(dedupe_latest(spark.table("orders"), ["o_custkey"], [F.col("o_orderdate")]))
+
+
+@query("a05_unpivot_claim_diagnoses")
+def q_unpivot(spark, sf_dir):
+    return present(bronze(spark, sf_dir, ["synpuf_inpatient_claim_diagnoses"])["synpuf_inpatient_claim_diagnoses"])
+
+
+@query("a09_orphan_claim_drgs")
+def q_orphans(spark, sf_dir):
+    b = bronze(spark, sf_dir, ["synpuf_inpatient_claim_header", "drg_weights"])
+    claims = b["synpuf_inpatient_claim_header"].where(F.trim("drg_bk") != "")
+    orphans = orphan_rows(claims, b["drg_weights"], "drg_bk")
+    return orphans.groupBy("drg_bk").agg(F.count(F.lit(1)).alias("orphan_claims"))
+
+
+@query("b01_stg_members")
+def q_stg_members(spark, sf_dir):
+    return present(S.stg_members(bronze(spark, sf_dir, ["synpuf_beneficiary_summary", "synthea_patients"])))
+
+
+@query("b02_stg_diagnoses")
+def q_stg_diag(spark, sf_dir):
+    return present(S.stg_diagnoses(bronze(spark, sf_dir, ["synpuf_inpatient_claim_diagnoses",
+                                                           "synthea_conditions"])))
+
+
+@query("b03_stg_drgs")
+def q_stg_drgs(spark, sf_dir):
+    return present(S.stg_drgs(bronze(spark, sf_dir, ["synpuf_inpatient_claim_header", "drg_weights"])))
+
+
+@query("b11_stg_pharmacies")
+def q_stg_pharm(spark, sf_dir):
+    return present(S.stg_pharmacies(bronze(spark, sf_dir, ["nppes_facilities"])))
+
+
+@query("b12_stg_drugs")
+def q_stg_drugs(spark, sf_dir):
+    return present(S.stg_drugs(bronze(spark, sf_dir, ["ndc_products"])))

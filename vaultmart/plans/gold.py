@@ -125,8 +125,10 @@ def fact_drg_reimbursement_variance(v: Vault) -> DataFrame:  # E4
     c = (f.join(d, "drg_hk", "inner").where(F.col("drg_relative_weight").isNotNull())
           .select("payment_txn_hk", "claim_line_hk", "provider_hk", "drg_hk", "paid_amount", "drg_relative_weight"))
     # population benchmark: one row, so the cross join is a broadcast of a single row
+    # the benchmark is fixed to 6 decimals so that everything downstream of
+    # it is exact decimal arithmetic
     bench = c.agg((F.sum("paid_amount") / F.nullif(F.sum("drg_relative_weight"), F.lit(0)))
-                  .alias("dollars_per_weight_unit"))
+                  .cast("decimal(18,6)").alias("dollars_per_weight_unit"))
     expected = F.col("drg_relative_weight") * F.col("dollars_per_weight_unit")
     return c.crossJoin(F.broadcast(bench)).select(
         "payment_txn_hk", "claim_line_hk", "provider_hk", "drg_hk", "drg_relative_weight", "paid_amount",

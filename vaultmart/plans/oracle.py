@@ -193,3 +193,249 @@ FROM nppes_facilities WHERE primary_taxonomy_code = '3336C0003X'""")
 oracle("b12_stg_drugs", with_bronze("ndc_products") + f"""
 SELECT productndc AS drug_bk, coalesce(nullif(proprietaryname, ''), nonproprietaryname) AS drug_name,
        pharm_classes AS drug_class, record_source, {ts('load_dts')} AS load_dts FROM ndc_products""")
+
+
+# ---------------------------------------------------------------------------
+# gold dimensions and facts
+# ---------------------------------------------------------------------------
+def nn(x: str) -> str:
+    return f"{n(x)} IS NOT NULL"
+
+
+G = {
+    "lpm": f"""lpm AS (SELECT DISTINCT {hk('claim_line_bk')} AS claim_line_hk, {hk('provider_bk')} AS provider_hk,
+                  {hk('member_bk')} AS member_hk FROM synpuf_inpatient_claim_header
+                  WHERE {nn('claim_line_bk')} AND {nn('provider_bk')} AND {nn('member_bk')})""",
+    "ld": f"""ld AS (SELECT DISTINCT {hk('claim_line_bk')} AS claim_line_hk, {hk('drg_bk')} AS drg_hk
+                FROM synpuf_inpatient_claim_header WHERE {nn('claim_line_bk')} AND {nn('drg_bk')})""",
+    "satcl": f"""satcl AS (SELECT {hk('claim_line_bk')} AS claim_line_hk, service_from_date, admission_date
+                   FROM synpuf_inpatient_claim_header)""",
+    "pay": f"""pay AS (SELECT {hk('txn_bk')} AS payment_txn_hk, {hk('claim_line_bk')} AS claim_line_hk, billed_amount,
+                 allowed_amount, paid_amount, payment_date FROM pi_payment_transactions)""",
+    "fcp": """fcp AS (SELECT p.payment_txn_hk, p.claim_line_hk, l.provider_hk, l.member_hk, d.drg_hk, p.billed_amount,
+                 p.allowed_amount, p.paid_amount, p.billed_amount - p.paid_amount AS leakage_amount, p.payment_date,
+                 s.service_from_date, s.admission_date
+               FROM pay p LEFT JOIN lpm l ON p.claim_line_hk = l.claim_line_hk
+               LEFT JOIN ld d ON p.claim_line_hk = d.claim_line_hk
+               LEFT JOIN satcl s ON p.claim_line_hk = s.claim_line_hk)""",
+    "ddrg": f"""ddrg AS (SELECT {hk('c.drg_bk')} AS drg_hk, c.drg_bk, w.drg_description, w.drg_relative_weight
+                  FROM (SELECT DISTINCT drg_bk FROM synpuf_inpatient_claim_header WHERE {nn('drg_bk')}) c
+                  LEFT JOIN drg_weights w ON c.drg_bk = w.drg_bk)""",
+    "fdrg": """cw AS (SELECT f.payment_txn_hk, f.claim_line_hk, f.provider_hk, f.drg_hk, f.paid_amount, d.drg_relative_weight
+                FROM fcp f JOIN ddrg d ON f.drg_hk = d.drg_hk WHERE d.drg_relative_weight IS NOT NULL),
+           bench AS (SELECT CAST(CAST(sum(paid_amount) AS DOUBLE) / NULLIF(CAST(sum(drg_relative_weight) AS DOUBLE), 0)
+                            AS DECIMAL(18,6)) AS dollars_per_weight_unit FROM cw),
+           fdrg AS (SELECT c.*, b.dollars_per_weight_unit,
+                           c.drg_relative_weight * b.dollars_per_weight_unit AS expected_paid_amount,
+                           c.paid_amount - c.drg_relative_weight * b.dollars_per_weight_unit AS reimbursement_variance
+                    FROM cw c CROSS JOIN bench b)""",
+    "adj": f"""adj AS (SELECT {hk('txn_bk')} AS adjustment_txn_hk, {hk('claim_line_bk')} AS claim_line_hk,
+                 adjustment_amount, adjustment_reason_code, adjustment_date FROM pi_adjustment_transactions)""",
+    "fadj": """fadj AS (SELECT a.adjustment_txn_hk, a.claim_line_hk, l.provider_hk, l.member_hk, a.adjustment_amount,
+                  a.adjustment_reason_code, a.adjustment_date FROM adj a LEFT JOIN lpm l ON a.claim_line_hk = l.claim_line_hk)""",
+    "fcob": f"""fcob AS (SELECT {hk('c.txn_bk')} AS cob_recovery_txn_hk, {hk('c.claim_line_bk')} AS claim_line_hk,
+                  l.member_hk, c.recovery_amount, c.recovery_date FROM pi_cob_recovery_transactions c
+                  LEFT JOIN lpm l ON {hk('c.claim_line_bk')} = l.claim_line_hk)""",
+    "dauth": f"""dauth AS (SELECT {hk('authorization_bk')} AS authorization_hk, authorization_bk, auth_status,
+                   requested_date, claim_line_bk FROM pi_authorizations)""",
+    "fauth": f"""fauth AS (SELECT authorization_hk, CASE WHEN {nn('claim_line_bk')} THEN {hk('claim_line_bk')} END
+                   AS claim_line_hk, auth_status, requested_date FROM dauth)""",
+    "dapl": f"""dapl AS (SELECT {hk('appeal_bk')} AS appeal_hk, appeal_bk, appeal_status, appeal_reason, claim_line_bk
+                  FROM pi_appeals)""",
+    "fapl": f"""fapl AS (SELECT appeal_hk, {hk('claim_line_bk')} AS claim_line_hk, appeal_status, appeal_reason
+                  FROM dapl)""",
+    "frs": f"""frs AS (SELECT md5({n('member_bk')} || '||' || {n('risk_model_bk')} || '||' || {n('model_year')})
+                   AS member_risk_score_txn_hk, {hk('member_bk')} AS member_hk, {hk('risk_model_bk')} AS risk_model_hk,
+                   raf_score, model_year, CAST(CAST(model_year AS VARCHAR) || '-01-01' AS DATE) AS effective_from
+                 FROM ra_member_risk_scores)""",
+    "ftier": """ftier AS (SELECT member_risk_score_txn_hk, member_hk, risk_model_hk, raf_score, model_year,
+                   CASE WHEN raf_score < 1.0 THEN 'low' WHEN raf_score < 2.0 THEN 'medium' ELSE 'high' END AS risk_tier
+                 FROM frs)""",
+    "fhcc": f"""sus AS (SELECT DISTINCT {hk('member_bk')} AS member_hk, {hk('hcc_bk')} AS hcc_hk, 1 AS is_suspected
+                 FROM ra_suspected_hcc),
+           cap AS (SELECT DISTINCT {hk('member_bk')} AS member_hk, {hk('hcc_bk')} AS hcc_hk, 1 AS is_captured
+                 FROM ra_member_hcc),
+           comb AS (SELECT coalesce(s.member_hk, c.member_hk) AS member_hk, coalesce(s.hcc_hk, c.hcc_hk) AS hcc_hk,
+                       coalesce(s.is_suspected, 0) AS is_suspected, coalesce(c.is_captured, 0) AS is_captured
+                    FROM sus s FULL OUTER JOIN cap c ON s.member_hk = c.member_hk AND s.hcc_hk = c.hcc_hk),
+           fhcc AS (SELECT sha256(concat_ws('|', member_hk, hcc_hk)) AS hcc_capture_hk, member_hk, hcc_hk,
+                       is_suspected, is_captured,
+                       CASE WHEN is_suspected = 1 AND is_captured = 1 THEN 1 ELSE 0 END AS is_captured_and_suspected
+                    FROM comb)""",
+    "fgap": f"""fgap AS (SELECT {hk('member_bk', 'hcc_bk')} AS member_hcc_hk, {hk('member_bk')} AS member_hk,
+                   {hk('hcc_bk')} AS hcc_hk, active_flag, coding_gap_identified_date, coding_gap_closed_date,
+                   CASE WHEN coding_gap_closed_date IS NOT NULL THEN 1 ELSE 0 END AS is_gap_closed FROM ra_member_hcc)""",
+    "dhcc": f"""dhcc AS (SELECT {hk('hcc_bk')} AS hcc_hk, hcc_bk AS hcc_code, hcc_description, hcc_weight
+                  FROM ra_hcc_categories)""",
+    "facc": """sw AS (SELECT f.member_hk, sum(d.hcc_weight) AS suspected_raf_approx FROM fhcc f
+                LEFT JOIN dhcc d ON f.hcc_hk = d.hcc_hk WHERE f.is_suspected = 1 GROUP BY f.member_hk),
+           facc AS (SELECT a.member_hk, a.risk_model_hk, a.model_year, a.raf_score AS actual_raf_score,
+                       sw.suspected_raf_approx, a.raf_score - coalesce(sw.suspected_raf_approx, 0) AS raf_accuracy_variance
+                    FROM frs a LEFT JOIN sw ON a.member_hk = sw.member_hk)""",
+    "fenc": f"""fenc AS (SELECT {hk('encounter_bk')} AS encounter_hk,
+                   CASE WHEN {nn('member_reference')} THEN {hk('member_reference')} END AS member_hk,
+                   CASE WHEN {nn('provider_reference')} THEN {hk('provider_reference')} END AS provider_hk,
+                   CASE WHEN {nn('facility_reference')} THEN {hk('facility_reference')} END AS facility_hk,
+                   encounter_class_code, encounter_start, encounter_end FROM synthea_encounters)""",
+    "fread": """ip AS (SELECT encounter_hk, member_hk, encounter_start, encounter_end FROM fenc
+                WHERE encounter_class_code = 'IMP' AND member_hk IS NOT NULL),
+           nxt AS (SELECT i.encounter_hk, i.member_hk, i.encounter_start, i.encounter_end,
+                      min(CASE WHEN n.encounter_start > i.encounter_end
+                                AND n.encounter_start <= i.encounter_end + INTERVAL 30 DAY
+                               THEN n.encounter_start END) AS nx
+                   FROM ip i LEFT JOIN ip n ON i.member_hk = n.member_hk AND n.encounter_hk <> i.encounter_hk
+                   GROUP BY i.encounter_hk, i.member_hk, i.encounter_start, i.encounter_end),
+           fread AS (SELECT encounter_hk AS index_encounter_hk, member_hk, encounter_start AS index_admission_date,
+                        encounter_end AS index_discharge_date, nx AS next_admission_within_30_days,
+                        CASE WHEN nx IS NOT NULL THEN 1 ELSE 0 END AS is_readmission
+                     FROM nxt WHERE encounter_end IS NOT NULL)""",
+    "dmeas": f"""dmeas AS (SELECT {hk('measure_bk')} AS measure_hk, measure_bk AS measure_code, measure_name,
+                   measure_weight FROM cq_measures)""",
+    "fmeas": f"""ev AS (SELECT {hk('member_bk')} AS member_hk, {hk('measure_bk')} AS measure_hk,
+                md5({n('member_bk')} || '||' || {n('measure_bk')} || '||' || {nd('eval_date')}) AS member_measure_eval_txn_hk,
+                eval_result, eval_date, eval_date AS effective_from, load_dts, record_source FROM cq_member_measure_evals),
+           evt AS ({earliest('ev', 'member_measure_eval_txn_hk',
+                             ['load_dts', 'record_source', 'member_hk', 'measure_hk', 'eval_result', 'eval_date',
+                              'effective_from'],
+                             ['member_measure_eval_txn_hk', 'member_hk', 'measure_hk', 'eval_result', 'eval_date',
+                              'effective_from'])}),
+           fmeas AS (SELECT t.member_measure_eval_txn_hk, t.member_hk, t.measure_hk, d.measure_code, d.measure_weight,
+                        t.eval_result, t.eval_date, t.effective_from FROM evt t LEFT JOIN dmeas d
+                        ON t.measure_hk = d.measure_hk)""",
+    "ddrug": f"""ddrug AS (SELECT {hk('productndc')} AS drug_hk, productndc AS ndc,
+                   coalesce(nullif(proprietaryname, ''), nonproprietaryname) AS drug_name, pharm_classes AS drug_class
+                   FROM ndc_products)""",
+    "ffill": f"""fl AS (SELECT md5({n('member_bk')} || '||' || {n('drug_bk')} || '||' || {n('pharmacy_bk')} || '||' ||
+                   {nd('fill_date')}) AS pharmacy_fill_txn_hk, {hk('member_bk')} AS member_hk, {hk('drug_bk')} AS drug_hk,
+                   {hk('pharmacy_bk')} AS pharmacy_hk, days_supply, fill_date, fill_date AS effective_from, load_dts,
+                   record_source FROM pharmacy_fills),
+           flt AS ({earliest('fl', 'pharmacy_fill_txn_hk',
+                             ['load_dts', 'record_source', 'member_hk', 'drug_hk', 'pharmacy_hk', 'days_supply',
+                              'fill_date', 'effective_from'],
+                             ['pharmacy_fill_txn_hk', 'member_hk', 'drug_hk', 'pharmacy_hk', 'days_supply', 'fill_date',
+                              'effective_from'])}),
+           ffill AS (SELECT t.pharmacy_fill_txn_hk, t.member_hk, t.drug_hk, d.ndc, t.pharmacy_hk, t.fill_date,
+                        t.days_supply, t.effective_from FROM flt t LEFT JOIN ddrug d ON t.drug_hk = d.drug_hk)""",
+}
+
+# CTE dependencies: name -> (bronze views, CTE names in order)
+_GDEP = {
+    "fcp": (["pi_payment_transactions", "synpuf_inpatient_claim_header"], ["lpm", "ld", "satcl", "pay", "fcp"]),
+    "fdrg": (["pi_payment_transactions", "synpuf_inpatient_claim_header", "drg_weights"],
+             ["lpm", "ld", "satcl", "pay", "fcp", "ddrg", "fdrg"]),
+    "fadj": (["pi_adjustment_transactions", "synpuf_inpatient_claim_header"], ["lpm", "adj", "fadj"]),
+    "fcob": (["pi_cob_recovery_transactions", "synpuf_inpatient_claim_header"], ["lpm", "fcob"]),
+    "fauth": (["pi_authorizations"], ["dauth", "fauth"]),
+    "fapl": (["pi_appeals"], ["dapl", "fapl"]),
+    "frs": (["ra_member_risk_scores"], ["frs"]),
+    "ftier": (["ra_member_risk_scores"], ["frs", "ftier"]),
+    "fhcc": (["ra_suspected_hcc", "ra_member_hcc"], ["fhcc"]),
+    "fgap": (["ra_member_hcc"], ["fgap"]),
+    "facc": (["ra_suspected_hcc", "ra_member_hcc", "ra_hcc_categories", "ra_member_risk_scores"],
+             ["fhcc", "dhcc", "frs", "facc"]),
+    "fenc": (["synthea_encounters"], ["fenc"]),
+    "fread": (["synthea_encounters"], ["fenc", "fread"]),
+    "fmeas": (["cq_member_measure_evals", "cq_measures"], ["dmeas", "fmeas"]),
+    "ffill": (["pharmacy_fills", "ndc_products"], ["ddrug", "ffill"]),
+}
+
+
+def gwith(*facts: str, extra: str = "") -> str:
+    bronzes: list[str] = []
+    ctes: list[str] = []
+    for f in facts:
+        b, c = _GDEP[f]
+        bronzes += [x for x in b if x not in bronzes]
+        ctes += [x for x in c if x not in ctes]
+    body = ",\n".join(G[c] for c in ctes)
+    if extra:
+        body += ",\n" + extra
+    return with_bronze(*bronzes, extra=body)
+
+
+oracle("d01_dim_member", with_bronze("synpuf_beneficiary_summary", "synthea_patients", extra=STG_MEMBERS) + f"""
+SELECT {hk('member_bk')} AS member_hk, member_bk AS member_id, {dt('birth_date')} AS birth_date, sex, race_code,
+       state_code, source_system FROM stg_members""")
+oracle("d02_dim_provider", with_bronze("nppes_providers") + f"""
+SELECT {hk('npi')} AS provider_hk, npi AS provider_npi, provider_first_name, provider_last_name, provider_credential,
+       primary_taxonomy_code, practice_state, practice_city FROM nppes_providers""")
+oracle("d03_dim_procedure", with_bronze("claims_wide") + f"""
+SELECT DISTINCT {hk('code')} AS procedure_hk, code AS procedure_code, 'icd9_procedure' AS coding_system FROM (
+  SELECT px_1 AS code FROM claims_wide UNION ALL SELECT px_2 FROM claims_wide) WHERE code IS NOT NULL AND trim(code) <> ''""")
+oracle("d04_dim_drg", with_bronze("synpuf_inpatient_claim_header", "drg_weights", extra=G["ddrg"]) + """
+SELECT drg_hk, drg_bk, drg_description, CAST(drg_relative_weight AS DOUBLE) AS drg_relative_weight FROM ddrg""")
+oracle("d05_dim_drug", with_bronze("ndc_products", extra=G["ddrug"]) + "SELECT * FROM ddrug")
+oracle("d06_dim_encounter", with_bronze("synthea_encounters") + f"""
+SELECT {hk('encounter_bk')} AS encounter_hk, encounter_bk AS encounter_id, encounter_class_code,
+       {ts('encounter_start')} AS encounter_start, {ts('encounter_end')} AS encounter_end FROM synthea_encounters""")
+oracle("d07_dim_hcc_category", with_bronze("ra_hcc_categories", extra=G["dhcc"]) + """
+SELECT hcc_hk, hcc_code, hcc_description, CAST(hcc_weight AS DOUBLE) AS hcc_weight FROM dhcc""")
+oracle("d08_dim_measure", with_bronze("cq_measures", extra=G["dmeas"]) + """
+SELECT measure_hk, measure_code, measure_name, CAST(measure_weight AS DOUBLE) AS measure_weight FROM dmeas""")
+oracle("d09_dim_authorization", with_bronze("pi_authorizations", extra=G["dauth"]) + f"""
+SELECT authorization_hk, authorization_bk, auth_status, {dt('requested_date')} AS requested_date FROM dauth""")
+oracle("d10_dim_appeal", with_bronze("pi_appeals", extra=G["dapl"]) + """
+SELECT appeal_hk, appeal_bk, appeal_status, appeal_reason FROM dapl""")
+
+oracle("e01_fact_claim_payment", gwith("fcp") + f"""
+SELECT payment_txn_hk, claim_line_hk, provider_hk, member_hk, drg_hk, CAST(billed_amount AS DOUBLE) AS billed_amount,
+       CAST(allowed_amount AS DOUBLE) AS allowed_amount, CAST(paid_amount AS DOUBLE) AS paid_amount,
+       CAST(leakage_amount AS DOUBLE) AS leakage_amount, {dt('payment_date')} AS payment_date,
+       {dt('service_from_date')} AS service_from_date, {dt('admission_date')} AS admission_date FROM fcp""")
+oracle("e02_fact_claim_adjustment", gwith("fadj") + f"""
+SELECT adjustment_txn_hk, claim_line_hk, provider_hk, member_hk, CAST(adjustment_amount AS DOUBLE) AS adjustment_amount,
+       adjustment_reason_code, {dt('adjustment_date')} AS adjustment_date FROM fadj""")
+oracle("e03_fact_cob_recovery", gwith("fcob") + f"""
+SELECT cob_recovery_txn_hk, claim_line_hk, member_hk, CAST(recovery_amount AS DOUBLE) AS recovery_amount,
+       {dt('recovery_date')} AS recovery_date FROM fcob""")
+oracle("e04_fact_drg_reimbursement_variance", gwith("fdrg") + """
+SELECT payment_txn_hk, claim_line_hk, provider_hk, drg_hk, CAST(drg_relative_weight AS DOUBLE) AS drg_relative_weight,
+       CAST(paid_amount AS DOUBLE) AS paid_amount, CAST(dollars_per_weight_unit AS DOUBLE) AS dollars_per_weight_unit,
+       CAST(expected_paid_amount AS DOUBLE) AS expected_paid_amount,
+       CAST(reimbursement_variance AS DOUBLE) AS reimbursement_variance FROM fdrg""")
+oracle("e05_fact_authorization", gwith("fauth") + f"""
+SELECT authorization_hk, claim_line_hk, auth_status, {dt('requested_date')} AS requested_date FROM fauth""")
+oracle("e06_fact_appeal", gwith("fapl") + "SELECT * FROM fapl")
+oracle("e07_fact_member_risk_score", gwith("frs") + f"""
+SELECT member_risk_score_txn_hk, member_hk, risk_model_hk, CAST(raf_score AS DOUBLE) AS raf_score,
+       CAST(model_year AS BIGINT) AS model_year, {dt('effective_from')} AS effective_from FROM frs""")
+oracle("e08_fact_member_risk_tier", gwith("ftier") + """
+SELECT member_risk_score_txn_hk, member_hk, risk_model_hk, CAST(raf_score AS DOUBLE) AS raf_score,
+       CAST(model_year AS BIGINT) AS model_year, risk_tier FROM ftier""")
+oracle("e09_fact_hcc_capture", gwith("fhcc") + """
+SELECT hcc_capture_hk, member_hk, hcc_hk, CAST(is_suspected AS BIGINT) AS is_suspected,
+       CAST(is_captured AS BIGINT) AS is_captured, CAST(is_captured_and_suspected AS BIGINT) AS is_captured_and_suspected
+FROM fhcc""")
+oracle("e10_fact_coding_gap", gwith("fgap") + f"""
+SELECT member_hcc_hk, member_hk, hcc_hk, active_flag, {dt('coding_gap_identified_date')} AS coding_gap_identified_date,
+       {dt('coding_gap_closed_date')} AS coding_gap_closed_date, CAST(is_gap_closed AS BIGINT) AS is_gap_closed
+FROM fgap""")
+oracle("e11_fact_risk_score_accuracy", gwith("facc") + """
+SELECT member_hk, risk_model_hk, CAST(model_year AS BIGINT) AS model_year, CAST(actual_raf_score AS DOUBLE) AS actual_raf_score,
+       CAST(suspected_raf_approx AS DOUBLE) AS suspected_raf_approx,
+       CAST(raf_accuracy_variance AS DOUBLE) AS raf_accuracy_variance FROM facc""")
+oracle("e12_fact_encounter", gwith("fenc") + f"""
+SELECT encounter_hk, member_hk, provider_hk, facility_hk, encounter_class_code,
+       {ts('encounter_start')} AS encounter_start, {ts('encounter_end')} AS encounter_end FROM fenc""")
+oracle("e13_fact_readmission", gwith("fread") + f"""
+SELECT index_encounter_hk, member_hk, {ts('index_admission_date')} AS index_admission_date,
+       {ts('index_discharge_date')} AS index_discharge_date,
+       {ts('next_admission_within_30_days')} AS next_admission_within_30_days,
+       CAST(is_readmission AS BIGINT) AS is_readmission FROM fread""")
+oracle("e14_fact_measure_evaluation", gwith("fmeas") + f"""
+SELECT member_measure_eval_txn_hk, member_hk, measure_hk, measure_code, CAST(measure_weight AS DOUBLE) AS measure_weight,
+       eval_result, {dt('eval_date')} AS eval_date, {dt('effective_from')} AS effective_from FROM fmeas""")
+oracle("e15_fact_preventive_screening", gwith("fmeas") + f"""
+SELECT member_measure_eval_txn_hk, member_hk, measure_hk, measure_code, eval_result, {dt('eval_date')} AS eval_date,
+       CAST(CASE WHEN eval_result = 'met' THEN 1 ELSE 0 END AS BIGINT) AS is_completed
+FROM fmeas WHERE measure_code IN ('BCS-E', 'COL-E')""")
+oracle("e16_fact_care_gap", gwith("fmeas") + f"""
+SELECT member_measure_eval_txn_hk, member_hk, measure_hk, measure_code, eval_result, {dt('eval_date')} AS eval_date
+FROM fmeas WHERE eval_result <> 'met'""")
+oracle("e17_fact_pharmacy_fill", gwith("ffill") + f"""
+SELECT pharmacy_fill_txn_hk, member_hk, drug_hk, ndc, pharmacy_hk, {dt('fill_date')} AS fill_date,
+       CAST(days_supply AS BIGINT) AS days_supply, {dt('effective_from')} AS effective_from FROM ffill""")
+oracle("e18_fact_medication_adherence", gwith("ffill") + """
+SELECT sha256(concat_ws('|', member_hk, drug_hk)) AS medication_adherence_hk, member_hk, drug_hk,
+       CAST(least(raw, 365) AS BIGINT) AS days_covered, CAST(365 AS BIGINT) AS period_days, least(raw, 365) / 365 AS pdc
+FROM (SELECT member_hk, drug_hk, sum(days_supply) AS raw FROM ffill GROUP BY member_hk, drug_hk)""")

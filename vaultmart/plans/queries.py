@@ -202,3 +202,84 @@ def q_stg_pharm(spark, sf_dir):
 @query("b12_stg_drugs")
 def q_stg_drugs(spark, sf_dir):
     return present(S.stg_drugs(bronze(spark, sf_dir, ["ndc_products"])))
+
+
+# ---------------------------------------------------------------------------
+# gold dimensions and facts
+# ---------------------------------------------------------------------------
+# vault tables and bronze views each gold model needs
+_DIM_DEPS = {
+    "dim_member": (["hub_member", "sat_member_demographics"], ["synpuf_beneficiary_summary", "synthea_patients"]),
+    "dim_provider": (["hub_provider", "sat_provider_details"], ["nppes_providers"]),
+    "dim_procedure": (["hub_procedure", "sat_procedure_details"], ["synpuf_inpatient_claim_procedures"]),
+    "dim_drg": (["hub_drg", "sat_drg_details"], ["synpuf_inpatient_claim_header", "drg_weights"]),
+    "dim_drug": (["hub_drug", "sat_drug_details"], ["ndc_products"]),
+    "dim_encounter": (["hub_encounter", "sat_encounter_details"], ["synthea_encounters"]),
+    "dim_hcc_category": (["hub_hcc_category", "sat_hcc_category_details"], ["ra_hcc_categories"]),
+    "dim_measure": (["hub_measure", "sat_measure_definition"], ["cq_measures"]),
+    "dim_authorization": (["hub_authorization", "sat_authorization_details"], ["pi_authorizations"]),
+    "dim_appeal": (["hub_appeal", "sat_appeal_details"], ["pi_appeals"]),
+}
+_PAY = (PAYMENT_VAULT, PAYMENT_BRONZE)
+_FACT_DEPS = {
+    "fact_claim_payment": _PAY,
+    "fact_claim_adjustment": (["tlnk_claim_adjustment_txn", "lnk_claim_provider_member"],
+                              ["pi_adjustment_transactions", "synpuf_inpatient_claim_header"]),
+    "fact_cob_recovery": (["tlnk_cob_recovery_txn", "lnk_claim_provider_member"],
+                          ["pi_cob_recovery_transactions", "synpuf_inpatient_claim_header"]),
+    "fact_drg_reimbursement_variance": (PAYMENT_VAULT + ["hub_drg", "sat_drg_details"], PAYMENT_BRONZE + ["drg_weights"]),
+    "fact_authorization": (["hub_authorization", "sat_authorization_details", "lnk_claim_authorization"],
+                           ["pi_authorizations"]),
+    "fact_appeal": (["hub_appeal", "sat_appeal_details", "lnk_claim_appeal"], ["pi_appeals"]),
+    "fact_member_risk_score": (["tlnk_member_risk_score_txn"], ["ra_member_risk_scores"]),
+    "fact_member_risk_tier": (["tlnk_member_risk_score_txn"], ["ra_member_risk_scores"]),
+    "fact_hcc_capture": (["lnk_member_suspected_hcc", "lnk_member_hcc"], ["ra_suspected_hcc", "ra_member_hcc"]),
+    "fact_coding_gap": (["lnk_member_hcc", "sat_member_hcc_status"], ["ra_member_hcc"]),
+    "fact_risk_score_accuracy": (["lnk_member_suspected_hcc", "lnk_member_hcc", "hub_hcc_category",
+                                  "sat_hcc_category_details", "tlnk_member_risk_score_txn"],
+                                 ["ra_suspected_hcc", "ra_member_hcc", "ra_hcc_categories", "ra_member_risk_scores"]),
+    "fact_encounter": (["hub_encounter", "sat_encounter_details", "lnk_member_encounter", "lnk_encounter_provider",
+                        "lnk_encounter_facility"], ["synthea_encounters"]),
+    "fact_measure_evaluation": (["tlnk_member_measure_eval_txn", "hub_measure", "sat_measure_definition"],
+                                ["cq_member_measure_evals", "cq_measures"]),
+    "fact_pharmacy_fill": (["tlnk_pharmacy_fill_txn", "hub_drug", "sat_drug_details"],
+                           ["pharmacy_fills", "ndc_products"]),
+}
+_FACT_DEPS["fact_readmission"] = _FACT_DEPS["fact_encounter"]
+_FACT_DEPS["fact_preventive_screening"] = _FACT_DEPS["fact_measure_evaluation"]
+_FACT_DEPS["fact_care_gap"] = _FACT_DEPS["fact_measure_evaluation"]
+_FACT_DEPS["fact_medication_adherence"] = _FACT_DEPS["fact_pharmacy_fill"]
+GOLD_DEPS = {**_DIM_DEPS, **_FACT_DEPS}
+
+
+def gold_vault(spark, sf_dir, *models: str) -> dict:
+    names, bronzes = set(), set()
+    for m in models:
+        v, b = GOLD_DEPS[m]
+        names |= set(v)
+        bronzes |= set(b)
+    return vault(spark, sf_dir, sorted(names), sorted(bronzes))
+
+
+def _gold_query(model: str, qname: str):
+    fn = gold.DIMENSIONS.get(model) or gold.FACTS[model]
+
+    def run(spark, sf_dir):
+        return present(fn(gold_vault(spark, sf_dir, model)))
+    run.__name__ = f"q_{model}"
+    QUERIES[qname] = run
+    return run
+
+
+_GOLD_IDS = {
+    "dim_member": "d01", "dim_provider": "d02", "dim_procedure": "d03", "dim_drg": "d04", "dim_drug": "d05",
+    "dim_encounter": "d06", "dim_hcc_category": "d07", "dim_measure": "d08", "dim_authorization": "d09",
+    "dim_appeal": "d10", "fact_claim_payment": "e01", "fact_claim_adjustment": "e02", "fact_cob_recovery": "e03",
+    "fact_drg_reimbursement_variance": "e04", "fact_authorization": "e05", "fact_appeal": "e06",
+    "fact_member_risk_score": "e07", "fact_member_risk_tier": "e08", "fact_hcc_capture": "e09",
+    "fact_coding_gap": "e10", "fact_risk_score_accuracy": "e11", "fact_encounter": "e12", "fact_readmission": "e13",
+    "fact_measure_evaluation": "e14", "fact_preventive_screening": "e15", "fact_care_gap": "e16",
+    "fact_pharmacy_fill": "e17", "fact_medication_adherence": "e18",
+}
+for _m, _id in _GOLD_IDS.items():
+    _gold_query(_m, f"{_id}_{_m}")

@@ -439,3 +439,103 @@ oracle("e18_fact_medication_adherence", gwith("ffill") + """
 SELECT sha256(concat_ws('|', member_hk, drug_hk)) AS medication_adherence_hk, member_hk, drug_hk,
        CAST(least(raw, 365) AS BIGINT) AS days_covered, CAST(365 AS BIGINT) AS period_days, least(raw, 365) / 365 AS pdc
 FROM (SELECT member_hk, drug_hk, sum(days_supply) AS raw FROM ffill GROUP BY member_hk, drug_hk)""")
+
+
+# ---------------------------------------------------------------------------
+# metrics
+# ---------------------------------------------------------------------------
+def mt(col: str, grain: str = "year") -> str:
+    return f"CAST(CAST(date_trunc('{grain}', {col}) AS DATE) AS VARCHAR)"
+
+
+def ratio(num: str, den: str) -> str:
+    return f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
+
+
+oracle("m01_total_payment_leakage_by_year", gwith("fcp") + f"""
+SELECT {mt('payment_date')} AS metric_time, CAST(sum(leakage_amount) AS DOUBLE) AS total_payment_leakage
+FROM fcp GROUP BY 1""")
+oracle("m03_leakage_by_provider", gwith("fcp") + """
+SELECT provider_hk AS provider, CAST(sum(leakage_amount) AS DOUBLE) AS leakage_by_provider FROM fcp GROUP BY 1""")
+oracle("m04_denial_rate_by_year", gwith("fadj") + f"""
+SELECT {mt('adjustment_date')} AS metric_time,
+       {ratio("sum(CASE WHEN adjustment_reason_code LIKE 'CO-%' THEN 1 ELSE 0 END)", 'count(adjustment_txn_hk)')}
+         AS denial_rate
+FROM fadj GROUP BY 1""")
+oracle("m05_days_to_adjudication_by_year", gwith("fcp") + f"""
+SELECT {mt('payment_date')} AS metric_time,
+       CAST(sum(date_diff('day', service_from_date, payment_date)) AS DOUBLE)
+         / count(date_diff('day', service_from_date, payment_date)) AS days_to_adjudication
+FROM fcp GROUP BY 1""")
+oracle("m06_yoy_leakage_trend", gwith("fcp", extra=f"""y AS (SELECT CAST(date_trunc('year', payment_date) AS DATE) AS t,
+       sum(leakage_amount) AS v FROM fcp GROUP BY 1)""") + """
+SELECT CAST(c.t AS VARCHAR) AS metric_time, CAST(c.v - p.v AS DOUBLE) AS yoy_leakage_trend
+FROM y c LEFT JOIN y p ON c.t = CAST(p.t + INTERVAL 1 YEAR AS DATE)""")
+oracle("m07_raf_score_by_year", gwith("frs") + f"""
+SELECT {mt('effective_from')} AS metric_time, CAST(sum(raf_score) AS DOUBLE) / count(raf_score) AS raf_score
+FROM frs GROUP BY 1""")
+oracle("m08_yoy_raf_score_trend", gwith("frs", extra="""y AS (SELECT CAST(date_trunc('year', effective_from) AS DATE) AS t,
+       CAST(sum(raf_score) AS DOUBLE) / count(raf_score) AS v FROM frs GROUP BY 1)""") + """
+SELECT CAST(c.t AS VARCHAR) AS metric_time, c.v - p.v AS yoy_raf_score_trend
+FROM y c LEFT JOIN y p ON c.t = CAST(p.t + INTERVAL 1 YEAR AS DATE)""")
+oracle("m09_measure_compliance_by_measure", gwith("fmeas") + f"""
+SELECT measure_code, {ratio("sum(CASE WHEN eval_result = 'met' THEN 1 ELSE 0 END)", 'count(member_measure_eval_txn_hk)')}
+  AS hedis_style_measure_compliance_rate FROM fmeas GROUP BY 1""")
+oracle("m10_star_rating_composite_by_quarter", gwith("fmeas") + f"""
+SELECT {mt('effective_from', 'quarter')} AS metric_time,
+       {ratio("sum(CASE WHEN eval_result = 'met' THEN measure_weight ELSE 0 END)", 'sum(measure_weight)')}
+         AS star_rating_composite_score FROM fmeas GROUP BY 1""")
+oracle("m13_ed_utilization_rate_by_year", gwith("fenc") + f"""
+SELECT metric_time, ed_encounters, distinct_members, (ed_encounters / distinct_members) * 1000 AS ed_utilization_rate
+FROM (SELECT {mt('encounter_start')} AS metric_time,
+             CAST(sum(CASE WHEN encounter_class_code = 'EMER' THEN 1 ELSE 0 END) AS BIGINT) AS ed_encounters,
+             count(DISTINCT member_hk) AS distinct_members FROM fenc GROUP BY 1)""")
+oracle("m14_medication_adherence_pdc", gwith("ffill", extra="""ma AS (SELECT least(sum(days_supply), 365) AS dc, 365 AS pd
+       FROM ffill GROUP BY member_hk, drug_hk)""") + f"""
+SELECT {ratio('sum(dc)', 'sum(pd)')} AS medication_adherence_pdc FROM ma""")
+oracle("m15_drg_reimbursement_variance_by_drg", gwith("fdrg") + """
+SELECT drg_hk AS drg, CAST(sum(reimbursement_variance) AS DOUBLE) AS drg_reimbursement_variance FROM fdrg GROUP BY 1""")
+oracle("m16_cob_recovery_by_month", gwith("fcob") + f"""
+SELECT {mt('recovery_date', 'month')} AS metric_time, CAST(sum(recovery_amount) AS DOUBLE) AS cob_tpl_recovery_amount
+FROM fcob GROUP BY 1""")
+oracle("m17_prior_auth_approval_rate_by_year", gwith("fauth") + f"""
+SELECT {mt('requested_date')} AS metric_time,
+       {ratio("sum(CASE WHEN auth_status = 'approved' THEN 1 ELSE 0 END)", 'count(authorization_hk)')}
+         AS prior_authorization_approval_rate FROM fauth GROUP BY 1""")
+oracle("m18_appeal_overturn_rate", gwith("fapl") + f"""
+SELECT {ratio("sum(CASE WHEN appeal_status = 'overturned' THEN 1 ELSE 0 END)", 'count(appeal_hk)')}
+  AS appeal_overturn_rate FROM fapl""")
+oracle("m19_hcc_capture_rate", gwith("fhcc") + f"""
+SELECT {ratio('sum(is_captured_and_suspected)', 'sum(is_suspected)')} AS hcc_capture_rate FROM fhcc""")
+oracle("m20_coding_gap_closure_rate_by_year", gwith("fgap") + f"""
+SELECT {mt('coding_gap_identified_date')} AS metric_time, {ratio('sum(is_gap_closed)', 'count(member_hcc_hk)')}
+  AS coding_gap_closure_rate FROM fgap GROUP BY 1""")
+oracle("m21_risk_score_accuracy", gwith("facc") + f"""
+SELECT {ratio('sum(actual_raf_score)', 'sum(suspected_raf_approx)')} AS risk_score_accuracy FROM facc""")
+oracle("m22_suspecting_yield_by_member", gwith("fhcc") + f"""
+SELECT member_hk AS member, {ratio('sum(is_captured_and_suspected)', 'sum(is_suspected)')} AS suspecting_yield_rate
+FROM fhcc GROUP BY 1""")
+oracle("m23_member_risk_tier_distribution", gwith("ftier") + """
+SELECT risk_tier, count(member_risk_score_txn_hk) AS member_risk_tier_distribution FROM ftier GROUP BY 1""")
+oracle("m24_readmission_rate_by_year", gwith("fread") + f"""
+SELECT {mt('index_discharge_date')} AS metric_time, {ratio('sum(is_readmission)', 'count(index_encounter_hk)')}
+  AS readmission_rate FROM fread GROUP BY 1""")
+oracle("m25_screening_completion_by_measure", gwith("fmeas") + f"""
+SELECT measure_code, {ratio("sum(CASE WHEN eval_result = 'met' THEN 1 ELSE 0 END)", 'count(member_measure_eval_txn_hk)')}
+  AS preventive_screening_completion_rate FROM fmeas WHERE measure_code IN ('BCS-E', 'COL-E') GROUP BY 1""")
+oracle("m26_care_gap_count_by_member", gwith("fmeas") + """
+SELECT member_hk AS member, count(member_measure_eval_txn_hk) AS care_gap_count FROM fmeas
+WHERE eval_result <> 'met' GROUP BY 1""")
+oracle("f12_multi_metric_by_year", gwith("fcp", "fadj", "fcob", extra=f"""
+  a AS (SELECT {mt('payment_date')} AS t, {ratio('sum(leakage_amount)', 'sum(billed_amount)')} AS r FROM fcp GROUP BY 1),
+  b AS (SELECT {mt('adjustment_date')} AS t,
+               {ratio("sum(CASE WHEN adjustment_reason_code LIKE 'CO-%' THEN 1 ELSE 0 END)", 'count(adjustment_txn_hk)')}
+               AS r FROM fadj GROUP BY 1),
+  c AS (SELECT {mt('recovery_date')} AS t, CAST(sum(recovery_amount) AS DOUBLE) AS r FROM fcob GROUP BY 1)""") + """
+SELECT coalesce(a.t, b.t, c.t) AS metric_time, a.r AS payment_leakage_rate, b.r AS denial_rate,
+       c.r AS cob_tpl_recovery_amount
+FROM a FULL OUTER JOIN b ON a.t IS NOT DISTINCT FROM b.t
+FULL OUTER JOIN c ON coalesce(a.t, b.t) IS NOT DISTINCT FROM c.t""")
+oracle("f10_leakage_by_week", gwith("fcp") + f"""
+SELECT {mt('payment_date', 'week')} AS metric_time, CAST(sum(leakage_amount) AS DOUBLE) AS total_payment_leakage
+FROM fcp GROUP BY 1""")

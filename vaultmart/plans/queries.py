@@ -283,3 +283,52 @@ _GOLD_IDS = {
 }
 for _m, _id in _GOLD_IDS.items():
     _gold_query(_m, f"{_id}_{_m}")
+
+
+# ---------------------------------------------------------------------------
+# metrics (M1-M26) through the metric store
+# ---------------------------------------------------------------------------
+from vaultmart.plans.semantic import METRICS_BY_NAME, MODELS, metric_models  # noqa: E402
+
+METRIC_QUERIES = [
+    ("m01_total_payment_leakage_by_year", ["total_payment_leakage"], ["metric_time"], "year"),
+    ("m03_leakage_by_provider", ["leakage_by_provider"], ["provider"], None),
+    ("m04_denial_rate_by_year", ["denial_rate"], ["metric_time"], "year"),
+    ("m05_days_to_adjudication_by_year", ["days_to_adjudication"], ["metric_time"], "year"),
+    ("m06_yoy_leakage_trend", ["yoy_leakage_trend"], ["metric_time"], "year"),
+    ("m07_raf_score_by_year", ["raf_score"], ["metric_time"], "year"),
+    ("m08_yoy_raf_score_trend", ["yoy_raf_score_trend"], ["metric_time"], "year"),
+    ("m09_measure_compliance_by_measure", ["hedis_style_measure_compliance_rate"], ["measure_code"], None),
+    ("m10_star_rating_composite_by_quarter", ["star_rating_composite_score"], ["metric_time"], "quarter"),
+    ("m13_ed_utilization_rate_by_year", ["ed_encounters", "distinct_members", "ed_utilization_rate"],
+     ["metric_time"], "year"),
+    ("m14_medication_adherence_pdc", ["medication_adherence_pdc"], [], None),
+    ("m15_drg_reimbursement_variance_by_drg", ["drg_reimbursement_variance"], ["drg"], None),
+    ("m16_cob_recovery_by_month", ["cob_tpl_recovery_amount"], ["metric_time"], "month"),
+    ("m17_prior_auth_approval_rate_by_year", ["prior_authorization_approval_rate"], ["metric_time"], "year"),
+    ("m18_appeal_overturn_rate", ["appeal_overturn_rate"], [], None),
+    ("m19_hcc_capture_rate", ["hcc_capture_rate"], [], None),
+    ("m20_coding_gap_closure_rate_by_year", ["coding_gap_closure_rate"], ["metric_time"], "year"),
+    ("m21_risk_score_accuracy", ["risk_score_accuracy"], [], None),
+    ("m22_suspecting_yield_by_member", ["suspecting_yield_rate"], ["member"], None),
+    ("m23_member_risk_tier_distribution", ["member_risk_tier_distribution"], ["risk_tier"], None),
+    ("m24_readmission_rate_by_year", ["readmission_rate"], ["metric_time"], "year"),
+    ("m25_screening_completion_by_measure", ["preventive_screening_completion_rate"], ["measure_code"], None),
+    ("m26_care_gap_count_by_member", ["care_gap_count"], ["member"], None),
+    ("f12_multi_metric_by_year", ["payment_leakage_rate", "denial_rate", "cob_tpl_recovery_amount"],
+     ["metric_time"], "year"),
+    ("f10_leakage_by_week", ["total_payment_leakage"], ["metric_time"], "week"),
+]
+
+
+def _metric_query(name, metrics, group_by, grain):
+    def run(spark, sf_dir):
+        facts = sorted({MODELS[m].fact for x in metrics for m in metric_models(METRICS_BY_NAME[x])})
+        ms = MetricStore(vault=gold_vault(spark, sf_dir, *facts))
+        return present(ms.query(metrics, group_by=group_by, grain=grain))
+    run.__name__ = f"q_{name}"
+    QUERIES[name] = run
+
+
+for _q in METRIC_QUERIES:
+    _metric_query(*_q)

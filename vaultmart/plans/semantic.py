@@ -266,7 +266,9 @@ def _agg(ms: Measure) -> Column:
     if ms.agg == "count":
         return F.count(e)
     if ms.agg == "average":
-        return F.avg(e)
+        # sum / non-null count in double: identical to avg, and exact sums
+        # make the result independent of the summation order
+        return F.try_divide(F.sum(e).cast("double"), F.count(e).cast("double"))
     if ms.agg == "count_distinct":
         return F.count_distinct(e)
     raise ValueError(ms.agg)

@@ -539,3 +539,104 @@ FULL OUTER JOIN c ON coalesce(a.t, b.t) IS NOT DISTINCT FROM c.t""")
 oracle("f10_leakage_by_week", gwith("fcp") + f"""
 SELECT {mt('payment_date', 'week')} AS metric_time, CAST(sum(leakage_amount) AS DOUBLE) AS total_payment_leakage
 FROM fcp GROUP BY 1""")
+
+
+# ---------------------------------------------------------------------------
+# governance and data quality
+# ---------------------------------------------------------------------------
+from vaultmart.operators.governance import REGION_STATES  # noqa: E402
+
+
+def _in(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+oracle("g01_governed_dim_provider_south", with_bronze("nppes_providers") + f"""
+SELECT {hk('npi')} AS provider_hk, npi AS provider_npi, left(provider_first_name, 1) || '.' AS provider_first_name,
+       left(provider_last_name, 1) || '.' AS provider_last_name, provider_credential, primary_taxonomy_code,
+       practice_state, practice_city FROM nppes_providers
+WHERE practice_state IN {_in(REGION_STATES['regional_manager_south'])}""")
+oracle("g02_governed_dim_member_masked", with_bronze("synpuf_beneficiary_summary", "synthea_patients",
+                                                     extra=STG_MEMBERS) + f"""
+SELECT {hk('member_bk')} AS member_hk, member_bk AS member_id,
+       CAST(CAST(date_trunc('year', birth_date) AS DATE) AS VARCHAR) AS birth_date, sex, 'WITHHELD' AS race_code,
+       state_code, source_system FROM stg_members""")
+oracle("g03_dim_member_phi_reviewer", ORACLE["d01_dim_member"])
+oracle("g06_governed_fact_claim_payment_west", gwith("fcp", extra=f"nppes_providers AS ({_B['nppes_providers']})") + f"""
+SELECT provider_hk, count(*) AS payments, CAST(sum(leakage_amount) AS DOUBLE) AS leakage FROM fcp
+WHERE provider_hk IN (SELECT {hk('npi')} FROM nppes_providers
+                      WHERE practice_state IN {_in(REGION_STATES['regional_manager_west'])})
+GROUP BY provider_hk""")
+
+_QV = {
+    "hub_claim_line": f"SELECT DISTINCT {hk('claim_line_bk')} AS claim_line_hk, claim_line_bk FROM synpuf_inpatient_claim_header",
+    "hub_provider": f"SELECT DISTINCT {hk('npi')} AS provider_hk, npi AS provider_bk FROM nppes_providers",
+    "hub_member": f"SELECT DISTINCT {hk('member_bk')} AS member_hk, member_bk FROM stg_members",
+    "hub_encounter": f"SELECT DISTINCT {hk('encounter_bk')} AS encounter_hk, encounter_bk FROM synthea_encounters",
+    "lnk_claim_provider_member": f"""SELECT DISTINCT {hk('claim_line_bk', 'provider_bk', 'member_bk')} AS claim_provider_member_hk,
+        claim_line_hk, provider_hk, member_hk FROM (SELECT *, {hk('claim_line_bk')} AS claim_line_hk,
+        {hk('provider_bk')} AS provider_hk, {hk('member_bk')} AS member_hk FROM synpuf_inpatient_claim_header)
+        WHERE claim_line_hk IS NOT NULL AND provider_hk IS NOT NULL AND member_hk IS NOT NULL""",
+    "tlnk_claim_payment_txn": f"""SELECT {hk('txn_bk')} AS payment_txn_hk, {hk('claim_line_bk')} AS claim_line_hk
+        FROM pi_payment_transactions""",
+    "lnk_encounter_provider": f"""SELECT DISTINCT {hk('encounter_bk', 'provider_reference')} AS encounter_provider_hk,
+        {hk('encounter_bk')} AS encounter_hk, {hk('provider_reference')} AS provider_hk FROM synthea_encounters
+        WHERE {nn('encounter_bk')} AND {nn('provider_reference')}""",
+    "lnk_member_encounter": f"""SELECT DISTINCT {hk('member_reference', 'encounter_bk')} AS member_encounter_hk,
+        {hk('member_reference')} AS member_hk, {hk('encounter_bk')} AS encounter_hk FROM synthea_encounters
+        WHERE {nn('encounter_bk')} AND {nn('member_reference')}""",
+    "lnk_encounter_facility": f"""SELECT DISTINCT {hk('encounter_bk', 'facility_reference')} AS encounter_facility_hk,
+        {hk('encounter_bk')} AS encounter_hk, {hk('facility_reference')} AS facility_hk FROM synthea_encounters
+        WHERE {nn('encounter_bk')} AND {nn('facility_reference')}""",
+    "sat_encounter_details": f"""SELECT {hk('encounter_bk')} AS encounter_hk,
+        {hd(['encounter_class_code', 'encounter_start', 'encounter_end'])} AS encounter_hashdiff FROM synthea_encounters""",
+    "sat_claim_details": f"""SELECT {hk('claim_line_bk')} AS claim_line_hk, 'x' AS claim_hashdiff
+        FROM synpuf_inpatient_claim_header""",
+}
+
+
+def _check_sql(c) -> str:
+    head = f"SELECT '{c.table}' AS \"table\", '{{chk}}' AS \"check\", '{c.column}' AS \"column\", CAST(({{cnt}}) AS BIGINT) AS failures"
+    t = f"q_{c.table}"
+    if c.check == "not_null":
+        cnt = f"SELECT count(*) FROM {t} WHERE {c.column} IS NULL"
+        chk = "not_null"
+    elif c.check == "unique":
+        cnt = (f"SELECT count(*) FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
+               f"GROUP BY {c.column} HAVING count(*) > 1)")
+        chk = "unique"
+    elif c.check == "relationships":
+        cnt = (f"SELECT count(*) FROM {t} x WHERE x.{c.column} IS NOT NULL AND NOT EXISTS "
+               f"(SELECT 1 FROM q_{c.ref_table} r WHERE r.{c.ref_column} = x.{c.column})")
+        chk = f"relationships:{c.ref_table}"
+    else:
+        cnt = f"SELECT count(*) FROM {t} WHERE {c.column} IS NOT NULL AND {c.column} NOT IN {_in(c.values)}"
+        chk = "accepted_values"
+    return head.format(chk=chk, cnt=cnt)
+
+
+def quality_oracle(checks) -> str:
+    ctes = ",\n".join(f"q_{k} AS ({v})" for k, v in _QV.items())
+    ctes += ",\nq_fact_encounter AS (SELECT * FROM fenc)"
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
+    base = with_bronze("synpuf_inpatient_claim_header", "pi_payment_transactions", "nppes_providers",
+                       "synpuf_beneficiary_summary", "synthea_patients", "synthea_encounters",
+                       extra=STG_MEMBERS + ",\n" + G["fenc"] + ",\n" + ctes)
+    return base + f"SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
+
+
+def _register_quality():
+    from vaultmart.plans.queries import quality_checks
+    q = quality_oracle(quality_checks())
+    oracle("h01_vault_quality_checks", q)
+    oracle("h02_quality_triage", f"""
+SELECT "table", "check", "column", failures, layer,
+       CASE WHEN layer IN ('gold', 'semantic') THEN 'high' WHEN layer = 'vault' THEN 'medium' ELSE 'low' END AS severity,
+       CASE WHEN layer IN ('gold', 'semantic', 'vault') THEN true ELSE false END AS notify
+FROM (SELECT *, CASE WHEN regexp_matches("table", '^(hub|lnk|sat|tlnk)_') THEN 'vault'
+                     WHEN regexp_matches("table", '^(dim|fact)_') THEN 'gold'
+                     WHEN regexp_matches("table", '^stg_') THEN 'staging' ELSE 'other' END AS layer
+      FROM ({q.replace('WITH ', 'WITH ', 1)})) WHERE status = 'fail'""")
+
+
+_register_quality()

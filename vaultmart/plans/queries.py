@@ -332,3 +332,67 @@ def _metric_query(name, metrics, group_by, grain):
 
 for _q in METRIC_QUERIES:
     _metric_query(*_q)
+
+
+# ---------------------------------------------------------------------------
+# governance (G1-G6) and data quality (H)
+# ---------------------------------------------------------------------------
+from vaultmart.operators import governance as GV  # noqa: E402
+from vaultmart.operators import quality as QC  # noqa: E402
+
+
+@query("g01_governed_dim_provider_south")
+def q_gov_provider(spark, sf_dir):
+    d = gold.dim_provider(gold_vault(spark, sf_dir, "dim_provider"))
+    return present(GV.governed(d, "dim_provider", ["regional_manager_south"]))
+
+
+@query("g02_governed_dim_member_masked")
+def q_gov_member(spark, sf_dir):
+    d = gold.dim_member(gold_vault(spark, sf_dir, "dim_member"))
+    return present(GV.governed(d, "dim_member", ["analyst"]))
+
+
+@query("g03_dim_member_phi_reviewer")
+def q_gov_member_phi(spark, sf_dir):
+    d = gold.dim_member(gold_vault(spark, sf_dir, "dim_member"))
+    return present(GV.governed(d, "dim_member", [GV.PHI_REVIEWERS]))
+
+
+@query("g06_governed_fact_claim_payment_west")
+def q_gov_fact(spark, sf_dir):
+    v = gold_vault(spark, sf_dir, "fact_claim_payment", "dim_provider")
+    f = GV.governed_fact(gold.fact_claim_payment(v), gold.dim_provider(v), ["regional_manager_west"])
+    return present(f.groupBy("provider_hk").agg(F.count(F.lit(1)).alias("payments"),
+                                                 F.sum("leakage_amount").alias("leakage")))
+
+
+_QC_TABLES = ["hub_claim_line", "hub_provider", "hub_member", "hub_encounter", "lnk_claim_provider_member",
+              "tlnk_claim_payment_txn", "lnk_encounter_provider", "lnk_member_encounter", "lnk_encounter_facility",
+              "sat_encounter_details", "sat_claim_details"]
+_QC_BRONZE = ["synpuf_inpatient_claim_header", "pi_payment_transactions", "nppes_providers",
+              "synpuf_beneficiary_summary", "synthea_patients", "synthea_encounters"]
+QC_EXTRA = [QC.Check("fact_encounter", "not_null", "provider_hk"),
+            QC.Check("fact_encounter", "accepted_values", "encounter_class_code", values=("IMP", "EMER", "AMB")),
+            QC.Check("fact_encounter", "relationships", "provider_hk", "hub_provider", "provider_hk")]
+
+
+def quality_checks() -> list:
+    return QC.vault_checks(_QC_TABLES) + QC_EXTRA
+
+
+def _quality_results(spark, sf_dir):
+    v = vault(spark, sf_dir, _QC_TABLES, _QC_BRONZE)
+    tables = {**v, "fact_encounter": gold.fact_encounter(v)}
+    return QC.run_checks(tables, quality_checks())
+
+
+@query("h01_vault_quality_checks")
+def q_quality(spark, sf_dir):
+    return _quality_results(spark, sf_dir)
+
+
+@query("h02_quality_triage")
+def q_triage(spark, sf_dir):
+    return QC.triage(_quality_results(spark, sf_dir)).select("table", "check", "column", "failures", "layer",
+                                                             "severity", "notify")

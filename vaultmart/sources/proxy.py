@@ -34,6 +34,19 @@ DRG_CODE = "CASE WHEN l_partkey % 11 = 0 THEN '' ELSE CAST(291 + (l_partkey % 5)
 MEASURE_OF_PRIORITY = ("CASE o_orderpriority WHEN '1-URGENT' THEN 'BCS-E' WHEN '2-HIGH' THEN 'COL-E' "
                        "WHEN '3-MEDIUM' THEN 'CBP' WHEN '4-NOT SPECIFIED' THEN 'HBD' ELSE 'SPD' END")
 
+# Proxy value: a US state code per nation key (25 nations), so that the
+# regional row-filter policy has rows to act on.
+STATE_OF_NATION = ("NY", "NJ", "PA", "MA", "CT", "TX", "FL", "GA", "NC", "VA", "IL", "OH", "MI", "IN", "WI",
+                   "CA", "WA", "OR", "AZ", "CO", "NV", "UT", "MN", "TN", "DE")
+
+
+def _state_of(key: str, dialect: str) -> str:
+    arr = ", ".join(f"'{x}'" for x in STATE_OF_NATION)
+    if dialect == "spark":
+        return f"element_at(array({arr}), CAST({key} AS INT) + 1)"
+    return f"([{arr}])[CAST({key} AS INTEGER) + 1]"
+
+
 LITERALS = {
     "drg_weights": (
         "SELECT * FROM (VALUES "
@@ -86,7 +99,7 @@ def bronze_sql(dialect: str = "spark") -> dict[str, str]:
                    {_add_days_date("DATE '1930-01-01'", "(c_custkey * 37) % 25000", d)} AS birth_date,
                    CAST(c_custkey % 2 + 1 AS STRING) AS sex_code,
                    CAST(c_nationkey % 5 + 1 AS STRING) AS race_code,
-                   n_name AS state_code,
+                   {_state_of("c_nationkey", d)} AS state_code,
                    'proxy.customer' AS record_source, {BATCH_TS} AS load_dts
             FROM customer JOIN nation ON c_nationkey = n_nationkey""",
         "synthea_patients": f"""
@@ -114,13 +127,13 @@ def bronze_sql(dialect: str = "spark") -> dict[str, str]:
             SELECT CAST(s_suppkey AS STRING) AS npi, '1' AS entity_type_code,
                    'Pat' || CAST(s_suppkey % 50 AS STRING) AS provider_first_name, s_name AS provider_last_name,
                    CASE s_suppkey % 3 WHEN 0 THEN 'MD' WHEN 1 THEN 'DO' ELSE 'NP' END AS provider_credential,
-                   '207Q00000X' AS primary_taxonomy_code, n_name AS practice_state,
+                   '207Q00000X' AS primary_taxonomy_code, {_state_of("s_nationkey", d)} AS practice_state,
                    'CITY-' || CAST(s_nationkey AS STRING) AS practice_city,
                    'proxy.supplier' AS record_source, {BATCH_TS} AS load_dts
             FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
         "nppes_facilities": f"""
             SELECT CAST(s_suppkey AS STRING) AS npi, '2' AS entity_type_code, 'Site ' || s_name AS organization_name,
-                   n_name AS practice_state, 'CITY-' || CAST(s_nationkey AS STRING) AS practice_city,
+                   {_state_of("s_nationkey", d)} AS practice_state, 'CITY-' || CAST(s_nationkey AS STRING) AS practice_city,
                    CASE WHEN s_suppkey % 3 = 0 THEN '3336C0003X' ELSE '282N00000X' END AS primary_taxonomy_code,
                    'proxy.supplier' AS record_source, {BATCH_TS} AS load_dts
             FROM supplier JOIN nation ON s_nationkey = n_nationkey""",

@@ -61,13 +61,15 @@ def next_start_within(index: DataFrame, candidates: DataFrame, key: str, id_col:
 
 
 def interval_join(events: DataFrame, intervals: DataFrame, key: str, at: str,
-                  start: str, end: str, how: str = "inner") -> DataFrame:
-    """Equi-join on ``key`` plus ``start <= at < coalesce(end, +inf)`` (half-open).
+                  start: str, end: str, how: str = "inner", interval_key: str | None = None) -> DataFrame:
+    """Equi-join on the key plus ``start <= at < coalesce(end, +inf)`` (half-open).
 
-    The equality on ``key`` lets Spark hash-partition (or broadcast, when
+    The equality on the key lets Spark hash-partition (or broadcast, when
     AQE measures the interval side as small); the range is a post-join
-    filter over the few versions per key.
+    filter over the few versions per key, so no pairs beyond a key's
+    versions are formed.
     """
-    cond = ((events[key] == intervals[key]) & (events[at] >= intervals[start])
+    ik = interval_key or key
+    cond = ((events[key] == intervals[ik]) & (events[at] >= intervals[start])
             & (intervals[end].isNull() | (events[at] < intervals[end])))
     return events.join(intervals, cond, how)

@@ -640,3 +640,197 @@ FROM (SELECT *, CASE WHEN regexp_matches("table", '^(hub|lnk|sat|tlnk)_') THEN '
 
 
 _register_quality()
+
+
+# ---------------------------------------------------------------------------
+# operations jobs
+# ---------------------------------------------------------------------------
+from vaultmart.plans import ops as _ops  # noqa: E402
+from vaultmart.sources.proxy import ops_sql  # noqa: E402
+
+_O = ops_sql("duckdb")
+
+
+def owith(*names: str, extra: str = "") -> str:
+    parts = [f"{nm} AS ({_O[nm]})" for nm in names]
+    if extra:
+        parts.append(extra)
+    return "WITH " + ",\n".join(parts) + "\n"
+
+
+def _hour(col="timestamp_utc", unit="hour"):
+    return f"date_trunc('{unit}', {col})"
+
+
+oracle("i02_error_rate_alerts_hourly", owith("tool_call_events") + f"""
+SELECT {ts('w')} AS window_start, {ts("w + INTERVAL 1 HOUR")} AS window_end, 'high_error_rate' AS rule,
+       'P1' AS severity, calls, errors, errors / calls AS error_rate
+FROM (SELECT {_hour()} AS w, count(*) AS calls, count(*) FILTER (WHERE status = 'error') AS errors
+      FROM tool_call_events GROUP BY 1) WHERE errors / calls > 0.2""")
+oracle("i03_repeated_call_alerts_daily", owith("tool_call_events") + f"""
+SELECT {ts('w')} AS window_start, {ts("w + INTERVAL 1 DAY")} AS window_end, 'repeated_identical_calls' AS rule,
+       'P2' AS severity, tool_name, tool_arguments, calls
+FROM (SELECT {_hour(unit='day')} AS w, tool_name, tool_arguments, count(*) AS calls FROM tool_call_events
+      GROUP BY 1, 2, 3) WHERE calls >= 5""")
+P99 = f"""p AS (SELECT w, max(CASE WHEN rn = greatest(CAST(ceil(0.99 * n) AS BIGINT), 1) THEN latency_ms END) AS p99,
+             max(n) AS calls
+       FROM (SELECT {_hour()} AS w, latency_ms,
+                    row_number() OVER (PARTITION BY {_hour()} ORDER BY latency_ms) AS rn,
+                    count(*) OVER (PARTITION BY {_hour()}) AS n FROM tool_call_events) GROUP BY w)"""
+oracle("i04_latency_p99_alerts_hourly", owith("tool_call_events", extra=P99) + f"""
+SELECT {ts('w')} AS window_start, {ts("w + INTERVAL 1 HOUR")} AS window_end, 'latency_spike' AS rule, 'P2' AS severity,
+       CAST(p99 AS BIGINT) AS p99_latency_ms, calls FROM p WHERE p99 > 5000""")
+oracle("i05_alert_table_hourly", owith("tool_call_events", extra=P99 + f""",
+  e AS (SELECT w, count(*) AS calls, count(*) FILTER (WHERE status = 'error') AS errors FROM
+        (SELECT {_hour()} AS w, status FROM tool_call_events) GROUP BY 1),
+  r AS (SELECT {_hour()} AS w, tool_name, count(*) AS calls FROM tool_call_events
+        GROUP BY {_hour()}, tool_name, tool_arguments),
+  u AS (SELECT w, 'high_error_rate' AS rule, 'P1' AS severity, printf('errors=%d calls=%d', errors, calls) AS detail
+        FROM e WHERE errors / calls > 0.2
+        UNION ALL SELECT w, 'repeated_identical_calls', 'P2', printf('tool=%s calls=%d', tool_name, calls)
+        FROM r WHERE calls >= 5
+        UNION ALL SELECT w, 'latency_spike', 'P2', printf('p99_ms=%d calls=%d', CAST(p99 AS BIGINT), calls)
+        FROM p WHERE p99 > 5000)""") + f"""
+SELECT md5(concat_ws('|', rule, {ts('w')}, detail)) AS alert_id, {ts('w')} AS triggered_at_utc, rule, severity, detail
+FROM u""")
+
+RATES = ", ".join(f"('{m}', CAST({i} AS DECIMAL(10,6)), CAST({o} AS DECIMAL(10,6)))"
+                  for m, (i, o) in sorted(_ops.DEFAULT_MODEL_RATES.items()))
+COST = f"""rates AS (SELECT * FROM (VALUES {RATES}) t(model_name, input_rate, output_rate)),
+  priced AS (SELECT c.*, CAST(round(CAST(input_tokens AS DECIMAL(18,0)) * input_rate * CAST(0.001 AS DECIMAL(4,3))
+                    + CAST(output_tokens AS DECIMAL(18,0)) * output_rate * CAST(0.001 AS DECIMAL(4,3)), 6)
+                    AS DECIMAL(18,6)) AS cost_dollars
+             FROM agent_cost_events c JOIN rates r ON c.model_name = r.model_name)"""
+oracle("i06_call_cost", owith("agent_cost_events", extra=COST) + f"""
+SELECT event_id, {ts('timestamp_utc')} AS timestamp_utc, session_id, feature_tag, model_name,
+       CAST(input_tokens AS BIGINT) AS input_tokens, CAST(output_tokens AS BIGINT) AS output_tokens,
+       CAST(cost_dollars AS DOUBLE) AS cost_dollars FROM priced""")
+oracle("i06_unpriced_calls_by_model", owith("agent_cost_events", extra=COST) + """
+SELECT model_name, count(*) AS calls FROM agent_cost_events WHERE model_name NOT IN (SELECT model_name FROM rates)
+GROUP BY 1""")
+oracle("i07_daily_cost_by_feature", owith("agent_cost_events", extra=COST) + """
+SELECT CAST(CAST(timestamp_utc AS DATE) AS VARCHAR) AS usage_date, feature_tag, model_name,
+       CAST(sum(input_tokens) AS BIGINT) AS total_input_tokens, CAST(sum(output_tokens) AS BIGINT) AS total_output_tokens,
+       CAST(round(sum(cost_dollars), 2) AS DOUBLE) AS total_cost_dollars
+FROM priced WHERE timestamp_utc >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 30 DAY GROUP BY 1, 2, 3""")
+
+PRICES = ", ".join(f"('{s}', TIMESTAMP '{a} 00:00:00', " + (f"TIMESTAMP '{b} 00:00:00'" if b else "CAST(NULL AS TIMESTAMP)")
+                   + f", CAST({p} AS DECIMAL(10,4)))" for s, a, b, p in _ops.LIST_PRICES)
+USAGE = f"""prices AS (SELECT * FROM (VALUES {PRICES}) t(sku_name, price_start_time, price_end_time, price)),
+  usage AS (SELECT CAST(l_shipdate AS DATE) AS usage_date, 'SKU-' || l_returnflag AS sku_name,
+                   CAST(l_quantity AS DECIMAL(18,2)) AS usage_quantity,
+                   CASE WHEN l_suppkey % 5 = 0 THEN NULL ELSE 'proj-' || CAST(l_suppkey % 4 AS VARCHAR) END AS project_tag,
+                   'team-' || CAST(l_partkey % 3 AS VARCHAR) AS team_tag,
+                   CASE WHEN l_linestatus = 'F' THEN 'prod' ELSE 'dev' END AS environment_tag,
+                   CAST(l_orderkey % 10 AS VARCHAR) AS workspace_id, 'c-' || CAST(l_suppkey % 20 AS VARCHAR) AS cluster_id,
+                   CAST(l_orderkey AS VARCHAR) AS job_id FROM lineitem),
+  pu AS (SELECT u.usage_date, u.sku_name, u.usage_quantity AS dbus_consumed, p.price AS price_per_dbu,
+                u.usage_quantity * p.price AS dollar_cost, u.project_tag, u.team_tag, u.environment_tag,
+                u.workspace_id, u.cluster_id, u.job_id
+         FROM usage u JOIN prices p ON u.sku_name = p.sku_name AND CAST(u.usage_date AS TIMESTAMP) >= p.price_start_time
+              AND (p.price_end_time IS NULL OR CAST(u.usage_date AS TIMESTAMP) < p.price_end_time))"""
+oracle("i08_priced_usage", "WITH " + USAGE + f"""
+SELECT {dt('usage_date')} AS usage_date, sku_name, CAST(dbus_consumed AS DOUBLE) AS dbus_consumed,
+       CAST(price_per_dbu AS DOUBLE) AS price_per_dbu, CAST(dollar_cost AS DOUBLE) AS dollar_cost, project_tag, team_tag,
+       environment_tag, workspace_id, cluster_id, job_id FROM pu""")
+oracle("i09_chargeback", "WITH " + USAGE + f"""
+SELECT {dt('usage_date')} AS usage_date, coalesce(project_tag, 'untagged') AS project,
+       coalesce(team_tag, 'untagged') AS team, coalesce(environment_tag, 'untagged') AS environment, sku_name,
+       CAST(round(sum(dbus_consumed), 2) AS DOUBLE) AS total_dbus,
+       CAST(round(sum(dollar_cost), 2) AS DOUBLE) AS total_cost_dollars
+FROM pu GROUP BY 1, 2, 3, 4, 5""")
+oracle("i10_untagged_spend", "WITH " + USAGE + f"""
+SELECT {dt('usage_date')} AS usage_date, sku_name, CAST(round(sum(dollar_cost), 2) AS DOUBLE) AS untagged_cost_dollars
+FROM pu WHERE project_tag IS NULL GROUP BY 1, 2""")
+oracle("i11_behaviour_and_cost", owith("tool_call_events", "agent_cost_events", extra=COST) + """
+SELECT a.tool_name, a.status, count(*) AS calls, CAST(sum(p.cost_dollars) AS DOUBLE) AS cost_dollars
+FROM tool_call_events a JOIN priced p ON a.event_id = p.event_id GROUP BY 1, 2""")
+
+_RATE_ROWS = ", ".join(f"('{k}', {int(round(v * 1000))})" for k, v in _ops.PROVIDER_RATES_PER_1K_TOKENS.items())
+_BUDGET_ROWS = ", ".join(f"('{k}', {int(round(v * 1_000_000))})" for k, v in _ops.DAILY_BUDGET_USD_BY_FEATURE.items())
+ADMISSION = f"""rates AS (SELECT * FROM (VALUES {_RATE_ROWS}) t(provider, rate_micro)),
+  budgets AS (SELECT * FROM (VALUES {_BUDGET_ROWS}) t(feature, budget_micro)),
+  req AS (SELECT g.request_id, g.feature, CAST(g.timestamp_utc AS DATE) AS usage_date, b.budget_micro,
+                 CAST((g.prompt_tokens + g.max_completion_tokens) * r.rate_micro AS BIGINT) AS proj,
+                 CAST((g.prompt_tokens + g.completion_tokens) * r.rate_micro AS BIGINT) AS act,
+                 row_number() OVER (PARTITION BY g.feature, CAST(g.timestamp_utc AS DATE)
+                                    ORDER BY g.timestamp_utc, g.request_seq) AS rn
+          FROM gateway_requests g JOIN rates r ON g.provider = r.provider LEFT JOIN budgets b ON g.feature = b.feature),
+  led AS (
+    SELECT feature, usage_date, rn, request_id, proj, act, budget_micro,
+           (budget_micro IS NULL OR proj <= budget_micro) AS admitted,
+           CASE WHEN budget_micro IS NULL OR proj <= budget_micro THEN act ELSE 0 END AS spent
+    FROM req WHERE rn = 1
+    UNION ALL
+    SELECT q.feature, q.usage_date, q.rn, q.request_id, q.proj, q.act, q.budget_micro,
+           (q.budget_micro IS NULL OR l.spent + q.proj <= q.budget_micro),
+           l.spent + CASE WHEN q.budget_micro IS NULL OR l.spent + q.proj <= q.budget_micro THEN q.act ELSE 0 END
+    FROM led l JOIN req q ON q.feature = l.feature AND q.usage_date = l.usage_date AND q.rn = l.rn + 1)"""
+oracle("i12_budget_admission", owith("gateway_requests", extra=ADMISSION).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT request_id, feature, {dt('usage_date')} AS usage_date, admitted, proj AS projected_micro,
+       CASE WHEN admitted THEN act ELSE 0 END AS booked_micro, spent AS spent_after_micro FROM led""")
+oracle("i13_spend_by_feature", owith("gateway_requests", extra=ADMISSION).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT feature, {dt('usage_date')} AS usage_date,
+       CAST(sum(CASE WHEN admitted THEN act ELSE 0 END) AS DOUBLE) / 1000000 AS spend_usd,
+       count(*) FILTER (WHERE admitted) AS admitted, count(*) FILTER (WHERE NOT admitted) AS refused
+FROM led GROUP BY 1, 2""")
+
+_MARK = " ".join(f"WHEN contains(lower(text), '{m}') THEN '{m}'" for m in _ops.DENIED_CONTENT_MARKERS)
+oracle("i14_content_policy_conversations", f"""
+SELECT conv_id, turn, CASE {_MARK} END AS denied_marker, (CASE {_MARK} END) IS NOT NULL AS blocked FROM conversations""")
+
+_INJ = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{p}'" for p in _ops.PROMPT_INJECTION_PATTERNS)
+_r = "text"
+_hits = []
+for _label, _p in _ops.SENSITIVE_DATA_PATTERNS:
+    _hits.append(f"CASE WHEN regexp_matches({_r}, '{_p}') THEN '{_label}' END")
+    _r = f"regexp_replace({_r}, '{_p}', '[REDACTED_{_label.upper()}]', 'g')"
+oracle("i15_screen_documents", f"""
+SELECT doc_id, action, matched_pattern, CASE WHEN action = 'block' THEN '' ELSE kinds END AS redacted_kinds,
+       md5(CASE WHEN action = 'redact' THEN red ELSE text END) AS processed_md5,
+       CAST(length(CASE WHEN action = 'redact' THEN red ELSE text END) AS BIGINT) AS processed_length
+FROM (SELECT doc_id, text, inj AS matched_pattern, red, kinds,
+             CASE WHEN inj IS NOT NULL THEN 'block' WHEN kinds <> '' THEN 'redact' ELSE 'allow' END AS action
+      FROM (SELECT doc_id, text, CASE {_INJ} END AS inj, {_r} AS red,
+                   concat_ws(',', {', '.join(_hits)}) AS kinds FROM documents))""")
+
+_SYN = ", ".join(f"({i}, '{m.name}', {j}, '{s}')" for i, m in enumerate(_ops.METRICS) for j, s in enumerate(m.synonyms))
+oracle("i17_resolve_metric_conversations", f"""
+WITH syn AS (SELECT * FROM (VALUES {_SYN}) t(metric_order, metric, synonym_order, synonym)),
+q AS (SELECT conv_id, turn, lower(text) AS lq FROM conversations WHERE role = 'user'),
+m AS (SELECT q.conv_id, q.turn, s.metric, s.synonym,
+             row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY length(s.synonym) DESC, s.metric_order,
+                                s.synonym_order) AS rn
+      FROM q JOIN syn s ON contains(q.lq, lower(s.synonym)))
+SELECT q.conv_id, q.turn, m.metric AS resolved_metric, m.synonym AS matched_synonym, 'allow' AS validation
+FROM q LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON q.conv_id = m.conv_id AND q.turn = m.turn""")
+
+oracle("i20_delegation_chains", owith("delegation_tokens").replace("WITH ", "WITH RECURSIVE ", 1) + """,
+chain(token_id, ancestor_id, hops) AS (
+  SELECT token_id, token_id, 0 FROM delegation_tokens
+  UNION ALL
+  SELECT c.token_id, t.parent_token_id, c.hops + 1 FROM chain c JOIN delegation_tokens t ON c.ancestor_id = t.token_id
+  WHERE t.parent_token_id IS NOT NULL)
+SELECT token_id, CAST(max(hops) AS BIGINT) AS depth, arg_max(ancestor_id, hops) AS root_token_id FROM chain
+GROUP BY token_id""")
+
+oracle("i21_scope_escalations", owith("delegation_tokens", extra="""
+  perms AS (SELECT token_id, 'gold.' || scope_schema || ':read' AS p FROM delegation_tokens
+            UNION ALL SELECT token_id, 'gold.' || scope_schema || ':write' FROM delegation_tokens WHERE can_write),
+  ex AS (SELECT c.token_id, c.p FROM delegation_tokens t JOIN perms c ON c.token_id = t.token_id
+         WHERE t.parent_token_id IS NOT NULL
+           AND NOT EXISTS (SELECT 1 FROM perms pp WHERE pp.token_id = t.parent_token_id AND pp.p = c.p))""") + """
+SELECT t.token_id, t.parent_token_id, coalesce(string_agg(DISTINCT ex.p, ',' ORDER BY ex.p), '') AS excess,
+       count(ex.p) > 0 AS refused
+FROM delegation_tokens t LEFT JOIN ex ON t.token_id = ex.token_id WHERE t.parent_token_id IS NOT NULL
+GROUP BY t.token_id, t.parent_token_id""")
+
+oracle("i22_approval_status", owith("approval_requests") + f"""
+SELECT request_id, risk_tier, status, sla_minutes, {ts('due')} AS due_at, coalesce(overdue, false) AS overdue,
+       CASE WHEN overdue AND risk_tier = 'tier_4' THEN 'P1' WHEN overdue THEN 'P2' END AS escalation
+FROM (SELECT *, CASE WHEN risk_tier IN ('tier_1', 'tier_2') THEN 'auto_approved' ELSE 'pending' END AS status,
+             timestamp_utc + to_minutes(sla_minutes) AS due,
+             risk_tier NOT IN ('tier_1', 'tier_2') AND TIMESTAMP '2024-01-31 00:00:00' > timestamp_utc + to_minutes(sla_minutes)
+               AS overdue
+      FROM (SELECT *, CAST(CASE risk_tier WHEN 'tier_3' THEN 60 WHEN 'tier_4' THEN 15 END AS BIGINT) AS sla_minutes
+            FROM approval_requests))""")

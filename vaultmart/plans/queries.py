@@ -396,3 +396,137 @@ def q_quality(spark, sf_dir):
 def q_triage(spark, sf_dir):
     return QC.triage(_quality_results(spark, sf_dir)).select("table", "check", "column", "failures", "layer",
                                                              "severity", "notify")
+
+
+# ---------------------------------------------------------------------------
+# operations jobs (I2-I22), batch form
+# ---------------------------------------------------------------------------
+from vaultmart.plans import ops as OPS  # noqa: E402
+
+
+def ops_input(spark, sf_dir, name):
+    proxy.register_driver_tables(spark, sf_dir, ["events", "lineitem", "documents", "conversations"])
+    return spark.sql(proxy.ops_sql("spark")[name])
+
+
+@query("i02_error_rate_alerts_hourly")
+def q_err(spark, sf_dir):
+    return present(OPS.error_rate_alerts(ops_input(spark, sf_dir, "tool_call_events"), "1 hour"))
+
+
+@query("i03_repeated_call_alerts_daily")
+def q_rep(spark, sf_dir):
+    return present(OPS.repeated_call_alerts(ops_input(spark, sf_dir, "tool_call_events"), "1 day"))
+
+
+@query("i04_latency_p99_alerts_hourly")
+def q_lat(spark, sf_dir):
+    return present(OPS.latency_alerts(ops_input(spark, sf_dir, "tool_call_events"), "1 hour"))
+
+
+@query("i05_alert_table_hourly")
+def q_alerts(spark, sf_dir):
+    return present(OPS.alert_table(ops_input(spark, sf_dir, "tool_call_events"), "1 hour"))
+
+
+def _priced(spark, sf_dir):
+    return OPS.call_cost(ops_input(spark, sf_dir, "agent_cost_events"), OPS.model_rates(spark))
+
+
+@query("i06_call_cost")
+def q_cost(spark, sf_dir):
+    return present(_priced(spark, sf_dir)[0])
+
+
+@query("i06_unpriced_calls_by_model")
+def q_unpriced(spark, sf_dir):
+    return _priced(spark, sf_dir)[1].groupBy("model_name").agg(F.count(F.lit(1)).alias("calls"))
+
+
+@query("i07_daily_cost_by_feature")
+def q_daily_cost(spark, sf_dir):
+    return present(OPS.daily_cost_by_feature(_priced(spark, sf_dir)[0], as_of="2024-01-31 00:00:00", days=30))
+
+
+def _usage(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["lineitem"])
+    return OPS.priced_usage(OPS.usage_from_lineitem(spark.table("lineitem")), OPS.list_prices(spark))
+
+
+@query("i08_priced_usage")
+def q_priced_usage(spark, sf_dir):
+    return present(_usage(spark, sf_dir))
+
+
+@query("i09_chargeback")
+def q_chargeback(spark, sf_dir):
+    return present(OPS.chargeback(_usage(spark, sf_dir)))
+
+
+@query("i10_untagged_spend")
+def q_untagged(spark, sf_dir):
+    return present(OPS.untagged_spend(_usage(spark, sf_dir)))
+
+
+@query("i11_behaviour_and_cost")
+def q_behaviour(spark, sf_dir):
+    return present(OPS.behaviour_and_cost(ops_input(spark, sf_dir, "tool_call_events"), _priced(spark, sf_dir)[0]))
+
+
+def _admission(spark, sf_dir):
+    return OPS.budget_admission(spark, ops_input(spark, sf_dir, "gateway_requests"))
+
+
+@query("i12_budget_admission")
+def q_admission(spark, sf_dir):
+    return present(_admission(spark, sf_dir))
+
+
+@query("i13_spend_by_feature")
+def q_spend(spark, sf_dir):
+    return present(OPS.spend_by_feature(_admission(spark, sf_dir)))
+
+
+@query("i14_content_policy_conversations")
+def q_policy(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["conversations"])
+    c = OPS.content_policy(spark.table("conversations"), "text")
+    return c.select("conv_id", "turn", "denied_marker", "blocked")
+
+
+@query("i15_screen_documents")
+def q_screen(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["documents"])
+    s = OPS.screen_text(spark.table("documents").select("doc_id", "text"), "text")
+    return s.select("doc_id", "action", "matched_pattern",
+                    F.concat_ws(",", "redacted_kinds").alias("redacted_kinds"),
+                    F.md5("processed_text").alias("processed_md5"),
+                    F.length("processed_text").cast("long").alias("processed_length"))
+
+
+@query("i17_resolve_metric_conversations")
+def q_resolve(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["conversations"])
+    qs = spark.table("conversations").where(F.col("role") == "user")
+    r = OPS.resolve_metric(spark, qs, "text", ["conv_id", "turn"])
+    return OPS.validate_metric(r, MetricStore.catalogue(spark))
+
+
+@query("i20_delegation_chains")
+def q_chain(spark, sf_dir):
+    return OPS.delegation_chains(spark, ops_input(spark, sf_dir, "delegation_tokens")).select(
+        "token_id", F.col("depth").cast("long").alias("depth"), "root_token_id")
+
+
+@query("i21_scope_escalations")
+def q_scope(spark, sf_dir):
+    e = OPS.scope_escalations(ops_input(spark, sf_dir, "delegation_tokens"))
+    as_text = F.array_sort(F.transform("excess", lambda x: F.concat(x["catalog"], F.lit("."), x["schema"],
+                                                                   F.lit(":"), x["access"])))
+    return e.select("token_id", "parent_token_id", F.concat_ws(",", as_text).alias("excess"), "refused")
+
+
+@query("i22_approval_status")
+def q_approval(spark, sf_dir):
+    a = OPS.approval_status(ops_input(spark, sf_dir, "approval_requests"), "2024-01-31 00:00:00")
+    return present(a.select("request_id", "risk_tier", "status", "sla_minutes", "due_at", "overdue", "escalation"))

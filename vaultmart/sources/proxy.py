@@ -89,6 +89,63 @@ def _add_days_date(x: str, n: str, dialect: str) -> str:
     return f"({x} + CAST({n} AS INTEGER))"
 
 
+def _json_text(col: str, key: str, dialect: str) -> str:
+    if dialect == "spark":
+        return f"get_json_object({col}, '$.{key}')"
+    return f"json_extract_string({col}, '$.{key}')"
+
+
+def _idiv(a: str, b: str, dialect: str) -> str:
+    return f"(({a}) div {b})" if dialect == "spark" else f"(({a}) // {b})"
+
+
+def ops_sql(dialect: str = "spark") -> dict[str, str]:
+    """Operations inputs (tool calls, cost events, gateway requests, delegation
+    tokens, approval requests) derived from the ``events`` table."""
+    d = dialect
+    k = f"CAST({_json_text('props', 'k', d)} AS INT)"
+    return {
+        "tool_call_events": f"""
+            SELECT CAST(event_id AS STRING) AS event_id, ts AS timestamp_utc,
+                   'S-' || CAST(user_id AS STRING) AS session_id, 'user-' || CAST(user_id % 10 AS STRING) AS caller_identity,
+                   event_type AS tool_name, props AS tool_arguments,
+                   CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'signup' AND value > 45 THEN 'denied'
+                        ELSE 'success' END AS status,
+                   CAST(round(value * 100) AS INT) AS latency_ms, {k} AS row_count_returned
+            FROM events""",
+        "agent_cost_events": f"""
+            SELECT CAST(event_id AS STRING) AS event_id, ts AS timestamp_utc,
+                   'S-' || CAST(user_id AS STRING) AS session_id,
+                   CASE user_id % 3 WHEN 0 THEN 'semantic-layer-qa' WHEN 1 THEN 'metric-lookup' ELSE 'report-builder' END
+                     AS feature_tag,
+                   CASE WHEN user_id % 7 = 0 THEN 'model-unknown' WHEN event_type IN ('view', 'click') THEN 'model-small'
+                        ELSE 'model-large' END AS model_name,
+                   CAST(round(value * 40) AS INT) AS input_tokens, {k} * 10 AS output_tokens
+            FROM events""",
+        "gateway_requests": f"""
+            SELECT CAST(event_id AS STRING) AS request_id, event_id AS request_seq, ts AS timestamp_utc,
+                   CASE user_id % 3 WHEN 0 THEN 'semantic-layer-qa' WHEN 1 THEN 'metric-lookup' ELSE 'report-builder' END
+                     AS feature,
+                   CASE event_type WHEN 'view' THEN 'provider-a-small' WHEN 'click' THEN 'provider-b-large'
+                        ELSE 'provider-a-large' END AS provider,
+                   CAST(round(value * 20) AS INT) AS prompt_tokens, 400 AS max_completion_tokens,
+                   {k} * 4 AS completion_tokens
+            FROM events""",
+        "delegation_tokens": f"""
+            SELECT event_id AS token_id, ts AS issued_at_utc,
+                   CASE WHEN event_id = 0 THEN NULL ELSE {_idiv('event_id - 1', '2', d)} END AS parent_token_id,
+                   'agent-' || CAST(user_id AS STRING) AS sub_agent_identity, event_type AS scope_schema,
+                   value > 40 AS can_write
+            FROM events""",
+        "approval_requests": """
+            SELECT CAST(event_id AS STRING) AS request_id, ts AS timestamp_utc,
+                   'user-' || CAST(user_id % 10 AS STRING) AS requested_by,
+                   CASE event_type WHEN 'view' THEN 'tier_1' WHEN 'click' THEN 'tier_2' WHEN 'purchase' THEN 'tier_3'
+                        ELSE 'tier_4' END AS risk_tier
+            FROM events""",
+    }
+
+
 def bronze_sql(dialect: str = "spark") -> dict[str, str]:
     """Proxy bronze views as SQL text over the driver tables."""
     d = dialect

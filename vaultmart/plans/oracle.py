@@ -834,3 +834,10 @@ FROM (SELECT *, CASE WHEN risk_tier IN ('tier_1', 'tier_2') THEN 'auto_approved'
                AS overdue
       FROM (SELECT *, CAST(CASE risk_tier WHEN 'tier_3' THEN 60 WHEN 'tier_4' THEN 15 END AS BIGINT) AS sla_minutes
             FROM approval_requests))""")
+
+# streaming: windows are emitted once the watermark (max event time - 1 hour) passes their end
+_WM = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+oracle("i01_stream_error_rate_hourly", ORACLE["i02_error_rate_alerts_hourly"].replace(
+    "WHERE errors / calls > 0.2", f"WHERE errors / calls > 0.2 AND w + INTERVAL 1 HOUR <= {_WM}"))
+oracle("i04_stream_latency_hourly", ORACLE["i04_latency_p99_alerts_hourly"].replace(
+    "FROM p WHERE p99 > 5000", f"FROM p WHERE p99 > 5000 AND w + INTERVAL 1 HOUR <= {_WM}"))

@@ -530,3 +530,32 @@ def q_scope(spark, sf_dir):
 def q_approval(spark, sf_dir):
     a = OPS.approval_status(ops_input(spark, sf_dir, "approval_requests"), "2024-01-31 00:00:00")
     return present(a.select("request_id", "risk_tier", "status", "sla_minutes", "due_at", "overdue", "escalation"))
+
+
+# ---------------------------------------------------------------------------
+# streaming forms
+# ---------------------------------------------------------------------------
+from vaultmart.streaming import audit as AUD  # noqa: E402
+
+
+def tool_call_stream(spark, sf_dir):
+    """Events of the driver's table delivered as a file stream."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    s = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    s.createOrReplaceTempView("events_stream")
+    sql = proxy.ops_sql("spark")["tool_call_events"].replace("FROM events", "FROM events_stream")
+    events = spark.sql(sql).withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
+    return AUD.deduplicated(events, "1 hour")
+
+
+@query("i01_stream_error_rate_hourly")
+def q_stream_err(spark, sf_dir):
+    out = AUD.run_to_table(spark, AUD.error_rate_stream(tool_call_stream(spark, sf_dir), "1 hour", None),
+                           "error-rate")
+    return present(out)
+
+
+@query("i04_stream_latency_hourly")
+def q_stream_lat(spark, sf_dir):
+    out = AUD.run_to_table(spark, AUD.latency_stream(tool_call_stream(spark, sf_dir), "1 hour", None), "latency")
+    return present(out)

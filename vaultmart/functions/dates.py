@@ -30,7 +30,7 @@ def as_date(df: DataFrame, name: str) -> Column:
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
     text = F.nullif(F.trim(c.cast("string")), F.lit(""))
-    return F.coalesce(*[F.try_to_date(text, F.lit(fmt)) for fmt in DATE_FORMATS])
+    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in DATE_FORMATS])
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:

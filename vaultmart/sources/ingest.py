@@ -163,7 +163,7 @@ def _rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def _parse_us_date(c: str) -> Column:
-    return F.coalesce(F.try_to_date(F.col(c), F.lit("MM/dd/yyyy")), F.try_to_date(F.col(c), F.lit("yyyy-MM-dd")))
+    return F.coalesce(F.try_to_date(F.col(c), "MM/dd/yyyy"), F.try_to_date(F.col(c), "yyyy-MM-dd"))
 
 
 # A1 + A2

@@ -210,8 +210,14 @@ G = {
                 FROM synpuf_inpatient_claim_header WHERE {nn('claim_line_bk')} AND {nn('drg_bk')})""",
     "satcl": f"""satcl AS (SELECT {hk('claim_line_bk')} AS claim_line_hk, service_from_date, admission_date
                    FROM synpuf_inpatient_claim_header)""",
-    "pay": f"""pay AS (SELECT {hk('txn_bk')} AS payment_txn_hk, {hk('claim_line_bk')} AS claim_line_hk, billed_amount,
-                 allowed_amount, paid_amount, payment_date FROM pi_payment_transactions)""",
+    "pay": f"""pay0 AS (SELECT {hk('txn_bk')} AS payment_txn_hk, {hk('claim_line_bk')} AS claim_line_hk, billed_amount,
+                 allowed_amount, paid_amount, payment_date, payment_date AS effective_from, load_dts, record_source
+                 FROM pi_payment_transactions),
+           pay AS ({earliest('pay0', 'payment_txn_hk',
+                             ['load_dts', 'record_source', 'claim_line_hk', 'billed_amount', 'allowed_amount',
+                              'paid_amount', 'payment_date', 'effective_from'],
+                             ['payment_txn_hk', 'claim_line_hk', 'billed_amount', 'allowed_amount', 'paid_amount',
+                              'payment_date'])})""",
     "fcp": """fcp AS (SELECT p.payment_txn_hk, p.claim_line_hk, l.provider_hk, l.member_hk, d.drg_hk, p.billed_amount,
                  p.allowed_amount, p.paid_amount, p.billed_amount - p.paid_amount AS leakage_amount, p.payment_date,
                  s.service_from_date, s.admission_date

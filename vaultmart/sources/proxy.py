@@ -25,8 +25,11 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "
 
 # Fixed proxy values -------------------------------------------------------
 BATCH_TS = "TIMESTAMP '2024-01-01 00:00:00'"
+# one claim line per lineitem row: (order, line, part, supplier) repeats in
+# the generated data with a different ship date, so the date is part of the key
 CLAIM_BK = ("CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
-            "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)")
+            "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || "
+            "CAST(CAST(l_shipdate AS DATE) AS STRING)")
 BILLED = "CAST(l_extendedprice AS DECIMAL(12,2))"
 ALLOWED = f"CAST({BILLED} * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(12,2))"
 PAID = f"CAST({ALLOWED} * (1 - CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(12,2))"

@@ -16,6 +16,7 @@ from vaultmart.functions.hashing import stage
 from vaultmart.operators import vault as V
 from vaultmart.plans import registry as R
 from vaultmart.plans.staging import stage_all
+from vaultmart.session import materialize
 
 
 def hashed_staging(staging: dict[str, DataFrame], names: list[str] | None = None) -> dict[str, DataFrame]:
@@ -50,10 +51,31 @@ def new_vault_rows(hashed: dict[str, DataFrame], targets: dict[str, DataFrame] |
     return out
 
 
+def _consumers(names: list[str] | None) -> dict[str, int]:
+    """Number of requested vault tables fed by each staging model."""
+    src_of = {hs.name: hs.source for hs in R.HASHED_STAGES}
+    counts: dict[str, int] = {}
+    for t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS):
+        if names is None or t.name in names:
+            stg = src_of[t.source]
+            counts[stg] = counts.get(stg, 0) + 1
+    return counts
+
+
 def build_vault(bronze: dict[str, DataFrame], load_dts=None, targets: dict[str, DataFrame] | None = None,
-                names: list[str] | None = None) -> dict[str, DataFrame]:
-    """Lazy vault after this batch: target + new rows for every table."""
+                names: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, DataFrame]:
+    """Vault after this batch: target + new rows for every table (lazy).
+
+    With ``spark`` given, every staging model that feeds two or more of the
+    requested tables is written once (Parquet, shared checkpoint folder)
+    and read back, so its source joins run once per batch instead of once
+    per loader.
+    """
     staging = stage_all(bronze, load_dts)
+    if spark is not None:
+        counts = _consumers(names)
+        staging = {k: (materialize(spark, v, k) if counts.get(k, 0) >= 2 else v) for k, v in staging.items()
+                   if k in counts}
     hashed = hashed_staging(staging)
     new = new_vault_rows(hashed, targets, names)
     targets = targets or {}
@@ -69,6 +91,9 @@ def load_vault(spark: SparkSession, root: str, bronze: dict[str, DataFrame], loa
     bronze-to-staging plan.
     """
     staging = stage_all(bronze, load_dts)
+    counts = _consumers(names)
+    staging = {k: (materialize(spark, v, k) if counts.get(k, 0) >= 2 else v) for k, v in staging.items()
+               if k in counts}
     hashed = hashed_staging(staging)
     targets = {}
     wanted = set(names) if names else None

@@ -45,7 +45,7 @@ def present(df: DataFrame) -> DataFrame:
 
 
 def vault(spark: SparkSession, sf_dir: str, names: list[str] | None = None, bronze_names=None) -> dict:
-    return build_vault(proxy.bronze(spark, sf_dir, bronze_names), names=names)
+    return build_vault(proxy.bronze(spark, sf_dir, bronze_names), names=names, spark=spark)
 
 
 PAYMENT_VAULT = ["tlnk_claim_payment_txn", "lnk_claim_provider_member", "lnk_claim_drg", "sat_claim_details"]

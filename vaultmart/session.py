@@ -60,3 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read
+    it back: cuts the lineage so several consumers do not recompute it."""
+    import uuid
+    path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

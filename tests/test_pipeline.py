@@ -122,3 +122,11 @@ def test_second_batch_history_and_current_dimension(spark, tmp):
     assert v["sat_member_demographics"].count() == 5
     dm = gold.dim_member(v)
     assert dm.count() == 4 and by(dm, "member_id", "state_code")["M1"] == "FL"
+
+
+def test_every_registered_vault_table_is_built(vault):
+    from vaultmart.plans import registry as R
+    names = {x.name for x in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS)}
+    assert len(names) == 54 and names <= set(vault)
+    assert vault["lnk_diagnosis_hcc_crosswalk"].count() == 1 and vault["lnk_provider_contract"].count() == 1
+    assert vault["sat_pharmacy_details"].count() == 1                   # taxonomy-filtered facility

@@ -92,3 +92,30 @@ def test_vault_stream_is_idempotent(spark, tmp):
     assert spark.read.parquet(os.path.join(root, "tlnk_claim_payment_txn")).count() == 4
     assert load_vault(spark, root, to_bronze(b["pi_payment_transactions"]), names=names)[
         "tlnk_claim_payment_txn"].count() == 4
+
+
+def test_budget_admission_stream_carries_spend_across_batches(spark, tmp):
+    import datetime as dt
+    from vaultmart.streaming.gateway import budget_admission_stream
+    t0 = dt.datetime(2024, 1, 1, 9)
+    schema = ("request_id string, request_seq long, timestamp_utc timestamp, feature string, provider string, "
+              "prompt_tokens int, max_completion_tokens int, completion_tokens int")
+    rows_ = [("r1", 1, t0, "metric-lookup", "provider-a-large", 50000, 50000, 10000),
+             ("r2", 2, t0 + dt.timedelta(minutes=1), "metric-lookup", "provider-a-large", 50000, 30000, 20000),
+             ("r3", 3, t0 + dt.timedelta(minutes=2), "metric-lookup", "provider-a-large", 30000, 30000, 30000),
+             ("r4", 4, t0 + dt.timedelta(minutes=3), "other", "provider-a-large", 10 ** 6, 0, 0)]
+    src = os.path.join(tmp, "req")
+    spark.createDataFrame(rows_[:1], schema).write.parquet(os.path.join(src, "b1"))
+    stream = spark.readStream.schema(schema).parquet(os.path.join(src, "*"))
+    root = os.path.join(tmp, "adm")
+    q = AUD.write_batches(budget_admission_stream(spark, stream), os.path.join(root, "out"),
+                          os.path.join(root, "ck"))
+    q.awaitTermination()
+    spark.createDataFrame(rows_[1:], schema).write.parquet(os.path.join(src, "b2"))
+    stream = spark.readStream.schema(schema).parquet(os.path.join(src, "*"))
+    AUD.write_batches(budget_admission_stream(spark, stream), os.path.join(root, "out"),
+                      os.path.join(root, "ck")).awaitTermination()
+    got = {r.request_id: (r.admitted, r.spent_after_micro) for r in spark.read.parquet(os.path.join(root, "out")).collect()}
+    batch = {r.request_id: (r.admitted, r.spent_after_micro)
+             for r in OPS.budget_admission(spark, spark.createDataFrame(rows_, schema)).collect()}
+    assert got == batch

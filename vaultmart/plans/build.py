@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vaultmart.functions.hashing import stage
 from vaultmart.operators import vault as V
 from vaultmart.plans import registry as R
-from vaultmart.plans.staging import stage_all
+from vaultmart.plans.staging import STAGING, stage_all
 from vaultmart.session import materialize
 
 
@@ -51,32 +51,52 @@ def new_vault_rows(hashed: dict[str, DataFrame], targets: dict[str, DataFrame] |
     return out
 
 
-def _consumers(names: list[str] | None) -> dict[str, int]:
-    """Number of requested vault tables fed by each staging model."""
+class _Recorder(dict):
+    """Records which bronze tables a staging model reads (plans only, no job)."""
+
+    def __init__(self, base):
+        super().__init__(base)
+        self.used: set[str] = set()
+
+    def __getitem__(self, k):
+        self.used.add(k)
+        return super().__getitem__(k)
+
+
+def _plan_inputs(bronze: dict[str, DataFrame], load_dts, names: list[str] | None):
+    """Staging models, hashed stages and bronze consumer counts for the requested tables."""
+    tables = [t for t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS) if names is None or t.name in names]
     src_of = {hs.name: hs.source for hs in R.HASHED_STAGES}
-    counts: dict[str, int] = {}
-    for t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS):
-        if names is None or t.name in names:
-            stg = src_of[t.source]
-            counts[stg] = counts.get(stg, 0) + 1
-    return counts
+    hashed_names = sorted({t.source for t in tables})
+    staging_names = sorted({src_of[h] for h in hashed_names})
+    bronze_uses: dict[str, int] = {}
+    for stg in staging_names:
+        rec = _Recorder(bronze)
+        try:
+            STAGING[stg](rec, load_dts)
+        except KeyError:
+            continue
+        n_consumers = sum(1 for t in tables if src_of[t.source] == stg)
+        for b in rec.used:
+            bronze_uses[b] = bronze_uses.get(b, 0) + n_consumers
+    return hashed_names, staging_names, bronze_uses
 
 
 def build_vault(bronze: dict[str, DataFrame], load_dts=None, targets: dict[str, DataFrame] | None = None,
                 names: list[str] | None = None, spark: SparkSession | None = None) -> dict[str, DataFrame]:
     """Vault after this batch: target + new rows for every table (lazy).
 
-    With ``spark`` given, every staging model that feeds two or more of the
+    With ``spark`` given, every bronze input feeding two or more of the
     requested tables is written once (Parquet, shared checkpoint folder)
     and read back, so its source joins run once per batch instead of once
-    per loader.
+    per loader, and the plans of the loaders stay shallow.
     """
-    staging = stage_all(bronze, load_dts)
+    hashed_names, staging_names, uses = _plan_inputs(bronze, load_dts, names)
     if spark is not None:
-        counts = _consumers(names)
-        staging = {k: (materialize(spark, v, k) if counts.get(k, 0) >= 2 else v) for k, v in staging.items()
-                   if k in counts}
-    hashed = hashed_staging(staging)
+        bronze = {k: (materialize(spark, v, k) if uses.get(k, 0) >= 2 else v) for k, v in bronze.items()
+                  if k in uses}
+    staging = stage_all(bronze, load_dts, staging_names)
+    hashed = hashed_staging(staging, hashed_names)
     new = new_vault_rows(hashed, targets, names)
     targets = targets or {}
     return {k: (targets[k].unionByName(v) if k in targets else v) for k, v in new.items()}
@@ -86,15 +106,14 @@ def load_vault(spark: SparkSession, root: str, bronze: dict[str, DataFrame], loa
                names: list[str] | None = None) -> dict[str, DataFrame]:
     """Append this batch's new rows under ``root/<table>``; return the tables.
 
-    The hashed staging is written once per batch (checkpoint of the
-    lineage) so the dozens of loaders that read it do not recompute the
-    bronze-to-staging plan.
+    Bronze inputs read by several loaders are written once per batch
+    (lineage cut in the shared checkpoint folder) so the loaders do not
+    recompute the landing joins.
     """
-    staging = stage_all(bronze, load_dts)
-    counts = _consumers(names)
-    staging = {k: (materialize(spark, v, k) if counts.get(k, 0) >= 2 else v) for k, v in staging.items()
-               if k in counts}
-    hashed = hashed_staging(staging)
+    hashed_names, staging_names, uses = _plan_inputs(bronze, load_dts, names)
+    bronze = {k: (materialize(spark, v, k) if uses.get(k, 0) >= 2 else v) for k, v in bronze.items() if k in uses}
+    staging = stage_all(bronze, load_dts, staging_names)
+    hashed = hashed_staging(staging, hashed_names)
     targets = {}
     wanted = set(names) if names else None
     for name in [x.name for x in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS)]:

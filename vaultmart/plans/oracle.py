@@ -847,3 +847,48 @@ oracle("i01_stream_error_rate_hourly", ORACLE["i02_error_rate_alerts_hourly"].re
     "WHERE errors / calls > 0.2", f"WHERE errors / calls > 0.2 AND w + INTERVAL 1 HOUR <= {_WM}"))
 oracle("i04_stream_latency_hourly", ORACLE["i04_latency_p99_alerts_hourly"].replace(
     "FROM p WHERE p99 > 5000", f"FROM p WHERE p99 > 5000 AND w + INTERVAL 1 HOUR <= {_WM}"))
+
+
+# more staging models, top-k report
+oracle("b05_stg_claim_lines", with_bronze("synpuf_inpatient_claim_header") + f"""
+SELECT claim_line_bk, member_bk, provider_bk, {dt('service_from_date')} AS service_from_date,
+       {dt('service_thru_date')} AS service_thru_date, {dt('admission_date')} AS admission_date,
+       {dt('discharge_date')} AS discharge_date, drg_bk, CAST(paid_amount AS DOUBLE) AS paid_amount,
+       CAST(primary_payer_paid_amount AS DOUBLE) AS primary_payer_paid_amount,
+       CAST(utilization_day_count AS BIGINT) AS utilization_day_count, 'inpatient' AS claim_type, record_source,
+       {ts('load_dts')} AS load_dts FROM synpuf_inpatient_claim_header""")
+oracle("b09_stg_providers", with_bronze("nppes_providers") + f"""
+SELECT npi AS provider_bk, provider_first_name, provider_last_name, provider_credential, primary_taxonomy_code,
+       practice_state, practice_city, record_source, {ts('load_dts')} AS load_dts FROM nppes_providers""")
+oracle("b13_stg_encounters", with_bronze("synthea_encounters") + f"""
+SELECT encounter_bk, member_reference AS member_bk, provider_reference AS provider_bk,
+       facility_reference AS facility_bk, encounter_status, encounter_class_code, encounter_type_text,
+       {ts('encounter_start')} AS encounter_start, {ts('encounter_end')} AS encounter_end, record_source,
+       {ts('load_dts')} AS load_dts FROM synthea_encounters""")
+oracle("b14_stg_encounter_diagnoses", with_bronze("synthea_conditions") + f"""
+SELECT encounter_reference AS encounter_bk, diagnosis_bk, diagnosis_description, clinical_status_code,
+       {dt('onset_date')} AS onset_date, record_source, {ts('load_dts')} AS load_dts
+FROM synthea_conditions WHERE encounter_reference IS NOT NULL""")
+oracle("b17_stg_authorizations", with_bronze("pi_authorizations") + f"""
+SELECT authorization_bk, claim_line_bk, auth_status, {dt('requested_date')} AS requested_date, record_source,
+       {ts('load_dts')} AS load_dts FROM pi_authorizations""")
+oracle("b19_stg_payment_txns", with_bronze("pi_payment_transactions") + f"""
+SELECT txn_bk, claim_line_bk, CAST(billed_amount AS DOUBLE) AS billed_amount,
+       CAST(allowed_amount AS DOUBLE) AS allowed_amount, CAST(paid_amount AS DOUBLE) AS paid_amount,
+       {dt('payment_date')} AS payment_date, record_source, {ts('load_dts')} AS load_dts FROM pi_payment_transactions""")
+oracle("b25_stg_member_hcc", with_bronze("ra_member_hcc") + f"""
+SELECT member_bk, hcc_bk, active_flag, {dt('coding_gap_identified_date')} AS coding_gap_identified_date,
+       {dt('coding_gap_closed_date')} AS coding_gap_closed_date, record_source, {ts('load_dts')} AS load_dts
+FROM ra_member_hcc""")
+oracle("b27_stg_member_risk_scores", with_bronze("ra_member_risk_scores") + f"""
+SELECT member_bk, risk_model_bk, CAST(raf_score AS DOUBLE) AS raf_score, CAST(model_year AS BIGINT) AS model_year,
+       record_source, {ts('load_dts')} AS load_dts FROM ra_member_risk_scores""")
+oracle("b30_stg_member_measure_evals", with_bronze("cq_member_measure_evals") + f"""
+SELECT member_bk, measure_bk, eval_result, {dt('eval_date')} AS eval_date, record_source, {ts('load_dts')} AS load_dts
+FROM cq_member_measure_evals""")
+oracle("b31_stg_pharmacy_fills", with_bronze("pharmacy_fills") + f"""
+SELECT member_bk, drug_bk, pharmacy_bk, {dt('fill_date')} AS fill_date, CAST(days_supply AS BIGINT) AS days_supply,
+       record_source, {ts('load_dts')} AS load_dts FROM pharmacy_fills""")
+oracle("f13_top10_provider_leakage", gwith("fcp") + """
+SELECT provider_hk AS provider, CAST(sum(leakage_amount) AS DOUBLE) AS leakage_by_provider FROM fcp
+GROUP BY 1 ORDER BY sum(leakage_amount) DESC, provider LIMIT 10""")

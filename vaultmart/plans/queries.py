@@ -559,3 +559,38 @@ def q_stream_err(spark, sf_dir):
 def q_stream_lat(spark, sf_dir):
     out = AUD.run_to_table(spark, AUD.latency_stream(tool_call_stream(spark, sf_dir), "1 hour", None), "latency")
     return present(out)
+
+
+# ---------------------------------------------------------------------------
+# more staging models (B) and a top-k metric report
+# ---------------------------------------------------------------------------
+STAGING_QUERIES = {
+    "b05_stg_claim_lines": ("stg_claim_lines", ["synpuf_inpatient_claim_header"]),
+    "b09_stg_providers": ("stg_providers", ["nppes_providers"]),
+    "b13_stg_encounters": ("stg_encounters", ["synthea_encounters"]),
+    "b14_stg_encounter_diagnoses": ("stg_encounter_diagnoses", ["synthea_conditions"]),
+    "b17_stg_authorizations": ("stg_authorizations", ["pi_authorizations"]),
+    "b19_stg_payment_txns": ("stg_payment_txns", ["pi_payment_transactions"]),
+    "b25_stg_member_hcc": ("stg_member_hcc", ["ra_member_hcc"]),
+    "b27_stg_member_risk_scores": ("stg_member_risk_scores", ["ra_member_risk_scores"]),
+    "b30_stg_member_measure_evals": ("stg_member_measure_evals", ["cq_member_measure_evals"]),
+    "b31_stg_pharmacy_fills": ("stg_pharmacy_fills", ["pharmacy_fills"]),
+}
+
+
+def _staging_query(qname, model, bronzes):
+    def run(spark, sf_dir):
+        return present(S.STAGING[model](bronze(spark, sf_dir, bronzes)))
+    run.__name__ = f"q_{model}"
+    QUERIES[qname] = run
+
+
+for _q, (_m, _b) in STAGING_QUERIES.items():
+    _staging_query(_q, _m, _b)
+
+
+@query("f13_top10_provider_leakage")
+def q_topk(spark, sf_dir):
+    ms = MetricStore(vault=gold_vault(spark, sf_dir, "fact_claim_payment"))
+    return present(ms.query(["leakage_by_provider"], group_by=["provider"],
+                            order_by=["-leakage_by_provider", "provider"], limit=10))

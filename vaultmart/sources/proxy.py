@@ -304,9 +304,35 @@ def bronze_sql(dialect: str = "spark") -> dict[str, str]:
     return q
 
 
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read Parquet; if the scan plans fewer partitions than the cluster's
+    default parallelism (one large row group), spread it round-robin so the
+    work before the first shuffle is not a single task.  Large inputs with
+    many row groups are left as scanned (no extra shuffle)."""
+    df = spark.read.parquet(path)
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
+
+
+_REGISTERED: dict[tuple[int, str], str] = {}
+
+
 def register_driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
+    """Temp views of the driver's tables; a view already registered for the
+    same folder in this session is kept."""
+    sid = id(spark._jsparkSession)
     for t in names:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        if _REGISTERED.get((sid, t)) == sf_dir and spark.catalog.tableExists(t):
+            continue
+        read_spread(spark, f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        _REGISTERED[(sid, t)] = sf_dir
+
+
+def tables_in(sql: str) -> list[str]:
+    import re
+    return [t for t in DRIVER_TABLES if re.search(rf"\b{t}\b", sql)]
 
 
 def bronze(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:
@@ -317,9 +343,10 @@ def bronze(spark: SparkSession, sf_dir: str, names: list[str] | None = None) ->
     """
     from vaultmart.sources.ingest import unpivot_codes
 
-    register_driver_tables(spark, sf_dir)
     sqls = bronze_sql("spark")
-    out = {k: spark.sql(v) for k, v in sqls.items() if names is None or k in names or k == "claims_wide"}
+    wanted = {k: v for k, v in sqls.items() if names is None or k in names or k == "claims_wide"}
+    register_driver_tables(spark, sf_dir, sorted({t for v in wanted.values() for t in tables_in(v)}))
+    out = {k: spark.sql(v) for k, v in wanted.items()}
     wide = out.pop("claims_wide")
     if names is None or "synpuf_inpatient_claim_diagnoses" in names:
         out["synpuf_inpatient_claim_diagnoses"] = unpivot_codes(

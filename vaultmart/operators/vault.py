@@ -9,7 +9,7 @@ nothing (idempotent), which is what makes a retried job safe.
 
 Scale notes
 -----------
-* "Earliest row per key" is a grouped ``min`` over a struct, not a
+* "Earliest row per key" is a grouped ``min_by`` over a struct, not a
   window: Spark aggregates it map-side first, so a key holding a third
   of all rows is combined before the shuffle instead of landing whole
   in one task.
@@ -38,7 +38,9 @@ DEFAULT_SAT_BUCKET_SECONDS = 30 * 86400
 def _earliest_per_key(df: DataFrame, pk: str, carry: Sequence[str]) -> DataFrame:
     """One row per ``pk``: the earliest by (load_dts, record_source, carry...)."""
     order = [LOAD_DTS, RECORD_SOURCE] + [c for c in carry if c not in (LOAD_DTS, RECORD_SOURCE)]
-    picked = df.groupBy(pk).agg(F.min(F.struct(*order)).alias("_r"))
+    # min_by with the full ordering struct: same row as min(struct(...)),
+    # evaluated noticeably faster by Spark's aggregate
+    picked = df.groupBy(pk).agg(F.min_by(F.struct(*order), F.struct(*order)).alias("_r"))
     return picked.select(pk, *[F.col(f"_r.{c}").alias(c) for c in order])
 
 
@@ -90,7 +92,7 @@ def current_satellite(sat: DataFrame, pk: str, hashdiff_col: str | None = None)
     rest = [c for c in sat.columns if c not in (pk, LOAD_DTS)]
     if hashdiff_col and hashdiff_col in rest:
         rest = [hashdiff_col] + [c for c in rest if c != hashdiff_col]
-    picked = sat.groupBy(pk).agg(F.max(F.struct(LOAD_DTS, *rest)).alias("_r"))
+    picked = sat.groupBy(pk).agg(F.max_by(F.struct(LOAD_DTS, *rest), F.struct(LOAD_DTS, *rest)).alias("_r"))
     return picked.select(pk, *[F.col(f"_r.{c}").alias(c) for c in [LOAD_DTS] + rest]).select(*sat.columns)
 
 
@@ -109,12 +111,13 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
     cols = [pk, hashdiff_col, *payload, LOAD_DTS, RECORD_SOURCE]
     src = staged.select(*cols).where(F.col(pk).isNotNull() & F.col(LOAD_DTS).isNotNull())
     one = (src.groupBy(pk, LOAD_DTS)
-              .agg(F.min(F.struct(hashdiff_col, RECORD_SOURCE, *payload)).alias("_r"))
+              .agg(F.min_by(F.struct(hashdiff_col, RECORD_SOURCE, *payload),
+                            F.struct(hashdiff_col, RECORD_SOURCE, *payload)).alias("_r"))
               .select(pk, LOAD_DTS, *[F.col(f"_r.{c}").alias(c)
                                       for c in (hashdiff_col, RECORD_SOURCE, *payload)]))
     if target is not None:
         cur = (target.groupBy(pk)
-                     .agg(F.max(F.struct(LOAD_DTS, hashdiff_col)).alias("_c"))
+                     .agg(F.max_by(F.struct(LOAD_DTS, hashdiff_col), F.struct(LOAD_DTS, hashdiff_col)).alias("_c"))
                      .select(pk, F.col(f"_c.{LOAD_DTS}").alias("_cur_ts"),
                              F.col(f"_c.{hashdiff_col}").alias("_cur_hd")))
         one = (one.join(cur, on=pk, how="left")

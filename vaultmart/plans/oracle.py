@@ -892,3 +892,16 @@ SELECT member_bk, drug_bk, pharmacy_bk, {dt('fill_date')} AS fill_date, CAST(day
 oracle("f13_top10_provider_leakage", gwith("fcp") + """
 SELECT provider_hk AS provider, CAST(sum(leakage_amount) AS DOUBLE) AS leakage_by_provider FROM fcp
 GROUP BY 1 ORDER BY sum(leakage_amount) DESC, provider LIMIT 10""")
+
+
+# every staging model, hashed stage and vault table of the registry
+from vaultmart.plans import oracle_vault as _OV  # noqa: E402
+from vaultmart.plans import registry as _R  # noqa: E402
+
+for _s in _OV.STG:
+    if _OV.staging_query_name(_s) not in ORACLE:
+        oracle(_OV.staging_query_name(_s), _OV.staging_sql(_s))
+for _h in _R.HASHED_STAGES:
+    oracle(_OV.hashed_query_name(_h.name), _OV.hashed_stage_sql(_h.name))
+for _t in (*_R.HUBS, *_R.LINKS, *_R.SATELLITES, *_R.TLINKS):
+    oracle(_OV.vault_query_name(_t.name), _OV.vault_table_sql(_t.name))

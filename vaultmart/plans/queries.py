@@ -594,3 +594,73 @@ def q_topk(spark, sf_dir):
     ms = MetricStore(vault=gold_vault(spark, sf_dir, "fact_claim_payment"))
     return present(ms.query(["leakage_by_provider"], group_by=["provider"],
                             order_by=["-leakage_by_provider", "provider"], limit=10))
+
+
+# ---------------------------------------------------------------------------
+# every staging model (B1-B31), hashed stage (CK) and vault table
+# (CH, CL, CS, CT) of the registry, loaded from one batch of proxy inputs
+# ---------------------------------------------------------------------------
+from vaultmart.plans import registry as R  # noqa: E402
+from vaultmart.plans.oracle_vault import hashed_query_name, staging_query_name, vault_query_name  # noqa: E402
+
+# bronze inputs read by each staging model
+STAGING_INPUTS = {
+    "stg_members": ["synpuf_beneficiary_summary", "synthea_patients"],
+    "stg_diagnoses": ["synpuf_inpatient_claim_diagnoses", "synthea_conditions"],
+    "stg_drgs": ["synpuf_inpatient_claim_header", "drg_weights"],
+    "stg_procedures": ["synpuf_inpatient_claim_procedures"],
+    "stg_claim_lines": ["synpuf_inpatient_claim_header"],
+    "stg_claim_drg": ["synpuf_inpatient_claim_header"],
+    "stg_claim_diagnoses": ["synpuf_inpatient_claim_diagnoses"],
+    "stg_claim_procedures": ["synpuf_inpatient_claim_procedures"],
+    "stg_providers": ["nppes_providers"],
+    "stg_facilities": ["nppes_facilities"],
+    "stg_pharmacies": ["nppes_facilities"],
+    "stg_drugs": ["ndc_products"],
+    "stg_encounters": ["synthea_encounters"],
+    "stg_encounter_diagnoses": ["synthea_conditions"],
+    "stg_contracts": ["pi_contracts"],
+    "stg_provider_contracts": ["pi_provider_contracts"],
+    "stg_authorizations": ["pi_authorizations"],
+    "stg_appeals": ["pi_appeals"],
+    "stg_payment_txns": ["pi_payment_transactions"],
+    "stg_adjustment_txns": ["pi_adjustment_transactions"],
+    "stg_cob_recovery_txns": ["pi_cob_recovery_transactions"],
+    "stg_hcc_categories": ["ra_hcc_categories"],
+    "stg_risk_models": ["ra_risk_models"],
+    "stg_diagnosis_hcc_crosswalk": ["ra_diagnosis_hcc_crosswalk"],
+    "stg_member_hcc": ["ra_member_hcc"],
+    "stg_suspected_hcc": ["ra_suspected_hcc"],
+    "stg_member_risk_scores": ["ra_member_risk_scores"],
+    "stg_measures": ["cq_measures"],
+    "stg_member_measure": ["cq_member_measure"],
+    "stg_member_measure_evals": ["cq_member_measure_evals"],
+    "stg_pharmacy_fills": ["pharmacy_fills"],
+}
+
+_HAVE_STAGING = {m for m, _ in STAGING_QUERIES.values()} | {
+    "stg_members", "stg_diagnoses", "stg_drgs", "stg_pharmacies", "stg_drugs"}
+for _m in S.STAGING:
+    if _m not in _HAVE_STAGING:
+        _staging_query(staging_query_name(_m), _m, STAGING_INPUTS[_m])
+
+
+def _hashed_stage_query(hs: R.HashedStage):
+    def run(spark, sf_dir):
+        st = S.STAGING[hs.source](bronze(spark, sf_dir, STAGING_INPUTS[hs.source]))
+        return present(hashed_staging({hs.source: st}, [hs.name])[hs.name])
+    run.__name__ = f"q_{hs.name}"
+    QUERIES[hashed_query_name(hs.name)] = run
+
+
+def _vault_table_query(name: str, source_stage: str):
+    def run(spark, sf_dir):
+        return present(vault(spark, sf_dir, [name], STAGING_INPUTS[source_stage])[name])
+    run.__name__ = f"q_{name}"
+    QUERIES[vault_query_name(name)] = run
+
+
+for _hs in R.HASHED_STAGES:
+    _hashed_stage_query(_hs)
+for _t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS):
+    _vault_table_query(_t.name, R.BY_NAME[_t.source].source)

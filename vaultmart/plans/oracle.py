@@ -496,6 +496,12 @@ SELECT metric_time, ed_encounters, distinct_members, (ed_encounters / distinct_m
 FROM (SELECT {mt('encounter_start')} AS metric_time,
              CAST(sum(CASE WHEN encounter_class_code = 'EMER' THEN 1 ELSE 0 END) AS BIGINT) AS ed_encounters,
              count(DISTINCT member_hk) AS distinct_members FROM fenc GROUP BY 1)""")
+oracle("m11_ed_encounters_by_quarter", gwith("fenc") + f"""
+SELECT {mt('encounter_start', 'quarter')} AS metric_time,
+       CAST(sum(CASE WHEN encounter_class_code = 'EMER' THEN 1 ELSE 0 END) AS BIGINT) AS ed_encounters
+FROM fenc GROUP BY 1""")
+oracle("m12_distinct_members_by_encounter_class", gwith("fenc") + """
+SELECT encounter_class_code, count(DISTINCT member_hk) AS distinct_members FROM fenc GROUP BY 1""")
 oracle("m14_medication_adherence_pdc", gwith("ffill", extra="""ma AS (SELECT least(sum(days_supply), 365) AS dc, 365 AS pd
        FROM ffill GROUP BY member_hk, drug_hk)""") + f"""
 SELECT {ratio('sum(dc)', 'sum(pd)')} AS medication_adherence_pdc FROM ma""")

@@ -318,6 +318,8 @@ METRIC_QUERIES = [
     ("f12_multi_metric_by_year", ["payment_leakage_rate", "denial_rate", "cob_tpl_recovery_amount"],
      ["metric_time"], "year"),
     ("f10_leakage_by_week", ["total_payment_leakage"], ["metric_time"], "week"),
+    ("m11_ed_encounters_by_quarter", ["ed_encounters"], ["metric_time"], "quarter"),
+    ("m12_distinct_members_by_encounter_class", ["distinct_members"], ["encounter_class_code"], None),
 ]
 
 

@@ -911,3 +911,60 @@ for _h in _R.HASHED_STAGES:
     oracle(_OV.hashed_query_name(_h.name), _OV.hashed_stage_sql(_h.name))
 for _t in (*_R.HUBS, *_R.LINKS, *_R.SATELLITES, *_R.TLINKS):
     oracle(_OV.vault_query_name(_t.name), _OV.vault_table_sql(_t.name))
+
+
+# landers over the raw-file-shaped proxies
+from vaultmart.sources import ingest as _IG  # noqa: E402
+from vaultmart.sources.proxy import raw_sql as _raw_sql  # noqa: E402
+
+_RAW = _raw_sql("duckdb")
+
+
+def _renamed(raw: str, mapping: dict) -> str:
+    cols = ", ".join(f'"{s}" AS {t}' for s, t in mapping.items())
+    return f"raw AS ({_RAW[raw]}), r AS (SELECT {cols}{', _row_order' if raw == 'bene_raw' else ''} FROM raw)"
+
+
+_PROV = _renamed("nppes_raw", _IG.PROVIDER_COLUMN_MAP) + """,
+  latest AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY npi
+               ORDER BY try_strptime(last_update_date, '%m/%d/%Y') DESC NULLS LAST) AS _rn FROM r) WHERE _rn = 1)"""
+oracle("a01_land_providers_individuals", f"WITH {_PROV} SELECT * FROM latest WHERE entity_type_code = '1'")
+oracle("a01_land_providers_organizations", f"WITH {_PROV} SELECT * FROM latest WHERE entity_type_code = '2'")
+oracle("a13_landing_summary_providers", f"""WITH {_PROV}
+SELECT 'nppes_raw' AS "table", 'input' AS kind, count(*) AS rows FROM raw
+UNION ALL SELECT 'nppes_providers', 'landed', count(*) FROM latest WHERE entity_type_code = '1'
+UNION ALL SELECT 'nppes_facilities', 'landed', count(*) FROM latest WHERE entity_type_code = '2'""")
+oracle("a03_land_beneficiaries", f"""WITH {_renamed('bene_raw', _IG.BENEFICIARY_COLUMN_MAP)}
+SELECT * EXCLUDE (_rn, _row_order) FROM (
+  SELECT *, row_number() OVER (PARTITION BY member_bk ORDER BY _row_order DESC) AS _rn FROM r) WHERE _rn = 1""")
+_HDR_REST = [c for c in _IG.CLAIM_HEADER_COLUMN_MAP.values() if c != "claim_line_bk"]
+oracle("a04_land_claim_headers", f"""WITH {_renamed('claims_raw', _IG.CLAIM_HEADER_COLUMN_MAP)}
+SELECT * EXCLUDE (_rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY claim_line_bk
+                               ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in _HDR_REST)}) AS _rn FROM r)
+WHERE _rn = 1""")
+_PX = " UNION ALL ".join(f'SELECT "CLM_ID" AS claim_line_bk, "{c}" AS procedure_bk FROM raw'
+                         for c in _IG.PROCEDURE_CODE_COLUMNS)
+oracle("a04_land_claim_procedures", f"""WITH raw AS ({_RAW['claims_raw']})
+SELECT DISTINCT claim_line_bk, procedure_bk FROM ({_PX}) u
+WHERE procedure_bk IS NOT NULL AND trim(procedure_bk) <> ''""")
+
+_ISO = "strftime({x}, '%Y-%m-%dT%H:%M:%S')"
+oracle("a06_land_fhir_patients", """
+SELECT 'C' || CAST(o_custkey AS VARCHAR) AS member_bk, '19' || lpad(CAST(o_custkey % 100 AS VARCHAR), 2, '0') || '-01-01'
+         AS birth_date, CASE WHEN o_custkey % 2 = 0 THEN 'female' ELSE 'male' END AS sex,
+       CAST(NULL AS VARCHAR) AS death_date FROM orders""")
+oracle("a06_land_fhir_encounters", f"""
+SELECT 'E' || CAST(o_orderkey AS VARCHAR) AS encounter_bk, 'finished' AS encounter_status,
+       CASE o_orderstatus WHEN 'F' THEN 'IMP' WHEN 'O' THEN 'EMER' ELSE 'AMB' END AS encounter_class_code,
+       o_orderpriority AS encounter_type_text, 'C' || CAST(o_custkey AS VARCHAR) AS member_reference,
+       {_ISO.format(x='o_orderdate')} AS encounter_start,
+       {_ISO.format(x='o_orderdate + to_days(CAST(o_orderkey % 5 AS INTEGER))')} AS encounter_end,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 'P' || CAST(o_orderkey % 31 AS VARCHAR) END AS provider_reference,
+       'F' || CAST(o_custkey % 97 AS VARCHAR) AS facility_reference FROM orders""")
+oracle("a06_land_fhir_conditions", f"""
+SELECT 'CND-' || CAST(o_orderkey AS VARCHAR) AS condition_bk,
+       CASE WHEN o_orderstatus = 'F' THEN 'resolved' ELSE 'active' END AS clinical_status_code,
+       o_orderpriority AS diagnosis_bk, 'Priority ' || o_orderpriority AS diagnosis_description,
+       'C' || CAST(o_custkey AS VARCHAR) AS member_reference, 'E' || CAST(o_orderkey AS VARCHAR) AS encounter_reference,
+       {_ISO.format(x='o_orderdate')} AS onset_date FROM orders""")

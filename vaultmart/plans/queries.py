@@ -666,3 +666,65 @@ for _hs in R.HASHED_STAGES:
     _hashed_stage_query(_hs)
 for _t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS):
     _vault_table_query(_t.name, R.BY_NAME[_t.source].source)
+
+
+# ---------------------------------------------------------------------------
+# landers (A1, A3, A4, A6, A7, A13) over raw-file-shaped proxies
+# ---------------------------------------------------------------------------
+from vaultmart.sources import ingest as IG  # noqa: E402
+
+
+def raw(spark, sf_dir, name: str) -> DataFrame:
+    sql = proxy.raw_sql("spark")[name]
+    proxy.register_driver_tables(spark, sf_dir, proxy.tables_in(sql))
+    return spark.sql(sql)
+
+
+@query("a01_land_providers_individuals")
+def q_land_individuals(spark, sf_dir):
+    return present(IG.land_providers(raw(spark, sf_dir, "nppes_raw"))[0])
+
+
+@query("a01_land_providers_organizations")
+def q_land_organizations(spark, sf_dir):
+    return present(IG.land_providers(raw(spark, sf_dir, "nppes_raw"))[1])
+
+
+@query("a13_landing_summary_providers")
+def q_landing_summary(spark, sf_dir):
+    r = raw(spark, sf_dir, "nppes_raw")
+    ind, org = IG.land_providers(r)
+    return present(IG.landing_summary({"nppes_raw": r}, {"nppes_providers": ind, "nppes_facilities": org}))
+
+
+@query("a03_land_beneficiaries")
+def q_land_beneficiaries(spark, sf_dir):
+    return present(IG.land_beneficiaries(raw(spark, sf_dir, "bene_raw"), "_row_order"))
+
+
+@query("a04_land_claim_headers")
+def q_land_claim_headers(spark, sf_dir):
+    return present(IG.land_claim_headers(raw(spark, sf_dir, "claims_raw")))
+
+
+@query("a04_land_claim_procedures")
+def q_land_claim_procedures(spark, sf_dir):
+    return present(IG.land_claims(raw(spark, sf_dir, "claims_raw"))["synpuf_inpatient_claim_procedures"])
+
+
+def fhir_bundles(spark, sf_dir) -> DataFrame:
+    proxy.register_driver_tables(spark, sf_dir, ["orders"])
+    return (spark.sql(proxy.fhir_bundle_json_sql())
+                 .select(F.from_json("bundle", IG.FHIR_SCHEMA).alias("b")).select("b.*"))
+
+
+def _fhir_query(qname: str, table: str):
+    def run(spark, sf_dir):
+        return present(IG.land_fhir(fhir_bundles(spark, sf_dir))[table])
+    run.__name__ = f"q_{table}"
+    QUERIES[qname] = run
+
+
+for _qn, _tb in (("a06_land_fhir_patients", "synthea_patients"), ("a06_land_fhir_encounters", "synthea_encounters"),
+                 ("a06_land_fhir_conditions", "synthea_conditions")):
+    _fhir_query(_qn, _tb)

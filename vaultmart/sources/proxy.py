@@ -355,3 +355,128 @@ def bronze(spark: SparkSession, sf_dir: str, names: list[str] | None = None) ->
         out["synpuf_inpatient_claim_procedures"] = unpivot_codes(
             wide, ["claim_line_bk", "record_source", "load_dts"], ["px_1", "px_2"], "procedure_bk")
     return out
+
+
+# ---------------------------------------------------------------------------
+# raw-file-shaped inputs for the landers (A1, A3, A4, A6, A7, A13): source
+# column names and text values as the landing files carry them
+# ---------------------------------------------------------------------------
+def _qn(name: str, dialect: str) -> str:
+    return f"`{name}`" if dialect == "spark" else f'"{name}"'
+
+
+def _fmt(x: str, spark_fmt: str, duck_fmt: str, dialect: str) -> str:
+    return f"date_format({x}, '{spark_fmt}')" if dialect == "spark" else f"strftime({x}, '{duck_fmt}')"
+
+
+def _us_date(k: str) -> str:
+    """MM/dd/yyyy text whose text order differs from its date order."""
+    return (f"lpad(CAST(1 + {k} % 12 AS STRING), 2, '0') || '/' || lpad(CAST(1 + {k} % 28 AS STRING), 2, '0') "
+            f"|| '/' || CAST(2010 + ({k} * 7) % 10 AS STRING)")
+
+
+def raw_sql(dialect: str = "spark") -> dict[str, str]:
+    d = dialect
+    q = lambda s: _qn(s, d)
+    flags = ["SP_ALZHDMTA", "SP_CHF", "SP_CHRNKIDN", "SP_CNCR", "SP_COPD", "SP_DEPRESSN", "SP_DIABETES",
+             "SP_ISCHMCHT", "SP_OSTEOPRS", "SP_RA_OA", "SP_STRKETIA"]
+    flag_cols = ", ".join(f"CASE WHEN (o_orderkey + {i}) % 3 = 0 THEN '1' ELSE '2' END AS {q(f)}"
+                          for i, f in enumerate(flags))
+    ymd = lambda x: _fmt(x, "yyyyMMdd", "%Y%m%d", d)
+    dx = ["p_type", "p_brand", "CASE WHEN p_size % 10 = 0 THEN '' ELSE 'S' || CAST(p_size AS STRING) END",
+          "'R' || l_returnflag", "CASE WHEN l_linestatus = 'O' THEN 'OPEN' END"]
+    dx_cols = ", ".join(f"{dx[i - 1] if i <= len(dx) else 'CAST(NULL AS STRING)'} AS {q(f'ICD9_DGNS_CD_{i}')}"
+                        for i in range(1, 11))
+    px = ["CAST(p_size AS STRING)",
+          "CASE WHEN l_quantity > 25 THEN 'Q' || CAST(CAST(l_quantity AS INT) AS STRING) ELSE ' ' END"]
+    px_cols = ", ".join(f"{px[i - 1] if i <= len(px) else 'CAST(NULL AS STRING)'} AS {q(f'ICD9_PRCDR_CD_{i}')}"
+                        for i in range(1, 7))
+    return {
+        # two supplier rows per NPI, so the latest-update de-dupe has work to do
+        "nppes_raw": f"""
+            SELECT CAST({_idiv('s_suppkey', '2', d)} AS STRING) AS {q('NPI')},
+                   CASE WHEN s_suppkey % 3 = 0 THEN '2' ELSE '1' END AS {q('Entity Type Code')},
+                   CASE WHEN s_suppkey % 3 = 0 THEN 'Org ' || s_name END
+                     AS {q('Provider Organization Name (Legal Business Name)')},
+                   s_name AS {q('Provider Last Name (Legal Name)')},
+                   'Pat' || CAST(s_suppkey % 50 AS STRING) AS {q('Provider First Name')},
+                   CASE WHEN s_suppkey % 4 = 0 THEN 'M' END AS {q('Provider Middle Name')},
+                   CASE s_suppkey % 3 WHEN 0 THEN 'MD' WHEN 1 THEN 'DO' ELSE 'NP' END AS {q('Provider Credential Text')},
+                   CAST(s_suppkey AS STRING) || ' Main St'
+                     AS {q('Provider First Line Business Practice Location Address')},
+                   CAST(NULL AS STRING) AS {q('Provider Second Line Business Practice Location Address')},
+                   'CITY-' || CAST(s_nationkey AS STRING)
+                     AS {q('Provider Business Practice Location Address City Name')},
+                   {_state_of('s_nationkey', d)} AS {q('Provider Business Practice Location Address State Name')},
+                   lpad(CAST(s_suppkey % 99999 AS STRING), 5, '0')
+                     AS {q('Provider Business Practice Location Address Postal Code')},
+                   CASE WHEN s_suppkey % 3 = 0 THEN '3336C0003X' ELSE '207Q00000X' END
+                     AS {q('Healthcare Provider Taxonomy Code_1')},
+                   'Y' AS {q('Healthcare Provider Primary Taxonomy Switch_1')},
+                   '01/15/2005' AS {q('Provider Enumeration Date')},
+                   {_us_date('s_suppkey')} AS {q('Last Update Date')},
+                   CAST(NULL AS STRING) AS {q('NPI Deactivation Date')},
+                   CASE WHEN s_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END AS {q('Is Sole Proprietor')}
+            FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+        # one beneficiary-summary row per order; the file ordinal orders a member's rows
+        "bene_raw": f"""
+            SELECT CAST(o_custkey AS STRING) AS {q('DESYNPUF_ID')},
+                   CAST(1930 + o_custkey % 60 AS STRING) || lpad(CAST(1 + o_custkey % 12 AS STRING), 2, '0')
+                     || lpad(CAST(1 + o_custkey % 28 AS STRING), 2, '0') AS {q('BENE_BIRTH_DT')},
+                   CASE WHEN o_orderstatus = 'F' AND o_orderkey % 13 = 0
+                        THEN CAST(year(o_orderdate) AS STRING) || '1231' END AS {q('BENE_DEATH_DT')},
+                   CAST(o_custkey % 2 + 1 AS STRING) AS {q('BENE_SEX_IDENT_CD')},
+                   CAST(o_custkey % 5 + 1 AS STRING) AS {q('BENE_RACE_CD')},
+                   CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE '0' END AS {q('BENE_ESRD_IND')},
+                   CAST(o_custkey % 50 + 1 AS STRING) AS {q('SP_STATE_CODE')},
+                   CAST(o_orderkey % 999 AS STRING) AS {q('BENE_COUNTY_CD')},
+                   {flag_cols},
+                   CAST(CAST(floor(o_totalprice) AS BIGINT) AS STRING) AS {q('MEDREIMB_IP')},
+                   CAST(o_orderkey % 1000 AS STRING) AS {q('MEDREIMB_OP')},
+                   CAST(o_custkey % 300 AS STRING) AS {q('MEDREIMB_CAR')},
+                   o_orderkey AS _row_order
+            FROM orders""",
+        # (order, line) repeats in the generated lineitems, so claim ids repeat
+        "claims_raw": f"""
+            SELECT CAST(o_custkey AS STRING) AS {q('DESYNPUF_ID')},
+                   CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS {q('CLM_ID')},
+                   {ymd('o_orderdate')} AS {q('CLM_FROM_DT')}, {ymd('l_shipdate')} AS {q('CLM_THRU_DT')},
+                   CAST(l_suppkey AS STRING) AS {q('PRVDR_NUM')}, CAST({PAID} AS STRING) AS {q('CLM_PMT_AMT')},
+                   CAST(CAST({BILLED} * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(12,2)) AS STRING)
+                     AS {q('NCH_PRMRY_PYR_CLM_PD_AMT')},
+                   {ymd('o_orderdate')} AS {q('CLM_ADMSN_DT')}, {ymd('l_shipdate')} AS {q('NCH_BENE_DSCHRG_DT')},
+                   {DRG_CODE} AS {q('CLM_DRG_CD')},
+                   CAST(CAST(l_quantity AS INT) AS STRING) AS {q('CLM_UTLZTN_DAY_CNT')},
+                   {dx_cols}, {px_cols}
+            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part ON l.l_partkey = p_partkey""",
+    }
+
+
+def fhir_bundle_json_sql() -> str:
+    """One FHIR bundle (JSON text) per order: Patient, Encounter, Condition and
+    one resource of a type the lander skips.  Spark SQL."""
+    iso = "date_format({x}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+    start = iso.format(x="o_orderdate")
+    end = iso.format(x=_add_days_ts("o_orderdate", "o_orderkey % 5", "spark"))
+    cls = "CASE o_orderstatus WHEN 'F' THEN 'IMP' WHEN 'O' THEN 'EMER' ELSE 'AMB' END"
+    return f"""
+        SELECT '{{"resourceType":"Bundle","type":"collection","entry":['
+          || '{{"fullUrl":"urn:uuid:C' || CAST(o_custkey AS STRING) || '","resource":{{"resourceType":"Patient",'
+          || '"id":"C' || CAST(o_custkey AS STRING) || '","birthDate":"19' || lpad(CAST(o_custkey % 100 AS STRING), 2, '0')
+          || '-01-01","gender":"' || CASE WHEN o_custkey % 2 = 0 THEN 'female' ELSE 'male' END || '"}}}},'
+          || '{{"resource":{{"resourceType":"Encounter","id":"E' || CAST(o_orderkey AS STRING) || '","status":"finished",'
+          || '"class":{{"code":"' || {cls} || '"}},"type":[{{"text":"' || o_orderpriority || '"}}],'
+          || '"subject":{{"reference":"urn:uuid:C' || CAST(o_custkey AS STRING) || '"}},'
+          || '"period":{{"start":"' || {start} || '","end":"' || {end} || '"}}'
+          || CASE WHEN o_orderkey % 7 = 0 THEN ''
+                  ELSE ',"participant":[{{"individual":{{"reference":"Practitioner/P' || o_clerk_id || '"}}}}]' END
+          || ',"serviceProvider":{{"reference":"Organization/F' || CAST(o_custkey % 97 AS STRING) || '"}}}}}},'
+          || '{{"resource":{{"resourceType":"Condition","id":"CND-' || CAST(o_orderkey AS STRING) || '",'
+          || '"clinicalStatus":{{"coding":[{{"code":"' || CASE WHEN o_orderstatus = 'F' THEN 'resolved' ELSE 'active' END
+          || '"}}]}},"code":{{"coding":[{{"code":"' || o_orderpriority || '","display":"Priority ' || o_orderpriority
+          || '"}}]}},"subject":{{"reference":"Patient/C' || CAST(o_custkey AS STRING) || '"}},'
+          || '"encounter":{{"reference":"urn:uuid:E' || CAST(o_orderkey AS STRING) || '"}},'
+          || '"onsetDateTime":"' || {start} || '"}}}},'
+          || '{{"resource":{{"resourceType":"Observation","id":"OBS-' || CAST(o_orderkey AS STRING) || '"}}}}'
+          || ']}}' AS bundle
+        FROM (SELECT *, CAST(o_orderkey % 31 AS STRING) AS o_clerk_id FROM orders)"""

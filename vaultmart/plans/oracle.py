@@ -968,3 +968,13 @@ SELECT 'CND-' || CAST(o_orderkey AS VARCHAR) AS condition_bk,
        o_orderpriority AS diagnosis_bk, 'Priority ' || o_orderpriority AS diagnosis_description,
        'C' || CAST(o_custkey AS VARCHAR) AS member_reference, 'E' || CAST(o_orderkey AS VARCHAR) AS encounter_reference,
        {_ISO.format(x='o_orderdate')} AS onset_date FROM orders""")
+
+
+def _crosswalk_oracle() -> str:
+    from vaultmart.plans.queries import XWALK_TABLES, crosswalk_checks
+    ctes = ",\n".join(f"q_{t} AS ({_OV.vault_table_sql(t)})" for t in XWALK_TABLES)
+    body = "\nUNION ALL\n".join(_check_sql(c) for c in crosswalk_checks())
+    return f"WITH {ctes}\nSELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body})"
+
+
+oracle("h03_crosswalk_resolves", _crosswalk_oracle())

@@ -728,3 +728,18 @@ def _fhir_query(qname: str, table: str):
 for _qn, _tb in (("a06_land_fhir_patients", "synthea_patients"), ("a06_land_fhir_encounters", "synthea_encounters"),
                  ("a06_land_fhir_conditions", "synthea_conditions")):
     _fhir_query(_qn, _tb)
+
+
+# H-X: every crosswalk entry resolves to a known diagnosis, HCC and risk model
+XWALK_TABLES = ["lnk_diagnosis_hcc_crosswalk", "hub_diagnosis", "hub_hcc_category", "hub_risk_model"]
+
+
+def crosswalk_checks() -> list:
+    return [c for c in QC.vault_checks(XWALK_TABLES)
+            if c.table == "lnk_diagnosis_hcc_crosswalk" and c.check == "relationships"]
+
+
+@query("h03_crosswalk_resolves")
+def q_crosswalk(spark, sf_dir):
+    bronzes = sorted({b for n in XWALK_TABLES for b in STAGING_INPUTS[R.BY_NAME[R.BY_NAME[n].source].source]})
+    return QC.run_checks(vault(spark, sf_dir, XWALK_TABLES, bronzes), crosswalk_checks())

@@ -18,7 +18,11 @@ Scale notes
   the rows are split into (key, time-bucket) partitions; the lag inside
   a bucket is completed by the last hashdiff of the preceding bucket,
   taken from a per-(key, bucket) aggregate whose size is bounded by the
-  number of buckets, not by the number of rows.
+  number of buckets, not by the number of rows.  Picking one row per
+  (key, load_dts) and finding its predecessor share one sort of the
+  (key, bucket) partitions, so a batch costs two full shuffles (the
+  bucket window and the per-bucket aggregate) plus two over the small
+  per-bucket table.
 """
 
 from __future__ import annotations
@@ -109,12 +113,7 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
     * A -> B -> A therefore yields three versions.
     """
     cols = [pk, hashdiff_col, *payload, LOAD_DTS, RECORD_SOURCE]
-    src = staged.select(*cols).where(F.col(pk).isNotNull() & F.col(LOAD_DTS).isNotNull())
-    one = (src.groupBy(pk, LOAD_DTS)
-              .agg(F.min_by(F.struct(hashdiff_col, RECORD_SOURCE, *payload),
-                            F.struct(hashdiff_col, RECORD_SOURCE, *payload)).alias("_r"))
-              .select(pk, LOAD_DTS, *[F.col(f"_r.{c}").alias(c)
-                                      for c in (hashdiff_col, RECORD_SOURCE, *payload)]))
+    one = staged.select(*cols).where(F.col(pk).isNotNull() & F.col(LOAD_DTS).isNotNull())
     if target is not None:
         cur = (target.groupBy(pk)
                      .agg(F.max_by(F.struct(LOAD_DTS, hashdiff_col), F.struct(LOAD_DTS, hashdiff_col)).alias("_c"))
@@ -126,8 +125,17 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
         one = one.withColumn("_cur_hd", F.lit(None).cast("string"))
 
     one = one.withColumn("_b", F.floor(F.unix_timestamp(F.col(LOAD_DTS).cast("timestamp")) / bucket_seconds))
-    in_bucket = Window.partitionBy(pk, "_b").orderBy(LOAD_DTS)
-    one = one.withColumn("_prev", F.lag(hashdiff_col).over(in_bucket))
+    # One sort per (key, bucket) does both steps: the first row of every
+    # (key, load_dts) in (hashdiff, record_source, payload) order is that
+    # instant's version, and the version before it is the last such first
+    # row earlier in the bucket.  Both windows share partitioning and
+    # ordering, so Spark runs them over one exchange and one sort.
+    in_bucket = Window.partitionBy(pk, "_b").orderBy(LOAD_DTS, hashdiff_col, RECORD_SOURCE, *payload)
+    before = in_bucket.rowsBetween(Window.unboundedPreceding, -1)
+    one = one.withColumn("_lt", F.lag(LOAD_DTS).over(in_bucket))
+    one = one.withColumn("_rep", F.col("_lt").isNull() | (F.col("_lt") != F.col(LOAD_DTS)))
+    one = (one.withColumn("_prev", F.last(F.when(F.col("_rep"), F.col(hashdiff_col)), ignorenulls=True).over(before))
+              .where(F.col("_rep")).drop("_lt", "_rep"))
 
     # last hashdiff of every (key, bucket); the preceding bucket's last value
     # completes the lag of each bucket's first row.  Bounded per key by the
@@ -135,11 +143,12 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
     last = (one.groupBy(pk, "_b").agg(F.max_by(hashdiff_col, LOAD_DTS).alias("_last"))
                .withColumn("_pbl", F.lag("_last").over(Window.partitionBy(pk).orderBy("_b")))
                .select(pk, "_b", "_pbl"))
-    firsts = one.where(F.col("_prev").isNull()).join(last, on=[pk, "_b"], how="left")
-    firsts = firsts.withColumn("_prev", F.coalesce("_pbl", "_cur_hd")).drop("_pbl")
-    rest = one.where(F.col("_prev").isNotNull())
-    allrows = firsts.unionByName(rest)
-    changed = allrows.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(hashdiff_col)))
+    # every row joins its bucket's small "previous bucket" row (the batch
+    # side keeps its (key, bucket) partitioning); only a bucket's first
+    # version falls back to it, and the first bucket to the target's row
+    allrows = one.join(last, on=[pk, "_b"], how="left")
+    prev = F.coalesce(F.col("_prev"), F.col("_pbl"), F.col("_cur_hd"))
+    changed = allrows.where(prev.isNull() | (prev != F.col(hashdiff_col)))
     return changed.select(*cols)
 
 

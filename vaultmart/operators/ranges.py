@@ -26,6 +26,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _nearest_next(u: DataFrame, days: int, id_col: str, keep: list[str]) -> DataFrame:
+    """Window pass over tagged rows (_k, _b, _t, _kind, _cs, _cid, _iid, keep...):
+    ``next_start`` for every index row (_kind = 1)."""
+    w = (Window.partitionBy("_k", "_b")
+               .orderBy(F.col("_t").desc(), F.col("_kind").desc(), F.col("_cid").desc_nulls_first())
+               .rowsBetween(Window.unboundedPreceding, -1))
+    cand_struct = F.when(F.col("_kind") == 0, F.struct(F.col("_cs").alias("s"), F.col("_cid").alias("id")))
+    u = u.withColumn("_near", F.last(cand_struct, ignorenulls=True).over(w))
+    with_next = F.when(F.col("_kind") == 0, F.struct(F.col("_cs").alias("s"), F.col("_cid").alias("id"),
+                                                      F.col("_near.s").alias("nxt")))
+    u = u.withColumn("_near2", F.last(with_next, ignorenulls=True).over(w))
+    res = u.where(F.col("_kind") == 1).select(
+        F.col("_iid").alias(id_col), *keep, F.col("_t").alias("_end"),
+        F.when(F.col("_near2.id") == F.col("_iid").cast("string"), F.col("_near2.nxt"))
+         .otherwise(F.col("_near2.s")).alias("_next"))
+    limit = F.col("_end") + F.make_interval(days=F.lit(days))
+    return res.select(id_col, *keep, F.when(F.col("_next") <= limit, F.col("_next")).alias("next_start"))
+
+
 def next_start_within(index: DataFrame, candidates: DataFrame, key: str, id_col: str,
                       start: str, end: str, days: int) -> DataFrame:
     """Return ``(id_col, next_start)`` for every index row with a non-null end."""
@@ -43,21 +62,36 @@ def next_start_within(index: DataFrame, candidates: DataFrame, key: str, id_col:
                               F.explode(F.array(F.floor(F.unix_timestamp(F.col(start).cast(ts)) / width),
                                                 F.floor(F.unix_timestamp(F.col(start).cast(ts)) / width) - 1))
                                .alias("_b")))
-    u = idx.unionByName(cand)
-    w = (Window.partitionBy("_k", "_b")
-               .orderBy(F.col("_t").desc(), F.col("_kind").desc(), F.col("_cid").desc_nulls_first())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    cand_struct = F.when(F.col("_kind") == 0, F.struct(F.col("_cs").alias("s"), F.col("_cid").alias("id")))
-    u = u.withColumn("_near", F.last(cand_struct, ignorenulls=True).over(w))
-    with_next = F.when(F.col("_kind") == 0, F.struct(F.col("_cs").alias("s"), F.col("_cid").alias("id"),
-                                                      F.col("_near.s").alias("nxt")))
-    u = u.withColumn("_near2", F.last(with_next, ignorenulls=True).over(w))
-    res = u.where(F.col("_kind") == 1).select(
-        F.col("_iid").alias(id_col), F.col("_t").alias("_end"),
-        F.when(F.col("_near2.id") == F.col("_iid").cast("string"), F.col("_near2.nxt"))
-         .otherwise(F.col("_near2.s")).alias("_next"))
-    limit = F.col("_end") + F.make_interval(days=F.lit(days))
-    return res.select(id_col, F.when(F.col("_next") <= limit, F.col("_next")).alias("next_start"))
+    return _nearest_next(idx.unionByName(cand), days, id_col, [])
+
+
+def next_start_within_self(df: DataFrame, key: str, id_col: str, start: str, end: str, days: int,
+                           carry: tuple = ()) -> DataFrame:
+    """Same answer when the index and candidate intervals are one frame, in
+    one pass over it: every row is exploded into its index row (at its
+    end) and its two candidate rows (at its start, in its bucket and the
+    previous one), so the input is read once and no join back is needed.
+    Returns ``(id_col, key, *carry, next_start)`` per row with a non-null end."""
+    width = days * 86400
+    ts = "timestamp"
+    t_end, t_start = F.col(end).cast(ts), F.col(start).cast(ts)
+    b_end = F.floor(F.unix_timestamp(t_end) / width)
+    b_start = F.floor(F.unix_timestamp(t_start) / width)
+    no_ts, no_id = F.lit(None).cast(ts), F.lit(None).cast("string")
+
+    def tag(t, kind, cs, cid, b):
+        return F.struct(t.alias("_t"), F.lit(kind).alias("_kind"), cs.alias("_cs"), cid.alias("_cid"),
+                        b.alias("_b"))
+    rid = F.col(id_col).cast("string")
+    tags = F.array(F.when(F.col(end).isNotNull(), tag(t_end, 1, no_ts, no_id, b_end)),
+                   F.when(F.col(start).isNotNull(), tag(t_start, 0, t_start, rid, b_start)),
+                   F.when(F.col(start).isNotNull(), tag(t_start, 0, t_start, rid, b_start - 1)))
+    keep = [key, *carry]
+    u = (df.where(F.col(key).isNotNull())
+           .select(F.col(key).alias("_k"), F.col(id_col).alias("_iid0"), *keep,
+                   F.explode(F.filter(tags, lambda x: x.isNotNull())).alias("_g"))
+           .select("_k", *keep, "_g.*", F.when(F.col("_g._kind") == 1, F.col("_iid0")).alias("_iid")))
+    return _nearest_next(u, days, id_col, keep)
 
 
 def interval_join(events: DataFrame, intervals: DataFrame, key: str, at: str,

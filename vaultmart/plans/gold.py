@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultmart.functions.hashing import sha_surrogate
-from vaultmart.operators.ranges import next_start_within
+from vaultmart.operators.ranges import next_start_within_self
 from vaultmart.operators.vault import current_satellite
 from vaultmart.plans import registry as R
 from vaultmart.session import materialize
@@ -206,9 +206,11 @@ def fact_encounter(v: Vault) -> DataFrame:      # E12
 def readmission_from_encounters(enc: DataFrame) -> DataFrame:
     ip = enc.where((F.col("encounter_class_code") == INPATIENT_CLASS) & F.col("member_hk").isNotNull()).select(
         "encounter_hk", "member_hk", "encounter_start", "encounter_end")
-    nxt = next_start_within(ip, ip, "member_hk", "encounter_hk", "encounter_start", "encounter_end",
-                            READMISSION_WINDOW_DAYS)
-    return ip.where(F.col("encounter_end").isNotNull()).join(nxt, "encounter_hk", "left").select(
+    # one pass over the stays: each is an index row and a candidate row of
+    # the same frame, so the encounter fact is read once and not joined back
+    nxt = next_start_within_self(ip, "member_hk", "encounter_hk", "encounter_start", "encounter_end",
+                                 READMISSION_WINDOW_DAYS, carry=("encounter_start", "encounter_end"))
+    return nxt.select(
         F.col("encounter_hk").alias("index_encounter_hk"), "member_hk",
         F.col("encounter_start").alias("index_admission_date"), F.col("encounter_end").alias("index_discharge_date"),
         F.col("next_start").alias("next_admission_within_30_days"),

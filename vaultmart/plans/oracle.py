@@ -978,3 +978,9 @@ def _crosswalk_oracle() -> str:
 
 
 oracle("h03_crosswalk_resolves", _crosswalk_oracle())
+
+# One availableNow micro-batch over the whole file equals the batch load
+oracle("c09_stream_vault_claim_payment_txn", ORACLE["c07_tlnk_claim_payment_txn"])
+
+# The landed stream holds the file's rows as text plus the record source
+oracle("a14_stream_land_provider_file", f"WITH raw AS ({_RAW['nppes_raw']}) SELECT *, 'nppes' AS record_source FROM raw")

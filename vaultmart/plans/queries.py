@@ -743,3 +743,41 @@ def crosswalk_checks() -> list:
 def q_crosswalk(spark, sf_dir):
     bronzes = sorted({b for n in XWALK_TABLES for b in STAGING_INPUTS[R.BY_NAME[R.BY_NAME[n].source].source]})
     return QC.run_checks(vault(spark, sf_dir, XWALK_TABLES, bronzes), crosswalk_checks())
+
+
+# The vault and the landing layer loaded by streams over the
+# driver's files (availableNow), read back from their sinks
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from vaultmart.session import scratch_path  # noqa: E402
+from vaultmart.streaming.landing import land_stream, vault_stream  # noqa: E402
+
+
+@query("c09_stream_vault_claim_payment_txn")
+def q_stream_vault(spark, sf_dir):
+    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    pay_sql = proxy.bronze_sql("spark")["pi_payment_transactions"].replace("FROM lineitem", "FROM lineitem_batch")
+
+    def to_bronze(batch):
+        batch.createOrReplaceTempView("lineitem_batch")
+        return {"pi_payment_transactions": batch.sparkSession.sql(pay_sql)}
+
+    root = scratch_path(spark, f"stream-vault-{_uuid.uuid4().hex}")
+    vault_stream(spark, stream, to_bronze, _os.path.join(root, "vault"), _os.path.join(root, "checkpoint"),
+                 ["tlnk_claim_payment_txn"]).awaitTermination()
+    return present(spark.read.parquet(_os.path.join(root, "vault", "tlnk_claim_payment_txn")))
+
+
+@query("a14_stream_land_provider_file")
+def q_stream_land(spark, sf_dir):
+    root = scratch_path(spark, f"stream-land-{_uuid.uuid4().hex}")
+    incoming = _os.path.join(root, "incoming")
+    # the raw provider file arrives in the landing folder as CSV
+    raw(spark, sf_dir, "nppes_raw").write.option("header", True).csv(incoming)
+    schema = IG.text_schema(list(IG.PROVIDER_COLUMN_MAP))
+    land_stream(spark, incoming, schema, _os.path.join(root, "bronze"), _os.path.join(root, "checkpoint"),
+                "nppes", fmt="csv", options={"header": "true"}).awaitTermination()
+    # load time and file path differ per run; the landed rows and source do not
+    return spark.read.parquet(_os.path.join(root, "bronze")).drop("load_dts", "source_file")

@@ -984,3 +984,12 @@ oracle("c09_stream_vault_claim_payment_txn", ORACLE["c07_tlnk_claim_payment_txn"
 
 # The landed stream holds the file's rows as text plus the record source
 oracle("a14_stream_land_provider_file", f"WITH raw AS ({_RAW['nppes_raw']}) SELECT *, 'nppes' AS record_source FROM raw")
+
+# Landed drug products (absent column -> NULL, names lower-cased) and
+# packages whose product is missing
+_PROD_COLS = ", ".join(("CAST(NULL AS VARCHAR)" if c == "DEASCHEDULE" else f'"{c}"') + f" AS {c.lower()}"
+                       for c in _IG.DRUG_PRODUCT_COLUMNS)
+_PACK_COLS = ", ".join(f'"{c}" AS {c.lower()}' for c in _IG.DRUG_PACKAGE_COLUMNS)
+oracle("a08_land_drug_products", f"WITH f AS ({_RAW['ndc_product_file']}) SELECT {_PROD_COLS} FROM f")
+oracle("a09_orphan_drug_packages", f"""WITH p AS ({_RAW['ndc_product_file']}), k AS ({_RAW['ndc_package_file']})
+SELECT {_PACK_COLS} FROM k WHERE "PRODUCTNDC" NOT IN (SELECT "PRODUCTNDC" FROM p)""")

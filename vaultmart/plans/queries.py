@@ -781,3 +781,24 @@ def q_stream_land(spark, sf_dir):
                 "nppes", fmt="csv", options={"header": "true"}).awaitTermination()
     # load time and file path differ per run; the landed rows and source do not
     return spark.read.parquet(_os.path.join(root, "bronze")).drop("load_dts", "source_file")
+
+
+def drug_files(spark, sf_dir) -> dict[str, DataFrame]:
+    """The drug directory files written as tab-separated text, then landed."""
+    root = scratch_path(spark, f"ndc-{_uuid.uuid4().hex}")
+    paths = {}
+    for name in ("ndc_product_file", "ndc_package_file"):
+        paths[name] = _os.path.join(root, name)
+        raw(spark, sf_dir, name).write.option("header", True).option("sep", "\t").csv(paths[name])
+    return IG.land_drugs(spark, paths["ndc_product_file"], paths["ndc_package_file"])
+
+
+@query("a08_land_drug_products")
+def q_land_drugs(spark, sf_dir):
+    return drug_files(spark, sf_dir)["ndc_products"]
+
+
+@query("a09_orphan_drug_packages")
+def q_orphan_packages(spark, sf_dir):
+    out = drug_files(spark, sf_dir)
+    return IG.orphan_rows(out["ndc_packages"], out["ndc_products"], "productndc")

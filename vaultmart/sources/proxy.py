@@ -436,6 +436,26 @@ def raw_sql(dialect: str = "spark") -> dict[str, str]:
                    CAST(o_custkey % 300 AS STRING) AS {q('MEDREIMB_CAR')},
                    o_orderkey AS _row_order
             FROM orders""",
+        # drug directory files: one product per part (every 50th part has none, so
+        # its packages are orphans); the DEASCHEDULE column is absent from the file
+        "ndc_product_file": f"""
+            SELECT 'PID-' || CAST(p_partkey AS STRING) AS PRODUCTID, CAST(p_partkey AS STRING) AS PRODUCTNDC,
+                   'HUMAN PRESCRIPTION DRUG' AS PRODUCTTYPENAME,
+                   CASE WHEN p_partkey % 4 = 0 THEN CAST(NULL AS STRING) ELSE p_name END AS PROPRIETARYNAME,
+                   CAST(NULL AS STRING) AS PROPRIETARYNAMESUFFIX, p_type AS NONPROPRIETARYNAME,
+                   'TABLET' AS DOSAGEFORMNAME, 'ORAL' AS ROUTENAME, '20200101' AS STARTMARKETINGDATE,
+                   CAST(NULL AS STRING) AS ENDMARKETINGDATE, 'NDA' AS MARKETINGCATEGORYNAME,
+                   'NDA' || lpad(CAST(p_partkey AS STRING), 6, '0') AS APPLICATIONNUMBER, p_brand AS LABELERNAME,
+                   p_type AS SUBSTANCENAME, CAST(p_size AS STRING) AS ACTIVE_NUMERATOR_STRENGTH,
+                   'mg/1' AS ACTIVE_INGRED_UNIT, p_brand AS PHARM_CLASSES, 'N' AS NDC_EXCLUDE_FLAG,
+                   '20251231' AS LISTING_RECORD_CERTIFIED_THROUGH
+            FROM part WHERE p_partkey % 50 <> 0""",
+        "ndc_package_file": """
+            SELECT DISTINCT 'PID-' || CAST(l_partkey AS STRING) AS PRODUCTID, CAST(l_partkey AS STRING) AS PRODUCTNDC,
+                   CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) AS NDCPACKAGECODE,
+                   '30 TABLET in 1 BOTTLE' AS PACKAGEDESCRIPTION, '20200101' AS STARTMARKETINGDATE,
+                   CAST(NULL AS STRING) AS ENDMARKETINGDATE, 'N' AS NDC_EXCLUDE_FLAG, 'N' AS SAMPLE_PACKAGE
+            FROM lineitem""",
         # (order, line) repeats in the generated lineitems, so claim ids repeat
         "claims_raw": f"""
             SELECT CAST(o_custkey AS STRING) AS {q('DESYNPUF_ID')},

@@ -993,3 +993,15 @@ _PACK_COLS = ", ".join(f'"{c}" AS {c.lower()}' for c in _IG.DRUG_PACKAGE_COLUMNS
 oracle("a08_land_drug_products", f"WITH f AS ({_RAW['ndc_product_file']}) SELECT {_PROD_COLS} FROM f")
 oracle("a09_orphan_drug_packages", f"""WITH p AS ({_RAW['ndc_product_file']}), k AS ({_RAW['ndc_package_file']})
 SELECT {_PACK_COLS} FROM k WHERE "PRODUCTNDC" NOT IN (SELECT "PRODUCTNDC" FROM p)""")
+
+# Text CSV read with a fixed schema, typed by staging; lineage = table name + batch time
+_REF_LD = "'2024-01-01 00:00:00' AS load_dts"
+oracle("a15_reference_member_hcc_staged", with_bronze("ra_member_hcc") + f"""
+SELECT member_bk, hcc_bk, active_flag, {dt('coding_gap_identified_date')} AS coding_gap_identified_date,
+       {dt('coding_gap_closed_date')} AS coding_gap_closed_date, 'ra_member_hcc' AS record_source, {_REF_LD}
+FROM ra_member_hcc""")
+oracle("a15_reference_payments_staged", with_bronze("pi_payment_transactions") + f"""
+SELECT txn_bk, claim_line_bk, CAST(billed_amount AS DOUBLE) AS billed_amount,
+       CAST(allowed_amount AS DOUBLE) AS allowed_amount, CAST(paid_amount AS DOUBLE) AS paid_amount,
+       {dt('payment_date')} AS payment_date, 'pi_payment_transactions' AS record_source, {_REF_LD}
+FROM pi_payment_transactions""")

@@ -802,3 +802,27 @@ def q_land_drugs(spark, sf_dir):
 def q_orphan_packages(spark, sf_dir):
     out = drug_files(spark, sf_dir)
     return IG.orphan_rows(out["ndc_packages"], out["ndc_products"], "productndc")
+
+
+REFERENCE_LOAD_TS = "2024-01-01 00:00:00"
+
+
+def reference_tables(spark, sf_dir, names: list[str]) -> dict[str, DataFrame]:
+    """Reference / event tables arrive as all-text CSV files; read with a
+    fixed schema and stamped with the batch load time."""
+    folder = scratch_path(spark, f"reference-{_uuid.uuid4().hex}")
+    b = bronze(spark, sf_dir, names)
+    for n in names:
+        (b[n].select(*[F.col(c).cast("string").alias(c) for c in IG.REFERENCE_TABLES[n]])
+             .write.option("header", True).csv(_os.path.join(folder, f"{n}.csv")))
+    return IG.read_reference_tables(spark, folder, names, load_ts=REFERENCE_LOAD_TS)
+
+
+@query("a15_reference_member_hcc_staged")
+def q_reference_member_hcc(spark, sf_dir):
+    return present(S.stg_member_hcc(reference_tables(spark, sf_dir, ["ra_member_hcc"])))
+
+
+@query("a15_reference_payments_staged")
+def q_reference_payments(spark, sf_dir):
+    return present(S.stg_payment_txns(reference_tables(spark, sf_dir, ["pi_payment_transactions"])))

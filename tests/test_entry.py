@@ -48,7 +48,10 @@ SAMPLE = ["c06_satellite_history_two_batches", "e13_fact_readmission", "m06_yoy_
           "c06_sat_member_demographics", "c07_tlnk_pharmacy_fill_txn", "c05_lnk_encounter_diagnosis",
           "c03_stg_member_risk_scores_hk", "b24_stg_diagnosis_hcc_crosswalk", "a01_land_providers_individuals",
           "a04_land_claim_headers", "a06_land_fhir_encounters", "h03_crosswalk_resolves",
-          "m12_distinct_members_by_encounter_class"]
+          "m12_distinct_members_by_encounter_class",
+          # files written by Spark and landed again: drug TSVs, reference CSVs, file and vault streams
+          "a08_land_drug_products", "a09_orphan_drug_packages", "a15_reference_member_hcc_staged",
+          "a14_stream_land_provider_file", "c09_stream_vault_claim_payment_txn"]
 
 
 def test_sample_of_queries_matches_duckdb(spark):

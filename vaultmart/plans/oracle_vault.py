@@ -158,6 +158,7 @@ STG: dict[str, tuple[list[str], str, dict[str, str]]] = {
         {"fill_date": "d", "days_supply": "i"}),
 }
 
+
 def _bronze_ctes(stg_names: list[str]) -> list[str]:
     names: list[str] = []
     for s in stg_names:

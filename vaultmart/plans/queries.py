@@ -813,8 +813,8 @@ def reference_tables(spark, sf_dir, names: list[str]) -> dict[str, DataFrame]:
     folder = scratch_path(spark, f"reference-{_uuid.uuid4().hex}")
     b = bronze(spark, sf_dir, names)
     for n in names:
-        (b[n].select(*[F.col(c).cast("string").alias(c) for c in IG.REFERENCE_TABLES[n]])
-             .write.option("header", True).csv(_os.path.join(folder, f"{n}.csv")))
+        IG.write_bronze(b[n].select(*[F.col(c).cast("string").alias(c) for c in IG.REFERENCE_TABLES[n]]),
+                        _os.path.join(folder, f"{n}.csv"), "csv")
     return IG.read_reference_tables(spark, folder, names, load_ts=REFERENCE_LOAD_TS)
 
 

@@ -540,10 +540,23 @@ def q_approval(spark, sf_dir):
 from vaultmart.streaming import audit as AUD  # noqa: E402
 
 
+def table_stream(spark, sf_dir: str, name: str) -> DataFrame:
+    """A driver table delivered as a file stream: a table stored as a folder of
+    part files (as on a cluster) is streamed from that folder; a single file
+    is picked out of its parent folder by name."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = spark.read.parquet(path).schema
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(hpath).isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
 def tool_call_stream(spark, sf_dir):
     """Events of the driver's table delivered as a file stream."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    s = table_stream(spark, sf_dir, "events")
     s.createOrReplaceTempView("events_stream")
     sql = proxy.ops_sql("spark")["tool_call_events"].replace("FROM events", "FROM events_stream")
     events = spark.sql(sql).withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
@@ -756,8 +769,7 @@ from vaultmart.streaming.landing import land_stream, vault_stream  # noqa: E402
 
 @query("c09_stream_vault_claim_payment_txn")
 def q_stream_vault(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/lineitem.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(sf_dir)
+    stream = table_stream(spark, sf_dir, "lineitem")
     pay_sql = proxy.bronze_sql("spark")["pi_payment_transactions"].replace("FROM lineitem", "FROM lineitem_batch")
 
     def to_bronze(batch):

@@ -9,8 +9,9 @@ Documents are range-sorted by position.
 Targets share ``ratio`` x all words by source weight; no target exceeds
 ``repeat`` x its source, and the excess is shared again by weight until none
 does (closed form: sources ordered by size / weight fill up in that order).
-A copy is taken when the middle of its interval lies before the target, so a
-source's taken words miss the target by at most half of one document.
+Copies are taken up to the word at which the target is reached: the copy that
+straddles it gives only its first words, so a source's taken words equal its
+target rounded to a word, and no document is taken more than ``repeat`` times.
 
 Cumulative words are two-level prefix sums: documents fall into hash buckets
 of a source (a number that follows the row count), buckets are summed before
@@ -120,8 +121,9 @@ DEFAULT_SCHEDULES = ((1.0, 1.0, 1.0), (2.0, 1.0, 0.5), (0.5, 1.0, 2.0))   # cons
 
 def curriculum(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repeat: float = 2.0,
                schedules=DEFAULT_SCHEDULES) -> DataFrame:
-    """Per input row: ``id, key, size, source, source_size, target, copies,
-    positions`` (training times of its copies, ascending).  ``sizes`` should be stored."""
+    """Per input row: ``id, key, size, source, source_size, target, taken,
+    copies`` (training position and words of each taken copy, ascending).
+    ``sizes`` should be stored: it is read for the row count, the sums and the rows."""
     n = sizes.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
     rows = sizes.withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)).cast("int"))
@@ -137,33 +139,39 @@ def curriculum(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repeat:
               .join(bases, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
               .join(targets, F.col("source").eqNullSafe(F.col("t_source")))
               .withColumn("_from", F.col("base") + F.col("_in")))
-    copies = [F.when((F.col("size") > 0) & (F.col("_from") + e * F.col("source_size") + F.col("size") / 2 <= F.col("target")),
-                     schedule_position(F.least((F.col("_from") + e * F.col("source_size")) / F.col("target"), F.lit(1.0)),
-                                       F.col("rank"), schedules)) for e in range(math.ceil(repeat))]
-    return (placed.withColumn("positions", F.array_compact(F.array(*copies)))
-            .withColumn("copies", F.size("positions"))
-            .select("id", "key", "size", "source", "source_size", "target", "copies", "positions"))
+    copies = []
+    for e in range(math.ceil(repeat)):
+        start = F.col("_from") + e * F.col("source_size")
+        words = F.least(F.col("size"), F.round("target").cast("long") - start)
+        at = schedule_position(F.least(start / F.col("target"), F.lit(1.0)), F.col("rank"), schedules)
+        copies.append(F.when(words > 0, F.struct(at.alias("position"), words.alias("words"))))
+    return (placed.withColumn("copies", F.array_compact(F.array(*copies)))
+            .withColumn("taken", F.aggregate("copies", F.lit(0).cast("long"), lambda n, c: n + c["words"]))
+            .select("id", "key", "size", "source", "source_size", "target", "taken", "copies"))
 
 
 def mix_digest(sizes: DataFrame, **options) -> DataFrame:
     """One row per document, range-sorted by first training position (rows that are not taken come last)."""
+    first = F.try_element_at("copies", F.lit(1))["position"]
     order = F.coalesce("first_position", F.lit(2.0))
     return (curriculum(sizes, **options)
-            .select(F.col("id").alias("doc_id"), "size", "source_size", "target",
-                    (F.col("size") * F.col("copies")).alias("taken"),
-                    F.try_element_at("positions", F.lit(1)).alias("first_position"),
-                    F.try_element_at("positions", F.lit(2)).alias("second_position"))
+            .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
+                    first.alias("first_position"), F.size("copies").alias("n_copies"))
             .repartitionByRange(order, "doc_id").sortWithinPartitions(order, "doc_id"))
 
 
 def mix(docs: DataFrame, sizes: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The mixed corpus: every taken copy of every row, all input columns and
-    no others, range-sorted by training position."""
-    place = curriculum(sizes, **options).select(F.col("key").alias("_mix_key"), F.col("id").alias("_mix_id"), "positions")
-    place = place.groupBy("_mix_key", "_mix_id").agg(F.max("positions").alias("_mix_positions"))
+    """The mixed corpus: every taken copy of every row with all input columns
+    and no others, range-sorted by training position.  The text of a copy that
+    reaches the target is cut to its first words (joined by single spaces)."""
+    place = curriculum(sizes, **options).groupBy(F.col("key").alias("_mix_key"), F.col("id").alias("_mix_id")).agg(
+        F.max("copies").alias("_mix_copies"), F.max("size").alias("_mix_size"))
     key = F.xxhash64(F.col(id_col), F.xxhash64(text_col))
     on = (F.col("_mix_row") == F.col("_mix_key")) & F.col(id_col).eqNullSafe(F.col("_mix_id"))
+    words = F.split(F.regexp_replace(text_col, r"^[ \t-\r]+", ""), r"[ \t-\r]+")
+    cut = F.array_join(F.slice(words, F.lit(1), F.col("_mix_copy.words").cast("int")), " ")
     return (docs.withColumn("_mix_row", key).join(place, on)
-            .withColumn("_mix_position", F.explode("_mix_positions"))
-            .repartitionByRange("_mix_position", "_mix_row").sortWithinPartitions("_mix_position", "_mix_row")
+            .withColumn("_mix_copy", F.explode("_mix_copies"))
+            .withColumn(text_col, F.when(F.col("_mix_copy.words") < F.col("_mix_size"), cut).otherwise(F.col(text_col)))
+            .repartitionByRange("_mix_copy.position", "_mix_row").sortWithinPartitions("_mix_copy.position", "_mix_row")
             .select(*docs.columns))

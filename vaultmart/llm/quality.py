@@ -131,13 +131,14 @@ def document_statistics(docs: DataFrame, text_col: str = "text", keep: dict | No
     """``<keep...>, stats`` per row: kept columns (name -> expression) and the statistics as an array."""
     keep = keep or {"doc_id": F.col("doc_id")}
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text_col).alias("_text"))
-    schema = T.StructType([rows.schema[n] for n in keep] + [T.StructField("stats", T.ArrayType(T.DoubleType(), False))])
+    kept = list(keep)
+    schema = T.StructType([rows.schema[n] for n in kept] + [T.StructField("stats", T.ArrayType(T.DoubleType(), False))])
 
     def measure(batches):
         for b in batches:
             x = _all_statistics(b.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [b.column(n) for n in keep] + [list_array(x.ravel(), np.full(len(x), len(STATISTICS)), pa.float64())], names=schema.names)
+                [b.column(n) for n in kept] + [list_array(x.ravel(), np.full(len(x), len(STATISTICS)), pa.float64())], names=schema.names)
 
     return rows.mapInArrow(measure, schema)
 

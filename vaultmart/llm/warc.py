@@ -96,8 +96,8 @@ class BundleWriter:
 
         self.fs, folder = file_system(uri)
         self.fs.create_dir(folder, recursive=True)
-        self.out = self.fs.open_output_stream(f"{folder}/{name}")
-        self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True).compress
+        self.out = self.fs.open_output_stream(f"{folder}/{name}", compression=None)      # the frames are ours, not the file system's
+        self.compress = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True).compress
         self.sizes: list[tuple[int, int]] = []
         self.written, self.open = 0, bytearray()
 
@@ -140,7 +140,10 @@ def seek_table(f, size: int) -> list[tuple[int, int, int]]:
 def read_frame(f, start: int, packed: int, plain: int) -> bytes:
     import zstandard
 
-    return zstandard.ZstdDecompressor().decompress(f.read_at(packed, start), max_output_size=plain)
+    raw = zstandard.ZstdDecompressor().decompressobj().decompress(f.read_at(packed, start))
+    if len(raw) != plain:
+        raise ValueError("a frame differs from its seek table entry")
+    return raw
 
 
 def mark_revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int = 0) -> DataFrame:

@@ -54,14 +54,14 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = stored(spark, mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
-    mixed = mixing.mix(docs, sizes, weights=(5, 2, 1), ratio=1.5, repeat=2.0)
+    mixed = mixing.mix(docs, sizes, _store(spark), weights=(5, 2, 1), ratio=1.5, repeat=2.0)
     return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else mixed
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = new_path(spark, "pipeline-ids")
     token_output.write_token_ids(docs, path, tokenizer_path("word_bpe_49k.json"), END_ID)
-    return token_output.with_crc(token_output.read_token_ids(spark, path))
+    return token_output.read_digests(spark, path)
 
 
 STAGES = [

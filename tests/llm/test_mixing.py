@@ -26,7 +26,7 @@ def brute_targets(sizes, weights=(5, 2, 1), ratio=1.5, repeat=2.0):
 
 def mixed(spark, rows, **options):
     sizes = store(spark)(mixing.word_sizes(docs_frame(spark, rows), "doc_id", "source", "text"), "sizes")
-    return sizes, mixing.mix_digest(sizes, **options)
+    return sizes, mixing.mix_digest(sizes, store(spark), **options)
 
 
 def test_sizes_targets_and_taken(spark):
@@ -87,12 +87,12 @@ def test_mix_returns_the_copies(spark):
     rows = [(i, " ".join([f"w{i}"] * 10), "en", "a" if i < 30 else "b") for i in range(40)]
     docs = docs_frame(spark, rows)
     sizes = store(spark)(mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
-    got = mixing.mix(docs, sizes)
+    got = mixing.mix(docs, sizes, store(spark))
     assert got.columns == docs.columns
     words = {}
     for r in got.collect():
         words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
-    want = {r.doc_id: r.taken for r in mixing.mix_digest(sizes).collect() if r.taken}
+    want = {r.doc_id: r.taken for r in mixing.mix_digest(sizes, store(spark)).collect() if r.taken}
     assert words == want
 
 

@@ -17,12 +17,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ARROW_ROWS = 1000
 BLOCK_CHARS = 1 << 20          # characters a numpy block holds (a longer document is a block of its own)
 
 
 # ---- tables -------------------------------------------------------------------------------------------
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts.  Arrow batches are kept to ``ARROW_ROWS`` rows from here
+    on: Spark's default of 10,000 texts would be hundreds of MB per task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -60,6 +64,27 @@ def fold_az(col):
     return F.translate(col, UPPER, LOWER)
 
 
+class Remembered(dict):
+    """Bounded memo of ``compute(key)`` for short keys: two generations, so that
+    frequent keys survive when the younger one is full.  A lookup costs one dict
+    access; an entry that is gone is computed again."""
+
+    def __init__(self, compute, entries: int, longest: int):
+        super().__init__()
+        self.compute, self.entries, self.longest, self.old = compute, entries, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 # ---- blocks of texts as code points -------------------------------------------------------------------
 
 def blocks(texts: list, limit: int = BLOCK_CHARS):
@@ -74,6 +99,17 @@ def blocks(texts: list, limit: int = BLOCK_CHARS):
         yield lo, len(texts)
 
 
+def text_blocks(column: pa.Array, limit: int = BLOCK_CHARS):
+    """Yield (first, last, texts) of a string column, about ``limit`` bytes of text at a time."""
+    at = column.cast(pa.large_string())
+    ends = np.frombuffer(at.buffers()[1], np.int64)[at.offset:at.offset + len(at) + 1]
+    lo = 0
+    while lo < len(at):
+        hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + limit))), len(at))
+        yield lo, hi, at.slice(lo, hi - lo).to_pylist()
+        lo = hi
+
+
 def code_points(texts: list) -> tuple[np.ndarray, np.ndarray]:
     """(code points, bounds): every text is preceded and followed by a line
     feed; text i spans bounds[i] + 1 up to bounds[i + 1]."""

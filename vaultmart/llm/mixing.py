@@ -71,14 +71,14 @@ def word_sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) ->
 
 
 def source_targets(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repeat: float = 2.0) -> DataFrame:
-    """``source, source_size, weight, target`` per source."""
+    """``source, rank, source_size, weight, target`` per source, from rows (or bucket sums) with ``source, size``."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (rank % len(weights) + 1).cast("int"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     fill = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
     whole = Window.partitionBy()
     full = repeat * F.col("source_size")
-    return (per.withColumn("weight", weight)
+    return (per.withColumn("rank", rank).withColumn("weight", weight)
             # the sources before this one are full; what is left is shared by the weights from here on
             .withColumn("_left", ratio * F.sum("source_size").over(whole) - repeat * F.coalesce(
                 F.sum("source_size").over(fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -88,7 +88,7 @@ def source_targets(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repe
                         .over(whole))
             .withColumn("target", F.when(F.col("_at").isNull(), full).otherwise(
                 F.least(full, F.col("_at._left") * F.col("weight") / F.col("_at._weights"))))
-            .select("source", "source_size", "weight", F.coalesce("target", F.lit(0.0)).alias("target")))
+            .select("source", "rank", "source_size", "weight", F.coalesce("target", F.lit(0.0)).alias("target")))
 
 
 def schedule_position(share: Column, rank: Column, schedules) -> Column:
@@ -119,25 +119,24 @@ def schedule_position(share: Column, rank: Column, schedules) -> Column:
 DEFAULT_SCHEDULES = ((1.0, 1.0, 1.0), (2.0, 1.0, 0.5), (0.5, 1.0, 2.0))   # constant, falling, rising
 
 
-def curriculum(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repeat: float = 2.0,
+def curriculum(sizes: DataFrame, stored, weights=(5, 2, 1), ratio: float = 1.5, repeat: float = 2.0,
                schedules=DEFAULT_SCHEDULES) -> DataFrame:
     """Per input row: ``id, key, size, source, source_size, target, taken,
     copies`` (training position and words of each taken copy, ascending).
-    ``sizes`` should be stored: it is read for the row count, the sums and the rows."""
+    ``sizes`` should be stored: it is read for the row count, the bucket sums and the rows."""
     n = sizes.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
     rows = sizes.withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)).cast("int"))
     in_bucket = Window.partitionBy("source", "bucket").orderBy("key", "id").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bases = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n")).select(
-        F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"),
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    targets = source_targets(sizes, weights, ratio, repeat)
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    targets = targets.withColumn("rank", rank).withColumnRenamed("source", "t_source")
+    sums = stored(rows.groupBy("source", "bucket").agg(F.sum("size").alias("size")), "bucket-sums")
+    targets = stored(source_targets(sums, weights, ratio, repeat), "targets")
+    bases = (sums.withColumn("base", F.coalesce(F.sum("size").over(before), F.lit(0))).withColumnRenamed("source", "s")
+             .join(targets, F.col("s").eqNullSafe(F.col("source")))
+             .select(F.col("s").alias("b_source"), F.col("bucket").alias("b_bucket"), "base", "source_size", "target", "rank"))
+    bases = stored(bases, "bases")
     placed = (rows.withColumn("_in", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
               .join(bases, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))
-              .join(targets, F.col("source").eqNullSafe(F.col("t_source")))
               .withColumn("_from", F.col("base") + F.col("_in")))
     copies = []
     for e in range(math.ceil(repeat)):
@@ -150,21 +149,21 @@ def curriculum(sizes: DataFrame, weights=(5, 2, 1), ratio: float = 1.5, repeat:
             .select("id", "key", "size", "source", "source_size", "target", "taken", "copies"))
 
 
-def mix_digest(sizes: DataFrame, **options) -> DataFrame:
+def mix_digest(sizes: DataFrame, stored, **options) -> DataFrame:
     """One row per document, range-sorted by first training position (rows that are not taken come last)."""
     first = F.try_element_at("copies", F.lit(1))["position"]
     order = F.coalesce("first_position", F.lit(2.0))
-    return (curriculum(sizes, **options)
+    return (curriculum(sizes, stored, **options)
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken",
                     first.alias("first_position"), F.size("copies").alias("n_copies"))
             .repartitionByRange(order, "doc_id").sortWithinPartitions(order, "doc_id"))
 
 
-def mix(docs: DataFrame, sizes: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mix(docs: DataFrame, sizes: DataFrame, stored, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mixed corpus: every taken copy of every row with all input columns
     and no others, range-sorted by training position.  The text of a copy that
     reaches the target is cut to its first words (joined by single spaces)."""
-    place = curriculum(sizes, **options).groupBy(F.col("key").alias("_mix_key"), F.col("id").alias("_mix_id")).agg(
+    place = curriculum(sizes, stored, **options).groupBy(F.col("key").alias("_mix_key"), F.col("id").alias("_mix_id")).agg(
         F.max("copies").alias("_mix_copies"), F.max("size").alias("_mix_size"))
     key = F.xxhash64(F.col(id_col), F.xxhash64(text_col))
     on = (F.col("_mix_row") == F.col("_mix_key")) & F.col(id_col).eqNullSafe(F.col("_mix_id"))

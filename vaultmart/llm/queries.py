@@ -55,7 +55,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     sizes = stored(spark, mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
-    return mixing.mix_digest(sizes, weights=(5, 2, 1), ratio=1.5, repeat=2.0)
+    return mixing.mix_digest(sizes, store(spark), weights=(5, 2, 1), ratio=1.5, repeat=2.0)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-ids")
     token_output.write_token_ids(read_table(spark, sf_dir, "documents"), path, tokenizer_path("word_bpe_49k.json"), end_id=2)
-    return token_output.with_crc(token_output.read_token_ids(spark, path))
+    return token_output.read_digests(spark, path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ from tokenizers import Tokenizer
 from tests.llm.helpers import awkward_rows, docs_frame
 from vaultmart.llm.common import new_path
 from vaultmart.llm.queries import tokenizer_path
-from vaultmart.llm.token_output import read_token_ids, with_crc, write_token_ids
+from vaultmart.llm.token_output import read_digests, WordEncoder, read_digests, read_token_ids, write_token_ids
 
 FILE = "word_bpe_49k.json"
 
@@ -26,8 +27,9 @@ def test_files_hold_the_ids_of_the_library(spark):
     rows = awkward_rows() + [(40, "a<|endoftext|>b <|startoftext|>"), (41, "don't WE'LL 12345 é \x1c x")]
     path = new_path(spark, "ids")
     write_token_ids(docs_frame(spark, rows), path, tokenizer_path(FILE), 2)
-    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in with_crc(read_token_ids(spark, path)).collect()]
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in read_digests(spark, path).collect()]
     assert sorted(map(str, got)) == sorted(map(str, brute(rows)))
+    assert all(len(r.ids) == r.n_tokens and r.ids[-1] == 2 for r in read_token_ids(spark, path).collect())
 
 
 def test_encodings_and_page_indexes(spark, tmp_path):
@@ -48,4 +50,13 @@ def test_encodings_and_page_indexes(spark, tmp_path):
 def test_empty_table(spark):
     path = new_path(spark, "ids")
     write_token_ids(docs_frame(spark, []), path, tokenizer_path(FILE), 2)
-    assert with_crc(read_token_ids(spark, path)).count() == 0
+    assert read_digests(spark, path).count() == 0
+
+
+def test_words_with_punctuation_and_special_strings():
+    rng = random.Random(11)
+    encoder, own = WordEncoder(tokenizer_path(FILE)), Tokenizer.from_file(tokenizer_path(FILE))
+    bits = ["The", "ÉTÉ", "größe", "'s", "'", ".", "$$$", "|", "<|endoftext|>", "<", "|>", "_", "5", "²", "é", "e\u0301", " ", "\n", "\u3000", "İ", "Σ", "\x1c", "¿", "ª"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 8)))
+        assert np.frombuffer(encoder.encode(text), "<i4").tolist() == own.encode(text, add_special_tokens=False).ids, text

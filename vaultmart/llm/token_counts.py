@@ -16,6 +16,7 @@ cache of pre-token counts (a cache only: a missing entry is counted again).
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.llm.common import BLOCK_CHARS, blocks
+from vaultmart.llm.common import BLOCK_CHARS, text_blocks
 
 CACHE_ENTRIES = 600_000        # pre-tokens remembered by a Python worker
 CACHED_LENGTH = 48             # longer pre-tokens are counted again each time
@@ -85,6 +86,11 @@ class PieceCounter:
         return [sum(n * (known[t] if t in known else long[t]) for t, n in f.items()) for f in freqs]
 
 
+@functools.lru_cache(1)
+def piece_counter(model_file: str) -> PieceCounter:
+    return PieceCounter(model_file)                          # kept, with its cache, across a worker's tasks
+
+
 def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 4096) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_tokens``, ``over_limit``."""
@@ -93,12 +99,11 @@ def token_counts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     schema = T.StructType([rows.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def count(batches):
-        counter = PieceCounter(model_file)
+        counter = piece_counter(model_file)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             n = []
-            for lo, hi in blocks(texts):
-                n += counter.count(texts[lo:hi])
+            for _, _, texts in text_blocks(batch.column("text")):
+                n += counter.count(texts)
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_bytes"), pa.array(n, pa.int64())],
                                              names=["id", "n_bytes", "n_tokens"])
 

@@ -18,8 +18,10 @@ without rows gives a table without rows.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.llm.common import BLOCK_CHARS, blocks
+from vaultmart.llm.common import BLOCK_CHARS, Remembered, text_blocks
 
-CACHE_ENTRIES = 500_000        # words whose ids a Python worker remembers
+BASE_ENTRIES = 250_000         # encoded words a Python worker remembers, twice that with the older generation
+WORD_ENTRIES = 150_000         # the same for words with their case and punctuation
 CACHED_LENGTH = 48             # longer words are encoded again each time
 
 WRITER_OPTIONS = {
@@ -45,11 +48,14 @@ WRITER_OPTIONS = {
 
 
 class WordEncoder:
-    """Ids of whole texts from the ids of their distinct words.
+    """Ids of whole texts from the ids of their words.
 
     Holds for tokenizers whose normaliser and pre-tokenizer treat white space
     as a separator that yields no id, so a text's ids are its words' ids in a
-    row; special strings inside a word are found there as in the text.
+    row; special strings inside a word are found there as in the text.  A word
+    of Latin letters followed by punctuation splits further (checked for the
+    given tokenizer), so its letters are encoded once in any case and with any
+    punctuation.  Both levels are remembered, bounded, across a worker's tasks.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -59,28 +65,31 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         probe = "one  two\n three"
-        if self._encode([probe])[0] != b"".join(self._encode(probe.split())):
+        if self._encode(probe) != b"".join(map(self._encode, probe.split())):
             raise ValueError("white space yields ids: texts do not split into words")
-        self.words = re.compile("[^ \t\n\r]+")
-        self.cache: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<i4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text of a block."""
-        split = [self.words.findall(t) if t else [] for t in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        missing = list(set().union(*split).difference(self.cache))
-        ids, long = self.cache, {}
-        for at in range(0, len(missing), 10_000):
-            part = missing[at:at + 10_000]
-            for w, b in zip(part, self._encode(part)):
-                (ids if len(w) <= CACHED_LENGTH else long)[w] = b
-        if not long:
-            return [b"".join(map(ids.__getitem__, w)) for w in split]
-        return [b"".join([ids[x] if x in ids else long[x] for x in w]) for w in split]
+        splits = all(self._encode(w + p) == self._encode(w.lower()) + self._encode(p) for w in ("One", "ÉTÉ", "größe") for p in (".", ",", "$$$", "!!?"))
+        self.find = re.compile("[^ \t\n\r]+").findall
+        self.parts = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&#*|]*)").fullmatch if splits else lambda word: None
+        self.base = Remembered(self._encode, BASE_ENTRIES, CACHED_LENGTH)
+        self.words = Remembered(self._word, WORD_ENTRIES, CACHED_LENGTH)
+
+    def _encode(self, text: str) -> bytes:
+        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        m = self.parts(word)
+        if not m:
+            return self.base[word]
+        return self.base[m[1].lower()] + self.base[m[2]] if m[2] else self.base[m[1].lower()]
+
+    def encode(self, text: str | None) -> bytes:
+        """32-bit ids of a whole text, in machine order."""
+        return b"".join(map(self.words.__getitem__, self.find(text))) if text else b""
+
+
+@functools.lru_cache(1)
+def word_encoder(tokenizer_file: str) -> WordEncoder:
+    return WordEncoder(tokenizer_file)
 
 
 def write_token_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id",
@@ -94,12 +103,11 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
         T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def encode(batches):
-        encoder, at = WordEncoder(tokenizer_file), 0
-        end = np.array([end_id], "<i4").tobytes()
+        encoder, at = word_encoder(tokenizer_file), 0
+        end = array("i", [end_id]).tobytes()
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for lo, hi in blocks(texts, BLOCK_CHARS * 4):
-                ids = [b + end for b in encoder.encode(texts[lo:hi])]
+            for lo, hi, texts in text_blocks(batch.column("text"), 4 * BLOCK_CHARS):
+                ids = [encoder.encode(t) + end for t in texts]
                 size = np.fromiter((len(b) // 4 for b in ids), np.int64, len(ids))
                 ends = at + np.cumsum(size)
                 offsets = np.concatenate(([0], ends - at)).astype(np.int32)
@@ -120,10 +128,20 @@ def part_bases(spark: SparkSession, path: str) -> DataFrame:
     return sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
+def with_starts(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Turn ``part, start_in_part`` into ``start``, the ids of all documents before."""
+    return (rows.join(part_bases(spark, path), "part").withColumn("start", F.col("base") + F.col("start_in_part"))
+            .select("doc_id", "start", *[c for c in rows.columns if c not in ("part", "doc_id", "start_in_part")]))
+
+
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
-    """The written documents: ``doc_id, start, n_tokens, ids`` (``start`` counts the ids of all documents before)."""
-    return (spark.read.parquet(path).join(part_bases(spark, path), "part")
-            .select("doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids"))
+    """The written documents: ``doc_id, start, n_tokens, ids``."""
+    return with_starts(spark, spark.read.parquet(path), path)
+
+
+def read_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of the written documents; ids are digested where they are read, before any join."""
+    return with_starts(spark, with_crc(spark.read.parquet(path)), path)
 
 
 def with_crc(tokens: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from vaultmart.operators import governance as GV
@@ -85,11 +87,55 @@ def test_delegation_scope_and_approvals(spark):
     assert not st["d"].overdue
 
 
+def test_long_delegation_chain_and_absent_parent(spark):
+    n = 700
+    toks = spark.createDataFrame([(i, i - 1 if i else None) for i in range(n)] + [(5000, 4999)], "token_id long, parent_token_id long")
+    ch = {r.token_id: (r.depth, r.root_token_id) for r in OPS.delegation_chains(spark, toks).collect()}
+    assert ch == {i: (i, 0) for i in range(n)} | {5000: (0, 5000)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_budget_admission_equals_the_sequential_rule(spark, seed, monkeypatch):
+    """Refusals change later decisions; ties in time, several ledgers, chunks of a few seconds."""
+    import random
+    monkeypatch.setattr(OPS, "LEDGER_CHUNK_SECONDS", 60)
+    rng, t0 = random.Random(seed), dt.datetime(2024, 1, 1)
+    reqs = [(str(i), i, rng.choice(["a", "b", "free"]), "p", t0 + dt.timedelta(seconds=rng.randrange(0, 172_800, 30)),
+             rng.randint(1, 900), rng.choice([0, 50, 4000]), rng.randint(0, 900)) for i in range(400)]
+    df = spark.createDataFrame(reqs, "request_id string, request_seq long, feature string, provider string, timestamp_utc timestamp, "
+                                     "prompt_tokens int, max_completion_tokens int, completion_tokens int")
+    got = {r.request_id: (r.admitted, r.booked_micro, r.spent_after_micro)
+           for r in OPS.budget_admission(spark, df, {"a": 0.02, "b": 0.05}, {"p": 0.002}).collect()}
+    spent, want = {}, {}
+    for r in sorted(reqs, key=lambda r: (r[4], r[1])):
+        key, budget = (r[2], r[4].date()), {"a": 20_000, "b": 50_000}.get(r[2])
+        projected, actual = 2 * (r[5] + r[6]), 2 * (r[5] + r[7])
+        ok = budget is None or spent.get(key, 0) + projected <= budget
+        spent[key] = spent.get(key, 0) + (actual if ok else 0)
+        want[r[0]] = (ok, actual if ok else 0, spent[key])
+    assert got == want and any(not w[0] for w in want.values())
+
+
+def test_registered_text_rules_take_every_branch(spark):
+    """The registered inputs fire each marker, pattern, action, severity of answer and refusal."""
+    from vaultmart.plans.queries import QUERIES
+    sf = "/root/testdata/sf0.01"
+    marks = {r.denied_marker for r in QUERIES["i14_content_policy_conversations"](spark, sf).collect()}
+    assert marks == {None, *OPS.DENIED_CONTENT_MARKERS}
+    seen = QUERIES["i15_screen_documents"](spark, sf).collect()
+    assert {r.action for r in seen} == {"allow", "redact", "block"}
+    assert {r.matched_pattern for r in seen} == {None, *OPS.PROMPT_INJECTION_PATTERNS}
+    assert {k for r in seen for k in r.redacted_kinds.split(",")} >= {label for label, _ in OPS.SENSITIVE_DATA_PATTERNS}
+    answers = QUERIES["i17_resolve_metric_conversations"](spark, sf).collect()
+    assert {r.validation for r in answers} == {"allow", "block"} and sum(r.matched_synonym is not None for r in answers) > 50
+    assert QUERIES["i13_spend_by_feature"](spark, sf).where("refused > 0").count() > 0
+
+
 def test_cost_and_interval_join(spark):
     ev = spark.createDataFrame([("e1", "model-large", 1000, 1000), ("e2", "nope", 1, 1)],
                                "event_id string, model_name string, input_tokens int, output_tokens int")
     priced, unpriced = OPS.call_cost(ev, OPS.model_rates(spark))
-    assert float(priced.first().cost_dollars) == 0.018 and unpriced.count() == 1
+    assert float(priced.first().cost_dollars) == 0.022 and unpriced.count() == 1
     usage = spark.createDataFrame([(dt.date(1997, 12, 31), "SKU-A"), (dt.date(1998, 1, 1), "SKU-A"),
                                    (dt.date(2001, 1, 1), "SKU-A")], "usage_date date, sku_name string")
     usage = usage.withColumns({"usage_quantity": F.lit(10).cast("decimal(18,2)"),

@@ -69,13 +69,15 @@ def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
 def vault_checks(names: Sequence[str] | None = None) -> list[Check]:
     """The vault's declarative tests, derived from the registry."""
     hubs_by_pk = {h.pk: h.name for h in R.HUBS}
+    links_by_pk = {lk.pk: lk.name for lk in R.LINKS}
     out: list[Check] = []
 
     def want(n):
         return names is None or n in names
     for h in R.HUBS:
         if want(h.name):
-            out += [Check(h.name, "unique", h.pk), Check(h.name, "not_null", h.pk), Check(h.name, "not_null", h.bk)]
+            out += [Check(h.name, "unique", h.pk), Check(h.name, "not_null", h.pk),
+                    Check(h.name, "unique", h.bk), Check(h.name, "not_null", h.bk)]
     for lk in R.LINKS:
         if want(lk.name):
             out += [Check(lk.name, "unique", lk.pk), Check(lk.name, "not_null", lk.pk)]
@@ -88,10 +90,13 @@ def vault_checks(names: Sequence[str] | None = None) -> list[Check]:
             out += [Check(s.name, "not_null", s.pk), Check(s.name, "not_null", s.hashdiff)]
             if s.pk in hubs_by_pk and want(hubs_by_pk[s.pk]):
                 out.append(Check(s.name, "relationships", s.pk, hubs_by_pk[s.pk], s.pk))
+            if s.pk in links_by_pk and want(links_by_pk[s.pk]):
+                out.append(Check(s.name, "relationships", s.pk, links_by_pk[s.pk], s.pk))
     for t in R.TLINKS:
         if want(t.name):
             out += [Check(t.name, "unique", t.pk), Check(t.name, "not_null", t.pk)]
             for fk in t.fks:
+                out.append(Check(t.name, "not_null", fk))
                 if want(hubs_by_pk.get(fk, "")):
                     out.append(Check(t.name, "relationships", fk, hubs_by_pk[fk], fk))
     return out

@@ -125,17 +125,15 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
         one = one.withColumn("_cur_hd", F.lit(None).cast("string"))
 
     one = one.withColumn("_b", F.floor(F.unix_timestamp(F.col(LOAD_DTS).cast("timestamp")) / bucket_seconds))
-    # One sort per (key, bucket) does both steps: the first row of every
-    # (key, load_dts) in (hashdiff, record_source, payload) order is that
-    # instant's version, and the version before it is the last such first
-    # row earlier in the bucket.  Both windows share partitioning and
-    # ordering, so Spark runs them over one exchange and one sort.
-    in_bucket = Window.partitionBy(pk, "_b").orderBy(LOAD_DTS, hashdiff_col, RECORD_SOURCE, *payload)
-    before = in_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    one = one.withColumn("_lt", F.lag(LOAD_DTS).over(in_bucket))
-    one = one.withColumn("_rep", F.col("_lt").isNull() | (F.col("_lt") != F.col(LOAD_DTS)))
-    one = (one.withColumn("_prev", F.last(F.when(F.col("_rep"), F.col(hashdiff_col)), ignorenulls=True).over(before))
-              .where(F.col("_rep")).drop("_lt", "_rep"))
+    # The least row of every (key, load_dts) in (hashdiff, record_source, payload)
+    # order is that instant's version.  Grouped, so rows of one instant (a batch
+    # stamp shared by a key's rows) combine map-side; what a bucket then holds is
+    # bounded by its instants, and the version before is a lag inside it.
+    rest = [c for c in one.columns if c not in (pk, "_b", LOAD_DTS, hashdiff_col, RECORD_SOURCE, *payload)]
+    version = F.struct(F.col(hashdiff_col), F.col(RECORD_SOURCE), *[F.col(c) for c in payload], *[F.col(c) for c in rest])
+    one = (one.groupBy(pk, "_b", LOAD_DTS).agg(F.min_by(version, version).alias("_v"))
+              .select(pk, "_b", LOAD_DTS, "_v.*"))
+    one = one.withColumn("_prev", F.lag(hashdiff_col).over(Window.partitionBy(pk, "_b").orderBy(LOAD_DTS)))
 
     # last hashdiff of every (key, bucket); the preceding bucket's last value
     # completes the lag of each bucket's first row.  Bounded per key by the
@@ -157,10 +155,13 @@ def new_satellite_rows(staged: DataFrame, pk: str, hashdiff_col: str, payload: S
 # ---------------------------------------------------------------------------
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where no batch has written it yet; any other failure is raised."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def append(df: DataFrame, path: str) -> None:

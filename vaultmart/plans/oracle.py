@@ -788,8 +788,8 @@ SELECT feature, {dt('usage_date')} AS usage_date,
 FROM led GROUP BY 1, 2""")
 
 _MARK = " ".join(f"WHEN contains(lower(text), '{m}') THEN '{m}'" for m in _ops.DENIED_CONTENT_MARKERS)
-oracle("i14_content_policy_conversations", f"""
-SELECT conv_id, turn, CASE {_MARK} END AS denied_marker, (CASE {_MARK} END) IS NOT NULL AS blocked FROM conversations""")
+oracle("i14_content_policy_conversations", owith("policy_turns") + f"""
+SELECT conv_id, turn, CASE {_MARK} END AS denied_marker, (CASE {_MARK} END) IS NOT NULL AS blocked FROM policy_turns""")
 
 _INJ = " ".join(f"WHEN regexp_matches(lower(text), '{p}') THEN '{p}'" for p in _ops.PROMPT_INJECTION_PATTERNS)
 _r = "text"
@@ -797,24 +797,25 @@ _hits = []
 for _label, _p in _ops.SENSITIVE_DATA_PATTERNS:
     _hits.append(f"CASE WHEN regexp_matches({_r}, '{_p}') THEN '{_label}' END")
     _r = f"regexp_replace({_r}, '{_p}', '[REDACTED_{_label.upper()}]', 'g')"
-oracle("i15_screen_documents", f"""
+oracle("i15_screen_documents", owith("screened_documents") + f"""
 SELECT doc_id, action, matched_pattern, CASE WHEN action = 'block' THEN '' ELSE kinds END AS redacted_kinds,
        md5(CASE WHEN action = 'redact' THEN red ELSE text END) AS processed_md5,
        CAST(length(CASE WHEN action = 'redact' THEN red ELSE text END) AS BIGINT) AS processed_length
 FROM (SELECT doc_id, text, inj AS matched_pattern, red, kinds,
              CASE WHEN inj IS NOT NULL THEN 'block' WHEN kinds <> '' THEN 'redact' ELSE 'allow' END AS action
       FROM (SELECT doc_id, text, CASE {_INJ} END AS inj, {_r} AS red,
-                   concat_ws(',', {', '.join(_hits)}) AS kinds FROM documents))""")
+                   concat_ws(',', {', '.join(_hits)}) AS kinds FROM screened_documents))""")
 
 _SYN = ", ".join(f"({i}, '{m.name}', {j}, '{s}')" for i, m in enumerate(_ops.METRICS) for j, s in enumerate(m.synonyms))
-oracle("i17_resolve_metric_conversations", f"""
-WITH syn AS (SELECT * FROM (VALUES {_SYN}) t(metric_order, metric, synonym_order, synonym)),
-q AS (SELECT conv_id, turn, lower(text) AS lq FROM conversations WHERE role = 'user'),
+oracle("i17_resolve_metric_conversations", owith("metric_questions") + f""",
+syn AS (SELECT * FROM (VALUES {_SYN}) t(metric_order, metric, synonym_order, synonym)),
+q AS (SELECT conv_id, turn, lower(text) AS lq FROM metric_questions),
 m AS (SELECT q.conv_id, q.turn, s.metric, s.synonym,
              row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY length(s.synonym) DESC, s.metric_order,
                                 s.synonym_order) AS rn
       FROM q JOIN syn s ON contains(q.lq, lower(s.synonym)))
-SELECT q.conv_id, q.turn, m.metric AS resolved_metric, m.synonym AS matched_synonym, 'allow' AS validation
+SELECT q.conv_id, q.turn, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'unlisted_metric' ELSE m.metric END AS resolved_metric,
+       m.synonym AS matched_synonym, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'block' ELSE 'allow' END AS validation
 FROM q LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON q.conv_id = m.conv_id AND q.turn = m.turn""")
 
 oracle("i20_delegation_chains", owith("delegation_tokens").replace("WITH ", "WITH RECURSIVE ", 1) + """,
@@ -920,9 +921,9 @@ from vaultmart.sources.proxy import raw_sql as _raw_sql  # noqa: E402
 _RAW = _raw_sql("duckdb")
 
 
-def _renamed(raw: str, mapping: dict) -> str:
-    cols = ", ".join(f'"{s}" AS {t}' for s, t in mapping.items())
-    return f"raw AS ({_RAW[raw]}), r AS (SELECT {cols}{', _row_order' if raw == 'bene_raw' else ''} FROM raw)"
+def _renamed(raw: str, mapping: dict, order: str = "") -> str:
+    cols = ", ".join([*(f'"{s}" AS {t}' for s, t in mapping.items()), *([order] if order else [])])
+    return f"raw AS ({_RAW[raw]}), r AS (SELECT {cols} FROM raw)"
 
 
 _PROV = _renamed("nppes_raw", _IG.PROVIDER_COLUMN_MAP) + """,
@@ -934,14 +935,14 @@ oracle("a13_landing_summary_providers", f"""WITH {_PROV}
 SELECT 'nppes_raw' AS "table", 'input' AS kind, count(*) AS rows FROM raw
 UNION ALL SELECT 'nppes_providers', 'landed', count(*) FROM latest WHERE entity_type_code = '1'
 UNION ALL SELECT 'nppes_facilities', 'landed', count(*) FROM latest WHERE entity_type_code = '2'""")
-oracle("a03_land_beneficiaries", f"""WITH {_renamed('bene_raw', _IG.BENEFICIARY_COLUMN_MAP)}
+oracle("a03_land_beneficiaries", f"""WITH {_renamed('bene_raw', _IG.BENEFICIARY_COLUMN_MAP, '_row_order')}
 SELECT * EXCLUDE (_rn, _row_order) FROM (
   SELECT *, row_number() OVER (PARTITION BY member_bk ORDER BY _row_order DESC) AS _rn FROM r) WHERE _rn = 1""")
 _HDR_REST = [c for c in _IG.CLAIM_HEADER_COLUMN_MAP.values() if c != "claim_line_bk"]
-oracle("a04_land_claim_headers", f"""WITH {_renamed('claims_raw', _IG.CLAIM_HEADER_COLUMN_MAP)}
-SELECT * EXCLUDE (_rn) FROM (
+oracle("a04_land_claim_headers", f"""WITH {_renamed('claims_raw', _IG.CLAIM_HEADER_COLUMN_MAP, '_row_order')}
+SELECT * EXCLUDE (_rn, _row_order) FROM (
   SELECT *, row_number() OVER (PARTITION BY claim_line_bk
-                               ORDER BY {', '.join(c + ' DESC NULLS LAST' for c in _HDR_REST)}) AS _rn FROM r)
+                               ORDER BY _row_order, {', '.join(c + ' NULLS FIRST' for c in _HDR_REST)}) AS _rn FROM r)
 WHERE _rn = 1""")
 _PX = " UNION ALL ".join(f'SELECT "CLM_ID" AS claim_line_bk, "{c}" AS procedure_bk FROM raw'
                          for c in _IG.PROCEDURE_CODE_COLUMNS)

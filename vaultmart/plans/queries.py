@@ -491,15 +491,13 @@ def q_spend(spark, sf_dir):
 
 @query("i14_content_policy_conversations")
 def q_policy(spark, sf_dir):
-    proxy.register_driver_tables(spark, sf_dir, ["conversations"])
-    c = OPS.content_policy(spark.table("conversations"), "text")
+    c = OPS.content_policy(ops_input(spark, sf_dir, "policy_turns"), "text")
     return c.select("conv_id", "turn", "denied_marker", "blocked")
 
 
 @query("i15_screen_documents")
 def q_screen(spark, sf_dir):
-    proxy.register_driver_tables(spark, sf_dir, ["documents"])
-    s = OPS.screen_text(spark.table("documents").select("doc_id", "text"), "text")
+    s = OPS.screen_text(ops_input(spark, sf_dir, "screened_documents"), "text")
     return s.select("doc_id", "action", "matched_pattern",
                     F.concat_ws(",", "redacted_kinds").alias("redacted_kinds"),
                     F.md5("processed_text").alias("processed_md5"),
@@ -508,10 +506,10 @@ def q_screen(spark, sf_dir):
 
 @query("i17_resolve_metric_conversations")
 def q_resolve(spark, sf_dir):
-    proxy.register_driver_tables(spark, sf_dir, ["conversations"])
-    qs = spark.table("conversations").where(F.col("role") == "user")
-    r = OPS.resolve_metric(spark, qs, "text", ["conv_id", "turn"])
-    return OPS.validate_metric(r, MetricStore.catalogue(spark))
+    r = OPS.resolve_metric(spark, ops_input(spark, sf_dir, "metric_questions"), "text", ["conv_id", "turn"])
+    # every 11th answer names a metric that the catalogue does not hold
+    named = F.when((F.col("conv_id") + F.col("turn")) % 11 == 0, F.lit("unlisted_metric")).otherwise(F.col("resolved_metric"))
+    return OPS.validate_metric(r.withColumn("resolved_metric", named), MetricStore.catalogue(spark))
 
 
 @query("i20_delegation_chains")

@@ -46,11 +46,14 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) is a scratch folder created.
+    On a cluster that setting points at shared storage and is used as is; a
+    missing setting is an error there.  Only on a local master (tests) is a
+    scratch folder created.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not (spark.conf.get("spark.master", None) or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="vaultmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

@@ -194,10 +194,13 @@ def land_beneficiaries(raw: DataFrame, order_col: str = "_row_order", source: st
 
 
 # A4
-def land_claim_headers(raw: DataFrame, source: str = "de_synpuf", load_ts=None) -> DataFrame:
+def land_claim_headers(raw: DataFrame, order_col: str = "_row_order", source: str = "de_synpuf", load_ts=None) -> DataFrame:
+    """Rename; keep the first row per claim in file order, given by an explicit
+    ordering column (a file without one has no order on a cluster: the least row is kept)."""
     require_columns(raw, list(CLAIM_HEADER_COLUMN_MAP), "fail", "inpatient claims file")
-    df = _rename(raw, CLAIM_HEADER_COLUMN_MAP)
-    df = dedupe_latest(df, ["claim_line_bk"], [])
+    order = [order_col] if order_col in raw.columns else []
+    df = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in CLAIM_HEADER_COLUMN_MAP.items()], *order)
+    df = dedupe_latest(df, ["claim_line_bk"], [F.col(c) for c in order], descending=False).drop(*order)
     return with_lineage(df, source, load_ts) if load_ts is not None else df
 
 
@@ -212,7 +215,7 @@ def unpivot_codes(df: DataFrame, ids: Sequence[str], cols: Sequence[str], value:
 
 def land_claims(raw: DataFrame, source: str = "de_synpuf", load_ts=None) -> dict[str, DataFrame]:
     """Inpatient claim file -> header, diagnosis bridge, procedure bridge."""
-    header = land_claim_headers(raw, source, load_ts)
+    header = land_claim_headers(raw, source=source, load_ts=load_ts)
     base = raw.select(F.col("CLM_ID").alias("claim_line_bk"), *DIAGNOSIS_CODE_COLUMNS, *PROCEDURE_CODE_COLUMNS)
     dx = unpivot_codes(base, ["claim_line_bk"], DIAGNOSIS_CODE_COLUMNS, "diagnosis_bk")
     px = unpivot_codes(base, ["claim_line_bk"], PROCEDURE_CODE_COLUMNS, "procedure_bk")

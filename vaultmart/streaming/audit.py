@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vaultmart.operators.vault import read_table
 from vaultmart.plans import ops as OPS
 from vaultmart.session import scratch_path
 
@@ -85,7 +86,6 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame
     root = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
     q = write_batches(stream, os.path.join(root, "out"), os.path.join(root, "checkpoint"))
     q.awaitTermination()
-    try:
-        return spark.read.parquet(os.path.join(root, "out")).drop("batch_id")
-    except Exception:  # no batch produced output: empty result with the stream's schema
-        return spark.createDataFrame([], stream.schema)
+    got = read_table(spark, os.path.join(root, "out"))
+    # no batch produced output: empty result with the stream's schema
+    return spark.createDataFrame([], stream.schema) if got is None else got.drop("batch_id")

@@ -14,7 +14,6 @@ import datetime as _dt
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from vaultmart.plans import ops as OPS
@@ -52,19 +51,7 @@ def _ledger(key, batches, state):
 def budget_admission_stream(spark: SparkSession, requests: DataFrame, watermark: str = "1 hour",
                             budgets: dict | None = None, rates: dict | None = None) -> DataFrame:
     """Streaming admission: requests must carry an event-time ``timestamp_utc``."""
-    budgets = budgets or OPS.DAILY_BUDGET_USD_BY_FEATURE
-    rates = rates or OPS.PROVIDER_RATES_PER_1K_TOKENS
-    b = spark.createDataFrame([(k, int(round(v * OPS.MICRO))) for k, v in budgets.items()],
-                              "feature string, budget_micro long")
-    r = spark.createDataFrame([(k, int(round(v * 1000))) for k, v in rates.items()],
-                              "provider string, rate_micro long")
-    df = (requests.withWatermark("timestamp_utc", watermark)
-                  .join(F.broadcast(r), "provider", "inner").join(F.broadcast(b), "feature", "left")
-                  .select("request_id", "request_seq", "feature", "timestamp_utc",
-                          F.to_date("timestamp_utc").alias("usage_date"), "budget_micro",
-                          ((F.col("prompt_tokens") + F.col("max_completion_tokens")) * F.col("rate_micro"))
-                          .cast("long").alias("projected_micro"),
-                          ((F.col("prompt_tokens") + F.col("completion_tokens")) * F.col("rate_micro"))
-                          .cast("long").alias("actual_micro")))
+    df = OPS.priced_requests(spark, requests.withWatermark("timestamp_utc", watermark),
+                             budgets or OPS.DAILY_BUDGET_USD_BY_FEATURE, rates or OPS.PROVIDER_RATES_PER_1K_TOKENS)
     return df.groupBy("feature", "usage_date").applyInPandasWithState(
         _ledger, OPS.ADMISSION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

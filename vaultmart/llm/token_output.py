@@ -19,6 +19,7 @@ without rows gives a table without rows.
 from __future__ import annotations
 
 import functools
+import json
 import re
 import zlib
 from array import array
@@ -31,10 +32,23 @@ from pyspark.sql import types as T
 
 from vaultmart.llm.common import BLOCK_CHARS, Remembered, text_blocks
 
-BASE_ENTRIES = 250_000         # encoded words a Python worker remembers, twice that with the older generation
-WORD_ENTRIES = 150_000         # the same for words with their case and punctuation
+TOKEN_ENTRIES = 400_000        # encoded pre-tokens a Python worker remembers, twice that with the older generation
+WORD_ENTRIES = 50_000          # the same for words of texts that do not split into pre-tokens
 CACHED_LENGTH = 48             # longer words are encoded again each time
 
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"              # lower-case Latin letters that normalisation leaves alone
+PUNCTUATION = r"!\"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~"     # ASCII punctuation but for apostrophe and <
+
+# The parts of a tokenizer file for which texts split as described at WordEncoder.
+PLAIN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+
 WRITER_OPTIONS = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",               # delta encodings where no dictionary is used
@@ -52,14 +66,18 @@ class WordEncoder:
 
     Holds for tokenizers whose normaliser and pre-tokenizer treat white space
     as a separator that yields no id, so a text's ids are its words' ids in a
-    row; special strings inside a word are found there as in the text.  A word
-    of Latin letters followed by punctuation splits further (checked for the
-    given tokenizer), so its letters are encoded once in any case and with any
-    punctuation.  Both levels are remembered, bounded, across a worker's tasks.
+    row; special strings inside a word are found there as in the text.
+
+    For a tokenizer of the lower-casing kind described by ``PLAIN`` most texts
+    split further: where a lower-cased text holds only ASCII and Latin-1
+    letters, digits and punctuation without apostrophe or ``<``, its
+    pre-tokens are the runs of letters, single digits and runs of punctuation,
+    and the library's merges run on those directly.  Ids of pre-tokens and
+    words are remembered, bounded, across a worker's tasks.
     """
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_truncation()
@@ -67,24 +85,27 @@ class WordEncoder:
         probe = "one  two\n three"
         if self._encode(probe) != b"".join(map(self._encode, probe.split())):
             raise ValueError("white space yields ids: texts do not split into words")
-        splits = all(self._encode(w + p) == self._encode(w.lower()) + self._encode(p) for w in ("One", "ÉTÉ", "größe") for p in (".", ",", "$$$", "!!?"))
-        self.find = re.compile("[^ \t\n\r]+").findall
-        self.parts = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?$%&#*|]*)").fullmatch if splits else lambda word: None
-        self.base = Remembered(self._encode, BASE_ENTRIES, CACHED_LENGTH)
-        self.words = Remembered(self._word, WORD_ENTRIES, CACHED_LENGTH)
-
-    def _encode(self, text: str) -> bytes:
-        return array("i", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        m = self.parts(word)
-        if not m:
-            return self.base[word]
-        return self.base[m[1].lower()] + self.base[m[2]] if m[2] else self.base[m[1].lower()]
+        with open(tokenizer_file, encoding="utf-8") as f:
+            kind = json.load(f)
+        self.plain = {k: kind.get(k) for k in PLAIN} == PLAIN
+        self.merges = Tokenizer.from_file(tokenizer_file)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.find, self.split = re.compile("[^ \t\n\r]+").findall, re.compile(f"[{LETTERS}]+|[0-9]|[{PUNCTUATION}]+").findall
+        self.odd = re.compile(f"[^ \t\n\r0-9{LETTERS}{PUNCTUATION}]").search
+        self.tokens = Remembered(lambda t: self._encode(t, self.merges), TOKEN_ENTRIES, CACHED_LENGTH)
+        self.words = Remembered(self._encode, WORD_ENTRIES, CACHED_LENGTH)
+
+    def _encode(self, text: str, tokenizer=None) -> bytes:
+        return array("i", (tokenizer or self.tokenizer).encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """32-bit ids of a whole text, in machine order."""
-        return b"".join(map(self.words.__getitem__, self.find(text))) if text else b""
+        if not text:
+            return b""
+        if self.plain and not self.odd(low := text.lower()):
+            return b"".join(map(self.tokens.__getitem__, self.split(low)))
+        return b"".join(map(self.words.__getitem__, self.find(text)))
 
 
 @functools.lru_cache(1)

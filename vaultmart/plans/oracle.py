@@ -848,12 +848,17 @@ FROM (SELECT *, CASE WHEN risk_tier IN ('tier_1', 'tier_2') THEN 'auto_approved'
       FROM (SELECT *, CAST(CASE risk_tier WHEN 'tier_3' THEN 60 WHEN 'tier_4' THEN 15 END AS BIGINT) AS sla_minutes
             FROM approval_requests))""")
 
-# streaming: windows are emitted once the watermark (max event time - 1 hour) passes their end
-_WM = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-oracle("i01_stream_error_rate_hourly", ORACLE["i02_error_rate_alerts_hourly"].replace(
-    "WHERE errors / calls > 0.2", f"WHERE errors / calls > 0.2 AND w + INTERVAL 1 HOUR <= {_WM}"))
-oracle("i04_stream_latency_hourly", ORACLE["i04_latency_p99_alerts_hourly"].replace(
-    "FROM p WHERE p99 > 5000", f"FROM p WHERE p99 > 5000 AND w + INTERVAL 1 HOUR <= {_WM}"))
+# streaming: a bounded run closes its last windows, so streams equal the batch rules
+oracle("i01_stream_error_rate_hourly", ORACLE["i02_error_rate_alerts_hourly"])
+oracle("i03_stream_repeated_calls_daily", ORACLE["i03_repeated_call_alerts_daily"])
+oracle("i04_stream_latency_hourly", ORACLE["i04_latency_p99_alerts_hourly"])
+
+# the last 30 days before a given day
+for _name in ("i08_priced_usage", "i09_chargeback", "i10_untagged_spend"):
+    _head, _from, _tail = ORACLE[_name].rpartition("FROM pu")
+    _recent = "usage_date >= DATE '2001-06-30' - 30"
+    _tail = _tail.replace(" WHERE", f" WHERE {_recent} AND", 1) if " WHERE" in _tail else f" WHERE {_recent}{_tail}"
+    oracle(f"{_name}_30_days", _head + _from + _tail)
 
 
 # more staging models, top-k report
@@ -896,6 +901,9 @@ FROM cq_member_measure_evals""")
 oracle("b31_stg_pharmacy_fills", with_bronze("pharmacy_fills") + f"""
 SELECT member_bk, drug_bk, pharmacy_bk, {dt('fill_date')} AS fill_date, CAST(days_supply AS BIGINT) AS days_supply,
        record_source, {ts('load_dts')} AS load_dts FROM pharmacy_fills""")
+oracle("f13_leakage_where_paid_since_1998", gwith("fcp") + f"""
+SELECT {mt('payment_date')} AS metric_time, CAST(sum(leakage_amount) AS DOUBLE) AS total_payment_leakage
+FROM fcp WHERE payment_date >= DATE '1998-01-01' GROUP BY 1""")
 oracle("f13_top10_provider_leakage", gwith("fcp") + """
 SELECT provider_hk AS provider, CAST(sum(leakage_amount) AS DOUBLE) AS leakage_by_provider FROM fcp
 GROUP BY 1 ORDER BY sum(leakage_amount) DESC, provider LIMIT 10""")

@@ -450,9 +450,27 @@ def q_daily_cost(spark, sf_dir):
     return present(OPS.daily_cost_by_feature(_priced(spark, sf_dir)[0], as_of="2024-01-31 00:00:00", days=30))
 
 
-def _usage(spark, sf_dir):
+USAGE_AS_OF = "2001-06-30"
+
+
+def _usage(spark, sf_dir, days: int | None = None):
     proxy.register_driver_tables(spark, sf_dir, ["lineitem"])
-    return OPS.priced_usage(OPS.usage_from_lineitem(spark.table("lineitem")), OPS.list_prices(spark))
+    return OPS.priced_usage(OPS.usage_from_lineitem(spark.table("lineitem")), OPS.list_prices(spark), USAGE_AS_OF, days)
+
+
+@query("i08_priced_usage_30_days")
+def q_priced_usage_recent(spark, sf_dir):
+    return present(_usage(spark, sf_dir, 30))
+
+
+@query("i09_chargeback_30_days")
+def q_chargeback_recent(spark, sf_dir):
+    return present(OPS.chargeback(_usage(spark, sf_dir, 30)))
+
+
+@query("i10_untagged_spend_30_days")
+def q_untagged_recent(spark, sf_dir):
+    return present(OPS.untagged_spend(_usage(spark, sf_dir, 30)))
 
 
 @query("i08_priced_usage")
@@ -558,20 +576,26 @@ def tool_call_stream(spark, sf_dir):
     s.createOrReplaceTempView("events_stream")
     sql = proxy.ops_sql("spark")["tool_call_events"].replace("FROM events", "FROM events_stream")
     events = spark.sql(sql).withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
-    return AUD.deduplicated(events, "1 hour")
+    events, close = AUD.closing(spark, events)
+    return AUD.deduplicated(events, "1 hour"), close
 
 
 @query("i01_stream_error_rate_hourly")
 def q_stream_err(spark, sf_dir):
-    out = AUD.run_to_table(spark, AUD.error_rate_stream(tool_call_stream(spark, sf_dir), "1 hour", None),
-                           "error-rate")
-    return present(out)
+    events, close = tool_call_stream(spark, sf_dir)
+    return present(AUD.run_to_table(spark, AUD.error_rate_stream(events, "1 hour", None), "error-rate", close))
+
+
+@query("i03_stream_repeated_calls_daily")
+def q_stream_repeated(spark, sf_dir):
+    events, close = tool_call_stream(spark, sf_dir)
+    return present(AUD.run_to_table(spark, AUD.repeated_call_stream(events, "1 day", None), "repeated-calls", close))
 
 
 @query("i04_stream_latency_hourly")
 def q_stream_lat(spark, sf_dir):
-    out = AUD.run_to_table(spark, AUD.latency_stream(tool_call_stream(spark, sf_dir), "1 hour", None), "latency")
-    return present(out)
+    events, close = tool_call_stream(spark, sf_dir)
+    return present(AUD.run_to_table(spark, AUD.latency_stream(events, "1 hour", None), "latency", close))
 
 
 # ---------------------------------------------------------------------------
@@ -602,6 +626,13 @@ for _q, (_m, _b) in STAGING_QUERIES.items():
     _staging_query(_q, _m, _b)
 
 
+@query("f13_leakage_where_paid_since_1998")
+def q_where(spark, sf_dir):
+    ms = MetricStore(vault=gold_vault(spark, sf_dir, "fact_claim_payment"))
+    return present(ms.query(["total_payment_leakage"], group_by=["metric_time"], grain="year",
+                            where="payment_date >= DATE '1998-01-01'"))
+
+
 @query("f13_top10_provider_leakage")
 def q_topk(spark, sf_dir):
     ms = MetricStore(vault=gold_vault(spark, sf_dir, "fact_claim_payment"))

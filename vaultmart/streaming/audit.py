@@ -11,6 +11,7 @@ written per batch id so a retried batch overwrites itself.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
@@ -78,14 +79,36 @@ def write_batches(stream: DataFrame, out_dir: str, checkpoint: str, available_no
     return w.start()
 
 
-def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def closing(spark: SparkSession, events: DataFrame, time_col: str = "timestamp_utc"):
+    """(events, close): a bounded run's way to emit its last windows.
+
+    The stream also reads a folder that is empty until ``close()`` puts one
+    event of a far day there; a further run from the same checkpoint then moves
+    the watermark past every open window.  That event's own window never closes.
+    """
+    folder = scratch_path(spark, f"close-{uuid.uuid4().hex}")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in events.schema])
+    spark.createDataFrame([], schema).write.parquet(folder)
+
+    def close() -> None:
+        row = [dt.datetime(9999, 1, 1) if f.name == time_col else None for f in schema]
+        spark.createDataFrame([row], schema).write.mode("append").parquet(folder)
+
+    return events.unionByName(spark.readStream.schema(schema).parquet(folder)), close
+
+
+def run_to_table(spark: SparkSession, stream: DataFrame, name: str, close=None) -> DataFrame:
     """Run a streaming query over all available input and read back its output.
 
-    Output and checkpoint live under the shared checkpoint folder.
+    With ``close`` (see ``closing``) the windows left open at the end of the
+    input are emitted by a second run from the same checkpoint.  Output and
+    checkpoint live under the shared checkpoint folder.
     """
     root = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    q = write_batches(stream, os.path.join(root, "out"), os.path.join(root, "checkpoint"))
-    q.awaitTermination()
+    for last in ([False, True] if close else [True]):
+        write_batches(stream, os.path.join(root, "out"), os.path.join(root, "checkpoint")).awaitTermination()
+        if not last:
+            close()
     got = read_table(spark, os.path.join(root, "out"))
     # no batch produced output: empty result with the stream's schema
     return spark.createDataFrame([], stream.schema) if got is None else got.drop("batch_id")

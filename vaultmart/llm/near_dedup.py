@@ -4,7 +4,7 @@ A text becomes the set of its word shingles; one hash function orders them and
 a sketch keeps the ``k`` smallest values.  For two sets with Jaccard
 similarity s, the values below the k-th smallest of their union are shared
 with probability s each, so sketches of a pair at the threshold t share at
-least ``need(k)`` values but for about one pair in a million.
+least ``need(k)`` values but for a few pairs in a million.
 
 1. Equal sets (128-bit digest of the whole set) are one class; classes are the
    nodes from here on.  Copies are combined map-side and never expanded.
@@ -17,10 +17,13 @@ least ``need(k)`` values but for about one pair in a million.
    union-sketch estimate, then exact Jaccard on the whole texts.  Links give
    components; a group of thousands of near copies collapses here in one
    comparison per class.
-4. Only pairs of one list in different components are left.  Lists are dealt
-   out in blocks of ``LIST_BLOCK`` classes; a task counts shared values of a
-   pair of blocks with a matrix product and hands on pairs with ``need`` or
-   more.  Estimate and exact check follow, and the components are joined.
+4. Only pairs of one list in different components are left.  Their classes
+   get wider sketches (small sets are whole), and lists are dealt out in blocks
+   of ``LIST_BLOCK`` classes.  A task counts the shared values of two blocks
+   with a matrix product, estimates similarities on the union sketches (exact
+   for whole sets) and hands on what remains, each pair once: in the list of
+   its smallest common value; of pairs that surely link only as many as join
+   the components at hand.  Whole texts confirm, and components are joined.
 
 No list is capped and no pair is skipped: links inside a component cannot
 change it.  Texts that need an exact check are picked by a bit filter of fixed
@@ -44,13 +47,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.llm.common import blocks, code_points, fold_points, list_array, run_hashes, runs, shingle_hashes
+from vaultmart.llm.common import blocks, code_points, fold_points, list_array, run_hashes, runs, shingle_hashes, text_blocks
 from vaultmart.llm.components import connected_components
 from vaultmart.llm.decontamination import bit_filter, passes
 
-SKETCH = 64
+SKETCH = 32
+WIDE_SKETCH = 256              # values compared inside a list; sets of up to this size are compared whole
 SIGMAS = 4.9                   # how far below its mean a pair's number of shared values may fall
-LIST_BLOCK = 256
+LIST_BLOCK = 512
+COLUMNS = 4096                # values a matrix product takes at once
+FEW_PAIRS = 2000               # so many pairs are compared one by one
 
 
 def shingle_sets(texts: list, n: int) -> list[np.ndarray]:
@@ -139,67 +145,144 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long")
 
 
-def block_pairs(lists: DataFrame, t: float) -> DataFrame:
-    """Distinct pairs (a, b) of one list and of different components that share
-    ``need`` values.  ``lists``: ``value, size, node, component, n_shingles, sketch``."""
+def wide_sketches(texts: DataFrame, n: int, k: int) -> DataFrame:
+    """``node, wide, whole``: the ``k`` smallest values of a class, cut to their
+    leading 32 bits (order is kept; two values that become equal can only make a
+    pair look more alike, and whole texts confirm), and whether they are its whole set."""
+
+    def sketch(batches):
+        for b in batches:
+            for lo, hi, part in text_blocks(b.column("text")):
+                sets = shingle_sets(part, n)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node").slice(lo, hi - lo),
+                     list_array(np.concatenate([(s[:k] >> 31) - (1 << 31) for s in sets]).astype(np.int32), [min(len(s), k) for s in sets], pa.int32()),
+                     pa.array([len(s) <= k for s in sets])], names=["node", "wide", "whole"])
+
+    return texts.mapInArrow(sketch, "node long, wide array<int>, whole boolean")
+
+
+def _shared(values: list, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of common values of every left and right row, by matrix products over ``COLUMNS`` values at a time."""
+    value, at = np.unique(np.concatenate(values), return_inverse=True)
+    row = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    used = np.bincount(at, minlength=len(value)) > 1
+    row, column = row[used[at]], (np.cumsum(used) - 1)[at[used[at]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for first in range(0, int(used.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        held = np.zeros((len(values), COLUMNS), np.float32)
+        held[row[lo:hi], column[lo:hi] - first] = 1
+        out += held[left] @ held[right].T
+    return out
+
+
+def compare_blocks(rows: list, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one list that may be linked: of different components, not met in
+    a list of a smaller value, and not ruled out by the union of their sketches
+    (whole sets decide exactly).  ``rows``: (value, lo, hi, own, node,
+    component, n_shingles, whole, wide, lists)."""
+    value, lo, hi = rows[0][:3]
+    left = np.array([i for i, r in enumerate(rows) if r[3] == lo])
+    right = left if lo == hi else np.array([i for i, r in enumerate(rows) if r[3] == hi])
+    if not len(left) or not len(right):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    t = percent / 100
+    node, part = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], np.int64)
+    size = np.array([r[6] for r in rows], float)
+    ok = part[left][:, None] != part[right][None, :]
+    ok &= np.minimum(size[left][:, None], size[right][None, :]) >= t * np.maximum(size[left][:, None], size[right][None, :])
+    if lo == hi:
+        ok &= node[left][:, None] > node[right][None, :]
+    if not ok.any():
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ok &= _shared([r[9][r[9] < value] for r in rows], left, right) == 0
+    x, y = np.nonzero(ok)
+    i, j = left[x], right[y]
+    if len(i) <= FEW_PAIRS:
+        shared = np.array([len(np.intersect1d(rows[p][8], rows[q][8])) for p, q in zip(i, j)], np.float32)
+    else:
+        shared = _shared([r[8] for r in rows], left, right)[x, y]
+    count = np.array([len(r[8]) for r in rows])
+    least = np.array([need(int(c), t) for c in count])
+    some = shared >= np.minimum(least[i], least[j]) - 2
+    i, j, shared = i[some], j[some], shared[some]
+    whole, last = np.array([r[7] for r in rows]), np.array([r[8][-1] for r in rows])
+    union = (count[i] + count[j] - shared).astype(float)
+    exact = whole[i] & whole[j]
+    for p in np.flatnonzero(~exact):                         # below the smaller of both ends both sketches are complete
+        end = min(last[i[p]] if not whole[i[p]] else np.iinfo(np.int32).max, last[j[p]] if not whole[j[p]] else np.iinfo(np.int32).max)
+        union[p] = np.searchsorted(rows[i[p]][8], end, "right") + np.searchsorted(rows[j[p]][8], end, "right") - shared[p]
+    sure = exact & (100 * (shared - 2) >= percent * (union + 2))
+    lost = np.array([len(r[8]) - len(np.unique(r[8])) for r in rows])       # values made equal by the cut count for the pair
+    shared, union = shared + lost[i] + lost[j], union - lost[i] - lost[j]
+    keep = np.where(exact, 100 * shared >= percent * union, shared >= t * union - SIGMAS * np.sqrt(union * t * (1 - t)))
+    i, j, sure = i[keep], j[keep], sure[keep]
+    keep = _spanning(part[i], part[j], sure)
+    a, b = node[i][keep], node[j][keep]
+    return np.maximum(a, b), np.minimum(a, b)
+
+
+def _spanning(a: np.ndarray, b: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """Which pairs of components are needed: of the sure ones those that join
+    two groups, of the others those between groups that the sure ones left apart."""
+    parent: dict = {}
+
+    def root(x):
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    keep = np.zeros(len(a), bool)
+    for p in np.flatnonzero(sure):
+        x, y = root(int(a[p])), root(int(b[p]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            keep[p] = True
+    for p in np.flatnonzero(~sure):
+        keep[p] = root(int(a[p])) != root(int(b[p]))
+    return keep
+
+
+def block_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) from all lists, each pair once.  ``lists``:
+    ``value, size, node, component, n_shingles, whole, wide, lists``."""
     n = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), n).cast("int")
     dealt = (lists.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
              .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-             .select("value", "lo", "hi", "own", "node", "component", "n_shingles", "sketch"))
-
-    def compare(rows: list) -> tuple[list, list]:
-        lo, hi = rows[0][1], rows[0][2]
-        left = [i for i, r in enumerate(rows) if r[3] == lo]
-        right = left if lo == hi else [i for i, r in enumerate(rows) if r[3] == hi]
-        if not left or not right:
-            return [], []
-        count = np.array([len(r[7]) for r in rows])
-        value, at = np.unique(np.concatenate([r[7] for r in rows]), return_inverse=True)
-        used = np.bincount(at, minlength=len(value)) > 1
-        column = np.cumsum(used) - 1
-        held = np.zeros((len(rows), int(used.sum())), np.float32)
-        row = np.repeat(np.arange(len(rows)), count)
-        held[row[used[at]], column[at[used[at]]]] = 1
-        same = held[left] @ held[right].T
-        size = np.array([r[6] for r in rows], float)
-        part = np.array([r[5] for r in rows])
-        least = np.array([need(int(c), t) for c in count])
-        ok = (same >= np.minimum(least[left][:, None], least[right][None, :])) & (part[left][:, None] != part[right][None, :])
-        ok &= np.minimum(size[left][:, None], size[right][None, :]) >= t * np.maximum(size[left][:, None], size[right][None, :])
-        x, y = np.nonzero(ok)
-        node = np.array([r[4] for r in rows], np.int64)
-        p, q = node[left][x], node[right][y]
-        keep = p < q if lo == hi else np.ones(len(p), bool)
-        return np.maximum(p, q)[keep], np.minimum(p, q)[keep]
+             .select("value", "lo", "hi", "own", "node", "component", "n_shingles", "whole", "wide", "lists"))
 
     def pairs(batches):
         held, key = [], None
         for b in batches:
-            a, c = [], []
-            cols = [b.column(i).to_pylist() for i in range(7)]
-            sketch = b.column("sketch")
-            values, cut = sketch.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sketch.value_lengths().to_numpy(zero_copy_only=False))))
+            got = []
+            cols = [b.column(i).to_pylist() for i in range(8)]
+            arrays = [_rows_of(b.column(i)) for i in (8, 9)]
             for i, head in enumerate(zip(*cols)):
                 if head[:3] != key and held:
-                    got = compare(held)
-                    a.append(got[0])
-                    c.append(got[1])
+                    got.append(compare_blocks(held, percent))
                     held = []
                 key = head[:3]
-                held.append((*head, values[cut[i]:cut[i + 1]].copy()))
-            yield _pair_batch(a, c)
+                held.append((*head, arrays[0](i), arrays[1](i)))
+            yield _pair_batch(got)
         if held:
-            got = compare(held)
-            yield _pair_batch([got[0]], [got[1]])
+            yield _pair_batch([compare_blocks(held, percent)])
+
+    return dealt.repartition("value", "lo", "hi").sortWithinPartitions("value", "lo", "hi").mapInArrow(pairs, "a long, b long")
+
 
-    return (dealt.repartition("value", "lo", "hi").sortWithinPartitions("value", "lo", "hi")
-            .mapInArrow(pairs, "a long, b long").distinct())
+def _rows_of(column: pa.Array):
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    cut = np.concatenate(([0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))))
+    return lambda i: values[cut[i]:cut[i + 1]].copy()
 
 
-def _pair_batch(a: list, b: list) -> pa.RecordBatch:
-    flat = lambda x: pa.array(np.concatenate([np.zeros(0, np.int64), *[np.asarray(y, np.int64) for y in x]]))
-    return pa.RecordBatch.from_arrays([flat(a), flat(b)], names=["a", "b"])
+def _pair_batch(got: list) -> pa.RecordBatch:
+    flat = lambda k: pa.array(np.concatenate([np.zeros(0, np.int64), *[g[k] for g in got]]))
+    return pa.RecordBatch.from_arrays([flat(0), flat(1)], names=["a", "b"])
 
 
 def class_texts(docs: DataFrame, id_col: str, text_col: str, nodes: DataFrame) -> DataFrame:
@@ -242,9 +325,12 @@ def near_duplicates(docs: DataFrame, stored, id_col: str = "doc_id", text_col: s
     part = stored(part, "parts")
     mixed = (part.groupBy("value").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("value", "size", F.hash("value").alias("again")))
-    left = (part.withColumn("again", F.hash("value")).join(mixed, ["value", "again"]).drop("again")
-            .join(active.select("node", "n_shingles", "sketch"), "node"))
-    rest = confirmed(estimated(stored(block_pairs(left, t), "pairs"), active, t, k), texts, n, percent)
+    left = part.withColumn("again", F.hash("value")).join(mixed, ["value", "again"]).drop("again")
+    left = stored(left, "mixed")
+    open_texts = texts.join(left.select("node").distinct(), "node", "left_semi")
+    wide = stored(wide_sketches(open_texts, n, WIDE_SKETCH), "wide").join(active.select("node", "n_shingles", "lists"), "node")
+    pairs = stored(block_pairs(left.join(wide, "node"), percent), "pairs")
+    rest = confirmed(pairs, texts, n, percent)
     whole = connected_components(star.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(rest), stored)
 
     of_class = classes.join(whole, "node", "left").select(

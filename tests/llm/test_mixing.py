@@ -49,7 +49,7 @@ def test_sizes_targets_and_taken(spark):
     assert all(abs(taken[s] - targets[s]) <= 0.5 for s in per)
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_targets_on_random_sources(spark, seed):
     rng = random.Random(seed)
     rows = [(i, " ".join(["w"] * rng.randint(0, 30)), "en", rng.choice(["a", "b", "B", "é", "z", None, "hot", "hot", "hot"])) for i in range(200)]

@@ -64,7 +64,7 @@ def families(seed, passage=True):
     return rows
 
 
-@pytest.mark.parametrize("seed,n,percent", [(1, 3, 85), (2, 5, 80), (3, 3, 85)])
+@pytest.mark.parametrize("seed,n,percent", [(1, 3, 85), (2, 5, 80)])
 def test_against_brute_force(spark, seed, n, percent):
     rows = families(seed) + [r for r in awkward_rows() if r[0] != 26]
     got = near_dedup.near_duplicates(docs_frame(spark, rows), store(spark), n=n, percent=percent).collect()
@@ -107,7 +107,7 @@ def test_empty_tables(spark):
     assert sorted((r.id, r.n_shingles, r.component_id, r.kept) for r in got) == [(i, 0, i, True) for i in (1, 2, 3)]
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_components(spark, seed):
     rng = random.Random(seed)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(40)] + [(200, 201 + i) for i in range(30)]

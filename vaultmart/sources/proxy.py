@@ -356,18 +356,21 @@ def bronze_sql(dialect: str = "spark") -> dict[str, str]:
     return q
 
 
+SCAN_PARTITIONS = "spark.vaultmart.scanPartitions"     # unset: tables are used as scanned
 _REGISTERED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()      # session -> {table: folder}
 
 
 def register_driver_tables(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
     """Temp views of the driver's tables; a view already registered for the
     same folder in this session is kept.  Scan parallelism is Spark's own
-    (row groups, ``spark.sql.files.maxPartitionBytes``)."""
-    known = _REGISTERED.setdefault(spark, {})
+    (row groups, ``spark.sql.files.maxPartitionBytes``), unless a deployment
+    whose files are single row groups sets ``SCAN_PARTITIONS``."""
+    known, spread = _REGISTERED.setdefault(spark, {}), spark.conf.get(SCAN_PARTITIONS, None)
     for t in names:
         if known.get(t) == sf_dir and spark.catalog.tableExists(t):
             continue
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        df = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+        (df.repartition(int(spread)) if spread else df).createOrReplaceTempView(t)
         known[t] = sf_dir
 
 

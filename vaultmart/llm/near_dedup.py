@@ -54,8 +54,8 @@ from vaultmart.llm.decontamination import bit_filter, passes
 SKETCH = 32
 WIDE_SKETCH = 256              # values compared inside a list; sets of up to this size are compared whole
 SIGMAS = 4.9                   # how far below its mean a pair's number of shared values may fall
-LIST_BLOCK = 512
-COLUMNS = 4096                # values a matrix product takes at once
+LIST_BLOCK = 384
+COLUMNS = 1024                # values a matrix product takes at once
 FEW_PAIRS = 2000               # so many pairs are compared one by one
 
 

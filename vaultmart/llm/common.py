@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ARROW_ROWS = 1000
+ARROW_ROWS = 256
 BLOCK_CHARS = 1 << 20          # characters a numpy block holds (a longer document is a block of its own)
 
 

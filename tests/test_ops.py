@@ -180,3 +180,32 @@ def test_quality_checks_and_triage(spark):
     refs = spark.createDataFrame([("total_leakage_amount",), ("no_such_measure",)], "ref string")
     known = spark.createDataFrame([("total_leakage_amount",)], "name string")
     assert [r.ref for r in QC.metric_reference_check(refs, known).collect()] == ["no_such_measure"]
+
+
+def test_quality_checks_reach_every_vault_table(spark):
+    from vaultmart.plans import registry as R
+    from vaultmart.plans.queries import quality_checks
+    checks = quality_checks()
+    got = {(c.table, c.check, c.column, c.ref_table) for c in checks}
+    assert {t.name for t in (*R.HUBS, *R.LINKS, *R.SATELLITES, *R.TLINKS)} <= {c.table for c in checks}
+    assert ("sat_member_hcc_status", "relationships", "member_hcc_hk", "lnk_member_hcc") in got
+    assert {(lk.name, "relationships", fk) for lk in (*R.LINKS, *R.TLINKS) for fk in lk.fks} <= {g[:3] for g in got}
+
+
+def test_quality_checks_of_many_tables(spark):
+    """Checks that share an aggregate do not see each other's keys."""
+    hub = spark.createDataFrame([("a", "A"), ("b", "B"), ("b", "C"), (None, "C")], "k string, bk string")
+    other = spark.createDataFrame([("a", "B"), ("z", "B")], "k string, bk string")
+    sat = spark.createDataFrame([("a", "x"), ("a", "x"), ("z", "y"), ("z", "y"), (None, "y")], "k string, v string")
+    empty = spark.createDataFrame([], "k string")
+    checks = [QC.Check("hub_a", "unique", "k"), QC.Check("hub_a", "unique", "bk"), QC.Check("hub_b", "unique", "k"),
+              QC.Check("hub_b", "unique", "bk"), QC.Check("sat", "relationships", "k", "hub_a", "k"),
+              QC.Check("sat", "relationships", "k", "hub_b", "k"), QC.Check("sat", "relationships", "k", "none", "k"),
+              QC.Check("hub_b", "relationships", "k", "hub_a", "k"), QC.Check("none", "relationships", "k", "hub_a", "k"),
+              QC.Check("sat", "not_null", "k"), QC.Check("sat", "accepted_values", "v", values=("x",)),
+              QC.Check("hub_a", "not_null", "k"), QC.Check("none", "not_null", "k"), QC.Check("none", "unique", "k")]
+    res = QC.run_checks({"hub_a": hub, "hub_b": other, "sat": sat, "none": empty}, checks).collect()
+    label = {(c.table, f"relationships:{c.ref_table}" if c.ref_table else c.check, c.column): n
+             for c, n in zip(checks, [1, 1, 0, 1, 2, 0, 4, 1, 0, 1, 3, 1, 0, 0])}
+    assert {(r.table, r.check, r.column): r.failures for r in res} == label and len(res) == len(checks)
+    assert all((r.status == "pass") == (r.failures == 0) for r in res)

@@ -1,9 +1,11 @@
 """Data-quality checks (H-U, H-N, H-R, H-S, H-T, H-M).
 
 ``run_checks`` turns a list of check specs into one DataFrame of results
-(table, check, column, failures, status).  Each check is a single
-aggregate (not-null checks of one table share one pass), relationships
-are ``left_anti`` joins; the union is computed by one action.
+(table, check, column, failures, status).  Checks of a kind share one
+aggregate whatever their number: row checks are summed per table, unique
+and relationship checks are grouped by (check or referenced column, key),
+combined before the shuffle, so a hot key is one row per task.  Keys are
+compared as text.
 """
 
 from __future__ import annotations
@@ -27,43 +29,78 @@ class Check:
     values: tuple = ()
 
 
-def _result(table: str, check: str, column: str, failures: Column) -> list:
-    return [F.lit(table).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"),
-            failures.cast("long").alias("failures")]
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    # halved: Spark analyses a plan anew at each union
+    half = len(frames) // 2
+    return _union(frames[:half]).union(_union(frames[half:])) if half else frames[0]
+
+
+def _by_slot(sums: DataFrame, groups: Sequence[Sequence[int]], width: int) -> DataFrame:
+    """``group, c0, c1, ...`` -> ``no, failures``: slot j of a group counts its check ``groups[group][j]``."""
+    nos = F.array(*[F.lit(n) for g in groups for n in (*g, *[-1] * (width - len(g)))])
+    return (sums.select("group", F.posexplode(F.array(*[F.col(f"c{j}") for j in range(width)])).alias("slot", "failures"))
+            .select(F.element_at(nos, F.col("group") * width + F.col("slot") + 1).alias("no"), "failures")
+            .where(F.col("no") >= 0))
+
+
+def _row_failures(tables: dict[str, DataFrame], checks: Sequence[Check], numbers: Sequence[int]) -> DataFrame:
+    """not_null and accepted_values: one sum per check, a table is scanned once."""
+    by_table: dict[str, list[int]] = {}
+    for n in numbers:
+        by_table.setdefault(checks[n].table, []).append(n)
+    width = max(map(len, by_table.values()))
+
+    def bad(c: Check) -> Column:
+        col = F.col(c.column)
+        return col.isNull() if c.check == "not_null" else col.isNotNull() & ~col.isin(*c.values)
+    frames = [tables[t].select(F.lit(g).alias("group"), *[
+        (bad(checks[ns[j]]).cast("long") if j < len(ns) else F.lit(0).cast("long")).alias(f"c{j}") for j in range(width)])
+        for g, (t, ns) in enumerate(by_table.items())]
+    sums = _union(frames).groupBy("group").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(width)])
+    return _by_slot(sums, list(by_table.values()), width)
+
+
+def _duplicates(tables: dict[str, DataFrame], checks: Sequence[Check], numbers: Sequence[int]) -> DataFrame:
+    """unique: values that occur more than once, one keyed aggregate for all checks."""
+    keys = _union([tables[checks[n].table].select(F.lit(n).alias("no"), F.col(checks[n].column).cast("string").alias("key"))
+                   for n in numbers])
+    return (keys.where(F.col("key").isNotNull()).groupBy("no", "key").count().where(F.col("count") > 1)
+            .groupBy("no").agg(F.count(F.lit(1)).alias("failures")))
+
+
+def _orphans(tables: dict[str, DataFrame], checks: Sequence[Check], numbers: Sequence[int]) -> DataFrame:
+    """relationships: rows whose key the referenced column lacks, one keyed aggregate for all checks."""
+    by_ref: dict[tuple, list[int]] = {}
+    for n in numbers:
+        by_ref.setdefault((checks[n].ref_table, checks[n].ref_column), []).append(n)
+    width = max(map(len, by_ref.values()))
+
+    def keys(table: str, column: str, group: int, slot: int) -> DataFrame:
+        return tables[table].select(F.lit(group).alias("group"), F.lit(slot).alias("slot"),
+                                    F.col(column).cast("string").alias("key")).where(F.col("key").isNotNull())
+    frames = []
+    for g, ((table, column), ns) in enumerate(by_ref.items()):
+        frames += [keys(table, column, g, -1), *[keys(checks[n].table, checks[n].column, g, j) for j, n in enumerate(ns)]]
+    per_key = _union(frames).groupBy("group", "key").agg(
+        F.max(F.col("slot") == -1).alias("known"), *[F.count_if(F.col("slot") == j).alias(f"c{j}") for j in range(width)])
+    sums = per_key.where(~F.col("known")).groupBy("group").agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(width)])
+    return _by_slot(sums, list(by_ref.values()), width)
 
 
 def run_checks(tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    frames: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
-    for c in checks:
-        by_table.setdefault(c.table, []).append(c)
-    for table, cs in by_table.items():
-        df = tables[table]
-        nn = [c for c in cs if c.check == "not_null"]
-        if nn:
-            agg = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"_nn{i}") for i, c in enumerate(nn)])
-            stack = ", ".join(f"'{c.column}', _nn{i}" for i, c in enumerate(nn))
-            frames.append(agg.selectExpr(f"stack({len(nn)}, {stack}) AS (column, failures)")
-                          .select(F.lit(table).alias("table"), F.lit("not_null").alias("check"), "column",
-                                  F.col("failures").cast("long").alias("failures")))
-        for c in cs:
-            if c.check == "unique":
-                dup = df.where(F.col(c.column).isNotNull()).groupBy(c.column).count().where(F.col("count") > 1)
-                frames.append(dup.agg(F.count(F.lit(1)).alias("failures"))
-                              .select(*_result(table, "unique", c.column, F.col("failures"))))
-            elif c.check == "relationships":
-                ref = tables[c.ref_table].select(F.col(c.ref_column).alias(c.column)).distinct()
-                orphans = df.where(F.col(c.column).isNotNull()).select(c.column).join(ref, c.column, "left_anti")
-                frames.append(orphans.agg(F.count(F.lit(1)).alias("failures"))
-                              .select(*_result(table, f"relationships:{c.ref_table}", c.column, F.col("failures"))))
-            elif c.check == "accepted_values":
-                bad = df.where(F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values))
-                frames.append(bad.agg(F.count(F.lit(1)).alias("failures"))
-                              .select(*_result(table, "accepted_values", c.column, F.col("failures"))))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+    kinds: dict = {}
+    for n, c in enumerate(checks):
+        kind = {"unique": _duplicates, "relationships": _orphans}.get(c.check, _row_failures)
+        kinds.setdefault(kind, []).append(n)
+    zeros = next(iter(tables.values())).sparkSession.range(0, len(checks), 1, 1).select(
+        F.col("id").cast("int").alias("no"), F.lit(0).cast("long").alias("failures"))
+    failures = _union([zeros, *[kind(tables, checks, ns) for kind, ns in kinds.items()]])
+    names = F.array(*[F.struct(F.lit(c.table).alias("table"),
+                               F.lit(f"relationships:{c.ref_table}" if c.check == "relationships" else c.check).alias("check"),
+                               F.lit(c.column).alias("column")) for c in checks])
+    return (failures.groupBy("no").agg(F.sum("failures").alias("failures"))
+            .select(F.element_at(names, F.col("no") + 1).alias("_c"), "failures").select("_c.*", "failures")
+            .withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail")))
 
 
 def vault_checks(names: Sequence[str] | None = None) -> list[Check]:

@@ -16,7 +16,7 @@ from vaultmart.functions.hashing import stage
 from vaultmart.operators import vault as V
 from vaultmart.plans import registry as R
 from vaultmart.plans.staging import STAGING, stage_all
-from vaultmart.session import materialize
+from vaultmart.session import materialize, materialize_all
 
 
 def hashed_staging(staging: dict[str, DataFrame], names: list[str] | None = None) -> dict[str, DataFrame]:
@@ -93,8 +93,8 @@ def build_vault(bronze: dict[str, DataFrame], load_dts=None, targets: dict[str,
     """
     hashed_names, staging_names, uses = _plan_inputs(bronze, load_dts, names)
     if spark is not None:
-        bronze = {k: (materialize(spark, v, k) if uses.get(k, 0) >= 2 else v) for k, v in bronze.items()
-                  if k in uses}
+        bronze = {k: v for k, v in bronze.items() if k in uses}
+        bronze |= materialize_all(spark, {k: v for k, v in bronze.items() if uses[k] >= 2})
     staging = stage_all(bronze, load_dts, staging_names)
     hashed = hashed_staging(staging, hashed_names)
     new = new_vault_rows(hashed, targets, names)

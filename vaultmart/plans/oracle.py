@@ -557,6 +557,8 @@ FROM fcp GROUP BY 1""")
 # governance and data quality
 # ---------------------------------------------------------------------------
 from vaultmart.operators.governance import REGION_STATES  # noqa: E402
+from vaultmart.plans.oracle_vault import vault_table_sql  # noqa: E402
+from vaultmart.plans.registry import BY_NAME  # noqa: E402
 
 
 def _in(values) -> str:
@@ -628,7 +630,9 @@ def _check_sql(c) -> str:
 
 
 def quality_oracle(checks) -> str:
-    ctes = ",\n".join(f"q_{k} AS ({v})" for k, v in _QV.items())
+    # tables that are not restated above come from their registry row
+    rest = {c.table: vault_table_sql(c.table) for c in checks if c.table not in _QV and c.table in BY_NAME}
+    ctes = ",\n".join(f"q_{k} AS ({v})" for k, v in (_QV | rest).items())
     ctes += ",\nq_fact_encounter AS (SELECT * FROM fenc)"
     body = "\nUNION ALL\n".join(_check_sql(c) for c in checks)
     base = with_bronze("synpuf_inpatient_claim_header", "pi_payment_transactions", "nppes_providers",

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from vaultmart.plans import gold
 from vaultmart.plans.build import build_vault
 from vaultmart.plans.semantic import MetricStore
+from vaultmart.session import materialize_all
 from vaultmart.sources import proxy
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -369,22 +370,18 @@ def q_gov_fact(spark, sf_dir):
                                                  F.sum("leakage_amount").alias("leakage")))
 
 
-_QC_TABLES = ["hub_claim_line", "hub_provider", "hub_member", "hub_encounter", "lnk_claim_provider_member",
-              "tlnk_claim_payment_txn", "lnk_encounter_provider", "lnk_member_encounter", "lnk_encounter_facility",
-              "sat_encounter_details", "sat_claim_details"]
-_QC_BRONZE = ["synpuf_inpatient_claim_header", "pi_payment_transactions", "nppes_providers",
-              "synpuf_beneficiary_summary", "synthea_patients", "synthea_encounters"]
 QC_EXTRA = [QC.Check("fact_encounter", "not_null", "provider_hk"),
             QC.Check("fact_encounter", "accepted_values", "encounter_class_code", values=("IMP", "EMER", "AMB")),
             QC.Check("fact_encounter", "relationships", "provider_hk", "hub_provider", "provider_hk")]
 
 
 def quality_checks() -> list:
-    return QC.vault_checks(_QC_TABLES) + QC_EXTRA
+    return QC.vault_checks() + QC_EXTRA
 
 
 def _quality_results(spark, sf_dir):
-    v = vault(spark, sf_dir, _QC_TABLES, _QC_BRONZE)
+    # every vault table is loaded once; the checks read it several times
+    v = materialize_all(spark, vault(spark, sf_dir))
     tables = {**v, "fact_encounter": gold.fact_encounter(v)}
     return QC.run_checks(tables, quality_checks())
 

@@ -72,3 +72,10 @@ def materialize(spark: SparkSession, df, name: str):
     path = scratch_path(spark, f"materialized/{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(spark: SparkSession, tables: dict, at_once: int = 6) -> dict:
+    """``materialize`` for each table, a few at a time: small tables do not wait for one another."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(tables, pool.map(lambda k: materialize(spark, tables[k], k), tables)))

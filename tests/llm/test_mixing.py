@@ -96,6 +96,20 @@ def test_mix_returns_the_copies(spark):
     assert words == want
 
 
+def test_mix_of_repeated_rows(spark):
+    """Rows that repeat an id and text, also in two sources and without id, take what the digest says in sum."""
+    rows = [(1, " ".join(["a"] * 10), "en", "a")] * 30 + [(1, " ".join(["a"] * 10), "en", "b")] * 4
+    rows += [(None, "b c d", "en", "b")] * 9 + [(None, "b c d", "en", None)] * 3 + [(i, "x y", "en", "b") for i in range(2, 9)]
+    docs = docs_frame(spark, rows)
+    sizes = store(spark)(mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
+    got, want = {}, {}
+    for r in mixing.mix(docs, sizes, store(spark)).collect():
+        got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
+    for r in mixing.curriculum(sizes, store(spark)).collect():
+        want[r.id, r.source] = want.get((r.id, r.source), 0) + r.taken
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def test_empty_tables(spark):
     assert mixed(spark, [])[1].count() == 0
     _, got = mixed(spark, [(1, None, "en", "s"), (2, "", "en", None)])

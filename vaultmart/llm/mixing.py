@@ -159,17 +159,27 @@ def mix_digest(sizes: DataFrame, stored, **options) -> DataFrame:
             .repartitionByRange(order, "doc_id").sortWithinPartitions(order, "doc_id"))
 
 
-def mix(docs: DataFrame, sizes: DataFrame, stored, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def mix(docs: DataFrame, sizes: DataFrame, stored, id_col: str = "doc_id", text_col: str = "text",
+        source_col: str = "source", **options) -> DataFrame:
     """The mixed corpus: every taken copy of every row with all input columns
     and no others, range-sorted by training position.  The text of a copy that
-    reaches the target is cut to its first words (joined by single spaces)."""
-    place = curriculum(sizes, stored, **options).groupBy(F.col("key").alias("_mix_key"), F.col("id").alias("_mix_id")).agg(
-        F.max("copies").alias("_mix_copies"), F.max("size").alias("_mix_size"))
+    reaches the target is cut to its first words (joined by single spaces).
+    Rows that repeat an id, text and source are numbered, and each takes the
+    copies of one of the places that they hold in the source's order."""
+    place = curriculum(sizes, stored, **options).where(F.size("copies") > 0).groupBy(
+        F.col("key").alias("_mix_key"), F.struct("id", "source").alias("_mix_owner")).agg(
+        F.sort_array(F.collect_list("copies")).alias("_mix_places"), F.max("size").alias("_mix_size"))
     key = F.xxhash64(F.col(id_col), F.xxhash64(text_col))
-    on = (F.col("_mix_row") == F.col("_mix_key")) & F.col(id_col).eqNullSafe(F.col("_mix_id"))
+    # a struct's null fields equal each other, so the join and the numbering share one exchange
+    at = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    on = (F.col("_mix_row") == F.col("_mix_key")) & (F.col("_mix_at") == F.col("_mix_owner"))
+    others = [f.name for f in docs.schema if f.name != text_col and not isinstance(f.dataType, T.MapType)]
+    repeat = F.row_number().over(Window.partitionBy("_mix_row", "_mix_at").orderBy(
+        F.xxhash64(*[F.col(f"`{c}`") for c in others])))
     words = F.split(F.regexp_replace(text_col, r"^[ \t-\r]+", ""), r"[ \t-\r]+")
     cut = F.array_join(F.slice(words, F.lit(1), F.col("_mix_copy.words").cast("int")), " ")
-    return (docs.withColumn("_mix_row", key).join(place, on)
+    return (docs.withColumn("_mix_row", key).withColumn("_mix_at", at).join(place, on)
+            .withColumn("_mix_copies", F.get("_mix_places", repeat - 1))
             .withColumn("_mix_copy", F.explode("_mix_copies"))
             .withColumn(text_col, F.when(F.col("_mix_copy.words") < F.col("_mix_size"), cut).otherwise(F.col(text_col)))
             .repartitionByRange("_mix_copy.position", "_mix_row").sortWithinPartitions("_mix_copy.position", "_mix_row")

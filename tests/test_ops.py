@@ -209,3 +209,14 @@ def test_quality_checks_of_many_tables(spark):
              for c, n in zip(checks, [1, 1, 0, 1, 2, 0, 4, 1, 0, 1, 3, 1, 0, 0])}
     assert {(r.table, r.check, r.column): r.failures for r in res} == label and len(res) == len(checks)
     assert all((r.status == "pass") == (r.failures == 0) for r in res)
+
+
+def test_blocked_answers_keep_their_resolution(spark):
+    from vaultmart.plans.queries import QUERIES, ops_input
+    sf = "/root/testdata/sf0.001"
+    want = OPS.resolve_metric(spark, ops_input(spark, sf, "metric_questions"), "text", ["conv_id", "turn"]).collect()
+    got = QUERIES["i17_resolved_metrics"](spark, sf).collect()
+    assert sorted((r.conv_id, r.turn, str(r.resolved_metric)) for r in got) == sorted(
+        (r.conv_id, r.turn, str(r.resolved_metric)) for r in want)
+    blocked = [r for r in got if r.validation == "block"]
+    assert all(r.proposed_metric == "unlisted_metric" for r in blocked) and any(r.resolved_metric for r in blocked)

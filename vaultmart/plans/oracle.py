@@ -822,6 +822,17 @@ SELECT q.conv_id, q.turn, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'unlisted
        m.synonym AS matched_synonym, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'block' ELSE 'allow' END AS validation
 FROM q LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON q.conv_id = m.conv_id AND q.turn = m.turn""")
 
+oracle("i17_resolved_metrics", owith("metric_questions") + f""",
+syn AS (SELECT * FROM (VALUES {_SYN}) t(metric_order, metric, synonym_order, synonym)),
+m AS (SELECT q.conv_id, q.turn, s.metric, s.synonym,
+             row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY length(s.synonym) DESC, s.metric_order,
+                                s.synonym_order) AS rn
+      FROM metric_questions q JOIN syn s ON contains(lower(q.text), lower(s.synonym)))
+SELECT q.conv_id, q.turn, m.metric AS resolved_metric, m.synonym AS matched_synonym,
+       CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'unlisted_metric' ELSE m.metric END AS proposed_metric,
+       CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'block' ELSE 'allow' END AS validation
+FROM metric_questions q LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON q.conv_id = m.conv_id AND q.turn = m.turn""")
+
 oracle("i20_delegation_chains", owith("delegation_tokens").replace("WITH ", "WITH RECURSIVE ", 1) + """,
 chain(token_id, ancestor_id, hops) AS (
   SELECT token_id, token_id, 0 FROM delegation_tokens

@@ -527,6 +527,14 @@ def q_resolve(spark, sf_dir):
     return OPS.validate_metric(r.withColumn("resolved_metric", named), MetricStore.catalogue(spark))
 
 
+@query("i17_resolved_metrics")
+def q_resolved(spark, sf_dir):
+    """Every resolution as it is; the name that is validated stands beside it, every 11th outside the catalogue."""
+    r = OPS.resolve_metric(spark, ops_input(spark, sf_dir, "metric_questions"), "text", ["conv_id", "turn"])
+    proposed = F.when((F.col("conv_id") + F.col("turn")) % 11 == 0, F.lit("unlisted_metric")).otherwise(F.col("resolved_metric"))
+    return OPS.validate_metric(r.withColumn("proposed_metric", proposed), MetricStore.catalogue(spark), "proposed_metric")
+
+
 @query("i20_delegation_chains")
 def q_chain(spark, sf_dir):
     return OPS.delegation_chains(spark, ops_input(spark, sf_dir, "delegation_tokens")).select(

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultmart.llm import (decontamination, exact_dedup, language_id, mixing, near_dedup, pii, prefix_trie, quality, token_counts,
-                           token_output, warc)
+from vaultmart.llm import (decontamination, exact_dedup, language_id, mixing, near_dedup, piece_codec, pii, prefix_trie, quality,
+                           token_counts, token_output, warc)
 from vaultmart.llm.common import new_path, read_table, stored
 
 
@@ -96,9 +96,14 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"), store(spark), family=5, heads=9)
 
 
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_decontamination, op4_pii, op5_curriculum_mix, op6_quality,
-                            op7_warc, op8_token_counts, op9_near_dedup, op10_token_ids, op11_conversation_trie)
+                            op7_warc, op8_token_counts, op9_near_dedup, op10_token_ids, op11_conversation_trie,
+                            op12_piece_codec)
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultmart.llm import (decontamination, exact_dedup, language_id, mixing, near_dedup, piece_codec, pii, prefix_trie, quality,
-                           token_counts, token_output, warc)
+                           token_alignment, token_counts, token_output, warc)
 from vaultmart.llm.common import new_path, read_table, stored
 
 
@@ -100,10 +100,15 @@ def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.codec_digests(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.token_alignment(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                           tokenizer_path("piece_bpe_32k.model"), store(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_exact_dedup, op3_decontamination, op4_pii, op5_curriculum_mix, op6_quality,
                             op7_warc, op8_token_counts, op9_near_dedup, op10_token_ids, op11_conversation_trie,
-                            op12_piece_codec)
+                            op12_piece_codec, op13_token_alignment)
 }
 
 FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -73,18 +73,22 @@ def test_decontamination(spark, stages):
 
 
 def test_mixing(stages):
+    """Whole rows only; the words of a source end within half of its largest document of the target."""
     before, after = stages["mixing"]
-    size, taken, whole = {}, {}, {}
+    size, taken, whole, largest = {}, {}, {}, {}
     for r in before.collect():
-        size[r.source] = size.get(r.source, 0) + len(words_between_spaces(r.text))
+        n = len(words_between_spaces(r.text))
+        size[r.source] = size.get(r.source, 0) + n
+        largest[r.source] = max(largest.get(r.source, 0), n)
         whole[r.doc_id] = r
+    times = {}
     for r in after.collect():
         taken[r.source] = taken.get(r.source, 0) + len(words_between_spaces(r.text))
-        own = whole[r.doc_id]
-        assert r.n_chars == len(r.text)
-        assert r.text == own.text or words_between_spaces(own.text)[:len(words_between_spaces(r.text))] == words_between_spaces(r.text)
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+        assert r == whole[r.doc_id]
+    assert max(times.values()) <= 2
     targets = brute_targets(size)
-    assert all(abs(taken.get(s, 0) - targets[s]) <= 0.5 for s in size)
+    assert all(abs(taken.get(s, 0) - targets[s]) <= largest[s] / 2 + 1e-9 for s in size)
 
 
 def test_token_ids(stages):
@@ -102,14 +106,19 @@ def test_run_is_the_stages(spark, stages):
 
 
 def test_stages_on_awkward_rows(spark):
-    """Null, empty and repeated rows and rows without id pass through every stage without harm."""
+    """Null, empty, repeated and very long rows, rows without id and clashing columns pass through every stage without harm."""
+    from pyspark.sql import functions as F
+
     from tests.llm.helpers import awkward_rows
 
-    docs = docs_frame(spark, [r for r in awkward_rows() if r[0] != 26])
-    for _, stage in cp.STAGES:
-        docs = store(spark)(stage(spark, docs, SF), "stage")
+    clashing = {c: F.lit("x") for c in ("label", "label_id", "quality", "score", "id", "size", "copies", "position")}
+    docs = docs_frame(spark, awkward_rows()).withColumns(clashing)
+    for name, stage in cp.STAGES:
+        after = store(spark)(stage(spark, docs, SF), "stage")
+        assert name == "token_ids" or after.columns == docs.columns
+        docs = after
     assert docs.count() > 0
-    empty = docs_frame(spark, [])
+    empty = docs_frame(spark, []).withColumns(clashing)
     for _, stage in cp.STAGES:
         empty = store(spark)(stage(spark, empty, SF), "stage")
     assert empty.count() == 0

@@ -83,17 +83,38 @@ def test_positions_invert_the_schedule(spark):
     assert np.allclose(np.interp(at, grid, done / done[-1]), shares, atol=1e-4)
 
 
-def test_mix_returns_the_copies(spark):
-    rows = [(i, " ".join([f"w{i}"] * 10), "en", "a" if i < 30 else "b") for i in range(40)]
+def test_mix_returns_whole_copies(spark):
+    """Whole texts with their white space; a source's words within half of its largest document of the target."""
+    rng = random.Random(6)
+    rows = [(i, "\t" + "  \n".join([f"w{i}"] * rng.randint(1, 40)), "en", "a" if i < 60 else "b" if i < 110 else "c") for i in range(130)]
+    rows += [(500, " ".join(["long"] * 900), "en", "c")]
     docs = docs_frame(spark, rows)
     sizes = store(spark)(mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
     got = mixing.mix(docs, sizes, store(spark))
     assert got.columns == docs.columns
-    words = {}
+    text, source = {r[0]: r[1] for r in rows}, {r[0]: r[3] for r in rows}
+    size = {i: len(words_between_spaces(t)) for i, t in text.items()}
+    words, times = {}, {}
     for r in got.collect():
-        words[r.doc_id] = words.get(r.doc_id, 0) + len(r.text.split())
-    want = {r.doc_id: r.taken for r in mixing.mix_digest(sizes, store(spark)).collect() if r.taken}
-    assert words == want
+        assert r.text == text[r.doc_id]
+        words[r.source] = words.get(r.source, 0) + size[r.doc_id]
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    assert max(times.values()) <= 2
+    targets = brute_targets({s: sum(n for i, n in size.items() if source[i] == s) for s in "abc"})
+    for s in "abc":
+        assert abs(words.get(s, 0) - targets[s]) <= max(n for i, n in size.items() if source[i] == s) / 2 + 1e-9
+
+
+def test_equal_positions_have_one_order(spark):
+    """Sources of equal sizes and schedules hold equal positions: reruns agree on rows and on the order of the mix."""
+    rows = [(i, "one two three", "en", f"s{i % 4}") for i in range(80)]
+    runs = []
+    for order in (rows, rows[::-1]):
+        docs = docs_frame(spark, order)
+        sizes = store(spark)(mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
+        mixed_rows = mixing.mix(docs, sizes, store(spark), schedules=((1.0, 1.0),)).select("doc_id", "source").collect()
+        runs.append([tuple(r) for r in mixed_rows])
+    assert runs[0] == runs[1]
 
 
 def test_mix_of_repeated_rows(spark):
@@ -105,7 +126,7 @@ def test_mix_of_repeated_rows(spark):
     got, want = {}, {}
     for r in mixing.mix(docs, sizes, store(spark)).collect():
         got[r.doc_id, r.source] = got.get((r.doc_id, r.source), 0) + len(r.text.split())
-    for r in mixing.curriculum(sizes, store(spark)).collect():
+    for r in mixing.curriculum(sizes, store(spark), whole=True).collect():
         want[r.id, r.source] = want.get((r.id, r.source), 0) + r.taken
     assert got == {k: v for k, v in want.items() if v}
 

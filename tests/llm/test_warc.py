@@ -41,9 +41,9 @@ def archives(spark, request):
     return store(spark)(warc.write_archives(marked, folder), "index"), folder, request.param
 
 
-def test_round_trip(archives):
+def test_round_trip(spark, archives):
     index, folder, least = archives
-    got = warc.read_archives(index, folder).collect()
+    got = warc.read_archives(index, folder, store(spark)).collect()
     as_int = lambda x: None if x is None else int(x)
     assert sorted(str((as_int(r.id), r.payload_bytes, r.payload_digest, r.record_type, as_int(r.refers_to))) for r in got) == brute(ROWS, least)
     # the index places every record where the reader found it
@@ -74,4 +74,4 @@ def test_frames_are_independent_and_standard(archives):
 def test_empty_table(spark):
     folder = new_path(spark, "warc")
     index = store(spark)(warc.write_archives(warc.mark_revisits(pages_frame(spark, []), "page_id", "url", "html"), folder), "index")
-    assert index.count() == 0 and warc.read_archives(index, folder).count() == 0
+    assert index.count() == 0 and warc.read_archives(index, folder, store(spark)).count() == 0

@@ -1,23 +1,26 @@
 """Language identification by bit-sliced Bloom filters (operator 1).
 
 Training counts word-bounded character trigrams per language over all
-training rows.  A trigram belongs to a language when it makes up at least
-``min_share`` of that language's trigrams (so a language holds at most
-1 / min_share of them, whatever the corpus size) and at least ``relative`` of
-its largest share in any language.  All languages share one filter: row r
-holds a bit mask of the languages that set bit r, so the AND of a trigram's k
-rows is the mask of all languages that contain it.
-
-A document's trigrams vote: per language the set bits are counted, the count
-is corrected for the false positives expected from that language's fill
-(p = fill^k, corrected = (c - n p) / (1 - p)), and the largest corrected count
-decides.  ``score`` is its share against the runner-up.
-
-Bounds: the filter has ``ROWS`` rows of one 64-bit word per 64 languages (8 MB
-per word), built by Spark as an OR per row and broadcast; languages are the
-distinct values of the label column.  Memory per task: one Arrow batch and
-blocks of ``BLOCK_CHARS`` characters; longer texts are read in pieces whose
-votes add up.
+training rows and inserts every one of them.  All languages share one filter:
+row r holds a bit mask of the slices that set bit r, so the AND of a trigram's
+k rows is the mask of all languages that contain it.  Every language has two
+slices: one for each trigram seen in it, one for those it uses at a share of
+at least ``relative`` of the largest share in any language.
+
+A document's trigrams vote: per slice the set bits are counted, the count is
+corrected for the false positives expected from that slice's fill
+(p = fill^k, corrected = (c - n p) / (1 - p)), and the largest sum of a
+language's two corrected counts decides: a trigram of several languages counts
+for each, and once more for those that it is typical of.  ``score`` is the
+winner's share against the runner-up.
+
+Bounds: the filter has a power of two of rows, eight per distinct trigram of
+the richest language and at most ``MOST_ROWS``, of one 64-bit word per 32
+languages (32 MB per word at most; fuller slices only raise p), built by Spark
+as an OR per row and broadcast; languages are the distinct values of the label
+column.  Memory per task: one Arrow batch and blocks of ``BLOCK_CHARS``
+characters; longer texts are read in pieces whose votes add up, cut behind a
+word or, in a longer run of letters, with a letter of overlap on either side.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0;
 texts whose trigrams are all unknown get the most frequent language with score
@@ -38,7 +41,7 @@ from pyspark.sql import types as T
 
 from vaultmart.llm.common import BLOCK_CHARS, blocks, code_points, mix
 
-ROWS = 1 << 20                 # rows of the bit-sliced filter
+MOST_ROWS, LEAST_ROWS = 1 << 22, 1 << 14   # rows of the bit-sliced filter
 HASHES = 3
 FLUSH = 1 << 20                # distinct trigrams a training task holds before it hands them on
 GRAM = 3
@@ -64,26 +67,37 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(texts: list, limit: int = BLOCK_CHARS):
-    """Yield (indices, texts) blocks; a long text comes in pieces that overlap
-    by a trigram's reach, so that every trigram is seen once."""
+    """Yield (indices, texts, lead, tail) blocks.  A long text comes in pieces
+    cut behind a word.  A longer run of letters is cut inside: ``lead`` and
+    ``tail`` say that the piece's first and last letter are only there as
+    neighbours, so that every trigram is seen once (see ``piece_trigrams``)."""
     for lo, hi in blocks(texts, limit):
         if hi - lo > 1 or len(texts[lo] or "") <= 2 * limit:
-            yield np.arange(lo, hi), [t or "" for t in texts[lo:hi]]
+            yield np.arange(lo, hi), [t or "" for t in texts[lo:hi]], 0, 0
             continue
-        text, at = texts[lo], 0
+        text, at, lead = texts[lo].lower(), 0, 0
         while at < len(text):
             to = min(at + limit, len(text))
             while to < len(text) and text[to - 1].isalpha() and to - at < 2 * limit:
                 to += 1                                      # a piece ends behind a word
-            yield np.array([lo]), [text[at:to]]
-            at = to
+            tail = int(to < len(text) and text[to - 1].isalpha() and text[to].isalpha())
+            yield np.array([lo]), [text[at - lead:to + tail]], lead, tail
+            at, lead = to, tail
 
 
-def _positions(grams: np.ndarray) -> list[np.ndarray]:
+def piece_trigrams(texts: list[str], lead: int, tail: int) -> tuple[np.ndarray, np.ndarray]:
+    grams, first = trigrams(texts)
+    if lead or tail:                                         # one text
+        grams = grams[lead:len(grams) - tail]
+        first = np.array([0, len(grams)])
+    return grams, first
+
+
+def _positions(grams: np.ndarray, rows: int) -> list[np.ndarray]:
     h = mix(grams)
     step = (h >> np.uint64(32)) | np.uint64(1)
     with np.errstate(over="ignore"):
-        return [((h + np.uint64(i) * step) & np.uint64(ROWS - 1)).astype(np.int64) for i in range(HASHES)]
+        return [((h + np.uint64(i) * step) & np.uint64(rows - 1)).astype(np.int64) for i in range(HASHES)]
 
 
 def count_trigrams(rows: DataFrame) -> DataFrame:
@@ -103,8 +117,8 @@ def count_trigrams(rows: DataFrame) -> DataFrame:
         for batch in batches:
             table = pd.DataFrame({"lang": batch.column("lang").to_pylist(), "text": batch.column("text").to_pylist()})
             for lang, group in table.groupby("lang", sort=True):
-                for _, texts in pieces(list(group["text"])):
-                    gram, n = np.unique(trigrams(texts)[0], return_counts=True)
+                for _, texts, lead, tail in pieces(list(group["text"])):
+                    gram, n = np.unique(piece_trigrams(texts, lead, tail)[0], return_counts=True)
                     held.setdefault(lang, []).append((gram, n))
                     size += len(gram)
                     if len(held[lang]) > 16:
@@ -121,35 +135,37 @@ def count_trigrams(rows: DataFrame) -> DataFrame:
 
 
 class LanguageModel:
-    """``langs`` (by code point), the filter's rows, false-positive rates, index of the most frequent language."""
+    """``langs`` (by code point), the filter's rows, false-positive rate of every slice, index of the most frequent language.
+    Slice i holds all trigrams of language i, slice len(langs) + i those typical of it."""
 
     def __init__(self, langs: list[str], rows: np.ndarray, usual: int):
-        self.langs, self.rows, self.usual = langs, rows, usual
+        self.langs, self.rows, self.usual, self.slices = langs, rows, usual, 2 * len(langs)
         self.false = np.array([float(np.mean((rows[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1))) ** HASHES
-                               for i in range(len(langs))])
+                               for i in range(self.slices)])
 
-    def votes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(trigrams per text, languages x texts of set bits)."""
-        grams, first = trigrams(texts)
-        out = np.zeros((len(self.langs), len(texts)))
-        where = _positions(grams)
+    def votes(self, texts: list[str], lead: int = 0, tail: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(trigrams per text, slices x texts of set bits)."""
+        grams, first = piece_trigrams(texts, lead, tail)
+        out = np.zeros((self.slices, len(texts)))
+        where = _positions(grams, len(self.rows))
         for word in range(self.rows.shape[1]):
             mask = functools.reduce(np.bitwise_and, (self.rows[p, word] for p in where))
-            for i in range(64 * word, min(64 * word + 64, len(self.langs))):
+            for i in range(64 * word, min(64 * word + 64, self.slices)):
                 seen = np.concatenate(([0], np.cumsum((mask >> np.uint64(i % 64)) & np.uint64(1), dtype=np.int64)))
                 out[i] = seen[first[1:]] - seen[first[:-1]]
         return np.diff(first), out
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray]:
-        n, votes = np.zeros(len(texts)), np.zeros((len(self.langs), len(texts)))
-        for where, part in pieces(texts):
-            a, b = self.votes(part)
+        n, votes = np.zeros(len(texts)), np.zeros((self.slices, len(texts)))
+        for where, part, lead, tail in pieces(texts):
+            a, b = self.votes(part, lead, tail)
             n[where] += a
             votes[:, where] += b
-        false = self.false[:, None]
-        fair = np.maximum((votes - n * false) / (1 - np.minimum(false, 0.999)), 0)
         if not self.langs:
             return ["und"] * len(texts), np.zeros(len(texts))
+        false = self.false[:, None]
+        fair = np.maximum((votes - n * false) / (1 - np.minimum(false, 0.999)), 0)
+        fair = fair[:len(self.langs)] + fair[len(self.langs):]
         best = fair.argmax(0)
         top = np.sort(fair, 0)[::-1]
         pair = top[0] + (top[1] if len(self.langs) > 1 else 0)
@@ -158,29 +174,34 @@ class LanguageModel:
         return [self.langs[b] if k else "und" for b, k in zip(best, n)], np.where(n > 0, score, 0.0)
 
 
-def train(rows: DataFrame, stored, min_share: float = 2e-5, relative: float = 0.25) -> LanguageModel:
+def train(rows: DataFrame, stored, relative: float = 0.25) -> LanguageModel:
     """Learn from (lang, text) rows; ``stored`` writes a small table once and reads it back."""
     counts = stored(count_trigrams(rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())), "trigrams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    sizes = sorted((r["lang"], r["total"]) for r in totals.collect())       # one row per language
-    langs = [lang for lang, _ in sizes]
-    words = max(1, -(-len(langs) // 64))
-    share = counts.join(totals, "lang").withColumn("share", F.col("n") / F.col("total")).where(F.col("share") >= min_share)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("distinct"))
+    sizes = sorted((r["lang"], r["total"], r["distinct"]) for r in totals.collect())       # one row per language
+    langs = [lang for lang, *_ in sizes]
+    words = max(1, -(-2 * len(langs) // 64))
+    most = max((d for *_, d in sizes), default=0)
+    height = min(MOST_ROWS, max(LEAST_ROWS, 1 << (8 * most).bit_length()))
+    share = counts.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share"))
     tops = share.groupBy("gram").agg(F.max("share").alias("top"))
-    member = share.join(tops, "gram").where(F.col("share") >= relative * F.col("top")).select("lang", "gram")
+    member = share.join(tops, "gram").select("lang", "gram", (F.col("share") >= relative * F.col("top")).alias("typical"))
     index = {lang: i for i, lang in enumerate(langs)}
 
     def place(batches):
         for b in batches:
             i = np.array([index[x] for x in b.column("lang").to_pylist()], np.int64)
-            bit = (np.uint64(1) << (i % 64).astype(np.uint64)).view(np.int64)
-            for at in _positions(b.column("gram").to_numpy()):
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array((i // 64).astype(np.int32)), pa.array(bit)],
-                                                 names=["at", "word", "mask"])
+            typical = b.column("typical").to_numpy(zero_copy_only=False)
+            grams = b.column("gram").to_numpy()
+            for slices, at in ((i, grams), (i[typical] + len(index), grams[typical])):
+                bit = (np.uint64(1) << (slices % 64).astype(np.uint64)).view(np.int64)
+                for place in _positions(at, height):
+                    yield pa.RecordBatch.from_arrays([pa.array(place), pa.array((slices // 64).astype(np.int32)), pa.array(bit)],
+                                                     names=["at", "word", "mask"])
 
     bits = member.mapInArrow(place, "at long, word int, mask long").groupBy("at", "word").agg(F.bit_or("mask").alias("mask"))
-    got = bits.toPandas()                                                    # at most ROWS x words rows
-    table = np.zeros((ROWS, words), np.uint64)
+    got = bits.toPandas()                                                    # at most MOST_ROWS x words rows
+    table = np.zeros((height, words), np.uint64)
     table[got["at"].to_numpy(), got["word"].to_numpy()] = got["mask"].to_numpy(np.int64).view(np.uint64)
     usual = max(range(len(sizes)), key=lambda i: (sizes[i][1], -i)) if sizes else 0
     return LanguageModel(langs, table, usual)

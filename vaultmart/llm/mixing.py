@@ -9,9 +9,11 @@ Documents are range-sorted by position.
 Targets share ``ratio`` x all words by source weight; no target exceeds
 ``repeat`` x its source, and the excess is shared again by weight until none
 does (closed form: sources ordered by size / weight fill up in that order).
-Copies are taken up to the word at which the target is reached: the copy that
-straddles it gives only its first words, so a source's taken words equal its
-target rounded to a word, and no document is taken more than ``repeat`` times.
+The digest counts words up to the one at which the target is reached, so a
+source's taken words equal its target rounded to a word.  The mixed corpus
+holds whole texts only: the copy in which the target falls is taken whole or
+not at all, whichever ends nearer the target.  No document is taken more than
+``repeat`` times.
 
 Cumulative words are two-level prefix sums: documents fall into hash buckets
 of a source (a number that follows the row count), buckets are summed before
@@ -120,9 +122,12 @@ DEFAULT_SCHEDULES = ((1.0, 1.0, 1.0), (2.0, 1.0, 0.5), (0.5, 1.0, 2.0))   # cons
 
 
 def curriculum(sizes: DataFrame, stored, weights=(5, 2, 1), ratio: float = 1.5, repeat: float = 2.0,
-               schedules=DEFAULT_SCHEDULES) -> DataFrame:
+               schedules=DEFAULT_SCHEDULES, whole: bool = False) -> DataFrame:
     """Per input row: ``id, key, size, source, source_size, target, taken,
     copies`` (training position and words of each taken copy, ascending).
+    The copy in which a source's target falls counts up to the target; with
+    ``whole`` it is taken whole or not at all, whichever ends nearer the target
+    (whole where both are as near).
     ``sizes`` should be stored: it is read for the row count, the bucket sums and the rows."""
     n = sizes.count()
     buckets = max(1, math.ceil(n / BUCKET_ROWS))
@@ -142,6 +147,8 @@ def curriculum(sizes: DataFrame, stored, weights=(5, 2, 1), ratio: float = 1.5,
     for e in range(math.ceil(repeat)):
         start = F.col("_from") + e * F.col("source_size")
         words = F.least(F.col("size"), F.round("target").cast("long") - start)
+        if whole:
+            words = F.when(2 * (F.col("target") - start) >= F.col("size"), F.col("size"))
         at = schedule_position(F.least(start / F.col("target"), F.lit(1.0)), F.col("rank"), schedules)
         copies.append(F.when(words > 0, F.struct(at.alias("position"), words.alias("words"))))
     return (placed.withColumn("copies", F.array_compact(F.array(*copies)))
@@ -161,14 +168,14 @@ def mix_digest(sizes: DataFrame, stored, **options) -> DataFrame:
 
 def mix(docs: DataFrame, sizes: DataFrame, stored, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", **options) -> DataFrame:
-    """The mixed corpus: every taken copy of every row with all input columns
-    and no others, range-sorted by training position.  The text of a copy that
-    reaches the target is cut to its first words (joined by single spaces).
-    Rows that repeat an id, text and source are numbered, and each takes the
-    copies of one of the places that they hold in the source's order."""
-    place = curriculum(sizes, stored, **options).where(F.size("copies") > 0).groupBy(
+    """The mixed corpus: every taken copy of every row, whole, with all input
+    columns and no others, range-sorted by training position.  A source's words
+    miss its target by at most half of one document.  Rows that repeat an id,
+    text and source are numbered, and each takes the copies of one of the
+    places that they hold in the source's order."""
+    place = curriculum(sizes, stored, whole=True, **options).where(F.size("copies") > 0).groupBy(
         F.col("key").alias("_mix_key"), F.struct("id", "source").alias("_mix_owner")).agg(
-        F.sort_array(F.collect_list("copies")).alias("_mix_places"), F.max("size").alias("_mix_size"))
+        F.sort_array(F.collect_list("copies")).alias("_mix_places"))
     key = F.xxhash64(F.col(id_col), F.xxhash64(text_col))
     # a struct's null fields equal each other, so the join and the numbering share one exchange
     at = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"))
@@ -176,11 +183,8 @@ def mix(docs: DataFrame, sizes: DataFrame, stored, id_col: str = "doc_id", text_
     others = [f.name for f in docs.schema if f.name != text_col and not isinstance(f.dataType, T.MapType)]
     repeat = F.row_number().over(Window.partitionBy("_mix_row", "_mix_at").orderBy(
         F.xxhash64(*[F.col(f"`{c}`") for c in others])))
-    words = F.split(F.regexp_replace(text_col, r"^[ \t-\r]+", ""), r"[ \t-\r]+")
-    cut = F.array_join(F.slice(words, F.lit(1), F.col("_mix_copy.words").cast("int")), " ")
     return (docs.withColumn("_mix_row", key).withColumn("_mix_at", at).join(place, on)
             .withColumn("_mix_copies", F.get("_mix_places", repeat - 1))
             .withColumn("_mix_copy", F.explode("_mix_copies"))
-            .withColumn(text_col, F.when(F.col("_mix_copy.words") < F.col("_mix_size"), cut).otherwise(F.col(text_col)))
             .repartitionByRange("_mix_copy.position", "_mix_row").sortWithinPartitions("_mix_copy.position", "_mix_row")
             .select(*docs.columns))

@@ -73,7 +73,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "warc")
     index = stored(spark, warc.write_archives(warc.mark_revisits(pages, "page_id", "url", "html", min_bytes=0), folder), "warc-index")
     kind = pages.schema["page_id"].dataType
-    return warc.read_archives(index, folder).select(
+    return warc.read_archives(index, folder, store(spark)).select(
         F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 

@@ -44,6 +44,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 
 FRAME_BYTES = 256 << 10        # raw bytes after which a frame is closed
 BUNDLE_BYTES = 512 << 20       # compressed bytes after which a bundle is closed
+READ_BYTES = 16 << 20          # raw bytes of records that a reading task is given
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 
@@ -203,17 +204,21 @@ def bundle_frames(index: DataFrame, folder: str) -> DataFrame:
                                                   for i, (s, p, r) in enumerate(rows)], schema=kind)
 
     kind = pa.schema([("bundle", pa.string()), ("frame", pa.int32()), ("start", pa.int64()), ("packed", pa.int64()), ("plain", pa.int64())])
-    return index.select("bundle").distinct().mapInArrow(frames, "bundle string, frame int, start long, packed long, plain long")
+    # a number given: adaptive execution would put these few bytes into one task, which then opens every bundle
+    tasks = index.sparkSession.sparkContext.defaultParallelism
+    return index.select("bundle").distinct().repartition(tasks, "bundle").mapInArrow(frames, "bundle string, frame int, start long, packed long, plain long")
 
 
 def _page_id(record_id: str) -> str | None:
     return record_id[len("<urn:page:"):-1] or None
 
 
-def read_archives(index: DataFrame, folder: str) -> DataFrame:
+def read_archives(index: DataFrame, folder: str, stored) -> DataFrame:
     """Read every record back: ``id, payload_bytes, payload_digest,
     record_type, refers_to, frame, offset, bundle, payload``.  Frames are the
-    unit of work; a response's digest is computed again from its payload."""
+    unit of work, dealt over one task per ``READ_BYTES`` of records (their own
+    few bytes say nothing about the work); a response's digest is computed
+    again from its payload."""
     kind = T.StructType([T.StructField("id", T.StringType()), T.StructField("payload_bytes", T.LongType()),
                          T.StructField("payload_digest", T.StringType()), T.StructField("record_type", T.StringType()),
                          T.StructField("refers_to", T.StringType()), T.StructField("bundle", T.StringType()),
@@ -241,7 +246,9 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                     at = end
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return bundle_frames(index, folder).repartition("bundle", "frame").mapInArrow(read, kind)
+    found = stored(bundle_frames(index, folder), "warc-frames")
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-(found.agg(F.sum("plain")).first()[0] or 0) // READ_BYTES))
+    return found.repartition(tasks, "bundle", "frame").mapInArrow(read, kind)
 
 
 def fetch(index: DataFrame, folder: str, ids: DataFrame) -> DataFrame:

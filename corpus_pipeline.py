@@ -10,11 +10,15 @@ text of their own input rows and keep all columns; rows that they drop are:
 * near_dedup: all but the smallest id of each group of documents linked by
   five-word shingles at a similarity of 0.8 or more;
 * decontamination: documents that hold a 10-word window of a benchmark item;
-* mixing: documents the mix does not reach (a document taken twice comes twice,
-  and the last document of a source may be cut to the words still wanted).
+* mixing: documents the mix does not reach (a document taken twice comes twice;
+  texts are whole, so a source ends within half a document of its target).
 
 Null texts score as empty texts, have no shingles or windows, size 0, and so
-leave at the mixing stage; empty inputs pass through empty.
+leave at the mixing stage; rows without id are decided by their text like any
+other; repeated rows are one near-duplicate group, of which one stays; ties
+are broken by the smallest id; a very long text is one row and is read whole;
+extra columns are carried and may have any name; empty inputs pass through
+empty.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     labels = (read_table(spark, sf_dir, "labels").where("quality is not null")
               .select(F.col("doc_id").alias("label_id"), F.col("quality").alias("label")))
     held_out = F.coalesce(id_remainder(5) == 0, F.lit(False))
-    labelled = docs.where(~held_out).join(labels, F.col("doc_id") == F.col("label_id"))
+    labelled = docs.where(~held_out).select("doc_id", "text").join(labels, F.col("doc_id") == F.col("label_id"))
     stats = quality.document_statistics(labelled, keep={"label": F.col("label")})
     model = quality.fit(stored(spark, stats, "training"))
     return quality.keep_good(docs, model, MIN_SCORE)
@@ -54,8 +58,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = stored(spark, mixing.word_sizes(docs, "doc_id", "source", "text"), "sizes")
-    mixed = mixing.mix(docs, sizes, _store(spark), weights=(5, 2, 1), ratio=1.5, repeat=2.0)
-    return mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else mixed
+    return mixing.mix(docs, sizes, _store(spark), weights=(5, 2, 1), ratio=1.5, repeat=2.0)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,9 +96,10 @@ def test_long_delegation_chain_and_absent_parent(spark):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_budget_admission_equals_the_sequential_rule(spark, seed, monkeypatch):
-    """Refusals change later decisions; ties in time, several ledgers, chunks of a few seconds."""
+    """Refusals change later decisions; ties in time, several ledgers, chunks of a few rows."""
     import random
-    monkeypatch.setattr(OPS, "LEDGER_CHUNK_SECONDS", 60)
+    from vaultmart.operators import ledger
+    monkeypatch.setattr(ledger, "CHUNK_ROWS", [25, 150, 100_000][seed])
     rng, t0 = random.Random(seed), dt.datetime(2024, 1, 1)
     reqs = [(str(i), i, rng.choice(["a", "b", "free"]), "p", t0 + dt.timedelta(seconds=rng.randrange(0, 172_800, 30)),
              rng.randint(1, 900), rng.choice([0, 50, 4000]), rng.randint(0, 900)) for i in range(400)]
@@ -116,6 +117,43 @@ def test_budget_admission_equals_the_sequential_rule(spark, seed, monkeypatch):
     assert got == want and any(not w[0] for w in want.values())
 
 
+REQUEST = ("request_id string, request_seq long, feature string, provider string, timestamp_utc timestamp, "
+           "prompt_tokens int, max_completion_tokens int, completion_tokens int")
+
+
+def test_budget_admission_keeps_every_request(spark):
+    """Unknown providers, missing tokens, features and times: refused with a reason or a ledger of their own, never dropped."""
+    t0 = dt.datetime(2024, 1, 1)
+    reqs = [("r1", 1, "a", "p", t0, 5, 0, 0), ("r2", 2, "a", "nobody", t0, 5, 0, 0), ("r3", 3, "a", None, t0, 5, 0, 0),
+            ("r4", 4, None, "p", t0, 5, 0, 0), ("r5", 5, "a", "p", None, 5, 0, 0), ("r6", 6, "a", "p", t0, None, 0, 0),
+            ("r7", 7, "a", "p", t0, 9, 0, 0), ("r7", 7, "a", "p", t0, 9, 0, 0)]
+    got = sorted((r.request_id, r.decision, r.admitted, r.booked_micro, r.spent_after_micro)
+                 for r in OPS.budget_admission(spark, spark.createDataFrame(reqs, REQUEST), {"a": 0.000030}, {"p": 0.002}).collect())
+    assert got == [("r1", "admitted", True, 10, 10), ("r2", "unknown_provider", False, 0, None), ("r3", "unknown_provider", False, 0, None),
+                   ("r4", "admitted", True, 10, 10), ("r5", "admitted", True, 10, 10), ("r6", "unknown_provider", False, 0, None),
+                   ("r7", "admitted", True, 18, 28), ("r7", "over_budget", False, 0, 28)]
+    assert OPS.budget_admission(spark, spark.createDataFrame([], REQUEST)).count() == 0
+
+
+def test_budget_admission_rounds_follow_chunks_not_refusals(spark, monkeypatch):
+    """Every second request asks for just more than is left: as many refusals as admissions, few rounds."""
+    from vaultmart.operators import ledger
+    monkeypatch.setattr(ledger, "CHUNK_ROWS", 100)
+    rounds = []
+    first = ledger._first_refusals
+    monkeypatch.setattr(ledger, "_first_refusals", lambda rows: rounds.append(1) or first(rows))
+    t0, budget = dt.datetime(2024, 1, 1), 10_000
+    reqs = [(str(i), i, "a", "p", t0 + dt.timedelta(seconds=i), 1 if i % 2 == 0 else (budget - 4 * (i // 2 + 1)) // 2 + 1, 0, 1) for i in range(400)]
+    got = {r.request_id: (r.admitted, r.spent_after_micro)
+           for r in OPS.budget_admission(spark, spark.createDataFrame(reqs, REQUEST), {"a": budget / 1e6}, {"p": 0.002}).collect()}
+    spent = 0
+    for r in reqs:
+        ok = spent + 2 * r[5] <= budget
+        spent += 4 * ok if r[5] == 1 else 2 * (r[5] + 1) * ok
+        assert got[r[0]] == (ok, spent), r
+    assert len(rounds) <= 5
+
+
 def test_registered_text_rules_take_every_branch(spark):
     """The registered inputs fire each marker, pattern, action, severity of answer and refusal."""
     from vaultmart.plans.queries import QUERIES
@@ -126,7 +164,7 @@ def test_registered_text_rules_take_every_branch(spark):
     assert {r.action for r in seen} == {"allow", "redact", "block"}
     assert {r.matched_pattern for r in seen} == {None, *OPS.PROMPT_INJECTION_PATTERNS}
     assert {k for r in seen for k in r.redacted_kinds.split(",")} >= {label for label, _ in OPS.SENSITIVE_DATA_PATTERNS}
-    answers = QUERIES["i17_resolve_metric_conversations"](spark, sf).collect()
+    answers = QUERIES["i17_resolved_metrics"](spark, sf).collect()
     assert {r.validation for r in answers} == {"allow", "block"} and sum(r.matched_synonym is not None for r in answers) > 50
     assert QUERIES["i13_spend_by_feature"](spark, sf).where("refused > 0").count() > 0
 

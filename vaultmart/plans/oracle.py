@@ -772,6 +772,8 @@ ADMISSION = f"""rates AS (SELECT * FROM (VALUES {_RATE_ROWS}) t(provider, rate_m
                  row_number() OVER (PARTITION BY g.feature, CAST(g.timestamp_utc AS DATE)
                                     ORDER BY g.timestamp_utc, g.request_seq) AS rn
           FROM gateway_requests g JOIN rates r ON g.provider = r.provider LEFT JOIN budgets b ON g.feature = b.feature),
+  unpriced AS (SELECT request_id, feature, CAST(timestamp_utc AS DATE) AS usage_date FROM gateway_requests
+               WHERE provider NOT IN (SELECT provider FROM rates)),
   led AS (
     SELECT feature, usage_date, rn, request_id, proj, act, budget_micro,
            (budget_micro IS NULL OR proj <= budget_micro) AS admitted,
@@ -782,14 +784,18 @@ ADMISSION = f"""rates AS (SELECT * FROM (VALUES {_RATE_ROWS}) t(provider, rate_m
            (q.budget_micro IS NULL OR l.spent + q.proj <= q.budget_micro),
            l.spent + CASE WHEN q.budget_micro IS NULL OR l.spent + q.proj <= q.budget_micro THEN q.act ELSE 0 END
     FROM led l JOIN req q ON q.feature = l.feature AND q.usage_date = l.usage_date AND q.rn = l.rn + 1)"""
-oracle("i12_budget_admission", owith("gateway_requests", extra=ADMISSION).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+_LEDGER = owith("gateway_requests", extra=ADMISSION).replace("WITH ", "WITH RECURSIVE ", 1)
+oracle("i12_budget_admission", _LEDGER + f"""
 SELECT request_id, feature, {dt('usage_date')} AS usage_date, admitted, proj AS projected_micro,
-       CASE WHEN admitted THEN act ELSE 0 END AS booked_micro, spent AS spent_after_micro FROM led""")
-oracle("i13_spend_by_feature", owith("gateway_requests", extra=ADMISSION).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
-SELECT feature, {dt('usage_date')} AS usage_date,
-       CAST(sum(CASE WHEN admitted THEN act ELSE 0 END) AS DOUBLE) / 1000000 AS spend_usd,
+       CASE WHEN admitted THEN act ELSE 0 END AS booked_micro, spent AS spent_after_micro,
+       CASE WHEN admitted THEN 'admitted' ELSE 'over_budget' END AS decision FROM led
+UNION ALL
+SELECT request_id, feature, {dt('usage_date')}, false, NULL, 0, NULL, 'unknown_provider' FROM unpriced""")
+oracle("i13_spend_by_feature", _LEDGER + f"""
+SELECT feature, {dt('usage_date')} AS usage_date, CAST(sum(booked) AS DOUBLE) / 1000000 AS spend_usd,
        count(*) FILTER (WHERE admitted) AS admitted, count(*) FILTER (WHERE NOT admitted) AS refused
-FROM led GROUP BY 1, 2""")
+FROM (SELECT feature, usage_date, admitted, CASE WHEN admitted THEN act ELSE 0 END AS booked FROM led
+      UNION ALL SELECT feature, usage_date, false, 0 FROM unpriced) GROUP BY 1, 2""")
 
 _MARK = " ".join(f"WHEN contains(lower(text), '{m}') THEN '{m}'" for m in _ops.DENIED_CONTENT_MARKERS)
 oracle("i14_content_policy_conversations", owith("policy_turns") + f"""
@@ -818,8 +824,7 @@ m AS (SELECT q.conv_id, q.turn, s.metric, s.synonym,
              row_number() OVER (PARTITION BY q.conv_id, q.turn ORDER BY length(s.synonym) DESC, s.metric_order,
                                 s.synonym_order) AS rn
       FROM q JOIN syn s ON contains(q.lq, lower(s.synonym)))
-SELECT q.conv_id, q.turn, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'unlisted_metric' ELSE m.metric END AS resolved_metric,
-       m.synonym AS matched_synonym, CASE WHEN (q.conv_id + q.turn) % 11 = 0 THEN 'block' ELSE 'allow' END AS validation
+SELECT q.conv_id, q.turn, m.metric AS resolved_metric, m.synonym AS matched_synonym, 'allow' AS validation
 FROM q LEFT JOIN (SELECT * FROM m WHERE rn = 1) m ON q.conv_id = m.conv_id AND q.turn = m.turn""")
 
 oracle("i17_resolved_metrics", owith("metric_questions") + f""",

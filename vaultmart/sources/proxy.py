@@ -165,15 +165,22 @@ def ops_sql(dialect: str = "spark") -> dict[str, str]:
                         ELSE 'model-large' END AS model_name,
                    CAST(round(value * 40) AS INT) AS input_tokens, {k} * 10 AS output_tokens
             FROM events""",
+        # one provider without a rate; on odd days every second request of one feature asks for just more than
+        # what the small ones before it have left of its budget
         "gateway_requests": f"""
             SELECT CAST(event_id AS STRING) AS request_id, event_id AS request_seq, ts AS timestamp_utc,
                    CASE user_id % 3 WHEN 0 THEN 'semantic-layer-qa' WHEN 1 THEN 'metric-lookup' ELSE 'report-builder' END
                      AS feature,
-                   CASE event_type WHEN 'view' THEN 'provider-a-small' WHEN 'click' THEN 'provider-b-large'
+                   CASE WHEN tight THEN 'provider-a-small' WHEN user_id % 13 = 5 THEN 'provider-unlisted'
+                        WHEN event_type = 'view' THEN 'provider-a-small' WHEN event_type = 'click' THEN 'provider-b-large'
                         ELSE 'provider-a-large' END AS provider,
-                   CAST(round(value * 200) AS INT) AS prompt_tokens, 4000 AS max_completion_tokens,
-                   {k} * 40 AS completion_tokens
-            FROM events""",
+                   CASE WHEN NOT tight THEN CAST(round(value * 200) AS INT) WHEN n % 2 = 1 THEN 1
+                        ELSE CAST((2000000 - n) / 2 AS INT) + 1 END AS prompt_tokens,
+                   CASE WHEN tight THEN 0 ELSE 4000 END AS max_completion_tokens,
+                   CASE WHEN tight THEN 0 ELSE {k} * 40 END AS completion_tokens
+            FROM (SELECT *, user_id % 3 = 1 AND EXTRACT(DAY FROM ts) % 2 = 1 AS tight,
+                         row_number() OVER (PARTITION BY user_id % 3, CAST(ts AS DATE) ORDER BY ts, event_id) AS n
+                  FROM events)""",
         "delegation_tokens": f"""
             SELECT event_id AS token_id, ts AS issued_at_utc,
                    CASE WHEN event_id = 0 THEN NULL ELSE {_idiv('event_id - 1', '2', d)} END AS parent_token_id,

@@ -94,6 +94,15 @@ def test_long_delegation_chain_and_absent_parent(spark):
     assert ch == {i: (i, 0) for i in range(n)} | {5000: (0, 5000)}
 
 
+def test_delegation_cycles_have_no_root(spark):
+    """A ring, a chain into it, a token that is its own parent and one listed twice; other chains are as ever."""
+    ring = [(10, 12), (11, 10), (12, 11)]
+    toks = spark.createDataFrame(ring + [(13, 10), (14, 13), (20, 20), (0, None), (1, 0), (2, 1), (2, 1)], "token_id long, parent_token_id long")
+    got = sorted((r.token_id, r.depth, r.root_token_id) for r in OPS.delegation_chains(spark, toks).collect())
+    assert got == [(0, 0, 0), (1, 1, 0), (2, 2, 0)] + [(i, None, None) for i in (10, 11, 12, 13, 14, 20)]
+    assert OPS.delegation_chains(spark, toks.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_budget_admission_equals_the_sequential_rule(spark, seed, monkeypatch):
     """Refusals change later decisions; ties in time, several ledgers, chunks of a few rows."""

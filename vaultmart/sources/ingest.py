@@ -260,10 +260,10 @@ FHIR_SCHEMA = T.StructType([
 
 
 def _path(base: str, dotted: str) -> Column:
-    """Dot-path with numeric array indices -> nested column access; NULL when absent."""
+    """Dot-path with numeric array indices -> nested column access; NULL when absent (an index beyond the array too)."""
     col = F.col(base)
     for part in dotted.split("."):
-        col = col.getItem(int(part)) if part.isdigit() else col.getField(part)
+        col = F.get(col, F.lit(int(part))) if part.isdigit() else col.getField(part)
     return col
 
 

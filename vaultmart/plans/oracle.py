@@ -1034,3 +1034,15 @@ SELECT txn_bk, claim_line_bk, CAST(billed_amount AS DOUBLE) AS billed_amount,
        CAST(allowed_amount AS DOUBLE) AS allowed_amount, CAST(paid_amount AS DOUBLE) AS paid_amount,
        {dt('payment_date')} AS payment_date, 'pi_payment_transactions' AS record_source, {_REF_LD}
 FROM pi_payment_transactions""")
+oracle("i05_stream_alert_table_hourly", ORACLE["i05_alert_table_hourly"])
+oracle("i12_stream_budget_admission", ORACLE["i12_budget_admission"])
+oracle("i11_stream_behaviour_and_cost", owith("tool_call_events", "agent_cost_events", extra=COST) + """
+SELECT a.tool_name, a.status, count(p.event_id) AS calls, CAST(sum(p.cost_dollars) AS DOUBLE) AS cost_dollars,
+       count(*) FILTER (WHERE p.event_id IS NULL) AS calls_without_cost
+FROM tool_call_events a LEFT JOIN priced p ON a.event_id = p.event_id GROUP BY 1, 2""")
+oracle("i01_stream_additive_schema", owith("tool_call_events") + f"""
+SELECT event_id, {ts('timestamp_utc')} AS timestamp_utc, tool_name, status, CAST(latency_ms AS BIGINT) AS latency_ms,
+       CASE WHEN third > 0 THEN 'cc-' || CAST(third AS VARCHAR) END AS cost_center,
+       CASE WHEN third > 0 THEN CAST(latency_ms % 4 AS BIGINT) END AS retry_count,
+       CAST(0 AS BIGINT) AS unknown_fields, CAST(NULL AS VARCHAR) AS unparsed, CAST(CASE third WHEN 2 THEN 2 ELSE 1 END AS BIGINT) AS schema_version
+FROM (SELECT *, CAST(event_id AS BIGINT) % 3 AS third FROM tool_call_events)""")

@@ -557,7 +557,14 @@ def q_approval(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # streaming forms
 # ---------------------------------------------------------------------------
+import uuid  # noqa: E402
+
+from vaultmart.session import materialize, scratch_path  # noqa: E402
 from vaultmart.streaming import audit as AUD  # noqa: E402
+from vaultmart.streaming import gateway as GATEWAY  # noqa: E402
+from vaultmart.streaming import joined as JOINED  # noqa: E402
+from vaultmart.streaming import schema_log as LOG  # noqa: E402
+from vaultmart.streaming.committed import CommittedBatches  # noqa: E402
 
 
 def table_stream(spark, sf_dir: str, name: str) -> DataFrame:
@@ -574,13 +581,16 @@ def table_stream(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _ops_stream(spark, sf_dir, name: str) -> DataFrame:
+    """An operations input over the driver's events delivered as a file stream."""
+    table_stream(spark, sf_dir, "events").createOrReplaceTempView("events_stream")
+    sql = proxy.ops_sql("spark")[name].replace("FROM events", "FROM events_stream")
+    return spark.sql(sql).withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
+
+
 def tool_call_stream(spark, sf_dir):
     """Events of the driver's table delivered as a file stream."""
-    s = table_stream(spark, sf_dir, "events")
-    s.createOrReplaceTempView("events_stream")
-    sql = proxy.ops_sql("spark")["tool_call_events"].replace("FROM events", "FROM events_stream")
-    events = spark.sql(sql).withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
-    events, close = AUD.closing(spark, events)
+    events, close = AUD.closing(spark, _ops_stream(spark, sf_dir, "tool_call_events"))
     return AUD.deduplicated(events, "1 hour"), close
 
 
@@ -602,6 +612,77 @@ def q_stream_lat(spark, sf_dir):
     return present(AUD.run_to_table(spark, AUD.latency_stream(events, "1 hour", None), "latency", close))
 
 
+@query("i05_stream_alert_table_hourly")
+def q_stream_alerts(spark, sf_dir):
+    """The three rules as one streaming job: one checkpoint, one exactly-once table."""
+    events, close = tool_call_stream(spark, sf_dir)
+    root = scratch_path(spark, f"alerts-{uuid.uuid4().hex}")
+    alerts = AUD.alert_table_stream(events, "1 hour", None)
+    for last in (False, True):
+        AUD.write_alerts(spark, alerts, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        if not last:
+            close()
+    return present(CommittedBatches(spark, f"{root}/out").table())
+
+
+@query("i11_stream_behaviour_and_cost")
+def q_stream_behaviour(spark, sf_dir):
+    """Calls and costs as two streams, joined within an hour; calls without a cost are reported when the watermark has passed."""
+    calls, close_calls = AUD.closing(spark, _ops_stream(spark, sf_dir, "tool_call_events"))
+    costs, close_costs = AUD.closing(spark, _ops_stream(spark, sf_dir, "agent_cost_events"))
+    priced, _ = OPS.call_cost(costs, OPS.model_rates(spark))
+
+    def close():
+        close_calls()
+        close_costs(model_name=min(OPS.DEFAULT_MODEL_RATES), event_id="closing")       # a row that the join keeps
+    joined = AUD.run_to_table(spark, JOINED.calls_with_cost(calls, priced), "calls-with-cost", close)
+    return present(JOINED.behaviour_and_cost(joined.where("event_id IS NOT NULL")))
+
+
+@query("i12_stream_budget_admission")
+def q_stream_admission(spark, sf_dir):
+    """Requests arriving in four micro-batches that follow each other in time; ledgers carried in a versioned table."""
+    requests = materialize(spark, ops_input(spark, sf_dir, "gateway_requests").withColumn(
+        "timestamp_utc", F.col("timestamp_utc").cast("timestamp")), "requests")
+    root = scratch_path(spark, f"admission-{uuid.uuid4().hex}")
+    cuts = requests.select(F.unix_micros("timestamp_utc").alias("t")).approxQuantile("t", [0.25, 0.5, 0.75], 0.01)
+    at = F.unix_micros("timestamp_utc")
+    stream = None
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = requests if low is None else requests.where(at >= int(low))
+        (part if high is None else part.where(at < int(high))).write.mode("append").parquet(f"{root}/in")
+        if stream is None:
+            stream = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
+        GATEWAY.budget_admission_stream(spark, stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return present(GATEWAY.admission_decisions(spark, f"{root}/out"))
+
+
+@query("i01_stream_additive_schema")
+def q_stream_schema(spark, sf_dir):
+    """Lines of 13 and then 15 fields land in one table; the two new fields are rescued, then adopted by the schema log."""
+    spark_events = ops_input(spark, sf_dir, "tool_call_events").withColumn("timestamp_utc", F.date_format("timestamp_utc", "yyyy-MM-dd HH:mm:ss"))
+    absent = [f for f in AUD.TOOL_CALL_SCHEMA if f.name not in spark_events.columns]
+    old = spark_events.withColumns({f.name: F.lit(None).cast(f.dataType) for f in absent}).select(*AUD.TOOL_CALL_SCHEMA.names)
+    third = F.col("event_id").cast("long") % 3
+    new = old.withColumns({"cost_center": F.concat(F.lit("cc-"), third.cast("string")), "retry_count": F.col("latency_ms") % 4})
+    root = scratch_path(spark, f"audit-{uuid.uuid4().hex}")
+    log = LOG.SchemaLog(spark, f"{root}/schema")
+    log.adopt(AUD.TOOL_CALL_SCHEMA)
+
+    def deliver(frame):
+        frame.select(F.to_json(F.struct(*frame.columns)).alias("value")).write.mode("append").text(f"{root}/in")
+        LOG.land_events(spark, f"{root}/in", log, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    table = CommittedBatches(spark, f"{root}/out")
+    deliver(old.where(third == 0))
+    deliver(new.where(third == 1))
+    found = LOG.unknown_fields(table.table())
+    log.adopt(T.StructType([T.StructField(n, T.IntegerType() if n == "retry_count" else T.StringType()) for n in found]))
+    deliver(new.where(third == 2))
+    got = LOG.read_events(table.table(), log)
+    return present(got.select("event_id", "timestamp_utc", "tool_name", "status", "latency_ms", "cost_center", "retry_count",
+                              F.coalesce(F.size("rescued"), F.lit(0)).alias("unknown_fields"), "unparsed", "schema_version"))
+
+
 # ---------------------------------------------------------------------------
 # more staging models (B) and a top-k metric report
 # ---------------------------------------------------------------------------

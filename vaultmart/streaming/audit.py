@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from vaultmart.operators.vault import read_table
 from vaultmart.plans import ops as OPS
 from vaultmart.session import scratch_path
+from vaultmart.streaming.committed import CommittedBatches
 
 TOOL_CALL_SCHEMA = T.StructType([
     T.StructField("event_id", T.StringType()), T.StructField("timestamp_utc", T.StringType()),
@@ -68,6 +69,32 @@ def latency_stream(events: DataFrame, window: str = "1 minute", watermark: str |
     return OPS.latency_alerts(_wm(events, watermark), window)
 
 
+ALERT_RULES = ("high_error_rate", "repeated_identical_calls", "latency_spike")
+
+
+def alert_table_stream(events: DataFrame, window: str = "1 minute", watermark: str | None = "2 minutes") -> DataFrame:
+    """I5 on a stream: the three rules' aggregates over one source, as one alert table of one query."""
+    return OPS.alert_table(_wm(events, watermark), window)
+
+
+def write_alerts(spark: SparkSession, alerts: DataFrame, root: str, checkpoint: str, available_now: bool = True):
+    """I5 sink: one job and one checkpoint for all rules.  Every micro-batch is committed rule by rule, so a batch
+    replayed after a crash puts its alerts in the place of those it wrote before (see ``CommittedBatches``)."""
+    table = CommittedBatches(spark, root)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()                                    # the aggregates run once for the three rules
+        try:
+            for rule in ALERT_RULES:
+                table.write(batch.where(F.col("rule") == rule), batch_id, rule)
+        finally:
+            batch.unpersist()
+
+    w = alerts.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).outputMode("append")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
 def write_batches(stream: DataFrame, out_dir: str, checkpoint: str, available_now: bool = True):
     """I5 sink: each micro-batch is written under ``batch_id=<n>``, overwriting
     on retry, so the table holds every alert exactly once."""
@@ -90,8 +117,8 @@ def closing(spark: SparkSession, events: DataFrame, time_col: str = "timestamp_u
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in events.schema])
     spark.createDataFrame([], schema).write.parquet(folder)
 
-    def close() -> None:
-        row = [dt.datetime(9999, 1, 1) if f.name == time_col else None for f in schema]
+    def close(**values) -> None:
+        row = [dt.datetime(9999, 1, 1) if f.name == time_col else values.get(f.name) for f in schema]
         spark.createDataFrame([row], schema).write.mode("append").parquet(folder)
 
     return events.unionByName(spark.readStream.schema(schema).parquet(folder)), close

@@ -1,57 +1,51 @@
 """Streaming budget admission (I12 on a stream).
 
-Gateway requests arrive continuously; each (feature, day) ledger keeps one
-number of state (micro-dollars booked so far).  Within a micro-batch the
-requests of a ledger are decided in time order, and the state carries the
-booked spend into the next batch, so the decisions equal the batch job's
-whenever requests arrive in time order.  A ledger's state is dropped by
-event-time timeout once the watermark passes the end of its day.
+Every micro-batch is decided by the batch job's rounds (``operators.ledger``),
+starting from what the ledgers had booked before.  That state is a versioned
+table: batch n reads the version of the batch before it and writes version n,
+and its decisions go to a folder of its own.  A replayed batch reads the same
+older version and overwrites its own folders, so nothing is booked twice, and
+no ledger is one state key or one task.  A version becomes visible to readers
+with its entry in the manifest (see ``committed``), written last.
+
+Within a micro-batch requests are decided in time order, across micro-batches
+in arrival order, so the decisions equal the batch job's whenever batches
+follow each other in time.  A ledger that got no request for ``keep_days``
+days before the newest one leaves the state.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import functions as F
 
+from vaultmart.operators.ledger import LEDGER
 from vaultmart.plans import ops as OPS
-
-STATE_SCHEMA = "spent_micro long"
-
-
-def _ledger(key, batches, state):
-    feature, usage_date = key
-    spent = int(state.get[0]) if state.exists else 0
-    if state.hasTimedOut:
-        state.remove()
-        return
-    pdf = pd.concat(list(batches), ignore_index=True)
-    pdf = pdf.sort_values(["timestamp_utc", "request_seq"], kind="mergesort")
-    budget = pdf["budget_micro"].iloc[0]
-    unlimited = pd.isna(budget)
-    admitted, booked, after = [], [], []
-    for proj, act in zip(pdf["projected_micro"].to_numpy(), pdf["actual_micro"].to_numpy()):
-        ok = bool(unlimited or spent + int(proj) <= int(budget))
-        if ok:
-            spent += int(act)
-        admitted.append(ok)
-        booked.append(int(act) if ok else 0)
-        after.append(spent)
-    state.update((spent,))
-    day_end = _dt.datetime.combine(usage_date, _dt.time()) + _dt.timedelta(days=1)
-    state.setTimeoutTimestamp(int(day_end.replace(tzinfo=_dt.timezone.utc).timestamp() * 1000))
-    yield pd.DataFrame({"request_id": pdf["request_id"].to_numpy(), "feature": feature,
-                        "usage_date": [usage_date] * len(pdf), "admitted": admitted,
-                        "projected_micro": pdf["projected_micro"].to_numpy(), "booked_micro": booked,
-                        "spent_after_micro": after})
-
-
-def budget_admission_stream(spark: SparkSession, requests: DataFrame, watermark: str = "1 hour",
-                            budgets: dict | None = None, rates: dict | None = None) -> DataFrame:
-    """Streaming admission: requests must carry an event-time ``timestamp_utc``."""
-    df = OPS.priced_requests(spark, requests.withWatermark("timestamp_utc", watermark),
-                             budgets or OPS.DAILY_BUDGET_USD_BY_FEATURE, rates or OPS.PROVIDER_RATES_PER_1K_TOKENS)
-    return df.groupBy("feature", "usage_date").applyInPandasWithState(
-        _ledger, OPS.ADMISSION_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+from vaultmart.session import materialize
+from vaultmart.streaming.committed import CommittedBatches
+
+
+def budget_admission_stream(spark: SparkSession, requests: DataFrame, root: str, checkpoint: str, budgets: dict | None = None,
+                            rates: dict | None = None, keep_days: int = 2, available_now: bool = True):
+    """Start the admission of a stream of requests; decisions and ledgers are tables under ``root``."""
+    decisions, ledgers = CommittedBatches(spark, f"{root}/decisions"), CommittedBatches(spark, f"{root}/ledgers")
+
+    def decide(batch: DataFrame, batch_id: int) -> None:
+        before = ledgers.batch(ledgers.last_before(batch_id))
+        decided = materialize(spark, OPS.budget_admission(spark, batch, budgets, rates, before), "decided")
+        booked = decided.groupBy(*LEDGER).agg(F.sum("booked_micro").alias("spent_micro"))
+        now = booked if before is None else booked.unionByName(before).groupBy(*LEDGER).agg(F.sum("spent_micro").alias("spent_micro"))
+        newest = decided.agg(F.max("usage_date")).first()[0]
+        if newest is not None:
+            now = now.where(F.col("usage_date").isNull() | (F.col("usage_date") >= F.date_sub(F.lit(newest), keep_days)))
+        ledgers.write(now, batch_id)
+        decisions.write(decided, batch_id)
+
+    w = requests.writeStream.foreachBatch(decide).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
+
+
+def admission_decisions(spark: SparkSession, root: str) -> DataFrame | None:
+    """All committed decisions, each request once."""
+    return CommittedBatches(spark, f"{root}/decisions").table()

@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from vaultmart.functions.hashing import stage
+from vaultmart.operators import partitioned_vault as PV
 from vaultmart.operators import vault as V
 from vaultmart.plans import registry as R
 from vaultmart.plans.staging import STAGING, stage_all
@@ -126,3 +127,27 @@ def load_vault(spark: SparkSession, root: str, bronze: dict[str, DataFrame], loa
     for name, rows in new.items():
         V.append(rows, os.path.join(root, name))
     return {name: spark.read.parquet(os.path.join(root, name)) for name in new}
+
+
+def partitioned_table(spark: SparkSession, root: str, name: str, prefix_chars: int = 2) -> PV.PartitionedTable:
+    """The registry's table ``name`` as a partitioned table under ``root``."""
+    t, path = R.BY_NAME[name], os.path.join(root, name)
+    if isinstance(t, R.Hub):
+        return PV.hub_table(spark, path, t.pk, t.bk, prefix_chars)
+    if isinstance(t, R.Link):
+        return PV.link_table(spark, path, t.pk, list(t.fks), prefix_chars)
+    if isinstance(t, R.Satellite):
+        return PV.SatelliteTable(spark, path, t.pk, t.hashdiff, list(t.payload), prefix_chars)
+    return PV.tlink_table(spark, path, t.pk, list(t.fks), list(t.payload), t.effective, prefix_chars)
+
+
+def load_partitioned(spark: SparkSession, root: str, bronze: dict[str, DataFrame], names: list[str], load_dts=None,
+                     batch_id: int | None = None, prefix_chars: int = 2) -> dict[str, PV.PartitionedTable]:
+    """``load_vault`` into partitioned tables: a load reads only the partitions that the batch's keys fall into."""
+    hashed_names, staging_names, uses = _plan_inputs(bronze, load_dts, names)
+    bronze = {k: (materialize(spark, v, k) if uses.get(k, 0) >= 2 else v) for k, v in bronze.items() if k in uses}
+    hashed = hashed_staging(stage_all(bronze, load_dts, staging_names), hashed_names)
+    tables = {name: partitioned_table(spark, root, name, prefix_chars) for name in names}
+    for name, table in tables.items():
+        table.load(hashed[R.BY_NAME[name].source], batch_id)
+    return tables

@@ -1046,3 +1046,8 @@ SELECT event_id, {ts('timestamp_utc')} AS timestamp_utc, tool_name, status, CAST
        CASE WHEN third > 0 THEN CAST(latency_ms % 4 AS BIGINT) END AS retry_count,
        CAST(0 AS BIGINT) AS unknown_fields, CAST(NULL AS VARCHAR) AS unparsed, CAST(CASE third WHEN 2 THEN 2 ELSE 1 END AS BIGINT) AS schema_version
 FROM (SELECT *, CAST(event_id AS BIGINT) % 3 AS third FROM tool_call_events)""")
+for _q, _same in (("c09_stream_partitioned_hub", "c04_hub_claim_line"), ("c09_stream_partitioned_link", "c05_lnk_claim_provider_member"),
+                  ("c09_stream_partitioned_satellite", "c06_sat_claim_details"), ("c09_stream_partitioned_tlink", "c07_tlnk_claim_payment_txn"),
+                  ("c06_stream_satellite_history", "c06_satellite_history_two_batches"),
+                  ("c08_maintained_current_versions", "c08_current_satellite")):
+    oracle(_q, ORACLE[_same])

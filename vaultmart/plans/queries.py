@@ -642,18 +642,10 @@ def q_stream_behaviour(spark, sf_dir):
 @query("i12_stream_budget_admission")
 def q_stream_admission(spark, sf_dir):
     """Requests arriving in four micro-batches that follow each other in time; ledgers carried in a versioned table."""
-    requests = materialize(spark, ops_input(spark, sf_dir, "gateway_requests").withColumn(
-        "timestamp_utc", F.col("timestamp_utc").cast("timestamp")), "requests")
+    requests = ops_input(spark, sf_dir, "gateway_requests").withColumn("timestamp_utc", F.col("timestamp_utc").cast("timestamp"))
     root = scratch_path(spark, f"admission-{uuid.uuid4().hex}")
-    cuts = requests.select(F.unix_micros("timestamp_utc").alias("t")).approxQuantile("t", [0.25, 0.5, 0.75], 0.01)
-    at = F.unix_micros("timestamp_utc")
-    stream = None
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        part = requests if low is None else requests.where(at >= int(low))
-        (part if high is None else part.where(at < int(high))).write.mode("append").parquet(f"{root}/in")
-        if stream is None:
-            stream = spark.readStream.schema(spark.read.parquet(f"{root}/in").schema).parquet(f"{root}/in")
-        GATEWAY.budget_admission_stream(spark, stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    micro_batches(spark, requests, "timestamp_utc", lambda stream: GATEWAY.budget_admission_stream(
+        spark, stream, f"{root}/out", f"{root}/checkpoint"), 4)
     return present(GATEWAY.admission_decisions(spark, f"{root}/out"))
 
 
@@ -877,8 +869,9 @@ def q_crosswalk(spark, sf_dir):
 import os as _os  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
-from vaultmart.session import scratch_path  # noqa: E402
-from vaultmart.streaming.landing import land_stream, vault_stream  # noqa: E402
+from vaultmart.operators import partitioned_vault as PV  # noqa: E402
+from vaultmart.plans.build import partitioned_table  # noqa: E402
+from vaultmart.streaming.landing import land_stream, partitioned_vault_stream, vault_stream  # noqa: E402
 
 
 @query("c09_stream_vault_claim_payment_txn")
@@ -896,6 +889,59 @@ def q_stream_vault(spark, sf_dir):
     return present(spark.read.parquet(_os.path.join(root, "vault", "tlnk_claim_payment_txn")))
 
 
+def micro_batches(spark, frame: DataFrame, time_col: str, run, n: int = 3) -> None:
+    """Deliver a table to a file stream in ``n`` parts that follow each other in time; ``run(stream)`` takes each as a micro-batch."""
+    frame = materialize(spark, frame, "delivered")
+    folder = scratch_path(spark, f"delivery-{_uuid.uuid4().hex}")
+    at = F.unix_micros(F.col(time_col).cast("timestamp"))
+    cuts = sorted(set(frame.select(at.alias("t")).approxQuantile("t", [i / n for i in range(1, n)], 0.01)))
+    stream = None
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = frame if low is None else frame.where(at >= int(low))
+        (part if high is None else part.where(at < int(high))).write.mode("append").parquet(folder)
+        stream = stream or spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+        run(stream).awaitTermination()
+
+
+PARTITIONED = {"c09_stream_partitioned_hub": ("hub_claim_line", "synpuf_inpatient_claim_header"),
+               "c09_stream_partitioned_link": ("lnk_claim_provider_member", "synpuf_inpatient_claim_header"),
+               "c09_stream_partitioned_satellite": ("sat_claim_details", "synpuf_inpatient_claim_header"),
+               "c09_stream_partitioned_tlink": ("tlnk_claim_payment_txn", "pi_payment_transactions")}
+
+
+def _partitioned_query(qname, table, source):
+    def run(spark, sf_dir):
+        root = scratch_path(spark, f"partitioned-{_uuid.uuid4().hex}")
+        micro_batches(spark, bronze(spark, sf_dir, [source])[source], "load_dts", lambda stream: partitioned_vault_stream(
+            spark, stream, lambda batch: {source: batch}, f"{root}/vault", f"{root}/checkpoint", [table], prefix_chars=1))
+        return present(partitioned_table(spark, f"{root}/vault", table, prefix_chars=1).table())
+    run.__name__ = f"q_{qname}"
+    QUERIES[qname] = run
+
+
+for _q, (_t, _s) in PARTITIONED.items():
+    _partitioned_query(_q, _t, _s)
+
+
+def _status_satellite(spark, sf_dir):
+    """Orders as member versions, loaded in three micro-batches into a satellite with a snapshot of current versions."""
+    root = scratch_path(spark, f"status-{_uuid.uuid4().hex}")
+    table = PV.SatelliteTable(spark, f"{root}/sat", "member_hk", "status_hashdiff", ["o_orderpriority", "o_orderstatus"], prefix_chars=1)
+    micro_batches(spark, _priority_staged(spark, sf_dir), "load_dts", lambda stream: stream.writeStream.foreachBatch(
+        table.load).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return table
+
+
+@query("c06_stream_satellite_history")
+def q_stream_history(spark, sf_dir):
+    return present(_status_satellite(spark, sf_dir).table())
+
+
+@query("c08_maintained_current_versions")
+def q_snapshot(spark, sf_dir):
+    return present(_status_satellite(spark, sf_dir).current())
+
+
 @query("a14_stream_land_provider_file")
 def q_stream_land(spark, sf_dir):
     root = scratch_path(spark, f"stream-land-{_uuid.uuid4().hex}")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultmart.plans.build import load_vault
+from vaultmart.plans.build import load_partitioned, load_vault
 
 
 def land_stream(spark: SparkSession, source_dir: str, schema: T.StructType, target: str, checkpoint: str,
@@ -40,3 +40,14 @@ def vault_stream(spark: SparkSession, stream: DataFrame, to_bronze: Callable[[Da
     w = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def partitioned_vault_stream(spark: SparkSession, stream: DataFrame, to_bronze: Callable[[DataFrame], dict[str, DataFrame]],
+                             root: str, checkpoint: str, names: list[str], prefix_chars: int = 2, available_now: bool = True):
+    """C9 into partitioned tables: a micro-batch reads the partitions of its keys; one that is already committed is skipped."""
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_partitioned(spark, root, to_bronze(batch), names, batch_id=batch_id, prefix_chars=prefix_chars)
+
+    w = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

@@ -108,7 +108,7 @@ def test_long_texts_are_cut_at_chunks(libraries, monkeypatch):
     tool = Aligner(BYTE, PIECE)
     texts = ["one  two\nthree four, don't " * 50 + "y" * 400, "\xa0tab\tand\r\nlines \n \n" * 30, "日本" * 300]
     for text in texts:
-        n_a, n_b, n_groups, n_links, spelled, keys, times = next(tool.documents([text]))
+        n_a, n_b, n_groups, n_links, spelled, keys, times = tool.documents([text])[0]
         want = brute_groups(libraries, text)
         text_of = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in want)
         assert (n_groups, spelled) == (len(want), hashlib.sha256(text_of.encode()).hexdigest())
@@ -123,6 +123,15 @@ def test_identity_map(libraries):
     assert b.id_to_piece(int(tool.identity[i])) == "▁the"
 
 
+def test_ids_by_rank_equal_the_library(libraries):
+    """Every Latin character in several places; texts beyond Latin go to the library."""
+    tool, rng = Aligner(BYTE, PIECE), random.Random(3)
+    latin = [chr(c) for c in range(0x250)]
+    texts = [f" {c}{c}a {c} 1{c}\n{c}'s{c}" for c in latin] + ["".join(rng.choice(latin) for _ in range(60)) for _ in range(2000)]
+    assert tool.fast and [tool.byte_ids(t) for t in texts] == [libraries[0].encode(t, add_special_tokens=False).ids for t in texts]
+    assert tool.byte_ids("日本 <|endoftext|>") == libraries[0].encode("日本 <|endoftext|>", add_special_tokens=False).ids
+
+
 def test_empty_and_textless_tables(spark):
     assert align_documents(docs_frame(spark, []), BYTE, PIECE, store(spark)).count() == 0
     got = align_documents(docs_frame(spark, [(1, None), (1, ""), (None, "▁")]), BYTE, PIECE, store(spark)).collect()

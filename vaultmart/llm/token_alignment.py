@@ -46,10 +46,15 @@ from pyspark.sql import types as T
 from vaultmart.llm.common import BLOCK_CHARS, list_array, text_blocks
 from vaultmart.llm.piece_codec import MARK, PieceCodec
 
-CHUNKS_REMEMBERED = 200_000    # chunks whose alignment a Python worker remembers
+CHUNKS_REMEMBERED = 150_000    # chunks whose alignment a Python worker remembers, twice that with the older generation
+RUN_CHUNKS = 10_000            # distinct chunks that are encoded as one text
+FLUSH_CHUNKS = 80_000          # chunks of texts that are gathered at once
+WIDE_GROUP = 256               # links of a group beyond which its distinct ids are summed first
 REMEMBERED_LENGTH = 32         # longer chunks are aligned again each time
 PAIRS_HELD = 500_000           # pair counts a task holds before it passes them on
 HOT_SHARE = 10_000             # a pair is frequent beyond 1 / HOT_SHARE of all pair rows
+# Fixed value: the published pattern of byte-level pre-tokens.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ID_BITS = 32                   # a pair of ids is one number: A's id, then B's
 
 LONGS, LONG = T.ArrayType(T.LongType(), False), T.LongType()
@@ -78,6 +83,8 @@ class Aligner:
         split = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         if kind.get("normalizer") or not split.items() <= (kind.get("pre_tokenizer") or {}).items():
             raise ValueError("the byte-level tokenizer does not cut texts before white space")
+        self.fast = self._by_ranks(kind)
+        self.beyond_latin = re.compile("[^\0-\u024f]").search
         self.b = PieceCodec(piece_file)
         letter = byte_letters()
         special = {t["id"]: t["content"].encode() for t in kind["added_tokens"]}
@@ -98,7 +105,30 @@ class Aligner:
         kept = rf"(?![{breaks}]){white}"                                 # white space that a piece may reach across
         self.find = re.compile(f"{white}*(?:{other}+(?:{kept}{white}*)?)+|{white}+").findall
         self.edge = re.compile(f"(?<={other})(?=[{breaks}])").search
+        self.white = frozenset(c for c in map(chr, range(0x110000)) if c.isspace() and re.match(white, c))
+        self.size_a = np.fromiter(map(len, self.bytes_a), np.int64, self.size)
+        self.names = [str(i) for i in range(max(self.size, len(self.bytes_b)))]
+        self.same_names = np.array([f"{i}|{j}" for i, j in enumerate(self.identity.tolist())], object)
         self.known: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+
+    @staticmethod
+    def _by_ranks(kind: dict):
+        """The same merges by rank (tiktoken, several times faster), where the file's ids follow its merges; else None."""
+        import tiktoken
+
+        letter, vocabulary = byte_letters(), kind["model"]["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in kind["model"]["merges"]]
+        if sorted(vocabulary.values()) != list(range(256 + len(merges))) or any(vocabulary["".join(m)] != 256 + i for i, m in enumerate(merges)):
+            return None
+        ranks = {bytes(letter[c] for c in token): i for token, i in vocabulary.items()}
+        return tiktoken.Encoding("own", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+    def byte_ids(self, text: str) -> list[int]:
+        """A's ids.  Letters beyond Latin are left to the library, whose tables of letters and numbers decide there."""
+        if self.fast and not self.beyond_latin(text):
+            return self.fast.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def split(self, text: str):
         """Lists of chunks of a space and the text, about ``BLOCK_CHARS`` characters at a time."""
@@ -112,80 +142,184 @@ class Aligner:
 
     def align(self, chunks: list[str]) -> dict[str, tuple]:
         """chunk -> (groups spelled out, A tokens, B tokens, groups, links, pairs), or None where the bytes differ.
-        ``pairs`` are (pair, occurrences) as packed 64-bit integers."""
-        words = [self.b.find(c.replace(" ", MARK)) for c in chunks]
-        ids_of = self.b.words_to_ids(sorted(set().union(*words))) if words else {}
-        got = {}
-        for chunk, parts in zip(chunks, words):
-            a = self.a.encode(chunk, add_special_tokens=False).ids
-            b = np.frombuffer(b"".join([ids_of[w] for w in parts]), "<u4").tolist()
-            raw = chunk.encode()
-            spelled_a, spelled_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            if b"".join(spelled_a) != raw or b"".join(spelled_b) != raw:
-                got[chunk] = None
-                continue
-            got[chunk] = self._groups(a, b, spelled_a, spelled_b)
+        ``pairs`` are (pair, occurrences) as packed 64-bit integers.
+
+        Distinct chunks are laid end to end and encoded as one text: both tokenizers cut at the edges of chunks.  A chunk
+        that ends with white space stands at the end of its text and goes alone."""
+        got, runs, latin, other = {}, [], [], []
+        for c in chunks:
+            if MARK in c:
+                got[c] = None
+            elif c[-1] in self.white:
+                runs.append([c])
+            elif c.isascii() or not self.beyond_latin(c):
+                latin.append(c)
+            else:
+                other.append(c)
+        runs += [part[i:i + RUN_CHUNKS] for part in (latin, other) for i in range(0, len(part), RUN_CHUNKS)]
+        for run in runs:
+            found = self._aligned_run(run)
+            if found is None:                                            # bytes differ somewhere: find out where
+                for c in run:
+                    found = self._aligned_run([c])
+                    got[c] = found[0] if found else None
+            else:
+                got.update(zip(run, found))
         return got
 
-    def _groups(self, a, b, spelled_a, spelled_b) -> tuple:
-        texts, pairs, links = [], Counter(), 0
-        i = j = lo_a = lo_b = 0
-        at_a = at_b = 0
-        while i < len(a):
-            at_a += len(spelled_a[i])
-            i += 1
-            while at_b < at_a:
-                at_b += len(spelled_b[j])
-                j += 1
-            if at_a == at_b:
-                left, right = a[lo_a:i], b[lo_b:j]
-                texts.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-                links += len(left) * len(right)
-                if len(left) == len(right) == 1:
-                    pairs[left[0] << ID_BITS | right[0]] += 1
-                else:
-                    right_n = Counter(right)
-                    for x, n in Counter(left).items():
-                        for y, m in right_n.items():
-                            pairs[x << ID_BITS | y] += n * m
-                lo_a, lo_b = i, j
-        packed = np.array([*pairs.items()], np.int64).tobytes()
-        return ";".join(texts), len(a), len(b), len(texts), links, packed
+    def _aligned_run(self, chunks: list[str]) -> list[tuple] | None:
+        text = "".join(chunks)
+        raw = text.encode()
+        words = self.b.find(text.replace(" ", MARK))
+        ids_of = self.b.words_to_ids(list(dict.fromkeys(words)))
+        a = np.array(self.byte_ids(text), np.int64)
+        b = np.frombuffer(b"".join([ids_of[w] for w in words]), "<u4").astype(np.int64)
+        a_list, b_list = a.tolist(), b.tolist()
+        if (b"".join(map(self.bytes_a.__getitem__, a_list)) != raw or b"".join(map(self.bytes_b.__getitem__, b_list)) != raw):
+            return None
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.b.lengths[b])
+        edges = np.cumsum(np.fromiter((len(c.encode()) for c in chunks), np.int64, len(chunks)))
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        if not np.isin(edges, common, assume_unique=True).all():
+            raise ValueError("a token reaches across the edge of a chunk")
+        n_a = np.bincount(np.searchsorted(common, ends_a), minlength=len(common))
+        n_b = np.bincount(np.searchsorted(common, ends_b), minlength=len(common))
+        at_a, at_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        chunk_of = np.searchsorted(edges, common)
+        first = np.searchsorted(chunk_of, np.arange(len(chunks) + 1))    # groups of a chunk
+        of, keys, times = self._pairs(a, b, n_a, n_b, at_a, at_b, chunk_of)
+        packed = np.stack([keys, times], 1).tobytes()
+        cut = 16 * np.searchsorted(of, np.arange(len(chunks) + 1))
+        spelled, names = np.empty(len(common), object), self.names
+        same = (n_a == 1) & (n_b == 1)
+        same[same] = self.identity[a[at_a[same]]] == b[at_b[same]]
+        spelled[same] = self.same_names[a[at_a[same]]]
+        odd = np.flatnonzero(~same)
+        for g, i, n, j, m in zip(odd.tolist(), at_a[odd].tolist(), n_a[odd].tolist(), at_b[odd].tolist(), n_b[odd].tolist()):
+            spelled[g] = ",".join(map(names.__getitem__, a_list[i:i + n])) + "|" + ",".join(map(names.__getitem__, b_list[j:j + m]))
+        spelled = spelled.tolist()
+        begin = first[:-1]
+        numbers = [np.add.reduceat(x, begin).tolist() for x in (n_a, n_b, n_a * n_b)]
+        bounds, cuts = first.tolist(), cut.tolist()
+        return [(";".join(spelled[lo:hi]), na, nb, hi - lo, links, packed[x:y])
+                for lo, hi, na, nb, links, x, y in zip(bounds, bounds[1:], *numbers, cuts, cuts[1:])]
+
+    @staticmethod
+    def _pairs(a, b, n_a, n_b, at_a, at_b, chunk_of) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(chunk, pair, occurrences) of all groups, by chunk; large groups are summed over their distinct ids first."""
+        count = n_a * n_b
+        small = np.flatnonzero(count <= WIDE_GROUP)
+        reps = count[small]
+        r = np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+        group = np.repeat(small, reps)
+        left, right = a[at_a[group] + r // n_b[group]], b[at_b[group] + r % n_b[group]]
+        of, keys, times = [chunk_of[group]], [left << ID_BITS | right], [np.ones(len(group), np.int64)]
+        for g in np.flatnonzero(count > WIDE_GROUP).tolist():
+            x, n = np.unique(a[at_a[g]:at_a[g] + n_a[g]], return_counts=True)
+            y, m = np.unique(b[at_b[g]:at_b[g] + n_b[g]], return_counts=True)
+            keys.append((np.repeat(x, len(y)) << ID_BITS) | np.tile(y, len(x)))
+            times.append(np.repeat(n, len(y)) * np.tile(m, len(x)))
+            of.append(np.full(len(keys[-1]), chunk_of[g]))
+        of, keys, times = np.concatenate(of), np.concatenate(keys), np.concatenate(times)
+        order = np.argsort(of, kind="stable")
+        return of[order], keys[order], times[order]
+
+    def _infos(self, chunks) -> list:
+        """Alignments of distinct chunks (None: the bytes differ), worked out or remembered in two generations."""
+        infos = list(map(self.known.get, chunks))
+        holes = [(j, c) for (j, c), x in zip(enumerate(chunks), infos) if x is None]
+        again = {c: self.old[c] for _, c in holes if c in self.old}
+        found = self.align([c for _, c in holes if c not in again])
+        for j, c in holes:
+            infos[j] = again[c] if c in again else found[c]
+        self.known.update(again)
+        self.known.update((c, x) for c, x in found.items() if len(c) <= REMEMBERED_LENGTH and x is not None)
+        if len(self.known) > CHUNKS_REMEMBERED:
+            self.old, self.known = self.known, {}
+        return infos
 
     def documents(self, texts: list):
         """Per text: (A tokens, B tokens, groups, links, hash of the groups, distinct pairs, occurrences), None without tokens."""
-        if len(self.known) > CHUNKS_REMEMBERED:
-            self.known.clear()
-        known = self.known
-        for text in texts:
-            if not text:
-                yield None
-                continue
-            total, spelled, keys, times, fits, some = np.zeros(4, np.int64), hashlib.sha256(), [], [], True, False
-            for chunks in self.split(text):
-                counts = Counter(chunks)
-                found = self.align([c for c in counts if c not in known])
-                known.update((c, x) for c, x in found.items() if len(c) <= REMEMBERED_LENGTH)
-                info = {c: found[c] if c in found else known[c] for c in counts}
-                if None in info.values():
-                    fits = False
-                    break
-                spelled.update(((";" if some else "") + ";".join([info[c][0] for c in chunks])).encode())
-                some = True
-                n = np.fromiter(counts.values(), np.int64, len(counts))
-                total += n @ np.array([x[1:5] for x in info.values()], np.int64)
-                packed = [x[5] for x in info.values()]
-                pairs = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2)
-                each = np.repeat(n, np.fromiter(map(len, packed), np.int64, len(packed)) // 16)
-                keys.append(pairs[:, 0])
-                times.append(pairs[:, 1] * each)
-            if not fits:
-                yield None
-                continue
-            distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-            occurrences = np.zeros(len(distinct), np.int64)
-            np.add.at(occurrences, at, np.concatenate(times))
-            yield (*total.tolist(), spelled.hexdigest(), distinct, occurrences)
+        held, done = {}, {}
+        units, size, at = [], 0, 0
+        for i, text in enumerate(texts):
+            for chunks in self.split(text) if text else ():
+                units.append((i, chunks))
+                size += len(chunks)
+                if size > FLUSH_CHUNKS:
+                    self._gather(units, held)
+                    units, size = [], 0
+            if not units:
+                done.update((k, _document(held.pop(k, None))) for k in range(at, i + 1))
+                at = i + 1
+        if units:
+            self._gather(units, held)
+        done.update((k, _document(held.pop(k, None))) for k in range(at, len(texts)))
+        return [done[i] for i in range(len(texts))]
+
+    def _gather(self, units: list, held: dict) -> None:
+        """Add the groups and pairs of units (text, chunks) to what is held of their texts."""
+        every = [c for _, chunks in units for c in chunks]
+        distinct = list(dict.fromkeys(every))
+        index = dict(zip(distinct, range(len(distinct))))
+        infos = self._infos(distinct)
+        bad = np.fromiter((x is None for x in infos), bool, len(infos))
+        if bad.any():
+            infos = [x or ("", 0, 0, 0, 0, b"") for x in infos]
+        spelled, *numbers, packed = zip(*infos)
+        numbers = np.array(numbers, np.int64).T
+        pairs = np.frombuffer(b"".join(packed), np.int64).reshape(-1, 2)
+        width = np.fromiter(map(len, packed), np.int64, len(packed)) // 16
+        start = np.cumsum(width) - width
+        sizes = np.fromiter((len(c) for _, c in units), np.int64, len(units))
+        which = np.fromiter(map(index.__getitem__, every), np.int64, len(every))
+        unit = np.repeat(np.arange(len(units)), sizes)
+        # chunks of a unit once, with their number; then its pairs once, with their occurrences
+        once, n = np.unique(unit * len(infos) + which, return_counts=True)
+        u, c = once // len(infos), once % len(infos)
+        row = np.repeat(np.arange(len(once)), width[c])
+        pick = np.arange(len(row)) - np.repeat(np.cumsum(width[c]) - width[c], width[c]) + start[c][row]
+        owner, keys, times = u[row], pairs[pick, 0], pairs[pick, 1] * n[row]
+        order = np.lexsort((keys, owner))
+        owner, keys, times = owner[order], keys[order], times[order]
+        new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (keys[1:] != keys[:-1])])) if len(keys) else np.zeros(0, np.int64)
+        times = np.add.reduceat(times, new) if len(new) else times
+        owner, keys = owner[new], keys[new]
+        cut = np.searchsorted(owner, np.arange(len(units) + 1)).tolist()
+        first = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+        totals = np.add.reduceat(numbers[which], first[:-1])
+        wrong = np.add.reduceat(bad[which].astype(np.int64), first[:-1]) > 0
+        listed = which.tolist()
+        for k, (i, _) in enumerate(units):
+            text = held.setdefault(i, _Held())
+            if wrong[k]:
+                text.fits = False
+            text.add(totals[k], map(spelled.__getitem__, listed[first[k]:first[k + 1]]), keys[cut[k]:cut[k + 1]], times[cut[k]:cut[k + 1]])
+
+
+class _Held:
+    """What is known so far of a text that is worked through in pieces."""
+
+    def __init__(self):
+        self.total, self.hash, self.keys, self.times, self.fits, self.some = np.zeros(4, np.int64), hashlib.sha256(), [], [], True, False
+
+    def add(self, total, spelled, keys, times) -> None:
+        self.total += total
+        self.hash.update(((";" if self.some else "") + ";".join(spelled)).encode())
+        self.some = True
+        self.keys.append(keys)
+        self.times.append(times)
+
+
+def _document(held: _Held | None):
+    if held is None or not held.fits:
+        return None
+    keys, times = held.keys[0], held.times[0]
+    if len(held.keys) > 1:
+        keys, at = np.unique(np.concatenate(held.keys), return_inverse=True)
+        times = np.zeros(len(keys), np.int64)
+        np.add.at(times, at, np.concatenate(held.times))
+    return (*held.total.tolist(), held.hash.hexdigest(), keys, times)
 
 
 @functools.lru_cache(1)

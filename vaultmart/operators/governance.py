@@ -101,6 +101,45 @@ def governed_fact(fact: DataFrame, dim_provider: DataFrame, groups: Sequence[str
     return fact.join(allowed, key, "left_semi")
 
 
+# G1-G5 as plain SQL: functions, a session variable with the caller's groups, governed views
+GROUPS_VARIABLE = "principal_groups"
+
+
+def _sql_functions() -> list[str]:
+    quoted = lambda xs: ", ".join(f"'{x}'" for x in xs)
+    regions = " ".join(f"WHEN array_contains(groups, '{g}') THEN state IN ({quoted(states)})" for g, states in REGION_STATES.items())
+    return [
+        f"FUNCTION provider_region_filter(state STRING, groups ARRAY<STRING>) RETURNS BOOLEAN RETURN CASE {regions} ELSE true END",
+        f"FUNCTION mask_birth_date(d DATE, groups ARRAY<STRING>) RETURNS DATE RETURN CASE WHEN array_contains(groups, '{PHI_REVIEWERS}') "
+        "THEN d ELSE trunc(d, 'YEAR') END",
+        f"FUNCTION mask_race_code(code STRING, groups ARRAY<STRING>) RETURNS STRING RETURN CASE WHEN array_contains(groups, '{PHI_REVIEWERS}') "
+        f"THEN code ELSE '{WITHHELD}' END",
+        f"FUNCTION mask_provider_name(name STRING, groups ARRAY<STRING>) RETURNS STRING RETURN CASE WHEN array_contains(groups, "
+        f"'{CREDENTIALING_TEAM}') THEN name ELSE concat(substring(name, 1, 1), '.') END",
+    ]
+
+
+def create_sql_functions(spark: SparkSession) -> None:
+    """The filter and the masks as temporary SQL functions, and the variable ``principal_groups`` (no groups at first)."""
+    for body in _sql_functions():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY {body}")
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {GROUPS_VARIABLE} ARRAY<STRING> DEFAULT CAST(array() AS ARRAY<STRING>)")
+
+
+def set_principal_groups(spark: SparkSession, groups: Sequence[str]) -> None:
+    spark.sql(f"SET VAR {GROUPS_VARIABLE} = CAST(array({', '.join(repr(str(g)) for g in groups)}) AS ARRAY<STRING>)")
+
+
+def create_governed_view(spark: SparkSession, table: str, source: str, name: str | None = None) -> str:
+    """A view over ``source`` that filters and masks by the policy of ``table`` for whatever groups the session holds.
+    The functions are SQL, so Spark folds the caller's groups and pushes the row filter to the scan."""
+    policy, name = POLICIES[table], name or f"governed_{table}"
+    columns = [f"{policy.masks[c]}({c}, {GROUPS_VARIABLE}) AS {c}" if c in policy.masks else c for c in spark.table(source).columns]
+    where = f" WHERE provider_region_filter({policy.row_filter_column}, {GROUPS_VARIABLE})" if policy.row_filter_column else ""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {', '.join(columns)} FROM {source}{where}")
+    return name
+
+
 def registry_bindings(spark: SparkSession) -> DataFrame:
     """The implemented bindings as a table: (table, control_type, function)."""
     rows = []

@@ -107,3 +107,29 @@ def interval_join(events: DataFrame, intervals: DataFrame, key: str, at: str,
     cond = ((events[key] == intervals[ik]) & (events[at] >= intervals[start])
             & (intervals[end].isNull() | (events[at] < intervals[end])))
     return events.join(intervals, cond, how)
+
+
+def binned_interval_join(events: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str,
+                         bin_seconds: int, interval_key: str | None = None) -> DataFrame:
+    """``interval_join`` for keys with very many intervals.
+
+    Time is cut into bins; an interval stands once in every bin that it
+    touches, an event in the one bin it falls into, so the equality is on
+    (key, bin) and the range is checked among the few intervals of a bin.
+    Open and far ends are clipped to the span of the events (two values reach
+    the driver), so an interval is copied at most span / ``bin_seconds`` times.
+    Choose bins so that a key has few interval starts in each: a busy key is
+    then spread over its bins instead of being one key of the join.
+    """
+    ik = interval_key or key
+    span = events.agg(F.min(at).cast("timestamp").alias("lo"), F.max(at).cast("timestamp").alias("hi")).first()
+    if span["lo"] is None:
+        return interval_join(events, intervals, key, at, start, end, interval_key=interval_key)
+    bin_of = lambda c: F.floor(F.unix_timestamp(c.cast("timestamp")) / bin_seconds)
+    lo, hi = F.lit(span["lo"]), F.lit(span["hi"])
+    first, last = F.greatest(F.col(start), lo), F.least(F.coalesce(F.col(end), hi), hi)
+    pieces = (intervals.where((F.col(start) <= hi) & (F.col(end).isNull() | (F.col(end) > lo)) & (F.col(end).isNull() | (F.col(end) > F.col(start))))
+              .withColumn("_interval_bin", F.explode(F.sequence(bin_of(first), bin_of(last)))))
+    return events.withColumn("_event_bin", bin_of(F.col(at))).join(
+        pieces, (F.col(key) == F.col(ik)) & (F.col("_event_bin") == F.col("_interval_bin"))
+        & (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))).drop("_event_bin", "_interval_bin")

@@ -1051,3 +1051,43 @@ for _q, _same in (("c09_stream_partitioned_hub", "c04_hub_claim_line"), ("c09_st
                   ("c06_stream_satellite_history", "c06_satellite_history_two_batches"),
                   ("c08_maintained_current_versions", "c08_current_satellite")):
     oracle(_q, ORACLE[_same])
+
+oracle("a13_observed_landing_providers", ORACLE["a13_landing_summary_providers"])
+oracle("i08_priced_usage_many_versions", "WITH " + USAGE.replace("prices AS (SELECT * FROM (VALUES " + PRICES
+       + ") t(sku_name, price_start_time, price_end_time, price)),\n  usage", "usage", 1).replace(",\n  pu AS", """,
+  days AS (SELECT DISTINCT sku_name, usage_date FROM usage),
+  prices AS (SELECT sku_name, CAST(usage_date AS TIMESTAMP) AS price_start_time,
+                    CAST(lead(usage_date) OVER (PARTITION BY sku_name ORDER BY usage_date) AS TIMESTAMP) AS price_end_time,
+                    CAST(CAST(0.1 AS DECIMAL(10,4)) + CAST(dayofyear(usage_date) AS DECIMAL(10,4)) * CAST(0.001 AS DECIMAL(4,3)) AS DECIMAL(10,4)) AS price
+             FROM days),
+  pu AS""", 1) + ORACLE["i08_priced_usage"].split("WITH " + USAGE, 1)[1])
+oracle("f05_distinct_members_by_sketch", gwith("fenc") + " UNION ALL ".join(f"""
+SELECT '{g}' AS grain, CAST(CAST(date_trunc('{g}', CAST(encounter_start AS TIMESTAMP)) AS DATE) AS VARCHAR) AS metric_time, encounter_class_code,
+       count(DISTINCT member_hk) AS distinct_members, true AS within_2_percent FROM fenc GROUP BY 2, 3""" for g in ("month", "quarter", "year")))
+oracle("g01_sql_governed_dim_provider_south", ORACLE["g01_governed_dim_provider_south"])
+oracle("g02_sql_governed_dim_member_masked", ORACLE["g02_governed_dim_member_masked"])
+
+
+def _register_star_and_source_tests():
+    from vaultmart.plans.queries import SOURCE_KEYS, gold_checks, source_checks
+    by_name = {n.split("_", 1)[1]: sql for n, sql in ORACLE.items() if n[0] in "de" and n[1:3].isdigit()}
+    tables = sorted({c.table for c in gold_checks()} | {c.ref_table for c in gold_checks() if c.ref_table})
+    ctes = ",\n".join(f"q_{t} AS (SELECT * FROM ({by_name[t]}))" for t in tables)
+    status = "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM ("
+    oracle("h04_gold_quality_checks", f"WITH {ctes}\n{status}" + "\nUNION ALL\n".join(_check_sql(c) for c in gold_checks()) + ")")
+    sources = ",\n".join(f"q_{t} AS (SELECT * FROM {t})" for t in SOURCE_KEYS)
+    oracle("h05_source_quality_checks", with_bronze(*SOURCE_KEYS, extra=sources) + status
+           + "\nUNION ALL\n".join(_check_sql(c) for c in source_checks()) + ")")
+
+
+_register_star_and_source_tests()
+
+# the first of two copies of every claim row, in the order in which the files hold them
+_PLACE = ", ".join([*(f"""coalesce(CAST("{c}" AS VARCHAR), '')""" for c in _IG.CLAIM_HEADER_COLUMN_MAP), "CAST(copy AS VARCHAR)"])
+# a CSV file does not tell an empty field from a missing one
+_FIRST = ", ".join(f"""{"CASE WHEN copy = 1 THEN '9' || CLM_PMT_AMT ELSE CLM_PMT_AMT END" if c == 'CLM_PMT_AMT' else f"""nullif("{c}", '')"""} AS {t}"""
+                   for c, t in _IG.CLAIM_HEADER_COLUMN_MAP.items())
+oracle("a04_first_claim_row_in_file_order", f"""WITH raw AS ({_RAW['claims_raw']}),
+two AS (SELECT raw.*, copy FROM raw, (VALUES (0), (1)) c(copy)),
+placed AS (SELECT {_FIRST}, md5(concat_ws('|', {_PLACE})) AS _place FROM two)
+SELECT * EXCLUDE (_rn, _place) FROM (SELECT *, row_number() OVER (PARTITION BY claim_line_bk ORDER BY _place) AS _rn FROM placed) WHERE _rn = 1""")

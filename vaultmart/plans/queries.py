@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -998,3 +998,139 @@ def q_reference_member_hcc(spark, sf_dir):
 @query("a15_reference_payments_staged")
 def q_reference_payments(spark, sf_dir):
     return present(S.stg_payment_txns(reference_tables(spark, sf_dir, ["pi_payment_transactions"])))
+
+
+# ---------------------------------------------------------------------------
+# observed landing (A13), file order (A4), many price versions (I8), stored
+# sketches (F5), governance as SQL (G1-G5), gold and source tests (H)
+# ---------------------------------------------------------------------------
+from vaultmart.plans import sketches as SKETCH  # noqa: E402
+
+
+@query("a13_observed_landing_providers")
+def q_observed_landing(spark, sf_dir):
+    return present(IG.land_providers_observed(spark, raw(spark, sf_dir, "nppes_raw"), scratch_path(spark, f"providers-{_uuid.uuid4().hex}")))
+
+
+@query("a04_first_claim_row_in_file_order")
+def q_file_order(spark, sf_dir):
+    """The claim file twice over (the second copy of a row with another payment), shuffled into several CSV files; the
+    first row of a claim in file order is kept."""
+    folder = scratch_path(spark, f"claims-{_uuid.uuid4().hex}")
+    claims = raw(spark, sf_dir, "claims_raw")
+    both = claims.withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    cols = [c for c in claims.columns if c != "_row_order"]
+    place = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in IG.CLAIM_HEADER_COLUMN_MAP], F.col("copy").cast("string")))
+    paid = F.when(F.col("copy") == 1, F.concat(F.lit("9"), F.col("CLM_PMT_AMT"))).otherwise(F.col("CLM_PMT_AMT"))
+    (both.withColumn("_place", place).withColumn("CLM_PMT_AMT", paid).repartitionByRange(6, "_place").sortWithinPartitions("_place")
+         .select(*cols).write.option("header", True).csv(folder))
+    return present(IG.land_claim_headers(IG.read_csv_in_order(spark, folder, cols)))
+
+
+PRICE_BIN_DAYS = 30
+
+
+def versioned_prices(spark, sf_dir) -> DataFrame:
+    """A list price for every SKU and shipping day, valid until the SKU's next one: thousands of versions per SKU."""
+    days = OPS.usage_from_lineitem(spark.table("lineitem")).select("sku_name", "usage_date").distinct()
+    until = F.lead("usage_date").over(Window.partitionBy("sku_name").orderBy("usage_date"))
+    price = (F.lit(0.1).cast("decimal(10,4)") + F.dayofyear("usage_date").cast("decimal(10,4)") * F.lit(0.001).cast("decimal(4,3)")).cast("decimal(10,4)")
+    return days.select("sku_name", F.col("usage_date").cast("timestamp").alias("price_start_time"), until.cast("timestamp").alias("price_end_time"),
+                       F.struct(F.struct(price.alias("default")).alias("effective_list")).alias("pricing"))
+
+
+@query("i08_priced_usage_many_versions")
+def q_many_versions(spark, sf_dir):
+    proxy.register_driver_tables(spark, sf_dir, ["lineitem"])
+    return present(OPS.priced_usage(OPS.usage_from_lineitem(spark.table("lineitem")), versioned_prices(spark, sf_dir), bin_days=PRICE_BIN_DAYS))
+
+
+@query("f05_distinct_members_by_sketch")
+def q_sketches(spark, sf_dir):
+    """Members per encounter class at three grains: the exact count, and whether the stored sketches come within 2 % of it."""
+    fact = materialize(spark, gold.fact_encounter(gold_vault(spark, sf_dir, "fact_encounter")), "encounters")
+    dims = ["encounter_class_code"]
+    stored = materialize(spark, SKETCH.daily_sketches(fact, "encounter_start", "member_hk", dims), "sketches")
+    out = []
+    for grain in ("month", "quarter", "year"):
+        exact = fact.groupBy(F.date_trunc(grain, "encounter_start").cast("date").alias("metric_time"), *dims).agg(
+            F.count_distinct("member_hk").alias("distinct_members"))
+        near = SKETCH.rolled_up(stored, grain, dims, "estimate")
+        same = F.col("metric_time").eqNullSafe(F.col("t")) & F.col("encounter_class_code").eqNullSafe(F.col("c"))
+        joined = exact.join(near.select(F.col("metric_time").alias("t"), F.col("encounter_class_code").alias("c"), "estimate"), same, "left")
+        off = F.abs(F.coalesce("estimate", F.lit(0)) - F.col("distinct_members"))
+        out.append(joined.select(F.lit(grain).alias("grain"), "metric_time", *dims, "distinct_members",
+                                 (off <= F.greatest(0.02 * F.col("distinct_members"), F.lit(0.0))).alias("within_2_percent")))
+    return present(out[0].unionByName(out[1]).unionByName(out[2]))
+
+
+def _sql_governed(spark, sf_dir, table: str, groups: list[str]) -> DataFrame:
+    """A stored dimension read through its governed view by a plain SQL query of a session in these groups."""
+    build = getattr(gold, table)
+    path = scratch_path(spark, f"{table}-{_uuid.uuid4().hex}")
+    build(gold_vault(spark, sf_dir, table)).write.parquet(path)
+    session = spark.newSession()                       # functions, variable and views are the caller's own
+    GV.create_sql_functions(session)
+    session.read.parquet(path).createOrReplaceTempView(table)
+    view = GV.create_governed_view(session, table, table)
+    GV.set_principal_groups(session, groups)
+    return session.sql(f"SELECT * FROM {view}")
+
+
+@query("g01_sql_governed_dim_provider_south")
+def q_sql_provider(spark, sf_dir):
+    return present(_sql_governed(spark, sf_dir, "dim_provider", ["regional_manager_south"]))
+
+
+@query("g02_sql_governed_dim_member_masked")
+def q_sql_member(spark, sf_dir):
+    return present(_sql_governed(spark, sf_dir, "dim_member", ["analyst"]))
+
+
+# The declared tests of the star schema (key columns, references) and of the landed sources.
+GOLD_KEYS = {
+    "dim_member": "member_hk", "dim_provider": "provider_hk", "dim_procedure": "procedure_hk", "dim_hcc_category": "hcc_hk",
+    "dim_encounter": "encounter_hk", "dim_measure": "measure_hk", "dim_drug": "drug_hk", "dim_authorization": "authorization_hk",
+    "dim_appeal": "appeal_hk", "dim_drg": "drg_hk", "fact_claim_payment": "payment_txn_hk", "fact_claim_adjustment": "adjustment_txn_hk",
+    "fact_cob_recovery": "cob_recovery_txn_hk", "fact_member_risk_score": "member_risk_score_txn_hk", "fact_encounter": "encounter_hk",
+    "fact_measure_evaluation": "member_measure_eval_txn_hk", "fact_pharmacy_fill": "pharmacy_fill_txn_hk",
+    "fact_medication_adherence": "medication_adherence_hk", "fact_drg_reimbursement_variance": "payment_txn_hk",
+    "fact_authorization": "authorization_hk", "fact_appeal": "appeal_hk", "fact_hcc_capture": "hcc_capture_hk", "fact_coding_gap": "member_hcc_hk",
+    "fact_member_risk_tier": "member_risk_score_txn_hk", "fact_readmission": "index_encounter_hk",
+    "fact_preventive_screening": "member_measure_eval_txn_hk", "fact_care_gap": "member_measure_eval_txn_hk"}
+GOLD_MEMBERS = ["fact_claim_payment", "fact_member_risk_score", "fact_encounter", "fact_measure_evaluation", "fact_pharmacy_fill",
+                "fact_medication_adherence", "fact_hcc_capture", "fact_coding_gap", "fact_member_risk_tier", "fact_risk_score_accuracy",
+                "fact_readmission", "fact_preventive_screening", "fact_care_gap"]
+GOLD_REFERENCES = [("fact_claim_payment", "provider_hk", "dim_provider"), ("fact_pharmacy_fill", "drug_hk", "dim_drug"),
+                   ("fact_medication_adherence", "drug_hk", "dim_drug"), ("fact_drg_reimbursement_variance", "claim_line_hk", "fact_claim_payment"),
+                   ("fact_hcc_capture", "hcc_hk", "dim_hcc_category")]
+SOURCE_KEYS = {
+    "nppes_providers": "npi", "nppes_facilities": "npi", "synpuf_beneficiary_summary": "member_bk", "synpuf_inpatient_claim_header": "claim_line_bk",
+    "synthea_patients": "member_bk", "ra_risk_models": "risk_model_bk", "ra_hcc_categories": "hcc_bk", "ra_diagnosis_hcc_crosswalk": "diagnosis_bk",
+    "ra_member_hcc": "member_bk", "ra_suspected_hcc": "member_bk", "ra_member_risk_scores": "member_bk", "cq_measures": "measure_bk",
+    "cq_member_measure": "member_bk", "cq_member_measure_evals": "member_bk", "ndc_products": "productndc", "pharmacy_fills": "member_bk",
+    "drg_weights": "drg_bk"}
+
+
+def gold_checks() -> list:
+    """27 unique, 27 not-null and 18 relationship tests."""
+    keys = [QC.Check(t, kind, k) for t, k in GOLD_KEYS.items() for kind in ("unique", "not_null")]
+    members = [QC.Check(t, "relationships", "member_hk", "dim_member", "member_hk") for t in GOLD_MEMBERS]
+    return keys + members + [QC.Check(t, "relationships", c, ref, c) for t, c, ref in GOLD_REFERENCES]
+
+
+def source_checks() -> list:
+    """17 not-null tests on the landed tables."""
+    return [QC.Check(t, "not_null", k) for t, k in SOURCE_KEYS.items()]
+
+
+@query("h04_gold_quality_checks")
+def q_gold_quality(spark, sf_dir):
+    v = materialize_all(spark, vault(spark, sf_dir))
+    names = sorted({c.table for c in gold_checks()} | {c.ref_table for c in gold_checks() if c.ref_table})
+    return QC.run_checks(materialize_all(spark, {n: getattr(gold, n)(v) for n in names}), gold_checks())
+
+
+@query("h05_source_quality_checks")
+def q_source_quality(spark, sf_dir):
+    return QC.run_checks(bronze(spark, sf_dir, list(SOURCE_KEYS)), source_checks())

@@ -11,7 +11,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -152,6 +152,16 @@ def read_csv(spark: SparkSession, path: str, cols: Sequence[str] | None = None,
     return reader.csv(path)
 
 
+def read_csv_in_order(spark: SparkSession, path: str, cols: Sequence[str], sep: str = ",", order_col: str = "_row_order") -> DataFrame:
+    """Text-only CSV files of a folder with ``order_col``: the file's path, where its split starts, and the row's place in
+    the task that reads the split.  Files follow each other by path, as their names number them; the key is taken from the
+    files themselves, so no column of theirs has to carry it."""
+    rows = spark.read.option("header", True).option("sep", sep).schema(text_schema(cols)).csv(path)
+    return rows.select(*[F.col(f"`{c}`") for c in cols],
+                       F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                                F.monotonically_increasing_id().alias("place")).alias(order_col))
+
+
 # A10
 def with_lineage(df: DataFrame, source: str, load_ts) -> DataFrame:
     """Add ``record_source`` and ``load_dts`` (batch time is a parameter)."""
@@ -167,13 +177,16 @@ def _parse_us_date(c: str) -> Column:
 
 
 # A1 + A2
-def land_providers(raw: DataFrame, source: str = "nppes", load_ts=None) -> tuple[DataFrame, DataFrame]:
-    """Rename, keep the latest row per NPI, split individuals / organisations."""
+def latest_providers(raw: DataFrame, source: str = "nppes", load_ts=None) -> DataFrame:
+    """Rename, keep the latest row per NPI."""
     require_columns(raw, list(PROVIDER_COLUMN_MAP), "fail", "provider file")
-    df = _rename(raw, PROVIDER_COLUMN_MAP)
-    df = dedupe_latest(df, ["npi"], [_parse_us_date("last_update_date")])
-    if load_ts is not None:
-        df = with_lineage(df, source, load_ts)
+    df = dedupe_latest(_rename(raw, PROVIDER_COLUMN_MAP), ["npi"], [_parse_us_date("last_update_date")])
+    return with_lineage(df, source, load_ts) if load_ts is not None else df
+
+
+def land_providers(raw: DataFrame, source: str = "nppes", load_ts=None) -> tuple[DataFrame, DataFrame]:
+    """Latest row per NPI, split into individuals / organisations."""
+    df = latest_providers(raw, source, load_ts)
     return (df.where(F.col("entity_type_code") == ENTITY_INDIVIDUAL),
             df.where(F.col("entity_type_code") == ENTITY_ORGANIZATION))
 
@@ -329,6 +342,25 @@ def landing_summary(inputs: dict[str, DataFrame], outputs: dict[str, DataFrame])
     return out
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """A frame whose rows are counted by whatever action runs it."""
+    counter = Observation(name)
+    return df.observe(counter, F.count(F.lit(1)).alias("rows")), counter
+
+
+def land_providers_observed(spark: SparkSession, raw: DataFrame, root: str, source: str = "nppes", load_ts=None) -> DataFrame:
+    """A1 and A13 in one pass: the provider file is scanned once, its latest rows are written by entity type under
+    ``root``, and the counts of the summary are taken while that runs."""
+    counted, rows_in = observed(raw, "provider file")
+    entity = F.col("entity_type_code")
+    landed = latest_providers(counted, source, load_ts)
+    landed = landed.observe(landed_rows := Observation("landed"), F.count_if(entity == ENTITY_INDIVIDUAL).alias("nppes_providers"),
+                            F.count_if(entity == ENTITY_ORGANIZATION).alias("nppes_facilities"))
+    landed.withColumn("entity", entity).write.partitionBy("entity").parquet(root)
+    rows = [("nppes_raw", "input", rows_in.get["rows"])] + [(t, "landed", n) for t, n in sorted(landed_rows.get.items())]
+    return spark.createDataFrame(rows, "table string, kind string, rows long")
+
+
 # A15
 def read_reference_tables(spark: SparkSession, folder: str, names: Sequence[str] | None = None,
                           load_ts=None) -> dict[str, DataFrame]:

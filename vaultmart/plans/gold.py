@@ -93,16 +93,21 @@ def dim_appeal(v: Vault) -> DataFrame:          # D10
                 ["appeal_status", "appeal_reason"])
 
 
-def fact_claim_payment(v: Vault) -> DataFrame:  # E1
+CLAIM_DETAILS = ("service_from_date", "admission_date")
+
+
+def fact_claim_payment(v: Vault, details: bool = True) -> DataFrame:  # E1
+    """Without ``details`` the claim's dates are left out, and with them the current rows of the claim satellite (one per
+    claim, so no row of the fact depends on them)."""
     t = v["tlnk_claim_payment_txn"]
     lpm = v["lnk_claim_provider_member"].select("claim_line_hk", "provider_hk", "member_hk")
     ld = v["lnk_claim_drg"].select("claim_line_hk", "drg_hk")
-    cl = _sat(v, "sat_claim_details").select("claim_line_hk", "service_from_date", "admission_date")
-    return (t.join(lpm, "claim_line_hk", "left").join(ld, "claim_line_hk", "left").join(cl, "claim_line_hk", "left")
-             .select("payment_txn_hk", "claim_line_hk", "provider_hk", "member_hk", "drg_hk", "billed_amount",
-                     "allowed_amount", "paid_amount",
-                     (F.col("billed_amount") - F.col("paid_amount")).alias("leakage_amount"),
-                     "payment_date", "service_from_date", "admission_date"))
+    f = t.join(lpm, "claim_line_hk", "left").join(ld, "claim_line_hk", "left")
+    if details:
+        f = f.join(_sat(v, "sat_claim_details").select("claim_line_hk", *CLAIM_DETAILS), "claim_line_hk", "left")
+    return f.select("payment_txn_hk", "claim_line_hk", "provider_hk", "member_hk", "drg_hk", "billed_amount",
+                    "allowed_amount", "paid_amount", (F.col("billed_amount") - F.col("paid_amount")).alias("leakage_amount"),
+                    "payment_date", *(CLAIM_DETAILS if details else ()))
 
 
 def fact_claim_adjustment(v: Vault) -> DataFrame:   # E2
@@ -121,7 +126,7 @@ def fact_cob_recovery(v: Vault) -> DataFrame:   # E3
 
 
 def fact_drg_reimbursement_variance(v: Vault) -> DataFrame:  # E4
-    f = fact_claim_payment(v)
+    f = fact_claim_payment(v, details=False)
     d = dim_drg(v).select("drg_hk", "drg_relative_weight")
     c = (f.join(d, "drg_hk", "inner").where(F.col("drg_relative_weight").isNotNull())
           .select("payment_txn_hk", "claim_line_hk", "provider_hk", "drg_hk", "paid_amount", "drg_relative_weight"))

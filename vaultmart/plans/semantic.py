@@ -302,17 +302,19 @@ class MetricStore:
         self._vault = vault
         self._cache: dict[str, DataFrame] = {}
 
-    def fact(self, name: str) -> DataFrame:
-        if name not in self._cache:
+    def fact(self, name: str, used: str | None = None) -> DataFrame:
+        """A gold fact; ``used``: all expressions over it, so that joins for columns which none of them names are left out."""
+        lean = name == "fact_claim_payment" and used is not None and not any(c in used for c in gold.CLAIM_DETAILS)
+        if (name, lean) not in self._cache:
             f = self._facts.get(name)
             if f is None:
                 if self._vault is None:
                     raise KeyError(f"fact {name} not available")
-                f = gold.FACTS[name](self._vault)
+                f = gold.fact_claim_payment(self._vault, details=False) if lean else gold.FACTS[name](self._vault)
             elif callable(f):
                 f = f()
-            self._cache[name] = f
-        return self._cache[name]
+            self._cache[name, lean] = f
+        return self._cache[name, lean]
 
     # -- compilation -----------------------------------------------------
     @staticmethod
@@ -339,7 +341,8 @@ class MetricStore:
 
     def _measure_frame(self, model: SemanticModel, measures: set[str], group_by: Sequence[str],
                        grain: str | None, where: str | None) -> DataFrame:
-        f = self.fact(model.fact)
+        columns = [model.agg_time or "", *[model.entities.get(g) or model.dimensions.get(g) or g for g in group_by]]
+        f = self.fact(model.fact, " ".join([where or "", *columns, *[MEASURES[m].expr for m in measures]]))
         if where:
             f = f.where(F.expr(where))
         gcols = self._group_cols(model, group_by, grain)

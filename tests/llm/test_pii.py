@@ -4,7 +4,7 @@ import re
 import pytest
 
 from tests.llm.helpers import awkward_rows, docs_frame, sentence, store
-from vaultmart.llm.pii import KINDS, base_spans, luhn, personal_data
+from vaultmart.llm.pii import KINDS, base_spans, loose_spans, luhn, personal_data
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -72,5 +72,84 @@ def test_words_that_mostly_stand_elsewhere_are_not_trusted(spark):
     assert not got[99].spans
 
 
+def brute_spans(texts, support=5, trust=0.8):
+    """The whole operator with plain words and loops: contexts, counts, scores by rounds, added spans."""
+    words = [[(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")] for t in texts]
+    count = {}
+    for w in words:
+        for n in (1, 2):
+            for i in range(len(w) - n + 1):
+                key = tuple(x[2] for x in w[i:i + n])
+                count[key] = count.get(key, 0) + 1
+    spans = []
+    for d, t in enumerate(texts):
+        base = base_spans(t) if t else []
+        for s, seed in [(s, True) for s in base] + [(s, False) for s in (loose_spans(t, base) if t else [])]:
+            before, behind = [x[2] for x in words[d] if x[1] <= s[1]], [x[2] for x in words[d] if x[0] >= s[2]]
+            own = [(0, tuple(before[-1:]))] * (len(before) > 0) + [(1, tuple(before[-2:]))] * (len(before) > 1)
+            own += [(2, tuple(behind[:1]))] * (len(behind) > 0) + [(3, tuple(behind[:2]))] * (len(behind) > 1)
+            spans.append((d, s, seed, t[s[1]:s[2]].lower(), [(s[0], *c) for c in own]))
+    edges, uses, seeds = {}, {}, set()
+    for _, s, seed, text, contexts in spans:
+        if seed:
+            seeds.add((s[0], text))
+        for c in contexts:
+            edges.setdefault(c, set()).add((s[0], text))
+            uses[c] = uses.get(c, 0) + 1
+    weight = {c: len(i) + max(count.get(c[2], 0), uses[c]) - uses[c] for c, i in edges.items() if len(i) >= support}
+    # a text that is a seed in one place and a candidate in another is a seed wherever one of its edges is
+    score, trusted, rounds = {}, {}, 0
+    while True:
+        for i in {i for c in weight for i in edges[c]}:
+            doubt = 1.0
+            for c in trusted:
+                if i in edges[c]:
+                    doubt *= 1 - min(trusted[c], 0.999999)
+            score[i] = 1.0 if i in seeds else 1 - doubt
+        now = {c: sum(score[i] for i in edges[c]) / w for c, w in weight.items()}
+        now = {c: v for c, v in now.items() if v >= trust and sum(score[i] >= trust for i in edges[c]) >= support}
+        if len(now) == len(trusted):
+            break
+        trusted, rounds = now, rounds + 1
+    out = [set() for _ in texts]
+    for d, s, seed, _, contexts in spans:
+        if seed or any(c in trusted for c in contexts):
+            out[d].add(s)
+    return [sorted(x) for x in out], rounds
+
+
+def chained_texts():
+    """Seeds make 'hotline' a pattern; what it finds stands before 'evenings', which finds what stands before it elsewhere."""
+    rng = random.Random(9)
+    rows = [f"{sentence(rng, 5)} hotline +1 ({200 + i}) 555-{1000 + i} today" for i in range(100)]
+    rows += [f"{sentence(rng, 5)} hotline ({300 + i}) 555-{2000 + i} evenings only {sentence(rng, 3)}" for i in range(10)]
+    rows += [f"{sentence(rng, 5)} dial ({400 + i}) 555-{3000 + i} evenings only" for i in range(1)]
+    rows += [f"{sentence(rng, 5)} dial ({500 + i}) 555-{4000 + i} {sentence(rng, 3)}" for i in range(6)]
+    rows += [f"licence ({600 + i}) 555-{5000 + i} {sentence(rng, 2)}" for i in range(9)] + [None, ""]
+    return rows
+
+
+def test_identifiers_found_induce_patterns_of_their_own(spark):
+    texts = chained_texts()
+    want, rounds = brute_spans(texts)
+    got = {r.id: [tuple(s) for s in r.spans] for r in personal_data(docs_frame(spark, list(enumerate(texts))), store(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert rounds >= 2 and all(want[:111]) and not any(want[111:])    # behind 'evenings only', never behind 'licence'
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_the_graph_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    cue, shapes = ["call", "fax", "mail", "ref", "from host", "card no"], [
+        lambda: f"+1 ({rng.randint(200, 215)}) 555-{rng.randint(1000, 1009)}", lambda: f"({rng.randint(200, 230)}) 555-{rng.randint(1000, 1099)}",
+        lambda: f"u{rng.randint(1, 30)}@mail.example.com", lambda: f"u{rng.randint(1, 30)} at mail dot example dot com",
+        lambda: f"10.0.0.{rng.randint(1, 40)}", lambda: f"10,0,0,{rng.randint(1, 40)}", lambda: "stone"]
+    texts = [" ".join(f"{cue[k]} {shapes[min(6, max(0, k + rng.choice([0, 0, 0, 1])))]()} {rng.choice(['', 'today', 'now or never'])}"
+                      for k in (rng.randrange(6) for _ in range(3))) for _ in range(90)]
+    want, _ = brute_spans(texts)
+    got = {r.id: [tuple(s) for s in r.spans] for r in personal_data(docs_frame(spark, list(enumerate(texts))), store(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_empty_table(spark):
     assert personal_data(docs_frame(spark, []), store(spark)).count() == 0

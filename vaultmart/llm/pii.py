@@ -1,24 +1,29 @@
 """Personal data by bootstrapped contextual extraction (operator 4).
 
 Fixed patterns find the base spans: email, ip, card, phone.  They are the
-seeds.  The one and two words before a seed induce lexical patterns; a pattern
-of a kind is trusted as far as what follows its words, anywhere in the corpus,
-is known to be of that kind.  A looser shape per kind (numbers in other
-formats, spelled-out addresses) yields candidate instances.  Spark scores the
-graph of patterns and instances in rounds:
-
+seeds.  A looser shape per kind (numbers in other formats, spelled-out
+addresses) yields candidate instances.  The one and two words before an
+instance and the one and two words behind it are its lexical contexts, four
+patterns of its kind.  Spark scores the graph of patterns and instances in
+rounds, until a round adds no pattern:
+
+* an instance's score is 1 for a seed, else 1 - prod(1 - score) over the
+  trusted patterns that it stands in; it is known from ``trust`` on;
 * a pattern's score is the summed score of its distinct instances over those
   instances plus all further occurrences of its words;
-* an instance's score is 1 for a seed, else 1 - prod(1 - pattern scores).
+* a pattern with at least ``support`` distinct known instances and a score of
+  at least ``trust`` is trusted from then on.
 
-Candidates that follow a pattern with at least ``support`` distinct seed
-instances and a final score of at least ``trust`` become further spans, unless
-they overlap a base span.
+So identifiers that one pattern has made known induce patterns of their own,
+and those make further ones known.  Scores never fall, so the rounds end.
+Candidates in a trusted pattern become further spans, unless they overlap a
+base span.
 
-Texts are read twice (spans and contexts; occurrences of the induced
-contexts); the graph holds contexts with seeds only.  Contexts pass a bit
-filter of fixed size before counting; nothing that grows with the corpus
-reaches the driver.
+Texts are read twice (spans and contexts; occurrences of the contexts).  The
+graph holds only contexts that can still qualify: ``support`` distinct
+instances, and enough of them against the occurrences of their words.
+Contexts pass a bit filter of fixed size before counting; nothing that grows
+with the corpus reaches the driver.
 
 Edge cases: null and empty texts have no spans (the digest is that of the
 empty string); repeated rows and ids each get a row; extra columns are
@@ -122,17 +127,18 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return keep
 
 
+CONTEXTS = ("near", "far", "next", "beyond")                 # one and two words before, one and two words behind
 SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("seed", pa.bool_()),
-                  ("instance", pa.int64()), ("near", pa.int64()), ("far", pa.int64())])
+                  ("instance", pa.int64()), *[(c, pa.int64()) for c in CONTEXTS]])
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``row, id, spans`` per row: base spans and candidates with an instance
-    hash and the hashes of the one (``near``) and two (``far``) words before."""
+    hash and the hashes of the words of its ``CONTEXTS``."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     span = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
                          T.StructField("seed", T.BooleanType()), T.StructField("instance", T.LongType()),
-                         T.StructField("near", T.LongType()), T.StructField("far", T.LongType())])
+                         *[T.StructField(c, T.LongType()) for c in CONTEXTS]])
     schema = T.StructType([rows.schema["row"], rows.schema["id"], T.StructField("spans", T.ArrayType(span, False))])
 
     def find(batches):
@@ -156,54 +162,68 @@ def with_contexts(texts: list, spans: list[list]) -> list[list[dict]]:
     out: list[list[dict]] = [[] for _ in texts]
     if not some:
         return out
-    _, _, ends, first, words = text_words([texts[i] for i in some])
+    _, starts, ends, first, words = text_words([texts[i] for i in some])
     one = shingle_hashes(words, 1).view(np.int64) if len(words) else words.view(np.int64)
     two = shingle_hashes(words, 2).view(np.int64) if len(words) > 1 else words[:0].view(np.int64)
     at = 0
     for j, i in enumerate(some):
         for kind, start, end, seed in spans[i]:
             w = int(np.searchsorted(ends, at + 1 + start, "right")) - 1   # last word that ends before the span
-            inside = w - int(first[j])
+            v = int(np.searchsorted(starts, at + 1 + end))                # first word that begins behind it
+            inside, left = w - int(first[j]), int(first[j + 1]) - v
             out[i].append({"kind": kind, "start": start, "end": end, "seed": seed,
                            "instance": np.uint64(xxhash.xxh64_intdigest(texts[i][start:end].lower())).astype(np.int64).item(),
-                           "near": int(one[w]) if inside >= 0 else None, "far": int(two[w - 1]) if inside >= 1 else None})
+                           "near": int(one[w]) if inside >= 0 else None, "far": int(two[w - 1]) if inside >= 1 else None,
+                           "next": int(one[v]) if left >= 1 else None, "beyond": int(two[v]) if left >= 2 else None})
         at += len(texts[i]) + 1
     return out
 
 
-def trusted_patterns(found: DataFrame, docs: DataFrame, text_col: str, stored, support: int, trust: float, rounds: int) -> DataFrame:
-    """``kind, context, score`` of the patterns that may add spans."""
+def in_contexts(spans: DataFrame, *columns: str) -> DataFrame:
+    """One row per span and context: ``columns``, ``side`` (place in ``CONTEXTS``) and ``context``."""
+    return spans.select(*columns, F.posexplode(F.array(*CONTEXTS)).alias("side", "context")).where("context is not null")
+
+
+def trusted_patterns(found: DataFrame, docs: DataFrame, text_col: str, stored, support: int, trust: float) -> DataFrame:
+    """``kind, side, context, score`` of the patterns that may add spans."""
+    pattern = ["kind", "side", "context"]
     spans = found.select(F.explode("spans").alias("s")).select("s.*")
-    edges = spans.select("kind", "instance", "seed", F.explode(F.array("near", "far")).alias("context")).where("context is not null")
-    edges = edges.groupBy("kind", "context", "instance").agg(F.max("seed").alias("seed"), F.count("*").alias("uses"))
+    edges = in_contexts(spans, "kind", "instance", "seed").groupBy(*pattern, "instance").agg(
+        F.max("seed").alias("seed"), F.count("*").alias("uses"))
     edges = stored(edges, "edges")
-    induced = (edges.groupBy("kind", "context").agg(F.sum(F.col("seed").cast("int")).alias("seeds"), F.count("*").alias("instances"),
-                                                    F.sum("uses").alias("uses")).where(F.col("seeds") >= support))
-    induced = stored(induced, "induced")
-    counts = shingle_counts(docs, text_col, bit_filter(induced, "context"), [1, 2]).withColumnRenamed("shingle", "context")
-    patterns = stored(induced.join(counts, "context", "left").select(
-        "kind", "context", "instances", (F.greatest(F.coalesce("n", F.lit(0)), F.col("uses")) - F.col("uses")).alias("elsewhere")), "patterns")
-    graph = stored(edges.join(patterns, ["kind", "context"]), "graph")
-    instances = graph.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score"))
-    scored = None
-    for i in range(rounds):
-        scored = (graph.join(instances, ["kind", "instance"]).groupBy("kind", "context")
-                  .agg((F.sum("score") / (F.max("instances") + F.max("elsewhere"))).alias("score")))
-        scored = stored(scored, f"scores-{i}")
-        instances = stored(graph.join(scored, ["kind", "context"]).groupBy("kind", "instance").agg(
-            F.when(F.max("seed"), 1.0).otherwise(1 - F.exp(F.sum(F.log1p(-F.least("score", F.lit(0.999999)))))).alias("score")), f"instances-{i}")
-    return scored.where(F.col("score") >= trust)
+    possible = stored(edges.groupBy(*pattern).agg(F.count("*").alias("instances"), F.sum("uses").alias("uses"))
+                      .where(F.col("instances") >= support), "possible")
+    counts = shingle_counts(docs, text_col, bit_filter(possible, "context"), [1, 2]).withColumnRenamed("shingle", "context")
+    elsewhere = F.greatest(F.coalesce("n", F.lit(0)), F.col("uses")) - F.col("uses")
+    patterns = (possible.join(counts, "context", "left").select(*pattern, "instances", (F.col("instances") + elsewhere).alias("weight"))
+                .where(F.col("instances") >= trust * F.col("weight")))
+    graph = stored(edges.join(stored(patterns, "patterns"), pattern), "graph")
+    trusted, size = None, 0
+    while True:
+        if trusted is None:
+            held = graph.withColumn("held", F.lit(None).cast("double"))
+        else:
+            held = graph.join(trusted.select(*pattern, F.col("score").alias("held")), pattern, "left")
+        doubt = F.exp(F.sum(F.log1p(-F.least(F.coalesce("held", F.lit(0.0)), F.lit(0.999999)))))
+        instances = held.groupBy("kind", "instance").agg(F.when(F.max("seed"), 1.0).otherwise(1 - doubt).alias("score"))
+        now = (graph.join(instances, ["kind", "instance"]).groupBy(*pattern)
+               .agg((F.sum("score") / F.max("weight")).alias("score"), F.count_if(F.col("score") >= trust).alias("known"))
+               .where((F.col("score") >= trust) & (F.col("known") >= support)))
+        trusted = stored(now.select(*pattern, "score"), "trusted")
+        if trusted.count() == size:
+            return trusted
+        size = trusted.count()
 
 
 def personal_data(docs: DataFrame, stored, id_col: str = "doc_id", text_col: str = "text", support: int = 5,
-                  trust: float = 0.8, rounds: int = 3) -> DataFrame:
+                  trust: float = 0.8) -> DataFrame:
     """``row, id, base, spans`` per row: arrays of (kind, start, end), sorted;
     ``spans`` holds the base spans and those that trusted patterns add."""
     found = stored(scan(docs, id_col, text_col), "spans")
-    patterns = stored(trusted_patterns(found, docs, text_col, stored, support, trust, rounds).select("kind", "context"), "trusted")
+    patterns = trusted_patterns(found, docs, text_col, stored, support, trust).select("kind", "side", "context")
     loose = found.select("row", F.explode(F.filter("spans", lambda s: ~s["seed"])).alias("s")).select("row", "s.*")
-    added = (loose.select("row", "kind", "start", "end", F.explode(F.array("near", "far")).alias("context"))
-             .join(patterns, ["kind", "context"]).groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("more")))
+    added = (in_contexts(loose, "row", "kind", "start", "end")
+             .join(patterns, ["kind", "side", "context"]).groupBy("row").agg(F.collect_set(F.struct("kind", "start", "end")).alias("more")))
     base = F.transform(F.filter("spans", lambda s: s["seed"]), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return (found.select("row", "id", F.array_sort(base).alias("base")).join(added, "row", "left")
             .select("row", "id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,end:int>>")))).alias("spans")))

@@ -1091,3 +1091,14 @@ oracle("a04_first_claim_row_in_file_order", f"""WITH raw AS ({_RAW['claims_raw']
 two AS (SELECT raw.*, copy FROM raw, (VALUES (0), (1)) c(copy)),
 placed AS (SELECT {_FIRST}, md5(concat_ws('|', {_PLACE})) AS _place FROM two)
 SELECT * EXCLUDE (_rn, _place) FROM (SELECT *, row_number() OVER (PARTITION BY claim_line_bk ORDER BY _place) AS _rn FROM placed) WHERE _rn = 1""")
+
+
+def _register_reference_tables():
+    from vaultmart.plans.queries import REFERENCE_MODELS
+    for table, model in REFERENCE_MODELS.items():
+        oracle(f"a15_reference_{table}_staged", f"SELECT * REPLACE ('{table}' AS record_source, {_REF_LD}) "
+               f"FROM ({ORACLE[_OV.staging_query_name(model)]})")
+    oracle("a15_reference_drg_weights_staged", ORACLE["b03_stg_drgs"])
+
+
+_register_reference_tables()

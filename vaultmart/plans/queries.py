@@ -1000,6 +1000,28 @@ def q_reference_payments(spark, sf_dir):
     return present(S.stg_payment_txns(reference_tables(spark, sf_dir, ["pi_payment_transactions"])))
 
 
+# the other reference tables, each landed as CSV and typed by the staging model that reads it
+REFERENCE_MODELS = {inputs[0]: m for m, inputs in STAGING_INPUTS.items() if len(inputs) == 1 and inputs[0] in IG.REFERENCE_TABLES}
+REFERENCE_MODELS = {t: m for t, m in REFERENCE_MODELS.items() if t not in ("ra_member_hcc", "pi_payment_transactions")}
+
+
+def _reference_query(table, model):
+    def run(spark, sf_dir):
+        return present(S.STAGING[model](reference_tables(spark, sf_dir, [table])))
+    run.__name__ = f"q_reference_{table}"
+    QUERIES[f"a15_reference_{table}_staged"] = run
+
+
+for _t, _m in REFERENCE_MODELS.items():
+    _reference_query(_t, _m)
+
+
+@query("a15_reference_drg_weights_staged")
+def q_reference_drgs(spark, sf_dir):
+    claims = "synpuf_inpatient_claim_header"
+    return present(S.stg_drgs({claims: bronze(spark, sf_dir, [claims])[claims], **reference_tables(spark, sf_dir, ["drg_weights"])}))
+
+
 # ---------------------------------------------------------------------------
 # observed landing (A13), file order (A4), many price versions (I8), stored
 # sketches (F5), governance as SQL (G1-G5), gold and source tests (H)

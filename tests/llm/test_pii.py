@@ -5,6 +5,7 @@ import pytest
 
 from tests.llm.helpers import awkward_rows, docs_frame, sentence, store
 from vaultmart.llm.pii import KINDS, base_spans, loose_spans, luhn, personal_data
+from vaultmart.llm.queries import op4_pii
 
 PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -153,3 +154,12 @@ def test_the_graph_equals_brute_force(spark, seed):
 
 def test_empty_table(spark):
     assert personal_data(docs_frame(spark, []), store(spark)).count() == 0
+
+
+def test_query_counts_every_kind_wherever_it_stands(spark, tmp):
+    """The counts of the query are those of the kinds, not of the places in the list of spans."""
+    rows = [(1, "call +49 170 1234567 now"), (2, "card 4111 1111 1111 1111"), (3, "10.0.0.1 and 10.0.0.2"), (4, "a@b.c d@e.f 10.0.0.1 +49 170 1234567"),
+            (5, None), (6, "")]
+    docs_frame(spark, rows).write.parquet(f"{tmp}/documents.parquet")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in op4_pii(spark, tmp).collect()}
+    assert got == {1: (0, 0, 0, 1), 2: (0, 0, 1, 0), 3: (0, 2, 0, 0), 4: (2, 1, 0, 1), 5: (0, 0, 0, 0), 6: (0, 0, 0, 0)}

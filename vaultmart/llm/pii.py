@@ -229,6 +229,11 @@ def personal_data(docs: DataFrame, stored, id_col: str = "doc_id", text_col: str
             .select("row", "id", "base", F.array_sort(F.concat("base", F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,end:int>>")))).alias("spans")))
 
 
+def of_kind(spans: str, kind: int):
+    """Number of spans of one kind.  (The lambda has one parameter: Spark passes the place in the array as a second one.)"""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind))
+
+
 def spelled(spans: str):
     """``kind:start:end`` of a span array, comma-joined."""
     kinds = F.array(*[F.lit(k) for k in KINDS])

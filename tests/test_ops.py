@@ -267,3 +267,22 @@ def test_blocked_answers_keep_their_resolution(spark):
         (r.conv_id, r.turn, str(r.resolved_metric)) for r in want)
     blocked = [r for r in got if r.validation == "block"]
     assert all(r.proposed_metric == "unlisted_metric" for r in blocked) and any(r.resolved_metric for r in blocked)
+
+
+def test_conversation_answers_outside_the_catalogue_are_blocked(spark):
+    """Every 11th answer is a name that the catalogue lacks, so the validation has both results."""
+    from vaultmart.plans.queries import QUERIES
+    got = QUERIES["i17_resolve_metric_conversations"](spark, "/root/testdata/sf0.001").collect()
+    unlisted = [r for r in got if r.resolved_metric == "unlisted_metric"]
+    assert unlisted and len(unlisted) == sum((r.conv_id + r.turn) % 11 == 0 for r in got)
+    assert all((r.validation == "block") == (r.resolved_metric == "unlisted_metric") for r in got)
+
+
+def test_usage_is_not_dealt_out_by_sku(spark):
+    """Pricing with the fixed list shuffles no usage: a SKU may hold a third of all rows."""
+    lines = spark.sql("SELECT l_orderkey, l_suppkey, l_partkey, 'A' AS l_returnflag, 'F' AS l_linestatus, CAST(3 AS DECIMAL(18,2)) AS l_quantity, "
+                      "DATE '1997-01-01' AS l_shipdate FROM (SELECT id AS l_orderkey, id AS l_suppkey, id AS l_partkey FROM range(10))")
+    priced = OPS.priced_usage(OPS.usage_from_lineitem(lines), OPS.list_prices(spark))
+    plan = priced._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(sku_name" not in plan and "SortMergeJoin" not in plan
+    assert priced.count() == 10

@@ -1,4 +1,5 @@
 import random
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,31 @@ def test_empty_batches(spark, tmp):
         assert table.table() is None and table.version() == 1
         table.load(staged(spark, [("K1", "a", ts(1), "s")]), 1)
         assert table.table().count() == 1
+
+
+def test_a_delivery_is_written_once_and_arrives_whole(spark):
+    """Every part arrives with all its files (a task names its files alike in all parts), in the order of time, and no row is written twice."""
+    from vaultmart.plans.queries import micro_batches
+    rows = spark.range(0, 300, 1, 4).select("id", F.timestamp_seconds(F.col("id") * 60).alias("at"))
+    seen = []
+
+    def run(stream):
+        checkpoint = seen[0][0] if seen else tempfile.mkdtemp()
+        return stream.writeStream.foreachBatch(lambda b, n: seen.append((checkpoint, sorted(r.id for r in b.collect())))).option(
+            "checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    micro_batches(spark, rows, "at", run)
+    ids = [i for _, b in seen for i in b]
+    assert ids == list(range(300)) and len([b for _, b in seen if b]) == 3
+
+
+def test_a_table_of_byte_keys_is_partitioned_like_one_of_text_keys(spark, tmp):
+    s = spark.range(40).select(F.md5(F.col("id").cast("string")).alias("pk"), F.col("id").cast("string").alias("bk"),
+                               F.lit("2024-01-01").cast("timestamp").alias("load_dts"), F.lit("r").alias("record_source"))
+    raw = s.withColumn("pk", F.unhex("pk"))
+    text, as_bytes = PV.hub_table(spark, f"{tmp}/text", "pk", "bk"), PV.hub_table(spark, f"{tmp}/bytes", "pk", "bk")
+    for batch in (0, 1):
+        text.load(s.where(F.col("bk").cast("int") < 25) if batch == 0 else s, batch)
+        as_bytes.load(raw.where(F.col("bk").cast("int") < 25) if batch == 0 else raw, batch)
+    assert text.prefixes(s) == as_bytes.prefixes(raw)
+    shown = as_bytes.table().withColumn("pk", F.lower(F.hex("pk")))
+    assert sorted(map(tuple, shown.collect())) == sorted(map(tuple, text.table().collect())) and shown.count() == 40

@@ -93,3 +93,45 @@ def test_a_home_is_the_same_for_all_keys_of_its_rows(spark):
         hash_key("k1", "l1").alias("p1"), hash_key("k2", "l2").alias("p2"), home("k1", FIRST).alias("f1"), home("k2", FIRST).alias("f2"),
         home("l1", LAST).alias("z1"), home("l2", LAST).alias("z2")).collect()
     assert all(x.p1 == x.p2 and x.f1 == x.f2 and x.z1 == x.z2 for x in r)
+
+
+def moved_once(spark, make):
+    """Exchanges made and reused by the plan of ``make()``."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = make()._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange"), plan.count("ReusedExchange"), plan.count("Sort [")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def stored(spark, tmp, bronze):
+    for name, df in bronze.items():
+        df.write.parquet(f"{tmp}/{name}")
+    return {name: spark.read.parquet(f"{tmp}/{name}") for name in bronze}
+
+
+def test_tables_of_one_input_share_its_move(spark, tmp):
+    b = stored(spark, tmp, {k: v for k, v in odd_bronze(spark).items() if k in (
+        "pi_authorizations", "pi_payment_transactions", "synpuf_inpatient_claim_header")})
+    v = build_vault(b, names=NAMES, spark=spark, key_bytes=True, gather=True, one_job=True)
+    assert moved_once(spark, lambda: gold.dim_authorization(v))[:2] == (1, 1)         # hub and satellite
+    assert moved_once(spark, lambda: gold.fact_authorization(v))[:2] == (1, 2)        # and link
+    assert moved_once(spark, lambda: gold.fact_claim_payment(v))[:2] == (3, 2)        # claims; payments by their key and by their claim
+    assert moved_once(spark, lambda: gold.dim_authorization(v))[2] == 2               # a table sorts its rows once
+
+
+def test_a_shared_move_gives_the_same_tables(spark, tmp):
+    b = odd_bronze(spark)
+    names = [*NAMES, "hub_drg", "sat_drg_details", "hub_claim_line", "hub_appeal", "sat_appeal_details", "lnk_claim_appeal"]
+    # a claim without its key still names a DRG
+    assert b["synpuf_inpatient_claim_header"].where("trim(claim_line_bk) = '' or claim_line_bk is null").count() == 2
+    plain = build_vault(b, names=names, key_bytes=True)
+    shared = build_vault(b, names=names, key_bytes=True, gather=True, one_job=True)
+    for n in names:
+        assert shown(shared[n]) == shown(plain[n]) != [], n
+    for fact in (gold.fact_authorization, gold.dim_authorization, gold.fact_claim_adjustment, gold.fact_claim_payment, gold.fact_appeal):
+        assert shown(fact(shared)) == shown(fact(plain)) != [], fact.__name__
